@@ -11,12 +11,14 @@ from pyspark.sql import functions as F
 from . import common
 from .wordhash import mix, word_hashes
 
-BANDS, ROWS, BITS, WIDTH = 40, 8, 2, 5
-LONGS = BANDS * ROWS // 64
+BANDS, ROWS, HASHES, BITS, WIDTH = 40, 8, 1024, 2, 5
+LONGS = HASHES // 64
+#: Bits of the filter that picks the texts to confirm: 8 MB whatever the corpus. The fuller it gets, the more texts move; none is missed.
+FILTER_BITS = 1 << 26
 SKETCH = "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>, low array<long>"
 _RNG = np.random.default_rng(20240607)
-_TIMES = _RNG.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint32) | np.uint32(1)
-_PLUS = _RNG.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint32)
+_TIMES = _RNG.integers(0, 1 << 32, HASHES, dtype=np.uint32) | np.uint32(1)
+_PLUS = _RNG.integers(0, 1 << 32, HASHES, dtype=np.uint32)
 _PLACES = _RNG.integers(0, 1 << 63, WIDTH + 1, dtype=np.uint64) | np.uint64(1)
 _ROWS = _RNG.integers(0, 1 << 63, ROWS, dtype=np.uint64) | np.uint64(1)
 
@@ -39,14 +41,14 @@ def shingle_sets(texts) -> list[np.ndarray]:
             np.not_equal(s[1:], s[:-1], out=keep[1:])
             out.append(s[keep])
         elif n:
-            out.append(mix((words[at : at + n] * _PLACES[:n]).sum(keepdims=True) + np.uint64(n) * _PLACES[WIDTH]))
+            out.append(mix((words[at : at + n] * _PLACES[:n]).sum(keepdims=True) + np.full(1, n, np.uint64) * _PLACES[WIDTH]))
         else:
             out.append(np.zeros(0, np.uint64))
         at += n
     return out
 
 
-def minima(shingles: np.ndarray, block: int = 192) -> np.ndarray:
+def minima(shingles: np.ndarray, block: int = 64) -> np.ndarray:
     """The least value of each hash function over a set; by blocks that stay in cache."""
     x = (shingles >> np.uint64(32)).astype(np.uint32)
     out = np.full(len(_TIMES), 0xFFFFFFFF, np.uint32)
@@ -67,7 +69,7 @@ def _sketch(batches: Iterator) -> Iterator:
             low = np.zeros((len(sets), len(_TIMES)), np.uint32)
             for i in full:
                 low[i] = minima(sets[i])
-            bands = (low.reshape(len(sets), BANDS, ROWS).astype(np.uint64) * _ROWS).sum(axis=2) + np.arange(BANDS, dtype=np.uint64) * _PLACES[0]
+            bands = (low[:, : BANDS * ROWS].reshape(len(sets), BANDS, ROWS).astype(np.uint64) * _ROWS).sum(axis=2) + np.arange(BANDS, dtype=np.uint64) * _PLACES[0]
             bands = mix(bands).view(np.int64)
             planes = np.concatenate([np.packbits((low >> np.uint32(k)) & np.uint32(1), axis=1).view(np.int64) for k in range(BITS)], axis=1)
             a = np.array([s.sum(dtype=np.uint64) for s in sets], np.uint64).view(np.int64)
@@ -86,7 +88,7 @@ def estimate(x: Column, y: Column) -> Column:
             d = d.bitwiseOR(x[i + k * LONGS].bitwiseXOR(y[i + k * LONGS]))
         differ = differ + F.bit_count(d)
     chance = 2.0**-BITS
-    return (1 - differ / (BANDS * ROWS) - chance) / (1 - chance)
+    return (1 - differ / HASHES - chance) / (1 - chance)
 
 
 def _confirm(percent: int):
@@ -106,24 +108,48 @@ def _confirm(percent: int):
     return confirm
 
 
-def _links(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+def _picked(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The documents whose doc_id is among nodes, and some others: a bitmap of hashed ids of fixed size goes to all tasks."""
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))
+    words = nodes.select(place.alias("at")).groupBy(F.shiftright("at", 6).cast("int").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, CAST(at % 64 AS int))")).alias("bits"))
+    bitmap = np.zeros(FILTER_BITS // 64, np.int64)
+    got = words.toArrow()
+    bitmap[got.column("word").to_numpy()] = got.column("bits").to_numpy()
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap)
+
+    def pick(batches: Iterator) -> Iterator:
+        bits = shared.value
+        for b in batches:
+            at = b.column(2).to_numpy()
+            yield b.select(["doc_id", "text"]).filter(_mask((bits[at >> 6] >> (at & 63)) & 1))
+
+    return docs.where("doc_id is not null").select("doc_id", "text", place.cast("long").alias("at")).mapInArrow(pick, "doc_id long, text string")
+
+
+def _mask(bits: np.ndarray):
+    import pyarrow as pa
+
+    return pa.array(bits.astype(bool))
+
+
+def _links(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets reach the threshold."""
-    nodes = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    texts = common.materialize(texts.join(nodes, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]), "texts")
+    nodes = common.materialize(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "nodes")
+    texts = common.materialize(_picked(docs, nodes).join(nodes, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]), "texts")
     left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta"))
     right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb"))
     rows = pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb")
     return common.materialize(rows.mapInArrow(_confirm(percent), "a long, b long").distinct(), "links")
 
 
-def near_duplicates(docs: DataFrame, percent: int = 85, margin: float = 0.15) -> DataFrame:
+def near_duplicates(docs: DataFrame, percent: int = 85, margin: float = 0.07) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of doc_id, text: documents linked where 100 * intersection >= percent * union of
     their shingle sets; component_id is the smallest doc_id reachable, kept is doc_id = component_id.
 
     1. One pass sketches each text: set size, a 128-bit set hash, BANDS band keys of ROWS minima, the minima's low BITS.
        At 0.85 a pair misses all bands with a chance of 3e-6, at the threshold; percent below 80 would need more bands.
     2. Equal sets become one class through a grouped minimum, so copies cost one row each.
-    3. Star: every member of a band's bucket is compared with the bucket's least member only; the low bits discard pairs
+    3. Star: every member of a band's bucket is compared with one only, the member with most neighbours over all its buckets; the low bits discard pairs
        estimated under the threshold less `margin` (over five standard deviations), full sets confirm the rest.
     4. Where a bucket still holds several components, members outside its largest one are compared with all members of
        other components: a group of copies of any size, once joined, costs nothing here. The estimate is part of the
@@ -141,11 +167,15 @@ def near_duplicates(docs: DataFrame, percent: int = 85, margin: float = 0.15) ->
     full = sketch.where("n_shingles > 0 and doc_id is not null")
     classes = common.materialize(full.groupBy(*known).agg(F.min("doc_id").alias("rep"), F.min_by(F.struct("bands", "low"), "doc_id").alias("s")).select(*known, "rep", "s.bands", "s.low"), "classes")
     rows = classes.select(F.explode("bands").alias("key"), "rep")
-    shared = common.materialize(rows.groupBy("key").agg(F.min("rep").alias("leader"), F.count("*").alias("n")).where("n > 1").select("key", "leader"), "buckets")
+    shared = common.materialize(rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "buckets")
     members = common.materialize(rows.join(shared, "key"), "members")
+    # the member with the most neighbours over all its buckets is likeliest to be near all others
+    weight = members.groupBy("rep").agg(F.sum("n").alias("weight"))
+    heads = members.join(weight, "rep").groupBy("key").agg(F.max(F.struct("weight", (-F.col("rep")).alias("rep"))).alias("h")).select("key", (-F.col("h.rep")).alias("leader"))
+    members = common.materialize(members.join(heads, "key").select("key", "rep", "leader"), "starred")
     low = classes.select("rep", "low")
     least = percent / 100 - margin
-    star = members.where("rep <> leader").select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct()
+    star = members.where("rep <> leader").select(F.least("leader", "rep").alias("a"), F.greatest("leader", "rep").alias("b")).distinct()
     x, y = low.select(F.col("rep").alias("a"), F.col("low").alias("la")), low.select(F.col("rep").alias("b"), F.col("low").alias("lb"))
     star = star.join(x, "a").join(y, "b").where(estimate(F.col("la"), F.col("lb")) >= least).select("a", "b").distinct()
     star = common.materialize(star, "star")

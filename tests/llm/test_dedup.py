@@ -115,7 +115,7 @@ def test_estimate_is_unbiased():
             x, y = minhash.minima(a) & 3, minhash.minima(b) & 3
             true = 600 / (600 + 2 * n)
             equal = 0.25 + 0.75 * true
-            deviation = (equal * (1 - equal) / 320) ** 0.5 / 0.75
+            deviation = (equal * (1 - equal) / minhash.HASHES) ** 0.5 / 0.75
             errors.append((((x == y).mean() - 0.25) / 0.75 - true) / deviation)
     assert abs(np.mean(errors)) < 0.6 and np.max(np.abs(errors)) < 5
 
