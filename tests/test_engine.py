@@ -1,0 +1,189 @@
+"""Schemas, sources, drivers, export, resume and the registered queries."""
+
+import datetime
+import os
+import time
+import warnings
+
+import duckdb
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+import __spark_entry__
+from loomtext import cli
+from loomtext.functions.udf import extract_udf, skipped
+from loomtext.operators.export import export_rows, export_text
+from loomtext.operators.lookup import show_article
+from loomtext.operators.parse import clean, parse_dual, parse_single
+from loomtext.plans import catalog, pipeline
+from loomtext.sources import schema as S
+from loomtext.sources.tables import list_files, read_parquet
+
+TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
+DATA = "/root/testdata/sf0.001"
+DUAL = "page_id string, page_title string, official_text string, official_timestamp timestamp, clone_page_title string, clone_text string, clone_timestamp long, extra int"
+NOW = datetime.datetime(2025, 10, 1)
+
+
+def dual(spark, rows):
+    return spark.createDataFrame([(i, t, o, NOW, "c", c, 5, 1) for i, t, o, c in rows], DUAL)
+
+
+@pytest.mark.parametrize(
+    "ddl,text,page,title",
+    [
+        ("page_id string, page_title string, text string, timestamp string", "text", "page_id", "page_title"),
+        ("pageid string, title string, content string, timestamp string", "content", "pageid", "title"),
+        (DUAL, "official_text", "page_id", "page_title"),
+        ("id int, Body_Text string", "Body_Text", None, None),
+        ("TEXT string, content string", "content", None, None),
+        ("TEXT string, body string", "TEXT", None, None),
+        ("context string, mytext string", "context", None, None),
+        ("id int, body string", None, None, None),
+    ],
+)
+def test_detection(ddl, text, page, title):
+    schema = StructType.fromDDL(ddl)
+    assert (S.detect_text_column(schema), S.detect_id_column(schema), S.detect_title_column(schema)) == (text, page, title)
+
+
+def test_text_column_errors():
+    schema = StructType.fromDDL("id int, text bigint")
+    with pytest.raises(ValueError, match="not a StringArray"):
+        S.resolve_text_column(schema)
+    with pytest.raises(ValueError, match="Specified text column 'x' not found"):
+        S.resolve_text_column(schema, "x")
+    with pytest.raises(ValueError, match="Could not auto-detect"):
+        S.resolve_text_column(StructType.fromDDL("id int, body string"))
+    with pytest.raises(ValueError, match="Column 1 is not"):
+        S.clean_columns(StructType.fromDDL("id int, score_parsed int"))
+    with pytest.raises(ValueError, match="clone_text column not found"):
+        S.check_dual(StructType.fromDDL(DUAL.replace("clone_text string", "other string")))
+
+
+def test_parse_dual(spark):
+    out = parse_dual(dual(spark, [("1", None, "'''a''' {{x}}", None), ("2", "t", "", "[[b|c]]\n\nСсылки")]))
+    assert out.columns == ["page_id", "page_title", "official_text_paragraphs", "official_timestamp", "clone_page_title", "clone_text_paragraphs", "clone_timestamp"]
+    assert out.schema["official_timestamp"].dataType.typeName() == "timestamp"
+    assert [(r[0], r[2], r[5]) for r in out.orderBy("page_id").collect()] == [("1", "a", None), ("2", "", "c")]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and "Exchange" not in plan
+
+
+def test_parse_single(spark):
+    df = spark.createDataFrame([(1, "''a''", 2.0)], "`a.b` int, content string, x double")
+    out = parse_single(df)
+    assert out.columns == ["a.b", "content_parsed", "x"] and tuple(out.first()) == (1, "a", 2.0)
+    with pytest.raises(ValueError, match="already has"):
+        parse_single(df.withColumn("content_parsed", F.lit("x")))
+
+
+def test_clean_columns(spark):
+    df = spark.createDataFrame([("a{{x}}", "b{", "c{")], "a_parsed string, `b._paragraphs` string, c string")
+    assert tuple(clean(df).first()) == ("a", "b", "c{")
+    with warnings.catch_warnings(record=True) as seen:
+        warnings.simplefilter("always")
+        assert clean(df.select("c")) is None
+    assert "Available columns: ['c']" in str(seen[0].message)
+
+
+def test_deadline(spark):
+    def slow(text):
+        if text == "slow":
+            time.sleep(30)
+        if text == "bad":
+            raise RecursionError
+        return text
+
+    df = spark.createDataFrame([("a",), ("slow",), ("bad",), (None,)], "t string").coalesce(1)
+    began = time.time()
+    assert [r[0] for r in df.select(extract_udf(timeout=1, work=slow)("t")).collect()] == ["a", skipped(1), skipped(1), None]
+    assert time.time() - began < 25
+    with pytest.raises(Exception, match="RecursionError"):
+        df.where("t = 'bad'").select(extract_udf(timeout=0, work=slow)("t")).collect()
+
+
+def test_export(spark, tmp_path):
+    rows = [("1", "A", "x", "y"), ("2", None, "x", None), (None, "C", "x", "y"), ("3", "first", None, "y1"), ("3", "second", "x2", "y2")]
+    df = spark.createDataFrame(rows, "page_id string, page_title string, official_text_paragraphs string, clone_text_paragraphs string").coalesce(1)
+    a, b = str(tmp_path / "a"), str(tmp_path / "b")
+    assert export_text(df, a, b) == 5 and export_text(df, a, b) == 0
+    assert sorted(os.listdir(a)) == ["1_official.txt", "2_official.txt", "3_official.txt"] and sorted(os.listdir(b)) == ["1_clone.txt", "3_clone.txt"]
+    read = lambda d, n: open(os.path.join(d, n), encoding="utf-8", newline="").read()
+    assert read(a, "1_official.txt") == "Page ID: 1\nTitle: A\n" + "=" * 60 + "\n\nx"
+    assert "Title: untitled\n" in read(a, "2_official.txt")
+    assert read(a, "3_official.txt").endswith("x2") and "Title: second" in read(a, "3_official.txt") and read(b, "3_clone.txt").endswith("y1")
+    with pytest.raises(ValueError, match="not found"):
+        export_rows(df.drop("page_title"))
+    with pytest.raises(Exception, match="unsafe file name"):
+        export_text(spark.createDataFrame([("../x", "t", "a", "b")], df.schema), a)
+
+
+@pytest.mark.parametrize("keep_dirty", [False, True])
+def test_run_resumes(spark, tmp_path, keep_dirty):
+    source, out = tmp_path / "in", str(tmp_path / "out")
+    source.mkdir()
+
+    def add(name, rows):
+        dual(spark, rows).coalesce(1).write.parquet(str(tmp_path / name))
+        part = next((tmp_path / name).glob("part-*"))
+        part.rename(source / name)
+
+    add("20251001_a", [("1", "t", "a {{x", None)])
+    add("other", [("9", "t", "z", None)])
+    first = pipeline.run(spark, str(source), out, keep_dirty=keep_dirty)
+    assert first["rows"] == 1 and pipeline.run(spark, str(source), out, keep_dirty=keep_dirty)["rows"] == 0
+    add("20251001_b", [("2", "t", "b", "c")])
+    assert pipeline.run(spark, str(source), out, keep_dirty=keep_dirty)["rows"] == 1
+    got = spark.read.parquet(f"{out}/parsed").select("page_id", "official_text_paragraphs").orderBy("page_id").collect()
+    assert [tuple(r) for r in got] == [("1", "a x"), ("2", "b")]
+    assert os.path.isdir(f"{out}/dirty") == keep_dirty and pipeline.count_outputs(spark, f"{out}/parsed") >= 2
+
+
+def test_sources(spark, tmp_path):
+    with pytest.raises(FileNotFoundError):
+        read_parquet(spark, str(tmp_path / "none"))
+    with pytest.raises(FileNotFoundError, match="Directory not found"):
+        list_files(spark, str(tmp_path / "none"))
+    with pytest.raises(FileNotFoundError, match="No files"):
+        list_files(spark, str(tmp_path))
+    df = dual(spark, [])
+    df.write.parquet(str(tmp_path / "empty"))
+    assert pipeline.parse_file(spark, str(tmp_path / "empty"), str(tmp_path / "o"), skip_empty=True) == 0 and not (tmp_path / "o").exists()
+    assert pipeline.parse_file(spark, str(tmp_path / "empty"), str(tmp_path / "o")) == 0 and spark.read.parquet(str(tmp_path / "o")).columns[2] == "official_text_paragraphs"
+
+
+def test_lookup_and_cli(spark, tmp_path, capsys):
+    df = dual(spark, [("7", "t", "'''x'''", "y" * 6000), ("8", "t", None, "y")])
+    assert show_article(df, "7")["clone_text_truncated"] and len(show_article(df, "7")["clone_text_preview"]) == 5000 and show_article(df, "8")["official_text_length"] == 4
+    with pytest.raises(LookupError):
+        show_article(df, "9")
+    path = str(tmp_path / "in")
+    df.write.parquet(path)
+    assert cli.main(["parse", "-i", path, "-o", str(tmp_path / "p")], spark) == 0 and '"rows": 2' in capsys.readouterr().out
+    assert cli.main(["clean", "-i", str(tmp_path / "p"), "-o", str(tmp_path / "c")], spark) == 0
+    assert cli.main(["export", "-i", str(tmp_path / "c"), str(tmp_path / "e")], spark) == 0 and sorted(os.listdir(tmp_path / "e")) == ["7_clone.txt", "7_official.txt", "8_clone.txt"]
+    assert cli.main(["lookup", "-i", path, "9"], spark) == 1
+    assert cli.main(["parse-single", "-i", path, "-o", str(tmp_path / "s"), "--text-column", "none"], spark) == 1
+
+
+def test_queries_equal_sql(spark):
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{DATA}/{t}.parquet'")
+    sql = catalog.oracle_sql()
+    assert sql.keys() == catalog.queries().keys()
+    for name, query in catalog.queries().items():
+        df = query(spark, DATA)
+        columns = sorted(df.columns)
+        want = con.execute(sql[name])
+        names = [c[0] for c in want.description]
+        assert sorted(names) == columns, name
+        order = [names.index(c) for c in columns]
+        assert sorted(repr(tuple(r[c] for c in columns)) for r in df.collect()) == sorted(repr(tuple(r[i] for i in order)) for r in want.fetchall()), name
+
+
+def test_entry(spark):
+    assert __spark_entry__.entry(spark).count() > 0
+    assert set(catalog.queries()) <= set(__spark_entry__.queries())
