@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from . import common
 
 GROUP = 64
+#: Words of the bitmap of hashed line ids that picks the texts to verify: 1 MB whatever the corpus. The fuller it gets, the more texts move; none is missed.
+BITMAP_WORDS = 1 << 17
 
 
 def _segment(i: int, k: int, n: Column) -> tuple[Column, Column]:
@@ -23,10 +25,9 @@ def _segment(i: int, k: int, n: Column) -> tuple[Column, Column]:
     return start, F.floor(n * (i + 1) / (k + 1)).cast("int") - start
 
 
-def _entries(line: Column, k: int, salt: Column, role: Column | None = None, delta: Column | None = None) -> Column:
-    """Array of (key, role, delta, start, size): role 0 is a segment of the line itself, role 1 a substring that may match a
+def _entries(line: Column, n: Column, k: int, salt: Column, role: Column | None = None, delta: Column | None = None) -> Column:
+    """For a line of n characters an array, with nulls, of (key, role, delta, start, size): role 0 is a segment of the line itself, role 1 a substring that may match a
     segment of a line that is delta shorter. In later rounds a row's own role and delta say which it still may give."""
-    n = F.length(line)
     out = []
     for d in range(k + 1):
         for i in range(k + 1):
@@ -41,7 +42,19 @@ def _entries(line: Column, k: int, salt: Column, role: Column | None = None, del
                     made = F.lit(1) if d else (F.greatest(role, made) if own else made)
                 key = F.xxhash64(salt, n - d, F.lit(i), F.substring(line, at + 1, size))
                 out.append(F.when(fits, F.struct(key.alias("key"), made.alias("role"), F.lit(d).alias("delta"), at.alias("start"), size.alias("size"))))
-    return F.filter(F.array(*out), lambda e: e.isNotNull())
+    return F.array(*out)
+
+
+def _picked(rows: DataFrame, ids: DataFrame, name: str = "id") -> DataFrame:
+    """The rows whose id is among ids, and some others, by a bitmap of fixed size."""
+    bit = lambda c: F.pmod(F.xxhash64(c), F.lit(64 * BITMAP_WORDS))
+    words = ids.select(bit(name).alias("at")).groupBy(F.shiftright("at", 6).cast("int").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, CAST(at % 64 AS int))")).alias("bits"))
+    bitmap = [0] * BITMAP_WORDS
+    for word, bits in words.collect():
+        bitmap[word] = bits
+    held = rows.sparkSession.createDataFrame([(bitmap,)], "bits array<long>").scalar()
+    at = bit(name)
+    return rows.where(F.lit(1).cast("long").bitwiseAND(F.call_function("shiftright", F.get(held, F.shiftright(at, 6).cast("int")), (at % 64).cast("int"))) == 1)
 
 
 def _pairs(rows: DataFrame) -> DataFrame:
@@ -52,27 +65,38 @@ def _pairs(rows: DataFrame) -> DataFrame:
     return group.select(F.explode(F.flatten(F.transform(own, pair))).alias("p")).select("p.a", "p.b")
 
 
+def _shared(keys: DataFrame) -> DataFrame:
+    """(key, n) of the keys that different lines have; n counts rows."""
+    return keys.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo <> hi").select("key", "n")
+
+
 def edit_links(lines: DataFrame, k: int = 1, group: int = GROUP) -> DataFrame:
     """(a, b) of ids of different lines within k edits, a < b; lines has id, line, where equal ids have equal lines and may repeat.
 
     Lines shorter than k + 1 characters give no candidates. Between lines that differ by k characters at most once all
     shared segments are taken away, a chain is returned in place of all pairs: they reach one another, no link is lost.
     """
-    keys = lines.select("id", F.explode(_entries(F.col("line"), k, F.lit(0))).alias("e")).select("e.key", "id", "e.role", "e.delta")
-    hot = common.materialize(keys.groupBy("key").count().where(F.col("count") > group).select("key"), "hotkeys")
+    sized = lines.select("id", "line", F.length("line").alias("size"))
+    keys = sized.select("id", F.explode(_entries(F.col("line"), F.col("size"), k, F.lit(0))).alias("e")).where("e is not null").select("e.key", "id", "e.role", "e.delta")
+    keys = common.materialize(keys, "linekeys")
+    live = common.materialize(_shared(keys), "livekeys")
+    near = common.materialize(_picked(keys, live, "key").join(live, "key"), "livelines")
+    found = [common.materialize(near.where(F.col("n") <= group).transform(_pairs).distinct(), "linepairs")]
+    large = near.where(F.col("n") > group).select("key", "id").distinct()
+    hot = live.where(F.col("n") > group).select("key")
     some = not hot.isEmpty()
-    found = [common.materialize((keys.join(hot, "key", "left_anti") if some else keys).transform(_pairs).distinct(), "linepairs")]
-    large = common.materialize(keys.join(hot, "key", "left_semi").distinct(), "hotlines") if some else None
     wanted = found[0].select(F.col("a").alias("id")).union(found[0].select("b"))
     if some:
         wanted = wanted.union(large.select("id"))
-    texts = common.materialize(lines.join(wanted.distinct(), "id", "left_semi").dropDuplicates(["id"]), "linetexts")
+    wanted = common.materialize(wanted.distinct(), "lineids")
+    texts = common.materialize(_picked(lines, wanted).join(wanted, "id", "left_semi").dropDuplicates(["id"]), "linetexts")
 
     sure: list[DataFrame] = []
     if some:
-        entry = lambda salt, line, *a: F.explode(_entries(line, k, salt, *a)).alias("e")
+        entry = lambda salt, *a: F.explode(_entries(F.col("line"), F.col("size"), k, salt, *a)).alias("e")
+        measured = lambda df: df.withColumn("size", F.length("line"))
         shrink = F.concat(F.expr("substring(line, 1, e.start)"), F.expr("substring(line, e.start + e.size + 1)"))
-        first = texts.join(large.select("id").distinct(), "id", "left_semi").select("id", "line", entry(F.lit(0), F.col("line")))
+        first = texts.join(large.select("id").distinct(), "id", "left_semi").transform(measured).select("id", "line", entry(F.lit(0))).where("e is not null")
         state = first.join(hot, F.col("e.key") == hot["key"], "left_semi").select(F.col("e.key").alias("key"), "id", "e.role", "e.delta", shrink.alias("line"))
         while True:
             state = common.materialize(state.distinct(), "hotstate")
@@ -83,10 +107,11 @@ def edit_links(lines: DataFrame, k: int = 1, group: int = GROUP) -> DataFrame:
             low = own.groupBy("key").agg(F.min("id").alias("a"))
             sure.append(own.join(low, "key").where("a <> id").select("a", F.col("id").alias("b")))
             sure.append(other.join(own.select("key", F.col("id").alias("o")), "key").where("id <> o").select(F.least("id", "o").alias("a"), F.greatest("id", "o").alias("b")))
-            rows = state.where(F.length("line") - F.col("delta") > k).select("id", "line", entry(F.col("key"), F.col("line"), F.col("role"), F.col("delta")))
+            rows = state.where(F.length("line") - F.col("delta") > k).transform(measured).select("id", "line", entry(F.col("key"), F.col("role"), F.col("delta"))).where("e is not null")
             narrow = rows.select("e.key", "id", "e.role", "e.delta")
-            hot = common.materialize(narrow.groupBy("key").count().where(F.col("count") > group).select("key"), "hotkeys")
-            found.append(common.materialize(narrow.join(hot, "key", "left_anti").transform(_pairs).distinct(), "linepairs"))
+            live = common.materialize(_shared(narrow), "livekeys")
+            found.append(common.materialize(narrow.join(live.where(F.col("n") <= group), "key").transform(_pairs).distinct(), "linepairs"))
+            hot = live.where(F.col("n") > group).select("key")
             state = rows.join(hot, F.col("e.key") == hot["key"], "left_semi").select(F.col("e.key").alias("key"), "id", "e.role", "e.delta", shrink.alias("line"))
     pairs = found[0]
     for p in [*found[1:], *sure]:
@@ -110,7 +135,7 @@ def dedup_lines(docs: DataFrame, k: int = 1, min_chars: int = 24) -> DataFrame:
     base = docs.select(F.col("doc_id").cast("long").alias("doc"), F.xxhash64("text").alias("tag"), text.alias("text")).where("text is not null")
     lines = base.select("doc", "tag", F.posexplode(F.split("text", "\n")).alias("pos", "line")).where((F.length("line") >= min_chars) & F.col("line").rlike("[^\\x20\\x09-\\x0D]"))
     one, two = F.xxhash64("line").alias("id"), F.xxhash64(F.lit(20240611), "line").alias("id2")
-    hashed = lines.select(one, two, F.struct("doc", "tag", "pos").alias("place"))
+    hashed = common.materialize(lines.select(one, two, F.struct("doc", "tag", "pos").alias("place")), "hashedlines")
     firsts = common.materialize(hashed.groupBy("id", "id2").agg(F.min("place").alias("first"), F.count("*").alias("n")), "firstlines")
     links = edit_links(lines.select(one, "line"), k)
     classes = common.connected_components(links).withColumnRenamed("node", "id")
