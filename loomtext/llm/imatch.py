@@ -115,6 +115,17 @@ def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return ((a == b) & (a != 0)).sum(axis=-1) / np.maximum(used, 1)
 
 
+def _pack(batches: Iterator) -> Iterator:
+    """Texts compressed one by one: half of what the shuffle's own codec leaves."""
+    import pyarrow as pa
+    import zstandard
+
+    pack = zstandard.ZstdCompressor(level=3).compress
+    for b in batches:
+        packed = pa.array([pack(t.encode()) for t in b.column(1).to_pylist()], pa.binary())
+        yield pa.RecordBatch.from_arrays([b.column(0), packed, *b.columns[2:]], ["doc_id", "packed", "at", "tie", "ghost", "k"])
+
+
 def _below(bounds: list[int], value: Column) -> Column:
     """Number of sorted bounds not above the value, by binary search."""
     if not bounds:
@@ -153,17 +164,20 @@ def fingerprints(docs: DataFrame, least: float = 0.0005, most: float = 0.2, part
     rows = docs.withColumn("at", place).withColumn("k", bucket)
     ghost = F.get(ends, F.col("k")) == F.col("at")
     rows = rows.select("doc_id", "text", "at", F.posexplode(F.when(ghost, F.array("k", F.get(after, F.col("k")))).otherwise(F.array("k"))).alias("ghost", "k"))
-    rows = rows.repartitionById(width, F.col("k").cast("int")).sortWithinPartitions(F.desc("ghost"), "at", F.xxhash64("text")).select("doc_id", "text", "ghost")
+    rows = rows.select("doc_id", "text", "at", F.xxhash64("text").alias("tie"), "ghost", F.col("k").cast("int").alias("k")).mapInArrow(_pack, "doc_id long, packed binary, at long, tie long, ghost int, k int")
+    rows = rows.repartitionById(width, F.col("k")).sortWithinPartitions(F.desc("ghost"), "at", "tie").select("doc_id", "packed", "ghost")
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
+        import zstandard
 
+        unpack = zstandard.ZstdDecompressor().decompress
         make = None
         text, fp = "", None  # of the row before, which is the next in descending order
         for whole in batches:
-            for b in common.slices(whole, 1, 1 << 20):
+            for b in common.slices(whole, 1, 1 << 19):
                 make = make or Fingerprinter(terms.value)
-                texts, ghosts = b.column(1).to_pylist(), np.asarray(b.column(2).to_pylist(), np.int64)
+                texts, ghosts = [unpack(p).decode() for p in b.column(1).to_pylist()], np.asarray(b.column(2).to_pylist(), np.int64)
                 if fp is None:
                     fp = make([""])
                 nexts = [text, *texts[:-1]]
