@@ -84,7 +84,7 @@ def windows(rows: DataFrame, budget: int = 384, history: int = 96, overhead: int
     body = F.when(F.size("m") > F.col("sys"), F.sequence(F.col("sys"), F.size("m") - 1)).otherwise(F.array().cast("array<int>"))
     starts = F.aggregate(body, empty, step, lambda s: F.when(F.size(s["starts"]) == 0, F.array(F.lit(1))).otherwise(s["starts"]))
     conv = conv.select("*", starts.alias("starts"))
-    one = conv.select("*", F.posexplode("starts").alias("window", "new"))
+    one = conv.select("*", F.posexplode_outer("starts").alias("window", "new"))
     one = one.withColumn("stop", F.coalesce(F.get("starts", F.col("window") + 1), F.size("m")))
     one = one.withColumn("from", F.when(F.col("window") == 0, F.col("new")).otherwise(F.get("hist", "new")))
     lead = F.when(F.col("sys") == 1, F.length(F.col("m")[0]["whole"]).cast("long")).otherwise(F.lit(0).cast("long"))

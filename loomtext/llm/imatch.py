@@ -163,7 +163,7 @@ def fingerprints(docs: DataFrame, least: float = 0.0005, most: float = 0.2, part
     after = F.array(*[F.lit(following.get(k, 0)) for k in range(width)])
     rows = docs.withColumn("at", place).withColumn("k", bucket)
     ghost = F.get(ends, F.col("k")) == F.col("at")
-    rows = rows.select("doc_id", "text", "at", F.posexplode(F.when(ghost, F.array("k", F.get(after, F.col("k")))).otherwise(F.array("k"))).alias("ghost", "k"))
+    rows = rows.select("doc_id", "text", "at", F.posexplode_outer(F.when(ghost, F.array("k", F.get(after, F.col("k")))).otherwise(F.array("k"))).alias("ghost", "k"))
     rows = rows.select("doc_id", "text", "at", F.xxhash64("text").alias("tie"), "ghost", F.col("k").cast("int").alias("k")).mapInArrow(_pack, "doc_id long, packed binary, at long, tie long, ghost int, k int")
     rows = rows.repartitionById(width, F.col("k")).sortWithinPartitions(F.desc("ghost"), "at", "tie").select("doc_id", "packed", "ghost")
 

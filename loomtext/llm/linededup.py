@@ -62,7 +62,7 @@ def _pairs(rows: DataFrame) -> DataFrame:
     group = rows.groupBy("key").agg(F.collect_set(F.struct("id", "role", "delta")).alias("g")).where((F.size("g") > 1) & F.exists("g", lambda e: e["role"] == 0))
     own = F.filter("g", lambda e: e["role"] == 0)
     pair = lambda x: F.transform(F.filter("g", lambda y: F.when(y["delta"] == 0, x["id"] < y["id"]).otherwise(x["id"] != y["id"])), lambda y: F.struct(F.least(x["id"], y["id"]).alias("a"), F.greatest(x["id"], y["id"]).alias("b")))
-    return group.select(F.explode(F.flatten(F.transform(own, pair))).alias("p")).select("p.a", "p.b")
+    return group.select(F.explode_outer(F.flatten(F.transform(own, pair))).alias("p")).where("p is not null").select("p.a", "p.b")
 
 
 def _shared(keys: DataFrame) -> DataFrame:
@@ -77,7 +77,7 @@ def edit_links(lines: DataFrame, k: int = 1, group: int = GROUP) -> DataFrame:
     shared segments are taken away, a chain is returned in place of all pairs: they reach one another, no link is lost.
     """
     sized = lines.select("id", "line", F.length("line").alias("size"))
-    keys = sized.select("id", F.explode(_entries(F.col("line"), F.col("size"), k, F.lit(0))).alias("e")).where("e is not null").select("e.key", "id", "e.role", "e.delta")
+    keys = sized.select("id", F.explode_outer(_entries(F.col("line"), F.col("size"), k, F.lit(0))).alias("e")).where("e is not null").select("e.key", "id", "e.role", "e.delta")
     keys = common.materialize(keys, "linekeys")
     live = common.materialize(_shared(keys), "livekeys")
     near = common.materialize(_picked(keys, live, "key").join(live, "key"), "livelines")
@@ -93,7 +93,7 @@ def edit_links(lines: DataFrame, k: int = 1, group: int = GROUP) -> DataFrame:
 
     sure: list[DataFrame] = []
     if some:
-        entry = lambda salt, *a: F.explode(_entries(F.col("line"), F.col("size"), k, salt, *a)).alias("e")
+        entry = lambda salt, *a: F.explode_outer(_entries(F.col("line"), F.col("size"), k, salt, *a)).alias("e")
         measured = lambda df: df.withColumn("size", F.length("line"))
         shrink = F.concat(F.expr("substring(line, 1, e.start)"), F.expr("substring(line, e.start + e.size + 1)"))
         first = texts.join(large.select("id").distinct(), "id", "left_semi").transform(measured).select("id", "line", entry(F.lit(0))).where("e is not null")
@@ -133,7 +133,7 @@ def dedup_lines(docs: DataFrame, k: int = 1, min_chars: int = 24) -> DataFrame:
     """
     text = F.col("text").cast("string")
     base = docs.select(F.col("doc_id").cast("long").alias("doc"), F.xxhash64("text").alias("tag"), text.alias("text")).where("text is not null")
-    lines = base.select("doc", "tag", F.posexplode(F.split("text", "\n")).alias("pos", "line")).where((F.length("line") >= min_chars) & F.col("line").rlike("[^\\x20\\x09-\\x0D]"))
+    lines = base.select("doc", "tag", F.posexplode_outer(F.split("text", "\n")).alias("pos", "line")).where((F.length("line") >= min_chars) & F.col("line").rlike("[^\\x20\\x09-\\x0D]"))
     one, two = F.xxhash64("line").alias("id"), F.xxhash64(F.lit(20240611), "line").alias("id2")
     hashed = common.materialize(lines.select(one, two, F.struct("doc", "tag", "pos").alias("place")), "hashedlines")
     firsts = common.materialize(hashed.groupBy("id", "id2").agg(F.min("place").alias("first"), F.count("*").alias("n")), "firstlines")
