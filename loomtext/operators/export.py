@@ -18,7 +18,7 @@ def export_rows(df: DataFrame) -> DataFrame:
     place = F.monotonically_increasing_id()
     rows = df.where(F.col("page_id").isNotNull()).select("page_id", "page_title", F.col("official_text_paragraphs").alias("o"), F.col("clone_text_paragraphs").alias("c"), place.alias("at"))
     sides = F.array(F.struct(F.lit("official").alias("side"), F.col("o").alias("text")), F.struct(F.lit("clone").alias("side"), F.col("c").alias("text")))
-    rows = rows.select("page_id", "page_title", "at", F.explode(sides).alias("s")).select("page_id", "page_title", "at", "s.side", "s.text").where("text is not null")
+    rows = rows.select("page_id", "page_title", "at", F.explode_outer(sides).alias("s")).select("page_id", "page_title", "at", "s.side", "s.text").where("text is not null")
     first = Window.partitionBy("page_id", "side").orderBy("at")
     rows = rows.withColumn("n", F.row_number().over(first)).where("n = 1")
     head = F.concat(F.lit("Page ID: "), "page_id", F.lit("\nTitle: "), F.coalesce("page_title", F.lit("untitled")), F.lit("\n"), F.repeat(F.lit("="), 60), F.lit("\n\n"))
