@@ -1,10 +1,9 @@
 """The one step that needs Python: markup trees. An Arrow-batched function over string columns with a deadline for each text."""
 
-from __future__ import annotations
-
 import signal
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql.functions import pandas_udf
 
@@ -42,20 +41,13 @@ def extract_udf(skip_lists: bool = False, timeout: int = 30, work: Callable[[str
     if timeout < 0:
         raise ValueError("timeout must not be negative")
 
-    def batches(columns: Iterator) -> Iterator:
-        import pandas as pd
-
+    def texts(column: pd.Series) -> pd.Series:
         run = work or (lambda t: extract(t, skip_lists))
         before = signal.signal(signal.SIGALRM, _late) if timeout else None
         try:
-            for column in columns:
-                yield pd.Series([None if t is None else guarded(t, run, timeout) for t in column], dtype=object)
+            return pd.Series([None if t is None else guarded(t, run, timeout) for t in column], dtype=object)
         finally:
             if timeout:
                 signal.signal(signal.SIGALRM, before)
 
-    batches.__annotations__ = {}
-    import pandas as pd
-
-    batches.__annotations__ = {"columns": Iterator[pd.Series], "return": Iterator[pd.Series]}
-    return pandas_udf(batches, "string")
+    return pandas_udf(texts, "string")

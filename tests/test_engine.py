@@ -43,12 +43,12 @@ def dual(spark, rows):
         ("id int, body string", None, None, None),
     ],
 )
-def test_detection(ddl, text, page, title):
+def test_detection(spark, ddl, text, page, title):
     schema = StructType.fromDDL(ddl)
     assert (S.detect_text_column(schema), S.detect_id_column(schema), S.detect_title_column(schema)) == (text, page, title)
 
 
-def test_text_column_errors():
+def test_text_column_errors(spark):
     schema = StructType.fromDDL("id int, text bigint")
     with pytest.raises(ValueError, match="not a StringArray"):
         S.resolve_text_column(schema)
