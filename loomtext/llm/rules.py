@@ -150,7 +150,7 @@ def learn(rows: list[tuple[dict[str, float], bool]], precision: float = 0.95, mo
 
     rows: (statistics, whether to reject). Every third row prunes, the others grow. A rule is grown test by test, loses
     last tests while that doesn't hurt (p - n) / (p + n) on the pruning rows, and is kept while both parts reach the
-    precision; rows it covers are then removed. Needs both kinds of rows, else there are no rules.
+    precision and it covers four rows to reject; rows it covers are then removed. Needs both kinds of rows, else there are no rules.
     """
     grow, prune = [r for i, r in enumerate(rows) if i % 3], [r for i, r in enumerate(rows) if i % 3 == 0]
     cuts = {}
@@ -176,7 +176,7 @@ def learn(rows: list[tuple[dict[str, float], bool]], precision: float = 0.95, mo
         rule = Rule(tests)
         _, p, n = worth(tests)
         p2, n2 = sum(map(rule.holds, bad)), sum(map(rule.holds, good))
-        if p < 3 or p < precision * (p + n) or p2 < precision * (p2 + n2):
+        if p + p2 < 4 or p < precision * (p + n) or p2 < precision * (p2 + n2):
             break
         rules.append(rule)
         grow = [r for r in grow if not rule.holds(r[0])]
