@@ -6,6 +6,7 @@ import os
 import tempfile
 import uuid
 import zipfile
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,12 +41,33 @@ def ship(spark: SparkSession) -> None:
     _SHIPPED.add(sc.applicationId)
 
 
+_MADE: list[str] = []
+
+
 def materialize(df: DataFrame, tag: str) -> DataFrame:
     """Write df to the shared folder and read it again: its lineage ends there, so lost executors cost no recomputation."""
     spark = df.sparkSession
     path = work_path(spark, tag)
+    _MADE.append(path)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.loomtext_path = path
+    return out
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Deletes the tables made inside when left, but for those put into the yielded list: what a returned plan still reads."""
+    first, keep = len(_MADE), []
+    try:
+        yield keep
+    finally:
+        kept = {df.loomtext_path for df in keep}
+        for path in _MADE[first:]:
+            if path not in kept:
+                p = spark._jvm.org.apache.hadoop.fs.Path(path)
+                p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+        _MADE[first:] = [p for p in _MADE[first:] if p in kept]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -82,6 +104,16 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     written to the shared folder. The number of rounds grows with the logarithm of the longest path. Nulls and
     self-loops are dropped.
     """
+    with scratch(edges.sparkSession) as keep:
+        e = _stars(edges, a, b)
+        keep.append(e)
+    roots = e.select(F.col("v").alias("node")).distinct().select("node", F.col("node").alias("component"))
+    out = e.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots)
+    out.loomtext_path = e.loomtext_path
+    return out
+
+
+def _stars(edges: DataFrame, a: str, b: str) -> DataFrame:
     e = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct()
     e = materialize(e, "cc")
     state = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
@@ -98,6 +130,4 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
         if new == state:
             break
         state = new
-    roots = e.select(F.col("v").alias("node")).distinct().select("node", F.col("node").alias("component"))
-    return e.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots)
-
+    return e

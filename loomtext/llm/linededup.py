@@ -76,6 +76,13 @@ def edit_links(lines: DataFrame, k: int = 1, group: int = GROUP) -> DataFrame:
     Lines shorter than k + 1 characters give no candidates. Between lines that differ by k characters at most once all
     shared segments are taken away, a chain is returned in place of all pairs: they reach one another, no link is lost.
     """
+    with common.scratch(lines.sparkSession) as keep:
+        links = _edit_links(lines, k, group)
+        keep.append(links)
+    return links
+
+
+def _edit_links(lines: DataFrame, k: int, group: int) -> DataFrame:
     sized = lines.select("id", "line", F.length("line").alias("size"))
     keys = sized.select("id", F.explode_outer(_entries(F.col("line"), F.col("size"), k, F.lit(0))).alias("e")).where("e is not null").select("e.key", "id", "e.role", "e.delta")
     keys = common.materialize(keys, "linekeys")
@@ -136,14 +143,16 @@ def dedup_lines(docs: DataFrame, k: int = 1, min_chars: int = 24) -> DataFrame:
     lines = base.select("doc", "tag", F.posexplode_outer(F.split("text", "\n")).alias("pos", "line")).where((F.length("line") >= min_chars) & F.col("line").rlike("[^\\x20\\x09-\\x0D]"))
     one, two = F.xxhash64("line").alias("id"), F.xxhash64(F.lit(20240611), "line").alias("id2")
     hashed = common.materialize(lines.select(one, two, F.struct("doc", "tag", "pos").alias("place")), "hashedlines")
-    firsts = common.materialize(hashed.groupBy("id", "id2").agg(F.min("place").alias("first"), F.count("*").alias("n")), "firstlines")
-    links = edit_links(lines.select(one, "line"), k)
-    classes = common.connected_components(links).withColumnRenamed("node", "id")
-    near = firsts.join(classes, "id")
-    lead = near.groupBy("component").agg(F.min("first").alias("keep"))
-    near = near.join(lead, "component").select("id", "id2", "keep")
-    known = firsts.join(near, ["id", "id2"], "left").where("n > 1 or keep <> first").select("id", "id2", F.coalesce("keep", "first").alias("keep"))
-    known = common.materialize(known, "lineclasses")
+    with common.scratch(docs.sparkSession) as keep:
+        firsts = common.materialize(hashed.groupBy("id", "id2").agg(F.min("place").alias("first"), F.count("*").alias("n")), "firstlines")
+        links = edit_links(lines.select(one, "line"), k)
+        classes = common.connected_components(links).withColumnRenamed("node", "id")
+        near = firsts.join(classes, "id")
+        lead = near.groupBy("component").agg(F.min("first").alias("keep"))
+        near = near.join(lead, "component").select("id", "id2", "keep")
+        known = firsts.join(near, ["id", "id2"], "left").where("n > 1 or keep <> first").select("id", "id2", F.coalesce("keep", "first").alias("keep"))
+        known = common.materialize(known, "lineclasses")
+        keep.append(known)
     lost = hashed.join(known, ["id", "id2"]).where("place <> keep").select("place.*")
     lost = lost.groupBy("doc", "tag").agg(F.collect_set("pos").alias("_lost"))
     rows = docs.withColumn("_tag", F.xxhash64("text")).withColumn("_doc", F.col("doc_id").cast("long"))

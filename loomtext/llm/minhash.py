@@ -162,6 +162,19 @@ def near_duplicates(docs: DataFrame, percent: int = 85, margin: float = 0.07) ->
         raise ValueError("percent must be between 80 and 100")
     common.ship(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    with common.scratch(docs.sparkSession) as keep:
+        sketch, classes, found = _components(docs, percent, margin)
+        keep += [sketch, classes, found]
+    known = ["n_shingles", "set_a", "set_b"]
+    full = sketch.where("n_shingles > 0 and doc_id is not null")
+    of = classes.select(*known, "rep").join(found.withColumnRenamed("node", "rep"), "rep", "left").select(*known, F.coalesce("component", "rep").alias("component_id"))
+    linked = full.select("doc_id", *known).join(of, known).select("doc_id", "n_shingles", "component_id")
+    alone = sketch.where("n_shingles = 0 or doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    return linked.union(alone).withColumn("kept", F.col("doc_id") == F.col("component_id"))
+
+
+def _components(docs: DataFrame, percent: int, margin: float) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The sketch of each row, the classes of equal sets, and (node, component) of linked classes."""
     sketch = common.materialize(docs.mapInArrow(_sketch, SKETCH), "sketch")
     known = ["n_shingles", "set_a", "set_b"]
     full = sketch.where("n_shingles > 0 and doc_id is not null")
@@ -171,7 +184,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, margin: float = 0.07) ->
     members = common.materialize(rows.join(shared, "key"), "members")
     # the member with the most neighbours over all its buckets is likeliest to be near all others
     weight = members.groupBy("rep").agg(F.sum("n").alias("weight"))
-    heads = members.join(weight, "rep").groupBy("key").agg(F.max(F.struct("weight", (-F.col("rep")).alias("rep"))).alias("h")).select("key", (-F.col("h.rep")).alias("leader"))
+    heads = members.join(weight, "rep").groupBy("key").agg(F.max(F.struct("weight", "rep")).alias("h")).select("key", F.col("h.rep").alias("leader"))
     members = common.materialize(members.join(heads, "key").select("key", "rep", "leader"), "starred")
     low = classes.select("rep", "low")
     least = percent / 100 - margin
@@ -200,8 +213,4 @@ def near_duplicates(docs: DataFrame, percent: int = 85, margin: float = 0.07) ->
     if not pairs.isEmpty():
         links = links.union(_links(pairs, docs, percent))
         found = common.connected_components(links)
-
-    of = classes.select(*known, "rep").join(found.withColumnRenamed("node", "rep"), "rep", "left").select(*known, F.coalesce("component", "rep").alias("component_id"))
-    linked = full.select("doc_id", *known).join(of, known).select("doc_id", "n_shingles", "component_id")
-    alone = sketch.where("n_shingles = 0 or doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    return linked.union(alone).withColumn("kept", F.col("doc_id") == F.col("component_id"))
+    return sketch, classes, found
