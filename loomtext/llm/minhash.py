@@ -200,14 +200,15 @@ def _components(docs: DataFrame, percent: int, margin: float) -> tuple[DataFrame
     placed = common.materialize(placed, "placed")
     sizes = placed.groupBy("key", "component").agg(F.count("*").alias("n"))
     mixed = sizes.groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("most"), F.count("*").alias("parts")).where("parts > 1").select("key", "most")
-    rest = common.materialize(placed.join(mixed, "key").join(low, "rep"), "mixed")
+    rest = common.materialize(placed.join(mixed, "key").join(classes.select("rep", "low", "bands"), "rep"), "mixed")
     p, q = rest.where("component <> most").alias("p"), rest.alias("q")
     pairs = p.join(
         q,
         (F.col("p.key") == F.col("q.key"))
         & (F.col("p.component") != F.col("q.component"))
         & ((F.col("q.component") == F.col("q.most")) | (F.col("p.rep") < F.col("q.rep")))
-        & (estimate(F.col("p.low"), F.col("q.low")) >= least),
+        & (estimate(F.col("p.low"), F.col("q.low")) >= least)
+        & (F.array_min(F.array_intersect("p.bands", "q.bands")) == F.col("p.key")),  # each pair leaves one bucket only
     ).select(F.least("p.rep", "q.rep").alias("a"), F.greatest("p.rep", "q.rep").alias("b"))
     pairs = common.materialize(pairs.distinct().join(star, ["a", "b"], "left_anti"), "pairs")
     if not pairs.isEmpty():
