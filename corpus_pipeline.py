@@ -21,8 +21,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the least doc_id, of each group of near copies; of rows that share a kept doc_id all stay."""
-    gone = minhash.near_duplicates(docs, percent=85).where("not kept").select(F.col("doc_id").alias("_gone"))
+    """One document, that of the least doc_id, of each group of near copies (similarity of 0.8 or more); of rows that share a kept doc_id all stay."""
+    gone = minhash.near_duplicates(docs, percent=80).where("not kept").select(F.col("doc_id").alias("_gone"))
     return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,7 +12,9 @@ from pyspark.sql import functions as F
 from . import common
 from .wordhash import mix, word_hashes
 
-BANDS, ROWS, HASHES, BITS, WIDTH = 40, 8, 1024, 2, 5
+ROWS, HASHES, BITS, WIDTH = 8, 1024, 2, 5
+#: A pair at the threshold misses all bands with this chance at most.
+MISS = 3.5e-6
 LONGS = HASHES // 64
 #: Bits of the filter that picks the texts to confirm: 8 MB whatever the corpus. The fuller it gets, the more texts move; none is missed.
 FILTER_BITS = 1 << 26
@@ -59,7 +62,16 @@ def minima(shingles: np.ndarray, block: int = 64) -> np.ndarray:
     return out
 
 
-def _sketch(batches: Iterator) -> Iterator:
+def band_count(percent: int) -> int:
+    """Bands of ROWS minima that a threshold needs: 40 at 85, 69 at 80."""
+    return math.ceil(math.log(MISS) / math.log(1 - (min(percent, 85) / 100) ** ROWS))
+
+
+def _sketch(bands: int):
+    return lambda batches: _sketches(batches, bands)
+
+
+def _sketches(batches: Iterator, n_bands: int) -> Iterator:
     import pyarrow as pa
 
     for whole in batches:
@@ -69,7 +81,7 @@ def _sketch(batches: Iterator) -> Iterator:
             low = np.zeros((len(sets), len(_TIMES)), np.uint32)
             for i in full:
                 low[i] = minima(sets[i])
-            bands = (low[:, : BANDS * ROWS].reshape(len(sets), BANDS, ROWS).astype(np.uint64) * _ROWS).sum(axis=2) + np.arange(BANDS, dtype=np.uint64) * _PLACES[0]
+            bands = (low[:, : n_bands * ROWS].reshape(len(sets), n_bands, ROWS).astype(np.uint64) * _ROWS).sum(axis=2) + np.arange(n_bands, dtype=np.uint64) * _PLACES[0]
             bands = mix(bands).view(np.int64)
             planes = np.concatenate([np.packbits((low >> np.uint32(k)) & np.uint32(1), axis=1).view(np.int64) for k in range(BITS)], axis=1)
             a = np.array([s.sum(dtype=np.uint64) for s in sets], np.uint64).view(np.int64)
@@ -146,8 +158,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85, margin: float = 0.07) ->
     """doc_id, n_shingles, component_id, kept of doc_id, text: documents linked where 100 * intersection >= percent * union of
     their shingle sets; component_id is the smallest doc_id reachable, kept is doc_id = component_id.
 
-    1. One pass sketches each text: set size, a 128-bit set hash, BANDS band keys of ROWS minima, the minima's low BITS.
-       At 0.85 a pair misses all bands with a chance of 3e-6, at the threshold; percent below 80 would need more bands.
+    1. One pass sketches each text: set size, a 128-bit set hash, band keys of ROWS minima, the minima's low BITS.
+       At the threshold a pair misses all bands with a chance of 3e-6: 40 bands at 85, 69 at 80.
     2. Equal sets become one class through a grouped minimum, so copies cost one row each.
     3. Star: every member of a band's bucket is compared with one only, the member with most neighbours over all its buckets; the low bits discard pairs
        estimated under the threshold less `margin` (over five standard deviations), full sets confirm the rest.
@@ -175,7 +187,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, margin: float = 0.07) ->
 
 def _components(docs: DataFrame, percent: int, margin: float) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The sketch of each row, the classes of equal sets, and (node, component) of linked classes."""
-    sketch = common.materialize(docs.mapInArrow(_sketch, SKETCH), "sketch")
+    sketch = common.materialize(docs.mapInArrow(_sketch(band_count(percent)), SKETCH), "sketch")
     known = ["n_shingles", "set_a", "set_b"]
     full = sketch.where("n_shingles > 0 and doc_id is not null")
     classes = common.materialize(full.groupBy(*known).agg(F.min("doc_id").alias("rep"), F.min_by(F.struct("bands", "low"), "doc_id").alias("s")).select(*known, "rep", "s.bands", "s.low"), "classes")

@@ -104,6 +104,21 @@ def test_near_duplicates_edges(spark):
         minhash.near_duplicates(frame(spark, rows), 50)
 
 
+def test_pipeline_links_from_80(spark):
+    import corpus_pipeline
+
+    rng = random.Random(8)
+    rows = []
+    for i in range(40):  # 32 shingles of 40 shared: 0.80
+        words = [f"v{rng.randrange(10**6)}" for _ in range(44)]
+        rows += [(2 * i, " ".join(words[:40])), (2 * i + 1, " ".join(words[:36] + words[40:]))]
+    assert {100 * len(shingles(a) & shingles(b)) / len(shingles(a) | shingles(b)) for (_, a), (_, b) in zip(rows[::2], rows[1::2], strict=True)} == {80}
+    left = corpus_pipeline.near_dedup(spark, frame(spark, rows), "").select("doc_id").collect()
+    assert sorted(r.doc_id for r in left) == list(range(0, 80, 2))
+    for percent in (80, 85):
+        assert (1 - (percent / 100) ** minhash.ROWS) ** minhash.band_count(percent) < 4e-6
+
+
 def test_estimate_is_unbiased():
     rng = np.random.default_rng(5)
     errors = []
