@@ -15,6 +15,8 @@ from .wordhash import mix, word_hashes
 ROWS, HASHES, BITS, WIDTH = 8, 1024, 2, 5
 #: A pair at the threshold misses all bands with this chance at most.
 MISS = 3.5e-6
+#: What small sets add to the square of the margin, times the size of the smaller one: the functions leave low bits tied to the element, so few elements give fewer independent bits.
+SMALL = 0.4
 LONGS = HASHES // 64
 #: Bits of the filter that picks the texts to confirm: 8 MB whatever the corpus. The fuller it gets, the more texts move; none is missed.
 FILTER_BITS = 1 << 26
@@ -103,6 +105,13 @@ def estimate(x: Column, y: Column) -> Column:
     return (1 - differ / HASHES - chance) / (1 - chance)
 
 
+def plausible(x: str, y: str, percent: int, margin: float) -> Column:
+    """Whether rows x and y, each with n_shingles and low, may reach the threshold: by their sizes, and by the estimate less a margin that grows as sets shrink."""
+    m, n = F.col(f"{x}.n_shingles"), F.col(f"{y}.n_shingles")
+    least = percent / 100 - F.sqrt(margin * margin + SMALL / F.least(m, n))
+    return (F.least(m, n) * 100 >= F.greatest(m, n) * percent) & (estimate(F.col(f"{x}.low"), F.col(f"{y}.low")) >= least)
+
+
 def _confirm(percent: int):
     def confirm(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -162,7 +171,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85, margin: float = 0.07) ->
        At the threshold a pair misses all bands with a chance of 3e-6: 40 bands at 85, 69 at 80.
     2. Equal sets become one class through a grouped minimum, so copies cost one row each.
     3. Star: every member of a band's bucket is compared with one only, the member with most neighbours over all its buckets; the low bits discard pairs
-       estimated under the threshold less `margin` (over five standard deviations), full sets confirm the rest.
+       estimated under the threshold less `margin`, widened for small sets (over five standard deviations at any size),
+       full sets confirm the rest.
     4. Where a bucket still holds several components, members outside its largest one are compared with all members of
        other components: a group of copies of any size, once joined, costs nothing here. The estimate is part of the
        join's condition, so only plausible pairs leave it.
@@ -198,11 +208,10 @@ def _components(docs: DataFrame, percent: int, margin: float) -> tuple[DataFrame
     weight = members.groupBy("rep").agg(F.sum("n").alias("weight"))
     heads = members.join(weight, "rep").groupBy("key").agg(F.max(F.struct("weight", "rep")).alias("h")).select("key", F.col("h.rep").alias("leader"))
     members = common.materialize(members.join(heads, "key").select("key", "rep", "leader"), "starred")
-    low = classes.select("rep", "low")
-    least = percent / 100 - margin
+    low = classes.select("rep", F.struct("n_shingles", "low").alias("s"))
     star = members.where("rep <> leader").select(F.least("leader", "rep").alias("a"), F.greatest("leader", "rep").alias("b")).distinct()
-    x, y = low.select(F.col("rep").alias("a"), F.col("low").alias("la")), low.select(F.col("rep").alias("b"), F.col("low").alias("lb"))
-    star = star.join(x, "a").join(y, "b").where(estimate(F.col("la"), F.col("lb")) >= least).select("a", "b").distinct()
+    x, y = low.select(F.col("rep").alias("a"), F.col("s").alias("x")), low.select(F.col("rep").alias("b"), F.col("s").alias("y"))
+    star = star.join(x, "a").join(y, "b").where(plausible("x", "y", percent, margin)).select("a", "b").distinct()
     star = common.materialize(star, "star")
     links = _links(star, docs, percent)
     found = common.connected_components(links)
@@ -212,14 +221,14 @@ def _components(docs: DataFrame, percent: int, margin: float) -> tuple[DataFrame
     placed = common.materialize(placed, "placed")
     sizes = placed.groupBy("key", "component").agg(F.count("*").alias("n"))
     mixed = sizes.groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("most"), F.count("*").alias("parts")).where("parts > 1").select("key", "most")
-    rest = common.materialize(placed.join(mixed, "key").join(classes.select("rep", "low", "bands"), "rep"), "mixed")
+    rest = common.materialize(placed.join(mixed, "key").join(classes.select("rep", "n_shingles", "low", "bands"), "rep"), "mixed")
     p, q = rest.where("component <> most").alias("p"), rest.alias("q")
     pairs = p.join(
         q,
         (F.col("p.key") == F.col("q.key"))
         & (F.col("p.component") != F.col("q.component"))
         & ((F.col("q.component") == F.col("q.most")) | (F.col("p.rep") < F.col("q.rep")))
-        & (estimate(F.col("p.low"), F.col("q.low")) >= least)
+        & plausible("p", "q", percent, margin)
         & (F.array_min(F.array_intersect("p.bands", "q.bands")) == F.col("p.key")),  # each pair leaves one bucket only
     ).select(F.least("p.rep", "q.rep").alias("a"), F.greatest("p.rep", "q.rep").alias("b"))
     pairs = common.materialize(pairs.distinct().join(star, ["a", "b"], "left_anti"), "pairs")

@@ -119,6 +119,17 @@ def test_pipeline_links_from_80(spark):
         assert (1 - (percent / 100) ** minhash.ROWS) ** minhash.band_count(percent) < 4e-6
 
 
+def test_small_sets_are_not_lost_to_the_estimate(spark):
+    rng = random.Random(6)
+    rows = []
+    for i in range(3000):  # 6 against 7 shingles: 0.857
+        words = [f"v{rng.randrange(10**6)}" for _ in range(11)]
+        rows += [(2 * i, " ".join(words[:10])), (2 * i + 1, " ".join(words))]
+    low = [minhash.minima(s) & 3 for s in minhash.shingle_sets(pa.array([t for _, t in rows]))]
+    assert any(((low[2 * i] == low[2 * i + 1]).mean() - 0.25) / 0.75 < 0.78 for i in range(3000))
+    assert minhash.near_duplicates(frame(spark, rows), 85).where("kept").count() == 3000
+
+
 def test_estimate_is_unbiased():
     rng = np.random.default_rng(5)
     errors = []
