@@ -5,6 +5,8 @@ segments of the shorter at nearly its place. Lines give hashes of their segments
 and place, that could match a segment. Groups of at most GROUP rows are paired; a larger group is split again by the
 same rule on what remains of its lines without the shared segment, so no group is paired as a whole and nothing is lost.
 Candidates are verified by Spark's levenshtein with a threshold, a banded computation.
+
+A changed word is several edits, so longer lines are joined once more by the same rule with words in place of characters.
 """
 
 from __future__ import annotations
@@ -15,6 +17,8 @@ from pyspark.sql import functions as F
 from . import common
 
 GROUP = 64
+#: Lines may differ by one word for each EACH words, by CHANGED words at most.
+CHANGED, EACH = 3, 10
 #: Words of the bitmap of hashed line ids that picks the texts to verify: 1 MB whatever the corpus. The fuller it gets, the more texts move; none is missed.
 BITMAP_WORDS = 1 << 17
 
@@ -128,11 +132,38 @@ def _edit_links(lines: DataFrame, k: int, group: int) -> DataFrame:
     return common.materialize(pairs.join(x, "a").join(y, "b").where(F.levenshtein("la", "lb", k) >= 0).select("a", "b"), "linelinks")
 
 
-def dedup_lines(docs: DataFrame, k: int = 1, min_chars: int = 24) -> DataFrame:
+def _word_codes(line: Column) -> Column:
+    """The line with one character for each word between blanks. Two words share a character with a chance of 1 / 40960, which can only lower a distance."""
+    code = F.transform(F.split(line, " "), lambda w: F.hex(F.pmod(F.xxhash64(w), F.lit(40960)) + 4096))
+    return F.decode(F.unhex(F.array_join(code, "")), "UTF-16BE")
+
+
+def word_links(lines: DataFrame, most: int = CHANGED, each: int = EACH, group: int = GROUP) -> DataFrame:
+    """(a, b) of ids of different lines within w changed, added or removed words, where w is one for each `each` words of
+    the line with fewer words, `most` at most; lines as in edit_links.
+
+    One join for each w, over the lines that have so many words and those that w more words can reach.
+    """
+    with common.scratch(lines.sparkSession) as keep:
+        coded = common.materialize(lines.select("id", _word_codes(F.col("line")).alias("line")).where(F.length("line") >= each), "wordlines")
+        found = []
+        for w in range(1, most + 1):
+            inside = F.length("line") >= w * each
+            if w < most:
+                inside = inside & (F.length("line") < (w + 1) * each + w)
+            found.append(edit_links(coded.where(inside), w, group))
+        keep += found
+    links = found[0]
+    for f in found[1:]:
+        links = links.union(f)
+    return links
+
+
+def dedup_lines(docs: DataFrame, k: int = 1, min_chars: int = 24, changed: int = CHANGED) -> DataFrame:
     """docs with repeated lines removed from `text`, and n_lines, n_removed, n_left (lines with a word left), all long.
 
     Lines are what \\n separates. A line of min_chars characters or more with a word in it belongs to a class: lines equal
-    to it or linked by edit distance k at most, directly or through others. Of a class only the first occurrence stays,
+    to it, within k edits, or within one changed word for each EACH words (`changed` at most), directly or through others. Of a class only the first occurrence stays,
     by doc_id, then a hash of the text, then place; other lines stay as they are. Texts move once, joined with the
     places to remove; classes, first places and removals hold hashes and places only.
     Null text: stays null, no lines. Null doc_id: sorts before others. Rows equal in doc_id and text keep or lose the same
@@ -146,6 +177,8 @@ def dedup_lines(docs: DataFrame, k: int = 1, min_chars: int = 24) -> DataFrame:
     with common.scratch(docs.sparkSession) as keep:
         firsts = common.materialize(hashed.groupBy("id", "id2").agg(F.min("place").alias("first"), F.count("*").alias("n")), "firstlines")
         links = edit_links(lines.select(one, "line"), k)
+        if changed:
+            links = links.union(word_links(lines.select(one, "line"), changed))
         classes = common.connected_components(links).withColumnRenamed("node", "id")
         near = firsts.join(classes, "id")
         lead = near.groupBy("component").agg(F.min("first").alias("keep"))

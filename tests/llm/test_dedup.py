@@ -168,6 +168,30 @@ def test_edit_links(spark, k):
     assert roots(range(len(lines)), got) == roots(range(len(lines)), want)
 
 
+def test_word_links(spark):
+    rng = random.Random(12)
+    lines = set()
+    for n in (8, 10, 12, 19, 20, 22, 29, 30, 33, 60):
+        base = [f"w{rng.randrange(10**6)}" for _ in range(n)]
+        for _ in range(14):
+            own = list(base)
+            for _ in range(rng.randint(0, 4)):
+                at, kind = rng.randrange(len(own)), rng.random()
+                own[at : at + 1] = [] if kind < 0.3 else [f"x{rng.randrange(10**6)}"] if kind < 0.6 else [own[at], f"y{rng.randrange(10**6)}"]
+            lines.add(" ".join(own))
+    lines = sorted(lines)
+    words = [x.split(" ") for x in lines]
+    got = {(r.a, r.b) for r in linededup.word_links(spark.createDataFrame(list(enumerate(lines)), "id long, line string")).collect()}
+    want = {(i, j) for i in range(len(lines)) for j in range(i + 1, len(lines)) if edit(words[i], words[j]) <= min(3, len(words[i]) // 10, len(words[j]) // 10)}
+    assert len(want) > 50 and got == want
+
+
+def test_changed_words_make_a_line_near(spark):
+    line = "some words of a line that stands in both of these texts with one name, London, in it"
+    got = {r.doc_id: r.n_removed for r in linededup.dedup_lines(frame(spark, [(1, line), (2, line.replace("London", "Reykjavik")), (3, line.replace("these texts", "other places"))])).collect()}
+    assert got == {1: 0, 2: 1, 3: 0}
+
+
 def test_dedup_lines(spark):
     long = "a line that is long enough to count, number "
     texts = [
