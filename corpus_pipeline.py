@@ -16,7 +16,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without lines that stand elsewhere before; those that lose every line with a word go."""
-    out = linededup.dedup_lines(docs, k=1, min_chars=24).where("n_removed = 0 or n_left > 0")
+    out = linededup.dedup_lines(docs, k=1, min_chars=24, exact_chars=1).where("n_removed = 0 or n_left > 0")
     return out.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 

@@ -159,11 +159,12 @@ def word_links(lines: DataFrame, most: int = CHANGED, each: int = EACH, group: i
     return links
 
 
-def dedup_lines(docs: DataFrame, k: int = 1, min_chars: int = 24, changed: int = CHANGED) -> DataFrame:
+def dedup_lines(docs: DataFrame, k: int = 1, min_chars: int = 24, changed: int = CHANGED, exact_chars: int | None = None) -> DataFrame:
     """docs with repeated lines removed from `text`, and n_lines, n_removed, n_left (lines with a word left), all long.
 
     Lines are what \\n separates. A line of min_chars characters or more with a word in it belongs to a class: lines equal
-    to it, within k edits, or within one changed word for each EACH words (`changed` at most), directly or through others. Of a class only the first occurrence stays,
+    to it, within k edits, or within one changed word for each EACH words (`changed` at most), directly or through others;
+    a shorter line of exact_chars characters or more (none if that is not given) to a class of the lines equal to it. Of a class only the first occurrence stays,
     by doc_id, then a hash of the text, then place; other lines stay as they are. Texts move once, joined with the
     places to remove; classes, first places and removals hold hashes and places only.
     Null text: stays null, no lines. Null doc_id: sorts before others. Rows equal in doc_id and text keep or lose the same
@@ -171,14 +172,15 @@ def dedup_lines(docs: DataFrame, k: int = 1, min_chars: int = 24, changed: int =
     """
     text = F.col("text").cast("string")
     base = docs.select(F.col("doc_id").cast("long").alias("doc"), F.xxhash64("text").alias("tag"), text.alias("text")).where("text is not null")
-    lines = base.select("doc", "tag", F.posexplode_outer(F.split("text", "\n")).alias("pos", "line")).where((F.length("line") >= min_chars) & F.col("line").rlike("[^\\x20\\x09-\\x0D]"))
+    lines = base.select("doc", "tag", F.posexplode_outer(F.split("text", "\n")).alias("pos", "line")).where((F.length("line") >= min(min_chars, exact_chars if exact_chars is not None else min_chars)) & F.col("line").rlike("[^\\x20\\x09-\\x0D]"))
     one, two = F.xxhash64("line").alias("id"), F.xxhash64(F.lit(20240611), "line").alias("id2")
     hashed = common.materialize(lines.select(one, two, F.struct("doc", "tag", "pos").alias("place")), "hashedlines")
     with common.scratch(docs.sparkSession) as keep:
         firsts = common.materialize(hashed.groupBy("id", "id2").agg(F.min("place").alias("first"), F.count("*").alias("n")), "firstlines")
-        links = edit_links(lines.select(one, "line"), k)
+        long = lines.where(F.length("line") >= min_chars).select(one, "line")
+        links = edit_links(long, k)
         if changed:
-            links = links.union(word_links(lines.select(one, "line"), changed))
+            links = links.union(word_links(long, changed))
         classes = common.connected_components(links).withColumnRenamed("node", "id")
         near = firsts.join(classes, "id")
         lead = near.groupBy("component").agg(F.min("first").alias("keep"))

@@ -192,6 +192,17 @@ def test_changed_words_make_a_line_near(spark):
     assert got == {1: 0, 2: 1, 3: 0}
 
 
+def test_short_lines_match_exactly(spark):
+    from loomtext.llm import queries
+
+    class Docs:
+        class read:
+            parquet = staticmethod(lambda path: frame(spark, [(1, "short\nshorn\n\n"), (2, "a\nshort\n\na")]))
+
+    got = queries.op4_line_dedup(Docs, "").select("doc_id", "n_removed").collect()
+    assert sorted(map(tuple, got)) == [(1, 0), (2, 2)]
+
+
 def test_dedup_lines(spark):
     long = "a line that is long enough to count, number "
     texts = [
