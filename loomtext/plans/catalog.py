@@ -157,11 +157,23 @@ def _paragraph_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _documents_plain(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Real texts through both phases."""
+    """Constant markup around `lang` through both phases; whole texts go through parse_document_texts."""
     docs = _read(spark, sf_dir, "documents").select("doc_id", F.expr("'x [[y|' || lang || ']] z'").alias("body_text"))
     return clean(parse_single(docs, text_column="body_text"))
 
 
+#: A whole text inside an article of markup.
+ARTICLE = (
+    "concat('{{Карточка|имя=', source, '}}', chr(10), \"'''\", lang, \"''' — [[Бренд|\", source, ']].<ref>r</ref>', chr(10), chr(10), '== Сюжет ==', chr(10), text, chr(10), '* a', chr(10), '* b', chr(10), chr(10), '[[Категория:X]]')"
+)
+
+
+def document_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's whole text, in markup, through both phases."""
+    docs = _read(spark, sf_dir, "documents").select("doc_id", F.expr(ARTICLE).alias("body_text"))
+    return parse_then_clean(docs, "single", "body_text")
+
+
 def _timeouts(spark: SparkSession, sf_dir: str) -> DataFrame:
     def never(text: str) -> str:
         while text.startswith("E"):
@@ -235,6 +247,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
 
 
+def queries_without_sql() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    """Raw texts hold what the markup grammar reads, which SQL can't express; tests compare with plain Python."""
+    return {"parse_document_texts": document_texts}
+
+
 # The same in SQL
 
 

@@ -170,3 +170,24 @@ def test_clean_against_model(spark):
     for r in rows:
         assert r.o == model_clean(texts[r.i]), texts[r.i]
         assert "{" not in r.o and "\n\n\n" not in r.o
+
+
+def test_whole_document_texts(spark, tmp_path):
+    import __spark_entry__
+
+    rng = random.Random(9)
+    parts = ["[[", "]]", "[", "|", "''", "'''", "<b>", "<", "&amp;", "==", "* ", "# ", "12px|мини|", "\n", "\n\n", "\r\n", " ", "слово", "word", "😀", "字", "Ссылки", "http://e.org "]
+    texts = ["".join(rng.choices(parts, k=rng.randint(0, 40))) for _ in range(300)] + ["", None, "long words here " * 7000, "{{a|b}} c"]
+    spark.createDataFrame([(i, t, "en", "web") for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    headings = ("Население", "Примечания", "Литература", "Ссылки", "Категория", "См. также", "Источники")
+    section = lambda p: p in headings or p.startswith("Категория:")
+
+    def model(text):
+        raw = extract("{{Карточка|имя=web}}\n'''en''' — [[Бренд|web]].<ref>r</ref>\n\n== Сюжет ==\n\n" + text + "\n* a\n* b\n\n[[Категория:X]]")
+        ps = [p for p in (x.strip(SPACE) for x in model_clean(raw).split("\n\n")) if p]
+        ps = [p for i, p in enumerate(ps) if not section(p) or i + 1 < len(ps) and not section(ps[i + 1])]
+        return model_clean("\n\n".join(ps))
+
+    got = {r.doc_id: r.body_text_parsed for r in __spark_entry__.queries()["parse_document_texts"](spark, str(tmp_path)).collect()}
+    assert got == {i: None if t is None else model(t) for i, t in enumerate(texts)}
+    assert len(got[302]) > 100_000
