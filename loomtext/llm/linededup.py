@@ -145,7 +145,7 @@ def word_links(lines: DataFrame, most: int = CHANGED, each: int = EACH, group: i
     One join for each w, over the lines that have so many words and those that w more words can reach.
     """
     with common.scratch(lines.sparkSession) as keep:
-        coded = common.materialize(lines.select("id", _word_codes(F.col("line")).alias("line")).where(F.length("line") >= each), "wordlines")
+        coded = common.materialize(lines.select("id", _word_codes(F.col("line")).alias("line")).where(F.length("line") >= each).dropDuplicates(["id"]), "wordlines")
         found = []
         for w in range(1, most + 1):
             inside = F.length("line") >= w * each
