@@ -9,7 +9,7 @@ import zipfile
 from contextlib import contextmanager
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _SHIPPED: set[str] = set()
@@ -74,7 +74,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def slices(batch, column: int, most_bytes: int = 4 << 20):
+def slices(batch, column: int, most_bytes: int = 1 << 20):
     """Cut an Arrow batch into runs of rows of about most_bytes of text in the column, so that a worker's memory stays bounded."""
     import numpy as np
 
@@ -96,6 +96,34 @@ def slices(batch, column: int, most_bytes: int = 4 << 20):
         start = stop
 
 
+#: Bits of a bitmap for each id, and the least and most of all: 16 MB at most go to all tasks.
+FILTER_EACH, FILTER_LEAST, FILTER_MOST = 16, 1 << 16, 1 << 27
+
+
+def flagged(on: Column, ids: DataFrame, column: str) -> Column:
+    """Whether `on` (a long hash) may be among the hashes in the column of ids: true for all that are, and for a few others.
+
+    A bitmap of the low bits of the hashes, sized by their number, goes to all tasks; past 4 * FILTER_MOST bits it would
+    hold nearly every place, so then it is true throughout. Callers join with ids afterwards: this only spares them rows.
+    """
+    import numpy as np
+    import pyarrow as pa
+
+    bits, wanted = FILTER_LEAST, ids.count() * FILTER_EACH
+    while bits < wanted and bits < FILTER_MOST:
+        bits *= 2
+    if wanted > 4 * FILTER_MOST:
+        return F.lit(True)
+    at = F.col(column).bitwiseAND(F.lit(bits - 1))
+    words = ids.select(at.alias("at")).groupBy(F.shiftright("at", 6).cast("int").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, CAST(at & 63 AS int))")).alias("bits"))
+    bitmap = np.zeros(bits // 64, np.int64)
+    got = words.toArrow()
+    bitmap[got.column("word").to_numpy()] = got.column("bits").to_numpy()
+    held = ids.sparkSession.createDataFrame(pa.table({"bits": pa.array([bitmap], pa.list_(pa.int64()))})).scalar()
+    word = F.get(held, F.shiftright(on.bitwiseAND(F.lit(bits - 1)), 6).cast("int"))
+    return F.call_function("shiftright", word, on.bitwiseAND(F.lit(63)).cast("int")).bitwiseAND(F.lit(1).cast("long")) == 1
+
+
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component) for each node of the undirected edges; component is the smallest node reachable.
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,9 +19,7 @@ MISS = 3.5e-6
 #: What small sets add to the square of the margin, times the size of the smaller one: the functions leave low bits tied to the element, so few elements give fewer independent bits.
 SMALL = 0.4
 LONGS = HASHES // 64
-#: Bits of the filter that picks the texts to confirm: 8 MB whatever the corpus. The fuller it gets, the more texts move; none is missed.
-FILTER_BITS = 1 << 26
-SKETCH = "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>, low array<long>"
+SKETCH = "doc_id long, tag long, n_shingles long, set_a long, set_b long, bands array<long>, low array<long>"
 _RNG = np.random.default_rng(20240607)
 _TIMES = _RNG.integers(0, 1 << 32, HASHES, dtype=np.uint32) | np.uint32(1)
 _PLUS = _RNG.integers(0, 1 << 32, HASHES, dtype=np.uint32)
@@ -90,7 +89,7 @@ def _sketches(batches: Iterator, n_bands: int) -> Iterator:
             c = np.array([mix(s ^ _PLACES[1]).sum(dtype=np.uint64) for s in sets], np.uint64).view(np.int64)
             n = np.array([len(s) for s in sets], np.int64)
             lists = lambda m: pa.ListArray.from_arrays(pa.array(np.arange(len(m) + 1, dtype=np.int32) * m.shape[1]), pa.array(m.ravel()))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n), pa.array(a), pa.array(c), lists(bands), lists(planes)], ["doc_id", "n_shingles", "set_a", "set_b", "bands", "low"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(n), pa.array(a), pa.array(c), lists(bands), lists(planes)], ["doc_id", "tag", "n_shingles", "set_a", "set_b", "bands", "low"])
 
 
 def estimate(x: Column, y: Column) -> Column:
@@ -129,38 +128,19 @@ def _confirm(percent: int):
     return confirm
 
 
-def _picked(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The documents whose doc_id is among nodes, and some others: a bitmap of hashed ids of fixed size goes to all tasks."""
-    place = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))
-    words = nodes.select(place.alias("at")).groupBy(F.shiftright("at", 6).cast("int").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, CAST(at % 64 AS int))")).alias("bits"))
-    bitmap = np.zeros(FILTER_BITS // 64, np.int64)
-    got = words.toArrow()
-    bitmap[got.column("word").to_numpy()] = got.column("bits").to_numpy()
-    shared = docs.sparkSession.sparkContext.broadcast(bitmap)
+NODE = "struct<set_a: long, set_b: long>"
 
-    def pick(batches: Iterator) -> Iterator:
-        bits = shared.value
-        for b in batches:
-            at = b.column(2).to_numpy()
-            yield b.select(["doc_id", "text"]).filter(_mask((bits[at >> 6] >> (at & 63)) & 1))
 
-    return docs.where("doc_id is not null").select("doc_id", "text", place.cast("long").alias("at")).mapInArrow(pick, "doc_id long, text string")
-
-
-def _mask(bits: np.ndarray):
-    import pyarrow as pa
-
-    return pa.array(bits.astype(bool))
-
-
-def _links(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets reach the threshold."""
-    nodes = common.materialize(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "nodes")
-    texts = common.materialize(_picked(docs, nodes).join(nodes, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]), "texts")
-    left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta"))
-    right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb"))
+def _links(pairs: DataFrame, docs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of classes whose full sets reach the threshold."""
+    nodes = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct()
+    nodes = common.materialize(nodes.join(classes.select("rep", "doc_id", "tag"), "rep"), "nodes")
+    texts = docs.where(common.flagged(F.col("tag"), nodes, "tag")).join(nodes, ["doc_id", "tag"]).select("rep", "text").dropDuplicates(["rep"])
+    texts = common.materialize(texts, "texts")
+    left = texts.select(F.col("rep").alias("a"), F.col("text").alias("ta"))
+    right = texts.select(F.col("rep").alias("b"), F.col("text").alias("tb"))
     rows = pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb")
-    return common.materialize(rows.mapInArrow(_confirm(percent), "a long, b long").distinct(), "links")
+    return common.materialize(rows.mapInArrow(_confirm(percent), f"a {NODE}, b {NODE}").distinct(), "links")
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85, margin: float = 0.07) -> DataFrame:
@@ -169,38 +149,60 @@ def near_duplicates(docs: DataFrame, percent: int = 85, margin: float = 0.07) ->
 
     1. One pass sketches each text: set size, a 128-bit set hash, band keys of ROWS minima, the minima's low BITS.
        At the threshold a pair misses all bands with a chance of 3e-6: 40 bands at 85, 69 at 80.
-    2. Equal sets become one class through a grouped minimum, so copies cost one row each.
+    2. Equal sets become one class, named by the set hash, through a grouped minimum, so copies cost one row each.
     3. Star: every member of a band's bucket is compared with one only, the member with most neighbours over all its buckets; the low bits discard pairs
        estimated under the threshold less `margin`, widened for small sets (over five standard deviations at any size),
        full sets confirm the rest.
     4. Where a bucket still holds several components, members outside its largest one are compared with all members of
        other components: a group of copies of any size, once joined, costs nothing here. The estimate is part of the
        join's condition, so only plausible pairs leave it.
-    No cap on buckets or partners. Nothing but counts goes to the driver.
+    No cap on buckets or partners. Nothing but counts and a bitmap of bounded size goes to the driver.
     Null text or no words: an empty set, linked with nothing. Null doc_id: never linked, component_id and kept null.
-    Rows that share a doc_id but not a text are linked apart, by their own sets. Repeated rows are returned each. No rows: no rows. Other columns are ignored.
+    Rows that share a doc_id but not a text are linked apart, each by its own set; `kept` is then of the row, not of the
+    id. Repeated rows are returned each. No rows: no rows. Other columns are ignored, whatever their names.
     """
+    return _judged(docs, percent, margin).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def drop_near_duplicates(docs: DataFrame, percent: int = 80, margin: float = 0.07) -> DataFrame:
+    """The rows of docs that near_duplicates keeps, with all their columns; rows without a doc_id or without words stay.
+
+    A row goes for its own text alone: another one that shares its doc_id is judged apart. Repeated rows of a kept text stay each.
+    """
+    row, key, tag = (f"_{n}_{uuid.uuid4().hex}" for n in ("row", "key", "tag"))
+    gone = _judged(docs, percent, margin).where("not kept").select(F.col("doc_id").alias(key), F.col("tag").alias(tag)).distinct()
+    mine = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias(row))
+    on = (F.col(f"{row}.doc_id").cast("long") == F.col(key)) & (F.xxhash64(F.col(f"{row}.text").cast("string")) == F.col(tag))
+    return mine.join(gone, on, "left_anti").select(f"{row}.*")
+
+
+def _judged(docs: DataFrame, percent: int, margin: float) -> DataFrame:
+    """doc_id, tag (a hash of the text), n_shingles, component_id, kept of each row."""
     if not 80 <= percent <= 100:
         raise ValueError("percent must be between 80 and 100")
     common.ship(docs.sparkSession)
-    docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    text = F.col("text").cast("string")
+    docs = docs.select(F.col("doc_id").cast("long"), text.alias("text"), F.xxhash64(text).alias("tag"))
     with common.scratch(docs.sparkSession) as keep:
         sketch, classes, found = _components(docs, percent, margin)
-        keep += [sketch, classes, found]
-    known = ["n_shingles", "set_a", "set_b"]
-    full = sketch.where("n_shingles > 0 and doc_id is not null")
-    of = classes.select(*known, "rep").join(found.withColumnRenamed("node", "rep"), "rep", "left").select(*known, F.coalesce("component", "rep").alias("component_id"))
-    linked = full.select("doc_id", *known).join(of, known).select("doc_id", "n_shingles", "component_id")
-    alone = sketch.where("n_shingles = 0 or doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+        linked = found.withColumnRenamed("node", "rep").join(classes.select("rep", "doc_id"), "rep")
+        least = linked.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+        named = common.materialize(linked.join(least, "component").select("rep.*", "component_id"), "named")
+        keep += [sketch, classes, named]
+    sets = ["set_a", "set_b"]
+    full = sketch.where("n_shingles > 0 and doc_id is not null").select("doc_id", "tag", "n_shingles", *sets)
+    of = classes.select("rep.*", "doc_id").join(named, sets, "left").select(*sets, F.coalesce("component_id", "doc_id").alias("component_id"))
+    linked = full.join(of, sets).select("doc_id", "tag", "n_shingles", "component_id")
+    alone = sketch.where("n_shingles = 0 or doc_id is null").select("doc_id", "tag", "n_shingles", F.col("doc_id").alias("component_id"))
     return linked.union(alone).withColumn("kept", F.col("doc_id") == F.col("component_id"))
 
 
 def _components(docs: DataFrame, percent: int, margin: float) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """The sketch of each row, the classes of equal sets, and (node, component) of linked classes."""
+    """The sketch of each row, the classes of equal sets by their hash `rep` with their least doc_id, and (node, component) of linked classes."""
     sketch = common.materialize(docs.mapInArrow(_sketch(band_count(percent)), SKETCH), "sketch")
-    known = ["n_shingles", "set_a", "set_b"]
     full = sketch.where("n_shingles > 0 and doc_id is not null")
-    classes = common.materialize(full.groupBy(*known).agg(F.min("doc_id").alias("rep"), F.min_by(F.struct("bands", "low"), "doc_id").alias("s")).select(*known, "rep", "s.bands", "s.low"), "classes")
+    one = full.groupBy("n_shingles", "set_a", "set_b").agg(F.min_by(F.struct("doc_id", "tag", "bands", "low"), "doc_id").alias("s"))
+    classes = common.materialize(one.select(F.struct("set_a", "set_b").alias("rep"), "n_shingles", "s.*"), "classes")
     rows = classes.select(F.explode("bands").alias("key"), "rep")
     shared = common.materialize(rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "buckets")
     members = common.materialize(rows.join(shared, "key"), "members")
@@ -213,7 +215,7 @@ def _components(docs: DataFrame, percent: int, margin: float) -> tuple[DataFrame
     x, y = low.select(F.col("rep").alias("a"), F.col("s").alias("x")), low.select(F.col("rep").alias("b"), F.col("s").alias("y"))
     star = star.join(x, "a").join(y, "b").where(plausible("x", "y", percent, margin)).select("a", "b").distinct()
     star = common.materialize(star, "star")
-    links = _links(star, docs, percent)
+    links = _links(star, docs, classes, percent)
     found = common.connected_components(links)
 
     # buckets that still hold several components
@@ -233,6 +235,6 @@ def _components(docs: DataFrame, percent: int, margin: float) -> tuple[DataFrame
     ).select(F.least("p.rep", "q.rep").alias("a"), F.greatest("p.rep", "q.rep").alias("b"))
     pairs = common.materialize(pairs.distinct().join(star, ["a", "b"], "left_anti"), "pairs")
     if not pairs.isEmpty():
-        links = links.union(_links(pairs, docs, percent))
+        links = links.union(_links(pairs, docs, classes, percent))
         found = common.connected_components(links)
     return sketch, classes, found

@@ -33,6 +33,10 @@ def _power(n: int) -> list[np.ndarray]:
     return _powers
 
 
+#: Bytes hashed at a time, give or take a word: what bounds a worker's memory for very long texts.
+PART = 4 << 20
+
+
 def word_hashes(texts) -> tuple[np.ndarray, np.ndarray]:
     """(hashes of all words, words of each text) for an Arrow string array: words are `[^\\x20\\x09-\\x0D]+`, A-Z lower-cased; null: none."""
     import pyarrow as pa
@@ -46,6 +50,25 @@ def word_hashes(texts) -> tuple[np.ndarray, np.ndarray]:
         return np.zeros(0, np.uint64), np.zeros(n, np.int64)
     data = np.frombuffer(texts.buffers()[2], np.uint8)[at[0] : at[-1]]
     at = at - at[0]
+    if len(data) <= PART:
+        return _hashes(data, at)
+    hashes, counts, start = [], np.zeros(n, np.int64), 0
+    while start < len(data):
+        stop = min(start + PART, len(data))
+        while stop < len(data):  # a part ends before white space
+            space = np.flatnonzero(_SPACE[data[stop : stop + 4096]])
+            stop = min(stop + (int(space[0]) if len(space) else 4096), len(data))
+            if len(space):
+                break
+        h, c = _hashes(data[start:stop], np.clip(at, start, stop) - start)
+        hashes.append(h)
+        counts += c
+        start = stop
+    return np.concatenate(hashes), counts
+
+
+def _hashes(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """word_hashes of the rows of bytes that at bounds."""
     inside = ~_SPACE[data]
     filled = np.flatnonzero(at[1:] > at[:-1])
     first = inside.copy()
