@@ -1,204 +1,287 @@
 """Line deduplication: equal lines and lines within an edit threshold keep their first occurrence in the corpus.
 
-Edit-distance candidates come from a segment-partition join: two lines within k edits share, unchanged, one of k + 1
-segments of the shorter at nearly its place. Lines give hashes of their segments and of the few substrings, by length
-and place, that could match a segment. Groups of at most GROUP rows are paired; a larger group is split again by the
-same rule on what remains of its lines without the shared segment, so no group is paired as a whole and nothing is lost.
-Candidates are verified by Spark's levenshtein with a threshold, a banded computation.
+The threshold grows with the line: one changed character for each 24 characters, one at most, or one changed word for each
+ten words, three at most. Candidates come from a segment-partition join: two sequences within k edits share, unchanged, one
+of k + 1 segments of the shorter at nearly its place. Each gives hashes of its segments and of the few parts, by length and
+place, that could match a segment of a shorter one. Groups of at most GROUP rows are paired; a larger group is split again
+by the same rule on what remains of its sequences without the shared segment, so no group is paired as a whole and nothing
+is lost. Candidates are verified by a banded bit-parallel edit distance. Everything is built-in Spark expressions.
 
-A changed word is several edits, so longer lines are joined once more by the same rule with words in place of characters.
+The join runs on distinct lines. A changed character changes two words at most, so the join over characters takes only
+lines too short for the join over words to allow that.
 """
 
 from __future__ import annotations
 
+import uuid
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import common
 
 GROUP = 64
-#: Lines may differ by one word for each EACH words, by CHANGED words at most.
-CHANGED, EACH = 3, 10
-#: Words of the bitmap of hashed line ids that picks the texts to verify: 1 MB whatever the corpus. The fuller it gets, the more texts move; none is missed.
-BITMAP_WORDS = 1 << 17
-
-
-def _segment(i: int, k: int, n: Column) -> tuple[Column, Column]:
-    """Start (from 0) and length of segment i of k + 1 of a line of n characters."""
-    start = F.floor(n * i / (k + 1)).cast("int")
-    return start, F.floor(n * (i + 1) / (k + 1)).cast("int") - start
-
-
-def _entries(line: Column, n: Column, k: int, salt: Column, role: Column | None = None, delta: Column | None = None) -> Column:
-    """For a line of n characters an array, with nulls, of (key, role, delta, start, size): role 0 is a segment of the line itself, role 1 a substring that may match a
-    segment of a line that is delta shorter. In later rounds a row's own role and delta say which it still may give."""
-    out = []
-    for d in range(k + 1):
-        for i in range(k + 1):
-            start, size = _segment(i, k, n - d)
-            for off in range(max(-i, d - (k - i)), min(i, d + k - i) + 1):
-                own = d == 0 and off == 0
-                at = start + off
-                fits = (n - d >= k + 1) & (at >= 0) & (at + size <= n)
-                made = F.lit(0 if own else 1)
-                if role is not None:
-                    fits = fits & (delta == d)
-                    made = F.lit(1) if d else (F.greatest(role, made) if own else made)
-                key = F.xxhash64(salt, n - d, F.lit(i), F.substring(line, at + 1, size))
-                out.append(F.when(fits, F.struct(key.alias("key"), made.alias("role"), F.lit(d).alias("delta"), at.alias("start"), size.alias("size"))))
-    return F.array(*out)
-
-
-def _picked(rows: DataFrame, ids: DataFrame, name: str = "id") -> DataFrame:
-    """The rows whose id is among ids, and some others, by a bitmap of fixed size."""
-    bit = lambda c: F.pmod(F.xxhash64(c), F.lit(64 * BITMAP_WORDS))
-    words = ids.select(bit(name).alias("at")).groupBy(F.shiftright("at", 6).cast("int").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, CAST(at % 64 AS int))")).alias("bits"))
-    bitmap = [0] * BITMAP_WORDS
-    for word, bits in words.collect():
-        bitmap[word] = bits
-    held = rows.sparkSession.createDataFrame([(bitmap,)], "bits array<long>").scalar()
-    at = bit(name)
-    return rows.where(F.lit(1).cast("long").bitwiseAND(F.call_function("shiftright", F.get(held, F.shiftright(at, 6).cast("int")), (at % 64).cast("int"))) == 1)
+WORD = "[^\\x20\\x09-\\x0D]"
+ID = "struct<id: bigint, id2: bigint>"
 
 
-def _pairs(rows: DataFrame) -> DataFrame:
-    """(a, b) of rows (key, id, role, delta) whose groups are small: a segment's line with each that may match it."""
-    group = rows.groupBy("key").agg(F.collect_set(F.struct("id", "role", "delta")).alias("g")).where((F.size("g") > 1) & F.exists("g", lambda e: e["role"] == 0))
-    own = F.filter("g", lambda e: e["role"] == 0)
-    pair = lambda x: F.transform(F.filter("g", lambda y: F.when(y["delta"] == 0, x["id"] < y["id"]).otherwise(x["id"] != y["id"])), lambda y: F.struct(F.least(x["id"], y["id"]).alias("a"), F.greatest(x["id"], y["id"]).alias("b")))
-    return group.select(F.explode_outer(F.flatten(F.transform(own, pair))).alias("p")).where("p is not null").select("p.a", "p.b")
+@dataclass(frozen=True)
+class Threshold:
+    """k edits for a sequence of n symbols: one for each `each`, `most` at most; without `each`, `most` for all that are longer than it."""
 
+    most: int
+    each: int | None = None
 
-def _shared(keys: DataFrame) -> DataFrame:
-    """(key, n) of the keys that different lines have; n counts rows."""
-    return keys.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo <> hi").select("key", "n")
+    def column(self, n: Column) -> Column:
+        return F.when(n > self.most, self.most).otherwise(0) if self.each is None else F.least(F.lit(self.most), F.floor(n / self.each).cast("int"))
 
+    def classes(self) -> list[tuple[int, int, int | None]]:
+        """(k, least n, n below) of the joins: sequences whose shorter one has threshold k, and those that k edits can reach."""
+        if self.each is None:
+            return [(self.most, self.most + 1, None)]
+        if self.each < 2:
+            raise ValueError("a threshold needs two symbols an edit at least")
+        return [(k, k * self.each, (k + 1) * self.each + k if k < self.most else None) for k in range(1, self.most + 1)]
 
-def edit_links(lines: DataFrame, k: int = 1, group: int = GROUP) -> DataFrame:
-    """(a, b) of ids of different lines within k edits, a < b; lines has id, line, where equal ids have equal lines and may repeat.
 
-    Lines shorter than k + 1 characters give no candidates. Between lines that differ by k characters at most once all
-    shared segments are taken away, a chain is returned in place of all pairs: they reach one another, no link is lost.
-    """
-    with common.scratch(lines.sparkSession) as keep:
-        links = _edit_links(lines, k, group)
-        keep.append(links)
-    return links
+def _parts(k: int, d: int) -> list[tuple[int, int, int, int]]:
+    """(k, d, segment, offset): where a sequence may hold, moved by offset, the segment of one that is d shorter."""
+    return [(k, d, i, off) for i in range(k + 1) for off in range(max(-i, d - (k - i)), min(i, d + k - i) + 1)]
+
+
+def _table(rows: list[tuple[int, int, int, int]]) -> Column:
+    kind = "array<struct<k: int, d: int, i: int, off: int>>"
+    return F.array(*[F.struct(*[F.lit(x).alias(c) for x, c in zip(r, ("k", "d", "i", "off"), strict=True)]) for r in rows]).cast(kind) if rows else F.array().cast(kind)
+
+
+def _size(of: str, words: bool) -> str:
+    return f"size({of})" if words else f"char_length({of})"
 
 
-def _edit_links(lines: DataFrame, k: int, group: int) -> DataFrame:
-    sized = lines.select("id", "line", F.length("line").alias("size"))
-    keys = sized.select("id", F.explode_outer(_entries(F.col("line"), F.col("size"), k, F.lit(0))).alias("e")).where("e is not null").select("e.key", "id", "e.role", "e.delta")
-    keys = common.materialize(keys, "linekeys")
-    live = common.materialize(_shared(keys), "livekeys")
-    near = common.materialize(_picked(keys, live, "key").join(live, "key"), "livelines")
+def _cut(of: str, words: bool) -> str:
+    return f"slice({of}, CAST(at AS int) + 1, CAST(len AS int))" if words else f"substring({of}, CAST(at AS int) + 1, CAST(len AS int))"
+
+
+def _keys(rows: DataFrame, words: bool, table: Column, more: list[str]) -> DataFrame:
+    """(key, id, role, d, k, at, len, more...) of rows with id, seq, salt, role: role 0 is a segment of the row's own sequence, 1 a part that may match a segment of one that is d shorter."""
+    sized = rows.withColumn("n", F.expr(_size("seq", words)))
+    each = sized.select("id", "seq", "n", "salt", "role", *more, F.explode_outer(table).alias("e")).where("e is not null")
+    each = each.select("id", "seq", "n", "salt", "role", *more, "e.*").where("n - d > k")
+    placed = each.withColumn("at", F.expr("(n - d) * i div (k + 1) + off")).withColumn("len", F.expr("(n - d) * (i + 1) div (k + 1) - (n - d) * i div (k + 1)")).where("at >= 0 and at + len <= n")
+    key = F.expr(f"xxhash64(salt, k, n - d, i, {_cut('seq', words)})")
+    return placed.select(key.alias("key"), "id", F.expr("IF(d = 0 AND off = 0, role, 1)").alias("role"), "d", "k", "at", "len", "seq", *more)
+
+
+#: One long counts a key's rows: segments above the low 32 bits, all rows in them.
+_COUNT = "sum(IF(role = 0, 4294967297L, 1L)) AS c"
+
+
+def _live(keys: DataFrame) -> DataFrame:
+    """(key, n) of the keys that a segment and another row have."""
+    return common.materialize(keys.groupBy("key").agg(F.expr(_COUNT)).where("c >= 4294967298 and (c & 4294967295) > 1").select("key", F.expr("c & 4294967295").alias("n")), "livekeys")
+
+
+def _pairs(rows: DataFrame) -> DataFrame:
+    """(a, b) of rows (key, id, role, d) whose groups are small: a segment's line with each that may match it."""
+    group = rows.groupBy("key").agg(F.collect_set(F.struct("id", "role", "d")).alias("g")).where((F.size("g") > 1) & F.exists("g", lambda e: e["role"] == 0))
+    own = F.filter("g", lambda e: e["role"] == 0)
+    pair = lambda x: F.transform(F.filter("g", lambda y: F.when(y["d"] == 0, x["id"] < y["id"]).otherwise(x["id"] != y["id"])), lambda y: F.struct(F.least(x["id"], y["id"]).alias("a"), F.greatest(x["id"], y["id"]).alias("b")))
+    return group.select(F.explode_outer(F.flatten(F.transform(own, pair))).alias("p")).where("p is not null").select("p.a", "p.b")
+
+
+def _joins(seqs: DataFrame, words: bool, threshold: Threshold, group: int) -> DataFrame:
+    """(a, b) of ids, a < b, of the candidates among seqs (id, seq), whose ids are distinct; holds every pair within the threshold, or a chain of pairs that are."""
+    n = F.expr(_size("seq", words))
+    classes = threshold.classes()
+    inside = [(k, n >= low if high is None else (n >= low) & (n < high)) for k, low, high in classes]
+    first = F.concat(*[F.when(fits, _table([p for d in range(k + 1) for p in _parts(k, d)])).otherwise(_table([])) for k, fits in inside])
+    salted = seqs.select("id", "seq", F.lit(0).cast("long").alias("salt"), F.lit(0).alias("role"))
+    made = lambda: _keys(salted, words, first, [])
+    live = _live(made())
+    near = made().where(common.flagged(F.col("key"), live, "key")).select("key", "id", "role", "d", "k")
+    near = common.materialize(near.join(live, "key"), "livelines")
     found = [common.materialize(near.where(F.col("n") <= group).transform(_pairs).distinct(), "linepairs")]
-    large = near.where(F.col("n") > group).select("key", "id").distinct()
     hot = live.where(F.col("n") > group).select("key")
-    some = not hot.isEmpty()
-    wanted = found[0].select(F.col("a").alias("id")).union(found[0].select("b"))
-    if some:
-        wanted = wanted.union(large.select("id"))
-    wanted = common.materialize(wanted.distinct(), "lineids")
-    texts = common.materialize(_picked(lines, wanted).join(wanted, "id", "left_semi").dropDuplicates(["id"]), "linetexts")
-
-    sure: list[DataFrame] = []
-    if some:
-        entry = lambda salt, *a: F.explode_outer(_entries(F.col("line"), F.col("size"), k, salt, *a)).alias("e")
-        measured = lambda df: df.withColumn("size", F.length("line"))
-        shrink = F.concat(F.expr("substring(line, 1, e.start)"), F.expr("substring(line, e.start + e.size + 1)"))
-        first = texts.join(large.select("id").distinct(), "id", "left_semi").transform(measured).select("id", "line", entry(F.lit(0))).where("e is not null")
-        state = first.join(hot, F.col("e.key") == hot["key"], "left_semi").select(F.col("e.key").alias("key"), "id", "e.role", "e.delta", shrink.alias("line"))
-        while True:
-            state = common.materialize(state.distinct(), "hotstate")
-            if state.isEmpty():
-                break
-            short = state.where(F.length("line") - F.col("delta") <= k)
-            own, other = short.where("role = 0"), short.where("delta > 0")
-            low = own.groupBy("key").agg(F.min("id").alias("a"))
-            sure.append(own.join(low, "key").where("a <> id").select("a", F.col("id").alias("b")))
-            sure.append(other.join(own.select("key", F.col("id").alias("o")), "key").where("id <> o").select(F.least("id", "o").alias("a"), F.greatest("id", "o").alias("b")))
-            rows = state.where(F.length("line") - F.col("delta") > k).transform(measured).select("id", "line", entry(F.col("key"), F.col("role"), F.col("delta"))).where("e is not null")
-            narrow = rows.select("e.key", "id", "e.role", "e.delta")
-            live = common.materialize(_shared(narrow), "livekeys")
-            found.append(common.materialize(narrow.join(live.where(F.col("n") <= group), "key").transform(_pairs).distinct(), "linepairs"))
-            hot = live.where(F.col("n") > group).select("key")
-            state = rows.join(hot, F.col("e.key") == hot["key"], "left_semi").select(F.col("e.key").alias("key"), "id", "e.role", "e.delta", shrink.alias("line"))
+    if hot.isEmpty():
+        return found[0]
+
+    large = common.materialize(near.where(F.col("n") > group).select("id").distinct(), "hotids")
+    most = max(k for k, _, _ in classes)
+    tables = F.array(*[_table(_parts(k, d) if d <= k else []) for k in range(most + 1) for d in range(most + 1)])
+    mine = F.get(tables, F.col("k") * (most + 1) + F.col("d"))
+    rest = "concat(slice(seq, 1, CAST(at AS int)), slice(seq, CAST(at + len AS int) + 1, greatest(size(seq), 1)))" if words else "concat(substring(seq, 1, CAST(at AS int)), substring(seq, CAST(at + len AS int) + 1))"
+    shrunk = lambda rows: rows.join(hot, "key", "left_semi").select("key", "id", "role", "d", "k", F.expr(rest).alias("seq"))
+    some = salted.where(common.flagged(F.col("id.id"), large.select("id.id"), "id")).join(large, "id", "left_semi")
+    state = shrunk(_keys(some, words, first, []))
+    while True:
+        state = common.materialize(state.distinct(), "hotstate")
+        if state.isEmpty():
+            break
+        size = F.expr(_size("seq", words))
+        short = state.where(size - F.col("d") <= F.col("k"))
+        own, other = short.where("d = 0"), short.where("d > 0")
+        low = own.where("role = 0").groupBy("key").agg(F.min("id").alias("a"))
+        found.append(common.materialize(own.join(low, "key").where("a <> id").select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b")).distinct(), "linepairs"))
+        # what remains of a longer one and of a shorter is near only if they share a symbol or are short
+        symbols = (lambda s: s) if words else (lambda s: F.split(s, ""))
+        tokens = lambda df: df.select("key", "id", F.explode_outer(F.array_distinct(symbols(F.col("seq")))).alias("t")).where("t is not null")
+        y = tokens(own.where("role = 0")).withColumnRenamed("id", "o")
+        found.append(common.materialize(tokens(other).join(y, ["key", "t"]).where("id <> o").select(F.least("id", "o").alias("a"), F.greatest("id", "o").alias("b")).distinct(), "linepairs"))
+        few = other.where(size <= F.col("k")).join(low, "key").where("a <> id").select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b"))
+        found.append(common.materialize(few.distinct(), "linepairs"))
+        again = state.where(size - F.col("d") > F.col("k")).withColumnRenamed("key", "salt")
+        rows = _keys(again.withColumn("e0", mine), words, F.col("e0"), [])
+        live = _live(rows)
+        found.append(common.materialize(rows.select("key", "id", "role", "d").join(live.where(F.col("n") <= group), "key").transform(_pairs).distinct(), "linepairs"))
+        hot = live.where(F.col("n") > group).select("key")
+        state = shrunk(rows)
     pairs = found[0]
-    for p in [*found[1:], *sure]:
+    for p in found[1:]:
         pairs = pairs.union(p)
-    pairs = pairs.distinct()
-    x, y = texts.select(F.col("id").alias("a"), F.col("line").alias("la")), texts.select(F.col("id").alias("b"), F.col("line").alias("lb"))
-    return common.materialize(pairs.join(x, "a").join(y, "b").where(F.levenshtein("la", "lb", k) >= 0).select("a", "b"), "linelinks")
+    return pairs.distinct()
+
+
+def banded_distance(a: str, b: str, k: str, most: int) -> str:
+    """SQL of the edit distance of array columns a and b where it is k <= most at most, else a number above k.
+
+    Equal ends are cut off; then a band of 2 k + 1 cells moves down the diagonal, a column of b a step, as the bits of the
+    vertical differences (Myers, 1999; Hyyro, 2003). The number kept is that of the band's lowest cell, and of the last row once
+    the band reaches it; when it passes 3 k no cell of the band can lead to k, and steps do nothing.
+    """
 
+    def let(value: str, name: str, body: str) -> str:
+        return f"get(transform(array({value}), {name} -> {body}), 0)"
 
-def _word_codes(line: Column) -> Column:
-    """The line with one character for each word between blanks. Two words share a character with a chance of 1 / 40960, which can only lower a distance."""
-    code = F.transform(F.split(line, " "), lambda w: F.hex(F.pmod(F.xxhash64(w), F.lit(40960)) + 4096))
-    return F.decode(F.unhex(F.array_join(code, "")), "UTF-16BE")
+    def trimmed(x: str, y: str, r: str, body: str) -> str:
+        """body over r.x and r.y: x and y reversed, without what they begin with alike."""
+        differ = f"array_position(zip_with({x}, {y}, (x0, y0) -> x0 <=> y0), false)"
+        rest = lambda of: f"reverse(slice({of}, p0, greatest(size({of}) - p0 + 1, 0)))"
+        first = let(differ, "p1", f"CAST(IF(p1 = 0, size({x}) + 1, p1) AS int)")
+        return let(let(first, "p0", f"named_struct('x', {rest(x)}, 'y', {rest(y)})"), r, body)
 
+    pattern, column = "r2.x", "r2.y"
+    match = " + ".join(f"IF({t} <= 2 * q AND j - q + {t - 1} >= 0 AND j - q + {t - 1} < size({pattern}), IF(get({pattern}, j - q + {t - 1}) = get({column}, j - 1), {1 << t}L, 0L), 0L)" for t in range(2 * most + 1))
+    up, down = "((~(d | s.vp) | s.vn) & mask)", "(d & s.vp)"
+    last = f"size({pattern}) - j + q"
+    score = f"s.s + IF(j + q <= size({pattern}), 1 - CAST(shiftright(d, 2 * q) & 1L AS int), CAST(shiftright({up}, {last}) & 1L AS int) - CAST(shiftright({down}, {last}) & 1L AS int))"
+    cell = f"named_struct('vp', ({down} | ~(shiftright(d, 1) | {up})) & mask, 'vn', {up} & shiftright(d, 1), 's', {score})"
+    step = let(match, "pm", let("((((pm & s.vp) + s.vp) ^ s.vp) | pm | s.vn) & mask", "d", cell))
+    start = f"named_struct('vp', mask & ~(shiftleft(1L, q) - 1L), 'vn', 0L, 's', least(size({pattern}), q))"
+    walk = let("shiftleft(1L, 2 * q + 1) - 1L", "mask", f"aggregate(sequence(1, size({column})), {start}, (s, j) -> IF(s.s > 3 * q, s, {step}), s -> s.s)")
+    body = f"CASE WHEN size({pattern}) = 0 OR size({column}) = 0 THEN size({pattern}) + size({column}) WHEN q = 0 OR abs(size({pattern}) - size({column})) > q THEN q + 1 ELSE {walk} END"
+    return let(f"CAST({k} AS int)", "q", trimmed(a, b, "r1", trimmed("r1.x", "r1.y", "r2", body)))
 
-def word_links(lines: DataFrame, most: int = CHANGED, each: int = EACH, group: int = GROUP) -> DataFrame:
-    """(a, b) of ids of different lines within w changed, added or removed words, where w is one for each `each` words of
-    the line with fewer words, `most` at most; lines as in edit_links.
 
-    One join for each w, over the lines that have so many words and those that w more words can reach.
+def _near(pairs: DataFrame, seqs: DataFrame, threshold: Threshold) -> DataFrame:
+    """The pairs (a, b) whose arrays of symbols are within the threshold of the shorter."""
+    ids = common.materialize(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "lineids")
+    held = common.materialize(seqs.where(common.flagged(F.col("id.id"), ids.select("id.id"), "id")).join(ids, "id", "left_semi"), "linetexts")
+    x, y = held.select(F.col("id").alias("a"), F.col("seq").alias("sa")), held.select(F.col("id").alias("b"), F.col("seq").alias("sb"))
+    k = threshold.column(F.least(F.size("sa"), F.size("sb")))
+    rows = pairs.join(x, "a").join(y, "b").withColumn("k", k).where(F.abs(F.size("sa") - F.size("sb")) <= F.col("k"))
+    return common.materialize(rows.where(F.expr(banded_distance("sa", "sb", "k", threshold.most)) <= F.col("k")).select("a", "b"), "linelinks")
+
+
+def sequence_links(seqs: DataFrame, words: bool, threshold: Threshold, group: int = GROUP) -> DataFrame:
+    """(a, b) of ids of sequences within the threshold, a < b; seqs has id, a struct of two longs, and seq: an array of
+    integers if words, else a string, whose symbols are its characters. Ids are distinct.
+
+    Between sequences that differ by k symbols at most once all shared segments are taken away, a chain is returned in
+    place of all pairs: they reach one another, no link is lost.
     """
-    with common.scratch(lines.sparkSession) as keep:
-        coded = common.materialize(lines.select("id", _word_codes(F.col("line")).alias("line")).where(F.length("line") >= each).dropDuplicates(["id"]), "wordlines")
-        found = []
-        for w in range(1, most + 1):
-            inside = F.length("line") >= w * each
-            if w < most:
-                inside = inside & (F.length("line") < (w + 1) * each + w)
-            found.append(edit_links(coded.where(inside), w, group))
-        keep += found
-    links = found[0]
-    for f in found[1:]:
-        links = links.union(f)
+    with common.scratch(seqs.sparkSession) as keep:
+        pairs = _joins(seqs, words, threshold, group)
+        links = _near(pairs, seqs if words else seqs.select("id", F.transform(F.split("seq", ""), lambda c: F.hash(c)).alias("seq")), threshold)
+        keep.append(links)
     return links
 
 
-def dedup_lines(docs: DataFrame, k: int = 1, min_chars: int = 24, changed: int = CHANGED, exact_chars: int | None = None) -> DataFrame:
+def edit_links(lines: DataFrame, k: int = 1, group: int = GROUP) -> DataFrame:
+    """(a, b) of ids of different lines longer than k characters that are within k edits; lines has id, line, where equal ids have equal lines and may repeat."""
+    seqs = lines.select(F.struct(F.col("id").cast("long").alias("id"), F.xxhash64("line").alias("id2")).alias("id"), F.col("line").alias("seq")).distinct()
+    return sequence_links(seqs, False, Threshold(k), group).select("a.id", F.col("b.id").alias("other")).toDF("a", "b")
+
+
+def word_links(lines: DataFrame, most: int = 3, each: int = 10, group: int = GROUP) -> DataFrame:
+    """(a, b) of ids of different lines within w changed, added or removed words (between blanks), where w is one for each
+    `each` words of the line with fewer words, `most` at most; lines as in edit_links."""
+    seqs = lines.select(F.struct(F.col("id").cast("long").alias("id"), F.xxhash64("line").alias("id2")).alias("id"), _word_codes(F.split("line", " ")).alias("seq")).distinct()
+    return sequence_links(seqs, True, Threshold(most, each), group).select("a.id", F.col("b.id").alias("other")).toDF("a", "b")
+
+
+def _word_codes(words: Column) -> Column:
+    """A 32-bit hash for each word; two words share one with a chance of 2^-32, which can only lower a distance."""
+    return F.transform(words, lambda w: F.hash(w))
+
+
+def dedup_lines(docs: DataFrame, k: int = 1, each_chars: int = 24, changed: int = 3, each_words: int = 10) -> DataFrame:
     """docs with repeated lines removed from `text`, and n_lines, n_removed, n_left (lines with a word left), all long.
 
-    Lines are what \\n separates. A line of min_chars characters or more with a word in it belongs to a class: lines equal
-    to it, within k edits, or within one changed word for each EACH words (`changed` at most), directly or through others;
-    a shorter line of exact_chars characters or more (none if that is not given) to a class of the lines equal to it. Of a class only the first occurrence stays,
-    by doc_id, then a hash of the text, then place; other lines stay as they are. Texts move once, joined with the
-    places to remove; classes, first places and removals hold hashes and places only.
+    Lines are what \\n separates. Each line with a word in it belongs to a class: lines equal to it, within one edit for each
+    `each_chars` characters (k at most), or within one changed word for each `each_words` words (`changed` at most), by the
+    shorter of the two, directly or through others. Of a class only the first occurrence stays, by doc_id, then a hash of the
+    text, then place; lines without a word stay as they are. Lines are known by 128-bit hashes. Texts move once, joined with
+    the places to remove.
     Null text: stays null, no lines. Null doc_id: sorts before others. Rows equal in doc_id and text keep or lose the same
-    lines. Other columns stay; n_lines, n_removed and n_left must not be among them.
+    lines. No rows: no rows. Other columns stay, whatever their names; one named n_lines, n_removed or n_left is a ValueError.
     """
+    taken = {c.lower() for c in docs.columns} & {"n_lines", "n_removed", "n_left"}
+    if taken:
+        raise ValueError(f"docs already has the columns {sorted(taken)}")
     text = F.col("text").cast("string")
-    base = docs.select(F.col("doc_id").cast("long").alias("doc"), F.xxhash64("text").alias("tag"), text.alias("text")).where("text is not null")
-    lines = base.select("doc", "tag", F.posexplode_outer(F.split("text", "\n")).alias("pos", "line")).where((F.length("line") >= min(min_chars, exact_chars if exact_chars is not None else min_chars)) & F.col("line").rlike("[^\\x20\\x09-\\x0D]"))
-    one, two = F.xxhash64("line").alias("id"), F.xxhash64(F.lit(20240611), "line").alias("id2")
-    hashed = common.materialize(lines.select(one, two, F.struct("doc", "tag", "pos").alias("place")), "hashedlines")
+    base = docs.select(F.col("doc_id").cast("long").alias("doc"), F.xxhash64(text).alias("tag"), text.alias("text")).where("text is not null")
     with common.scratch(docs.sparkSession) as keep:
-        firsts = common.materialize(hashed.groupBy("id", "id2").agg(F.min("place").alias("first"), F.count("*").alias("n")), "firstlines")
-        long = lines.where(F.length("line") >= min_chars).select(one, "line")
-        links = edit_links(long, k)
-        if changed:
-            links = links.union(word_links(long, changed))
-        classes = common.connected_components(links).withColumnRenamed("node", "id")
-        near = firsts.join(classes, "id")
-        lead = near.groupBy("component").agg(F.min("first").alias("keep"))
-        near = near.join(lead, "component").select("id", "id2", "keep")
-        known = firsts.join(near, ["id", "id2"], "left").where("n > 1 or keep <> first").select("id", "id2", F.coalesce("keep", "first").alias("keep"))
-        known = common.materialize(known, "lineclasses")
-        keep.append(known)
-    lost = hashed.join(known, ["id", "id2"]).where("place <> keep").select("place.*")
-    lost = lost.groupBy("doc", "tag").agg(F.collect_set("pos").alias("_lost"))
-    rows = docs.withColumn("_tag", F.xxhash64("text")).withColumn("_doc", F.col("doc_id").cast("long"))
-    rows = rows.join(lost, F.col("_doc").eqNullSafe(lost["doc"]) & (F.col("_tag") == lost["tag"]), "left")
-    parts = F.split(text, "\n")
-    kept = F.transform(F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("_lost")), lambda i: F.get(parts, i))
-    worded = F.size(F.filter(F.split(F.col("_new"), "\n"), lambda x: x.rlike("[^\\x20\\x09-\\x0D]"))).cast("long")
-    out = rows.withColumn("_new", F.when(F.col("_lost").isNull(), text).otherwise(F.array_join(kept, "\n")))
+        known, lines = _classes(base, k, each_chars, changed, each_words)
+        keep += [known, lines]
+    lost = lines.select("id", "place").join(known, "id").where("place <> keep").select("place.*")
+    lost = lost.groupBy("doc", "tag").agg(F.collect_set("pos").alias("lost"))
+    held = f"row_{uuid.uuid4().hex}"
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(held), F.col("doc_id").cast("long").alias("doc0"), F.xxhash64(text).alias("tag0"), text.alias("text0"))
+    rows = rows.join(lost, F.col("doc0").eqNullSafe(F.col("doc")) & (F.col("tag0") == F.col("tag")), "left").withColumn("parts", F.split("text0", "\n"))
+    left = F.array_except(F.sequence(F.lit(0), F.size("parts") - 1), F.col("lost"))
+    kept = F.array_join(F.transform(left, lambda i: F.get("parts", i)), "\n")
+    rows = rows.withColumn("new", F.when(F.col("lost").isNull(), F.col("text0")).otherwise(kept))
+    worded = F.size(F.filter(F.split("new", "\n"), lambda x: x.rlike(WORD)))
+    none = F.col("new").isNull()
     counts = [
-        F.coalesce(F.when(F.col("_new").isNull(), 0).otherwise(F.size(parts)), F.lit(0)).cast("long").alias("n_lines"),
-        F.coalesce(F.size("_lost"), F.lit(0)).cast("long").alias("n_removed"),
-        F.when(F.col("_new").isNull(), F.lit(0).cast("long")).otherwise(worded).alias("n_left"),
+        F.when(none, 0).otherwise(F.size("parts")).cast("long").alias("n_lines"),
+        F.coalesce(F.size("lost"), F.lit(0)).cast("long").alias("n_removed"),
+        F.when(none, 0).otherwise(worded).cast("long").alias("n_left"),
     ]
-    return out.select(*[F.col("_new").alias("text") if c == "text" else docs[c] for c in docs.columns], *counts)
+    return rows.select(*[F.col("new").alias(c) if c == "text" else F.col(f"{held}.`{c}`") for c in docs.columns], *counts)
+
+
+def _classes(base: DataFrame, k: int, each_chars: int, changed: int, each_words: int) -> tuple[DataFrame, DataFrame]:
+    """(id, keep) of the lines that lose occurrences, and every line's occurrence with its id and place."""
+    each = base.select("doc", "tag", F.posexplode_outer(F.split("text", "\n")).alias("pos", "line")).where(F.col("line").rlike(WORD))
+    identity = F.struct(F.xxhash64("line").alias("id"), F.xxhash64(F.lit(20240611), "line").alias("id2")).alias("id")
+    split = each.select(identity, F.struct("doc", "tag", "pos").alias("place"), "line", F.split("line", " ").alias("words"))
+    # a changed character is two changed words at most, so the join over words finds it where it allows 2 k of them
+    short = F.lit(True) if changed < 2 * k else F.size("words") < 2 * k * each_words + k
+    lines = split.select(
+        "id",
+        "place",
+        F.when((F.length("line") >= each_chars) & short, F.col("line")).alias("chars"),
+        F.when(F.size("words") >= each_words, _word_codes(F.col("words"))).alias("codes"),
+    )
+    lines = common.materialize(lines, "lines")
+    firsts = common.materialize(lines.groupBy("id").agg(F.min("place").alias("first"), F.count("*").alias("n")), "firstlines")
+    # lines that stand once need no shuffle to be distinct
+    many = common.flagged(F.col("id.id"), firsts.where("n > 1").select("id.id"), "id")
+    wanted = lines.where("chars is not null or codes is not null").select("id", "chars", "codes")
+    repeated = common.materialize(wanted.where(many).dropDuplicates(["id"]), "repeatedlines")
+    distinct = wanted.where(~many).union(repeated)
+    links = None
+    for column, words, threshold in (("chars", False, Threshold(k, each_chars)), ("codes", True, Threshold(changed, each_words))):
+        if threshold.most:
+            own = sequence_links(distinct.where(F.col(column).isNotNull()).select("id", F.col(column).alias("seq")), words, threshold)
+            links = own if links is None else links.union(own)
+    known = firsts.select("id", "n", "first", F.col("first").alias("keep"))
+    if links is not None:
+        classes = common.connected_components(links).withColumnRenamed("node", "id")
+        near = firsts.join(classes, "id")
+        lead = near.groupBy("component").agg(F.min("first").alias("lead"))
+        near = near.join(lead, "component").select("id", "lead")
+        known = firsts.join(near, "id", "left").select("id", "n", "first", F.coalesce("lead", "first").alias("keep"))
+    return common.materialize(known.where("n > 1 or keep <> first").select("id", "keep"), "lineclasses"), lines

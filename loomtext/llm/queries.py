@@ -36,7 +36,7 @@ def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = linededup.dedup_lines(common.table(spark, sf_dir, "documents"), k=1, min_chars=24, exact_chars=1)
+    out = linededup.dedup_lines(common.table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_lines", "n_removed", "n_left", F.sha2("text", 256).alias("text_sha256"))
 
 

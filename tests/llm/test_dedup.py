@@ -104,6 +104,44 @@ def test_near_duplicates_edges(spark):
         minhash.near_duplicates(frame(spark, rows), 50)
 
 
+def test_shared_doc_ids_are_judged_apart(spark):
+    import corpus_pipeline
+
+    words = [f"v{i}" for i in range(60)]
+    near = " ".join([*words[:59], "x"])
+    other = "something else that is not like it at all"
+    rows = [(3, " ".join(words)), (7, near), (7, other), (7, None), (8, None), (None, near), (9, other), (9, " ".join(words))]
+    got = minhash.near_duplicates(frame(spark, rows), 85).collect()
+    assert sorted(map(tuple, got), key=str) == sorted([(3, 56, 3, True), (7, 56, 3, False), (7, 5, 7, True), (7, 0, 7, True), (8, 0, 8, True), (None, 56, None, None), (9, 5, 7, False), (9, 56, 3, False)], key=str)
+    clash = frame(spark, rows).selectExpr("*", "1 as tag", "2 as component_id", "3 as kept", "4 as n_shingles", "5 as node", "6 as _at")
+    left = corpus_pipeline.near_dedup(spark, clash, "")
+    assert left.columns == clash.columns
+    assert sorted(((r.doc_id, r.text, r.kept) for r in left.collect()), key=str) == sorted([(3, " ".join(words), 3), (7, other, 3), (7, None, 3), (8, None, 3), (None, near, 3)], key=str)
+
+
+def test_near_duplicates_with_shared_ids_against_brute_force(spark):
+    rng = random.Random(31)
+    rows = [(i % 40, t) for i, t in near_copies(rng, 160)]
+    sets = [shingles(t) for _, t in rows]
+    links = [(a, b) for b in range(len(rows)) for a in range(b) if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])]
+    of = roots(range(len(rows)), links)
+    least = {}
+    for k, (i, _) in enumerate(rows):
+        least[of[k]] = min(i, least.get(of[k], i))
+    want = sorted((i, len(sets[k]), least[of[k]] if sets[k] else i, (least[of[k]] if sets[k] else i) == i) for k, (i, _) in enumerate(rows))
+    assert sorted(map(tuple, minhash.near_duplicates(frame(spark, rows), 85).collect())) == want
+
+
+def test_word_hashes_in_parts(monkeypatch):
+    from loomtext.llm import wordhash
+
+    texts = pa.array(["a bc  def " * 50, None, "x" * 9000 + " y", "", "Tail\nwords é"] * 3)
+    want = word_hashes(texts)
+    monkeypatch.setattr(wordhash, "PART", 64)
+    got = word_hashes(texts)
+    assert got[0].tolist() == want[0].tolist() and got[1].tolist() == want[1].tolist()
+
+
 def test_pipeline_links_from_80(spark):
     import corpus_pipeline
 
@@ -146,6 +184,25 @@ def test_estimate_is_unbiased():
     assert abs(np.mean(errors)) < 0.6 and np.max(np.abs(errors)) < 5
 
 
+@pytest.mark.parametrize("k", [1, 2, 3])
+def test_banded_distance(spark, k):
+    rng = random.Random(k)
+    rows = []
+    for n in (0, 1, 2, 3, 5, 9, 30):
+        for _ in range(40):
+            a = rng.choices("abc", k=n)
+            b = list(a)
+            for _ in range(rng.randint(0, k + 2)):
+                at, kind = rng.randint(0, len(b)), rng.random()
+                b[at : at + (kind < 0.6)] = [] if kind < 0.3 else [rng.choice("abcd")]
+            rows.append(([ord(c) for c in a], [ord(c) for c in b], edit(a, b)))
+            other = rng.choices("abc", k=max(0, n + rng.randint(-k, k)))
+            rows.append(([ord(c) for c in a], [ord(c) for c in other], edit(a, other)))
+    df = spark.createDataFrame(rows, "a array<int>, b array<int>, d int").selectExpr("d", f"{linededup.banded_distance('a', 'b', str(k), 3)} as got", f"{linededup.banded_distance('b', 'a', str(k), k)} as back")
+    for r in df.collect():
+        assert (r.got, r.back) == (r.d, r.d) if r.d <= k else min(r.got, r.back) > k
+
+
 @pytest.mark.parametrize("k", [1, 2, 3])
 def test_edit_links(spark, k):
     rng = random.Random(k)
@@ -203,6 +260,60 @@ def test_short_lines_match_exactly(spark):
     assert sorted(map(tuple, got)) == [(1, 0), (2, 2)]
 
 
+def test_dedup_lines_against_brute_force(spark):
+    rng = random.Random(77)
+    vocabulary = [f"{c}{i}" for i in range(30) for c in ("alpha", "be", "gamma", "d")]
+    pool = []
+    for n in (1, 2, 4, 6, 9, 10, 11, 19, 20, 21, 22, 31, 45):
+        for _ in range(3):
+            pool.append(rng.choices(vocabulary, k=n))
+
+    def line():
+        own = list(rng.choice(pool))
+        for _ in range(rng.choice([0, 0, 1, 2, 3])):
+            own[rng.randrange(len(own))] = rng.choice(vocabulary)
+        out = " ".join(own)
+        if rng.random() < 0.3:
+            at = rng.randrange(len(out))
+            out = out[:at] + rng.choice(["", " ", "x", out[at] + "y"]) + out[at + 1 :]
+        return rng.choice([out, out, out, "", "  ", "yes"])
+
+    rows = [(i // 2, "\n".join(line() for _ in range(rng.randint(1, 9)))) for i in range(70)]
+    rows += [rows[5], (None, line()), (900, None), (901, "")]
+    distinct = sorted({x for _, t in rows for x in (t or "").split("\n") if x.strip()})
+
+    def near(a, b):
+        x, y = a.split(" "), b.split(" ")
+        k, w = min(1, min(len(a), len(b)) // 24), min(3, min(len(x), len(y)) // 10)
+        return abs(len(a) - len(b)) <= k and edit(a, b) <= k or abs(len(x) - len(y)) <= w and edit(x, y) <= w
+
+    of = roots(range(len(distinct)), [(i, j) for j in range(len(distinct)) for i in range(j) if near(distinct[i], distinct[j])])
+    number = {x: of[i] for i, x in enumerate(distinct)}
+    tags = {t: h for t, h in spark.createDataFrame([(t,) for _, t in rows], "t string").selectExpr("t", "xxhash64(t)").collect()}
+    first = {}
+    for i, t in rows:
+        for pos, x in enumerate((t or "").split("\n")):
+            if x in number:
+                place = (i is not None, i or 0, tags[t], pos)
+                first[number[x]] = min(place, first.get(number[x], place))
+    want = []
+    for i, t in rows:
+        if t is None:
+            want.append((i, None, 0, 0, 0))
+            continue
+        lines = t.split("\n")
+        left = [x for pos, x in enumerate(lines) if x not in number or first[number[x]] == (i is not None, i or 0, tags[t], pos)]
+        want.append((i, "\n".join(left), len(lines), len(lines) - len(left), sum(bool(x.strip()) for x in left)))
+    clash = frame(spark, rows).selectExpr("*", "1 as `place`", "2 as lost", "3 as tag", "4 as `new`", "5 as `a.b`")
+    out = linededup.dedup_lines(clash)
+    assert out.columns == [*clash.columns, "n_lines", "n_removed", "n_left"]
+    got = [(r.doc_id, r.text, r.n_lines, r.n_removed, r.n_left) for r in out.collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    assert sum(r[3] for r in want) > 60
+    with pytest.raises(ValueError):
+        linededup.dedup_lines(out)
+
+
 def test_dedup_lines(spark):
     long = "a line that is long enough to count, number "
     texts = [
@@ -216,11 +327,11 @@ def test_dedup_lines(spark):
         (6, f"{long}1"),
         (7, "\n" * 50 + "           " * 5),
     ]
-    got = {(r.doc_id, r.text, r.n_lines, r.n_removed, r.n_left, r.lang, r.rep) for r in linededup.dedup_lines(frame(spark, texts), 1, 24).collect()}
+    got = {(r.doc_id, r.text, r.n_lines, r.n_removed, r.n_left, r.lang, r.rep) for r in linededup.dedup_lines(frame(spark, texts)).collect()}
     assert got == {
-        (1, f"{long}7\nshort\nshort", 3, 0, 3, "en", 2),
+        (1, f"{long}7\nshort", 3, 1, 2, "en", 2),
         (2, None, 0, 0, 0, "en", 2),
-        (3, f"short\n{long}2 and more of it here", 3, 1, 2, "en", 2),
+        (3, f"{long}2 and more of it here", 3, 2, 1, "en", 2),
         (4, "", 1, 0, 0, "en", 2),
         (5, "", 2, 2, 0, "en", 2),
         (None, "other words that are quite long here", 1, 0, 1, "en", 2),
