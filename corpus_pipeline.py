@@ -16,14 +16,13 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without lines that stand elsewhere before; those that lose every line with a word go."""
-    out = linededup.dedup_lines(docs, k=1, min_chars=24, exact_chars=1).where("n_removed = 0 or n_left > 0")
+    out = linededup.dedup_lines(docs).where("n_removed = 0 or n_left > 0")
     return out.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the least doc_id, of each group of near copies (similarity of 0.8 or more); of rows that share a kept doc_id all stay."""
-    gone = minhash.near_duplicates(docs, percent=80).where("not kept").select(F.col("doc_id").alias("_gone"))
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    """One document, that of the least doc_id, of each group of near copies (similarity of 0.8 or more); of rows that share a doc_id each is judged by its own text."""
+    return minhash.drop_near_duplicates(docs, percent=80)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
