@@ -28,13 +28,14 @@ def parser() -> argparse.ArgumentParser:
             c.add_argument("--timeout", type=int, default=30)
         return c
 
-    command("parse", parse=True)
+    command("parse", parse=True).add_argument("--skip-empty", action="store_true")
     command("parse-single", parse=True).add_argument("--text-column")
-    command("clean")
+    command("clean").add_argument("--skip-empty", action="store_true")
     c = command("run", parse=True)
     c.add_argument("--mode", choices=("dual", "single"), default="dual")
     c.add_argument("--text-column")
     c.add_argument("--keep-dirty", action="store_true")
+    c.add_argument("--glob", help="names of the files to process")
     c = command("export")
     c.add_argument("official_dir", nargs="?", default="data/parsed_export")
     c.add_argument("clone_dir", nargs="?")
@@ -44,17 +45,18 @@ def parser() -> argparse.ArgumentParser:
 
 def main(args: list[str] | None = None, spark: SparkSession | None = None) -> int:
     a = parser().parse_args(args)
-    spark = spark or SparkSession.builder.appName("loomtext").getOrCreate()
+    # articles are large: few to an Arrow batch keep a worker's memory small
+    spark = spark or SparkSession.builder.appName("loomtext").config("spark.sql.execution.arrow.maxRecordsPerBatch", "256").getOrCreate()
     try:
         if a.command == "parse":
-            out = {"rows": pipeline.parse_file(spark, a.input, a.output, a.skip_lists, a.timeout)}
+            out = {"rows": pipeline.parse_file(spark, a.input, a.output, a.skip_lists, a.timeout, a.skip_empty)}
         elif a.command == "parse-single":
             parse_single(read_parquet(spark, a.input), a.text_column, a.skip_lists, a.timeout).write.mode("overwrite").parquet(a.output)
             out = {"output": a.output}
         elif a.command == "clean":
-            out = {"rows": pipeline.clean_file(spark, a.input, a.output)}
+            out = {"rows": pipeline.clean_file(spark, a.input, a.output, a.skip_empty)}
         elif a.command == "run":
-            out = pipeline.run(spark, a.input, a.output, a.mode, a.timeout, a.keep_dirty, a.text_column, a.skip_lists)
+            out = pipeline.run(spark, a.input, a.output, a.mode, a.timeout, a.keep_dirty, a.text_column, a.skip_lists, a.glob)
         elif a.command == "export":
             out = {"files": pipeline.run_export(spark, a.input, a.official_dir, a.clone_dir)}
         else:

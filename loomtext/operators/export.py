@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources import schema as S
@@ -12,17 +12,16 @@ from ..sources import schema as S
 
 def export_rows(df: DataFrame) -> DataFrame:
     """side, page_id, name, content of the files to write: for each page and side the first row with a text (by file, then
-    place in it) gives text and title. Rows without a page_id give nothing. Only winners' texts are shuffled: places are
-    compared first where a page stands more than once."""
+    place in it) gives text and title. Rows without a page_id give nothing. One shuffle, by page; each task first reduces
+    its rows to the first of each page, so what loses there isn't shuffled."""
     S.check_export(df.schema)
-    place = F.monotonically_increasing_id()
-    rows = df.where(F.col("page_id").isNotNull()).select("page_id", "page_title", F.col("official_text_paragraphs").alias("o"), F.col("clone_text_paragraphs").alias("c"), place.alias("at"))
-    sides = F.array(F.struct(F.lit("official").alias("side"), F.col("o").alias("text")), F.struct(F.lit("clone").alias("side"), F.col("c").alias("text")))
-    rows = rows.select("page_id", "page_title", "at", F.explode_outer(sides).alias("s")).select("page_id", "page_title", "at", "s.side", "s.text").where("text is not null")
-    first = Window.partitionBy("page_id", "side").orderBy("at")
-    rows = rows.withColumn("n", F.row_number().over(first)).where("n = 1")
+    rows = df.where(F.col("page_id").isNotNull()).select("page_id", "page_title", F.col("official_text_paragraphs").alias("official"), F.col("clone_text_paragraphs").alias("clone"), F.monotonically_increasing_id().alias("at"))
+    first = lambda side: F.expr(f"min_by(struct(page_title, {side} AS text), at) FILTER (WHERE {side} IS NOT NULL)")
+    pages = rows.groupBy("page_id").agg(first("official").alias("official"), first("clone").alias("clone"))
+    sides = F.array(*[F.struct(F.lit(side).alias("side"), F.col(side).alias("row")) for side in ("official", "clone")])
+    files = pages.select("page_id", F.explode_outer(sides).alias("s")).where("s.row is not null").select("page_id", "s.side", "s.row.page_title", "s.row.text")
     head = F.concat(F.lit("Page ID: "), "page_id", F.lit("\nTitle: "), F.coalesce("page_title", F.lit("untitled")), F.lit("\n"), F.repeat(F.lit("="), 60), F.lit("\n\n"))
-    return rows.select("side", "page_id", F.concat("page_id", F.lit("_"), "side", F.lit(".txt")).alias("name"), F.concat(head, "text").alias("content"))
+    return files.select("side", "page_id", F.concat("page_id", F.lit("_"), "side", F.lit(".txt")).alias("name"), F.concat(head, "text").alias("content"))
 
 
 def safe_name(name: str) -> str:

@@ -11,17 +11,12 @@ from ..functions import expressions as X
 from ..functions.udf import extract_udf
 from ..sources import schema as S
 
-#: Articles are large: few to an Arrow batch keep a worker's memory small.
-ARROW_RECORDS = 256
-
-
 def quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
 def _parse_columns(df: DataFrame, names: list[str], skip_lists: bool, timeout: int) -> tuple[DataFrame, dict[str, Column]]:
     """df with paragraph arrays for the named columns, and the final text of each; the markup parser runs once for all of them."""
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_RECORDS)
     run = extract_udf(skip_lists, timeout)
     at = {n: f"__{i}" for i, n in enumerate(names)}
     raw = df.select("*", *[run(quoted(n)).alias(f"__raw{a}") for n, a in at.items()])

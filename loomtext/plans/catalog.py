@@ -6,6 +6,8 @@ markup is parsed, the equivalent SQL builds the expected text from the same colu
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 from functools import partial
 
@@ -14,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions import expressions as X
 from ..functions.udf import extract_udf, skipped
-from ..operators.export import export_rows
+from ..operators.export import export_rows, export_text
 from ..operators.lookup import lookup_article
 from ..operators.parse import clean, parse_dual, parse_single, parse_wikitext
 from ..streaming.incremental import pending_files
@@ -140,6 +142,36 @@ def _parse_ruwiki(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_single(_single_rows(spark, sf_dir, ("pageid", "title", "content")))
 
 
+def _detected(spark: SparkSession, sf_dir: str, names: tuple[str, ...]) -> DataFrame:
+    """No text column is named: the first known name, else the first that contains "text", is found and parsed; the others stay."""
+    return parse_single(_read(spark, sf_dir, "orders").select("o_orderkey", *[F.expr(f"'[[{i}|' || o_orderpriority || ']]'").alias(n) for i, n in enumerate(names)]))
+
+
+def _no_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both phases over no rows: the columns of the result, without rows."""
+    return parse_then_clean(_single_rows(spark, sf_dir, ("page_id", "page_title", "text")).where("false"), "single")
+
+
+def _export_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the files of two exports into one folder hold; the second finds all of them and writes none."""
+    folder = _shared_folder(spark) + "/export-" + uuid.uuid4().hex
+    df = _read(spark, sf_dir, "supplier").select(F.expr("CAST(s_suppkey AS string)").alias("page_id"), F.col("s_name").alias("page_title"), F.expr("s_name || chr(10) || 'o'").alias("official_text_paragraphs"), F.expr("CASE WHEN s_suppkey % 3 = 0 THEN NULL ELSE 'c' END").alias("clone_text_paragraphs"))
+    texts = ("official_text_paragraphs", "clone_text_paragraphs")
+    written = [export_text(df.select("page_id", "page_title", *[F.concat(c, F.lit(again)).alias(c) for c in texts]), folder) for again in ("", " again")]
+    files = spark.read.text(f"file://{folder}", wholetext=True).select(F.element_at(F.split(F.input_file_name(), "/"), -1).alias("name"), F.col("value").alias("content"))
+    return files.select("name", "content", F.lit(written[1]).cast("long").alias("written_again"))
+
+
+def _shared_folder(spark: SparkSession) -> str:
+    """A mounted folder that all executors see: spark.checkpoint.dir; a temporary one in local mode where that is unset."""
+    base = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if base:
+        return base.removeprefix("file://").rstrip("/")
+    if spark.sparkContext.master.split("[")[0] != "local":
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    return tempfile.mkdtemp(prefix="loomtext-")
+
+
 def _skip_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_single(_single_rows(spark, sf_dir, ("page_id", "page_title", "text")), skip_lists=True)
 
@@ -235,6 +267,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "parse_dual": _parse_dual,
         "parse_single": _parse_single,
         "parse_ruwiki": _parse_ruwiki,
+        "parse_detected_known": partial(_detected, names=("TEXT", "content", "text_too")),
+        "parse_detected_contains": partial(_detected, names=("body", "Body_Text", "mytext")),
+        "parse_no_rows": _no_rows,
+        "export_files": _export_files,
         "parse_columns": _parse_columns,
         "skip_lists": _skip_lists,
         "clean_suffixes": _clean_suffixes,
@@ -335,12 +371,18 @@ def oracle_sql() -> dict[str, str]:
     out["skip_lists"] = one % ("page_id", "page_title", "", "text_parsed")
     out["parse_columns"] = f"SELECT p_partkey AS id, {EXTRACT['extract_link'][3]} AS parsed FROM part"
     out["clean_suffixes"] = "SELECT n_nationkey, n_name AS a_parsed, n_name || 'x' AS b_paragraphs, n_name || '{x' AS c FROM nation"
+    raw = "'[[{0}|' || o_orderpriority || ']]' AS {1}"
+    out["parse_detected_known"] = f"SELECT o_orderkey, {raw.format(0, 'TEXT')}, o_orderpriority AS content_parsed, {raw.format(2, 'text_too')} FROM orders"
+    out["parse_detected_contains"] = f"SELECT o_orderkey, {raw.format(0, 'body')}, o_orderpriority AS Body_Text_parsed, {raw.format(2, 'mytext')} FROM orders"
+    out["parse_no_rows"] = out["parse_single"] + " WHERE false"
     out["paragraph_split"] = "SELECT conv_id, sum(n)::BIGINT AS n, string_agg(text, chr(10) || chr(10) ORDER BY turn) AS text FROM (SELECT conv_id, turn, len(ps) AS n, array_to_string(ps, chr(10) || chr(10)) AS text FROM (SELECT conv_id, turn, list_filter(list_transform(string_split(text, chr(10) || chr(10)), lambda s: " + _sql_trim("s") + "), lambda s: s <> '') AS ps FROM conversations) WHERE len(ps) > 0) GROUP BY conv_id"
     out["parse_documents"] = "SELECT doc_id, 'x ' || lang || ' z' AS body_text_parsed FROM documents"
     out["timeout_placeholder"] = f"SELECT r_regionkey, CASE WHEN r_name LIKE 'E%' OR r_name LIKE 'A%' THEN {_q(skipped(1))} ELSE r_name END AS text FROM region"
     side = "SELECT page_id || '_{0}.txt' AS name, 'Page ID: ' || page_id || chr(10) || 'Title: ' || coalesce(title, 'untitled') || chr(10) || repeat('=', 60) || chr(10) || chr(10) || text AS content FROM (SELECT CAST(p_partkey AS VARCHAR) AS page_id, {1} AS title, {2} AS text FROM part WHERE p_partkey % 10 <> 0)"
     name = "CASE WHEN p_partkey % 4 = 0 THEN NULL ELSE p_name END"
     out["export_rows"] = side.format("official", f"CASE WHEN p_partkey % 3 = 0 THEN 'second' ELSE {name} END", "CASE WHEN p_partkey % 3 = 0 THEN 'o2' ELSE p_type END") + " UNION ALL " + side.format("clone", name, "p_brand")
+    file = "SELECT s_suppkey || '_{0}.txt' AS name, 'Page ID: ' || s_suppkey || chr(10) || 'Title: ' || s_name || chr(10) || repeat('=', 60) || chr(10) || chr(10) || {1} AS content, CAST(0 AS BIGINT) AS written_again FROM supplier"
+    out["export_files"] = file.format("official", "s_name || chr(10) || 'o'") + " UNION ALL " + file.format("clone", "'c'") + " WHERE s_suppkey % 3 <> 0"
     shown = lambda t: f"length(coalesce({t}, 'None')) AS {t}_length, substr(coalesce({t}, 'None'), 1, 5000) AS {t}_preview, length(coalesce({t}, 'None')) > 5000 AS {t}_truncated"
     out["lookup_article"] = f"SELECT doc_id, {shown('text')}, {shown('lang')} FROM documents WHERE doc_id = 7 LIMIT 1"
     out["resume_pending_files"] = "SELECT r_name AS name FROM region WHERE NOT r_name < 'B'"
