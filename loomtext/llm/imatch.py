@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import math
+import operator
 from collections.abc import Iterator
 
 import numpy as np
@@ -123,19 +125,57 @@ def _pack(batches: Iterator) -> Iterator:
     pack = zstandard.ZstdCompressor(level=3).compress
     for b in batches:
         packed = pa.array([pack(t.encode()) for t in b.column(1).to_pylist()], pa.binary())
-        yield pa.RecordBatch.from_arrays([b.column(0), packed, *b.columns[2:]], ["doc_id", "packed", "at", "tie", "ghost", "k"])
+        yield pa.RecordBatch.from_arrays([b.column(0), packed, *b.columns[2:]], ["doc_id", "packed", "at", "tie", "ghost", "k", "number"])
 
 
-def _below(bounds: list[int], value: Column) -> Column:
+_LEAST = -(1 << 63)
+
+
+def _cuts(rows: DataFrame, n: int) -> tuple[list[tuple[int, int, int]], list[tuple[int, int]]]:
+    """Sorted lower bounds (at, tie, number) of about n ranges of alike size, and the hot pairs (at, tie) whose rows only a number tells apart.
+
+    Quantiles of `at`; a value that several of them share is cut again at quantiles of `tie`, and a pair that several
+    of those share at quantiles of the rows' numbers. So no id, however many rows have it, is one range.
+    """
+    points = lambda column, m: F.percentile_approx(column, [k / m for k in range(1, m)], 100 * m)
+    found = (rows.agg(points("at", n)).first()[0] if n > 1 else None) or []
+    bounds = {(v, _LEAST, _LEAST) for v in found}
+    hot = {v: found.count(v) + 1 for v in sorted(set(found)) if found.count(v) > 1}
+    if not hot:
+        return sorted(bounds), []
+    inside = lambda values: F.expr(" OR ".join(values))
+    test = {v: f"at = {v}L" if v > _LEAST else "at <= -9223372036854775807L - 1" for v in hot}
+    got = rows.where(inside(test.values())).agg(*[points(F.when(F.expr(test[v]), F.col("tie")), m).alias(f"p{i}") for i, (v, m) in enumerate(hot.items())]).first()
+    pairs = {}
+    for v, ties in zip(hot, got, strict=True):
+        ties = ties or []
+        bounds |= {(v, t, _LEAST) for t in ties}
+        pairs |= {(v, t): ties.count(t) + 1 for t in sorted(set(ties)) if ties.count(t) > 1}
+    if not pairs:
+        return sorted(bounds), []
+    numbered = rows.withColumn("number", F.monotonically_increasing_id())
+    both = {(v, t): F.expr(test[v]) & (F.col("tie") == F.lit(t)) for v, t in pairs}
+    got = numbered.agg(*[points(F.when(both[p], F.col("number")), m).alias(f"p{i}") for i, (p, m) in enumerate(pairs.items())]).first()
+    for (v, t), numbers in zip(pairs, got, strict=True):
+        bounds |= {(v, t, x) for x in numbers or []}
+    return sorted(bounds), list(pairs)
+
+
+def _below(bounds: list[tuple[int, int, int]], value: Column) -> Column:
     """Number of sorted bounds not above the value, by binary search."""
     if not bounds:
         return F.lit(0)
-    array = F.array(*[F.lit(b).cast("long") for b in bounds])
+    array = _literal(bounds)
     steps = F.array(*[F.lit(1 << k) for k in reversed(range(len(bounds).bit_length()))])
     n = len(bounds)
     return F.aggregate(steps, F.lit(0), lambda at, step: F.when((at + step <= n) & (F.get(array, at + step - 1) <= value), at + step).otherwise(at))
 
 
+def _literal(places: list[tuple[int, int, int] | None]) -> Column:
+    kind = "struct<at: bigint, tie: bigint, number: bigint>"
+    return F.array(*[F.lit(None).cast(kind) if p is None else F.struct(*[F.lit(x).cast("long").alias(c) for x, c in zip(p, ("at", "tie", "number"), strict=True)]) for p in places]).cast(f"array<{kind}>")
+
+
 def fingerprints(docs: DataFrame, least: float = 0.0005, most: float = 0.2, partitions: int | None = None) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next of doc_id, text.
 
@@ -143,29 +183,31 @@ def fingerprints(docs: DataFrame, least: float = 0.0005, most: float = 0.2, part
     document in descending doc_id order; after the last comes the first. Texts move once, to ranges of doc_id given by
     approximate quantiles, each with the last document of the range before, so all neighbours meet in one task.
     Null text: empty. Null doc_id: below all others, and returned. Rows that share a doc_id: ordered by a hash of their
-    text. A single document is its own next. No rows: no rows. Other columns are ignored.
+    text; an id that fills several ranges is cut by that hash, and rows equal in both by their number in the scan. A single document is its own next. No rows: no rows. Other columns are ignored.
     """
     spark = docs.sparkSession
     common.ship(spark)
     docs = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     terms = spark.sparkContext.broadcast(lexicon(docs, least, most))
-    place = F.coalesce("doc_id", F.lit(-(1 << 63)).cast("long"))
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ids = docs.select(place.alias("at"))
-    found = ids.agg(F.percentile_approx("at", [k / n for k in range(1, n)], 100 * n)).first()[0] if n > 1 else None
-    bounds = sorted(set(found or []))
-    bucket = _below(bounds, F.col("at"))
-    last = dict(ids.groupBy(bucket.alias("k")).agg(F.max("at")).collect())  # one row for each range
+    docs = docs.withColumn("at", F.coalesce("doc_id", F.lit(_LEAST).cast("long"))).withColumn("tie", F.xxhash64("text"))
+    bounds, hot = _cuts(docs.select("at", "tie"), partitions or int(spark.conf.get("spark.sql.shuffle.partitions")))
+    number = F.lit(0).cast("long")
+    if hot:
+        held = [(F.col("at") == F.lit(v).cast("long")) & (F.col("tie") == F.lit(t).cast("long")) for v, t in hot]
+        number = F.when(functools.reduce(operator.or_, held), F.monotonically_increasing_id()).otherwise(number)
+    docs = docs.withColumn("number", number).withColumn("place", F.struct("at", "tie", "number"))
+    bucket = _below(bounds, F.col("place"))
+    last = {k: tuple(p) for k, p in docs.select("place", bucket.alias("k")).groupBy("k").agg(F.max("place")).collect()}  # one row for each range
     full = sorted(last)
     following = dict(zip(full, full[1:] + full[:1], strict=True))
     width = len(bounds) + 1
-    ends = F.array(*[F.lit(last.get(k)).cast("long") for k in range(width)])
+    ends = _literal([last.get(k) for k in range(width)])
     after = F.array(*[F.lit(following.get(k, 0)) for k in range(width)])
-    rows = docs.withColumn("at", place).withColumn("k", bucket)
-    ghost = F.get(ends, F.col("k")) == F.col("at")
-    rows = rows.select("doc_id", "text", "at", F.posexplode_outer(F.when(ghost, F.array("k", F.get(after, F.col("k")))).otherwise(F.array("k"))).alias("ghost", "k"))
-    rows = rows.select("doc_id", "text", "at", F.xxhash64("text").alias("tie"), "ghost", F.col("k").cast("int").alias("k")).mapInArrow(_pack, "doc_id long, packed binary, at long, tie long, ghost int, k int")
-    rows = rows.repartitionById(width, F.col("k")).sortWithinPartitions(F.desc("ghost"), "at", "tie").select("doc_id", "packed", "ghost")
+    rows = docs.withColumn("k", bucket)
+    ghost = F.get(ends, F.col("k")) == F.col("place")
+    rows = rows.select("doc_id", "text", "at", "tie", "number", F.posexplode_outer(F.when(ghost, F.array("k", F.get(after, F.col("k")))).otherwise(F.array("k"))).alias("ghost", "k"))
+    rows = rows.select("doc_id", "text", "at", "tie", "ghost", F.col("k").cast("int").alias("k"), "number").mapInArrow(_pack, "doc_id long, packed binary, at long, tie long, ghost int, k int, number long")
+    rows = rows.repartitionById(width, F.col("k")).sortWithinPartitions(F.desc("ghost"), "at", "tie", "number").select("doc_id", "packed", "ghost")
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa

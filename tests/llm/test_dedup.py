@@ -360,3 +360,64 @@ def test_fingerprints(spark, partitions):
         assert 0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1 and (e != t or r.near_edited == 1)
     assert got[202].near_next == 1.0
     assert imatch.fingerprints(frame(spark, []), partitions=2).count() == 0
+
+
+WORD = (1 << 64) - 1
+
+
+def plain_mix(x):
+    for shift, times in ((33, 0xFF51AFD7ED558CCD), (33, 0xC4CEB9FE1A85EC53), (33, 1)):
+        x = (x ^ (x >> shift)) * times & WORD
+    return x
+
+
+def plain_word(word):
+    raw = bytes(c + 32 if 65 <= c <= 90 else c for c in word.encode())
+    return plain_mix(sum((c + 1) * pow(0x9E3779B97F4A7C15, i, 1 << 64) for i, c in enumerate(raw)) & WORD ^ len(raw) * 0xD6E8FEB86659FD93 & WORD)
+
+
+def plain_print(text, lexicon):
+    seeds = imatch._SEEDS.tolist()
+    out = []
+    for j in range(imatch.SLOTS):
+        own = {t for t in map(plain_word, re.findall(r"[^\x20\x09-\x0D]+", text)) if t in lexicon and plain_mix(t * seeds[0][j] & WORD) >> (64 - imatch.SHARES[j // imatch.EACH]) == 0}
+        total = sum(plain_mix(t ^ seeds[1][j]) for t in own) & WORD
+        out.append(plain_mix(total) >> 32 | 1 if total else 0)
+    if not any(out):
+        seed = int.from_bytes(hashlib.blake2b(text.encode(), digest_size=8).digest(), "little")
+        out = [plain_mix(seed ^ s) >> 32 | 1 for s in seeds[1]]
+    return out
+
+
+def plain_likeness(a, b):
+    used = [(x, y) for x, y in zip(a, b, strict=True) if x or y]
+    return sum(x == y for x, y in used) / max(1, len(used))
+
+
+@pytest.mark.parametrize("partitions", [1, 6])
+def test_fingerprints_against_brute_force(spark, partitions):
+    rng = random.Random(14)
+    vocabulary = [f"w{i}É" for i in range(90)] + ["The", "of"]
+    text = lambda: " ".join(rng.choices(vocabulary, k=rng.randint(0, 30)))
+    rows = [(i, text()) for i in range(0, 90, 3)] + [(None, text()) for _ in range(40)] + [(7, "the same the same w1é")] * 40 + [(8, text()) for _ in range(30)] + [(9, None)]
+    rng.shuffle(rows)
+    df = frame(spark, rows)
+    tags = dict(df.selectExpr("coalesce(text, '') as t", "xxhash64(coalesce(text, ''))").collect())
+    order = sorted(((-(1 << 63) if i is None else i, tags[t or ""], i, t or "") for i, t in rows), key=lambda r: r[:2])
+    counts = {}
+    for _, t in rows:
+        for w in {plain_word(w) for w in re.findall(r"[^\x20\x09-\x0D]+", t or "")}:
+            counts[w] = counts.get(w, 0) + 1
+    lexicon = {w for w, n in counts.items() if max(2, -(-len(rows) * 3 // 100)) <= n <= int(0.2 * len(rows))}
+    want = []
+    for k, (_, _, i, t) in enumerate(order):
+        x = order[k - 1][3]  # the one before in ascending order is the next in descending order
+        e = t[: len(t) - len(t) // 2] + x[: len(t) // 2]
+        a, b, c = (plain_print(y, lexicon) for y in (t, e, x))
+        shown = ["".join(f"{v:08x}" for v in y) for y in (a, b)]
+        want.append((i, len(t), hashlib.sha256(e.encode()).hexdigest(), *shown, round(plain_likeness(a, b), 9), round(plain_likeness(a, c), 9)))
+    got = [(r.doc_id, r.n_chars, r.edited_sha256, r.fingerprint, r.edited_fingerprint, round(r.near_edited, 9), round(r.near_next, 9)) for r in imatch.fingerprints(df, 0.03, 0.2, partitions).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    if partitions > 1:
+        bounds, hot = imatch._cuts(df.selectExpr("coalesce(doc_id, -9223372036854775807 - 1) as at", "xxhash64(coalesce(text, '')) as tie"), 6)
+        assert len(bounds) > 3 and any(b[1] > -(1 << 63) for b in bounds)
