@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import re
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -45,11 +46,19 @@ def let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def with_statistics(docs: DataFrame) -> DataFrame:
-    """docs with a struct column `stats`: n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words (long) and the shares rules are learned on.
+def _free(docs: DataFrame, *names: str) -> None:
+    taken = {c.lower() for c in docs.columns} & {n.lower() for n in names}
+    if taken:
+        raise ValueError(f"docs already has the columns {sorted(taken)}")
 
-    Null text: none of anything. All in one projection; texts aren't moved.
+
+def with_statistics(docs: DataFrame, name: str = "stats") -> DataFrame:
+    """docs with a struct column of that name: n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words (long) and the shares rules are learned on.
+
+    Null text: none of anything. All in one projection; texts aren't moved. Other columns may have any names but this one.
     """
+    _free(docs, name)
+    w, c, l = (f"{part}_{uuid.uuid4().hex}" for part in "wcl")
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike("[^\\x20\\x09-\\x0D]"))
     # what is neither white space nor a lower-case letter: short, so counts of single kinds are taken from it
@@ -69,28 +78,28 @@ def with_statistics(docs: DataFrame) -> DataFrame:
 
     out = docs.select(
         "*",
-        let(words_of(text), measured).alias("_w"),
-        let(rest, counted).alias("_c"),
-        let(lines, lambda x: F.struct(F.size(x).cast("long").alias("n"), (F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("dup"))).alias("_l"),
+        let(words_of(text), measured).alias(w),
+        let(rest, counted).alias(c),
+        let(lines, lambda x: F.struct(F.size(x).cast("long").alias("n"), (F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("dup"))).alias(l),
     )
     share = lambda a, b: F.col(a) / F.greatest(F.col(b), F.lit(1))
     stats = F.struct(
-        F.col("_w.n_words").alias("n_words"),
-        F.col("_w.word_chars").alias("word_chars"),
-        F.col("_c.symbols").alias("n_symbols"),
-        F.col("_l.dup").alias("n_dup_lines"),
-        F.col("_w.n_repeat_words").alias("n_repeat_words"),
-        share("_w.word_chars", "_w.n_words").alias("word_length"),
-        share("_c.symbols", "_w.n_words").alias("symbol_share"),
-        share("_c.upper", "_w.word_chars").alias("upper_share"),
-        share("_c.marks", "_w.n_words").alias("mark_share"),
-        share("_c.digits", "_w.word_chars").alias("digit_share"),
-        share("_c.stops", "_w.n_words").alias("stop_share"),
-        share("_l.dup", "_l.n").alias("dup_line_share"),
-        share("_w.n_repeat_words", "_w.n_words").alias("repeat_share"),
-        share("_w.n_distinct", "_w.n_words").alias("distinct_share"),
+        F.col(f"{w}.n_words").alias("n_words"),
+        F.col(f"{w}.word_chars").alias("word_chars"),
+        F.col(f"{c}.symbols").alias("n_symbols"),
+        F.col(f"{l}.dup").alias("n_dup_lines"),
+        F.col(f"{w}.n_repeat_words").alias("n_repeat_words"),
+        share(f"{w}.word_chars", f"{w}.n_words").alias("word_length"),
+        share(f"{c}.symbols", f"{w}.n_words").alias("symbol_share"),
+        share(f"{c}.upper", f"{w}.word_chars").alias("upper_share"),
+        share(f"{c}.marks", f"{w}.n_words").alias("mark_share"),
+        share(f"{c}.digits", f"{w}.word_chars").alias("digit_share"),
+        share(f"{c}.stops", f"{w}.n_words").alias("stop_share"),
+        share(f"{l}.dup", f"{l}.n").alias("dup_line_share"),
+        share(f"{w}.n_repeat_words", f"{w}.n_words").alias("repeat_share"),
+        share(f"{w}.n_distinct", f"{w}.n_words").alias("distinct_share"),
     )
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns], stats.alias("stats"))
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns], stats.alias(name))
 
 
 FEATURES = ["n_words", "word_length", "symbol_share", "upper_share", "mark_share", "digit_share", "stop_share", "dup_line_share", "repeat_share", "distinct_share"]
@@ -201,7 +210,8 @@ def base_failed(stats: str = "stats") -> Column:
 def fit(docs: DataFrame, labels: DataFrame, sample: int = 12_000, **options) -> list[Rule]:
     """Learn a decision list from labels (doc_id, quality 0/1) on at most `sample` labelled documents, those of the least hashes
     of doc_id: the documented bound on what is collected. Statistics are computed by Spark on these documents alone.
-    Labels with a null doc_id or quality don't count; of a doc_id labelled twice the lower quality does."""
+    Labels with a null doc_id or quality don't count; of a doc_id labelled twice the lower quality does; of rows that share a
+    labelled doc_id the one whose text has the least hash counts, so no more than `sample` rows are collected."""
     chosen = (
         labels.where("doc_id is not null and quality is not null")
         .groupBy(F.col("doc_id").alias("_id")).agg(F.min("quality").alias("_quality"))
@@ -209,19 +219,29 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 12_000, **options) ->
         .limit(sample)
     )
     rows = docs.select(F.col("doc_id").alias("_id"), "text").join(F.broadcast(chosen), "_id")
-    got = with_statistics(rows).select("_id", (F.col("_quality") == 0).alias("reject"), *[F.col(f"stats.{f}").cast("double").alias(f) for f in FEATURES]).collect()
+    features = [F.col(f"stats.{f}").cast("double").alias(f) for f in FEATURES]
+    one = with_statistics(rows).groupBy("_id", (F.col("_quality") == 0).alias("reject")).agg(F.min(F.struct(F.xxhash64("text").alias("tie"), *features)).alias("r"))
+    got = one.select("_id", "reject", "r.*").collect()
     got.sort(key=lambda r: (r["_id"] * 2654435761 % 4294967296, r["_id"]))
     return learn([({f: r[f] for f in FEATURES}, r["reject"]) for r in got], **options)
 
 
-def judge(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
+def judge(docs: DataFrame, labels: DataFrame, names: tuple[str, str, str] = ("stats", "base_failed", "kept"), **options) -> DataFrame:
     """docs with `stats`, `base_failed` and `kept`: false for documents under 20 words or with over 30 % of their words in
     repeated windows, else what the learned decision list says. One projection over the texts, no shuffle of them.
 
     Null text: no words, so rejected. Null doc_id: judged like any other. Repeated rows: judged each, alike. No rows: no
-    rows. No usable labels: only the base rule rejects. Columns of docs stay; they must not be named stats, base_failed
-    or kept, or start with an underscore.
+    rows. No usable labels: only the base rule rejects. Columns of docs stay, whatever their names; one of the three `names`
+    among them is a ValueError.
     """
+    _free(docs, *names)
+    stats, failed, kept = names
     rules = fit(docs, labels, **options)
-    out = with_statistics(docs).withColumn("base_failed", base_failed())
-    return out.withColumn("kept", ~F.col("base_failed") & verdict(rules))
+    out = with_statistics(docs, stats).withColumn(failed, base_failed(stats))
+    return out.withColumn(kept, ~F.col(failed) & verdict(rules, stats))
+
+
+def keep(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
+    """The rows of docs that `judge` keeps, with their columns alone."""
+    names = tuple(f"{n}_{uuid.uuid4().hex}" for n in ("stats", "failed", "kept"))
+    return judge(docs, labels, names, **options).where(F.col(names[2])).select(*[F.col(f"`{c}`") for c in docs.columns])
