@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .rules import let
@@ -33,37 +33,44 @@ def count_tokens(text: Column) -> Column:
     return F.regexp_count(text, F.lit("[^\\x20\\x09-\\x0D]{1,4}"))
 
 
-def _before(values: Column) -> Column:
-    """Prefix sums, from 0, one longer than the array."""
-    return F.aggregate(values, F.array(F.lit(0).cast("long")), lambda a, x: F.concat(a, F.array(F.element_at(a, -1) + x)))
-
-
 def windows(rows: DataFrame, budget: int = 384, history: int = 96, overhead: int = 4, tokens=count_tokens) -> DataFrame:
-    """conv_id, window, formatted, n_repeated, loss of conversations given as rows conv_id, turn, role, text.
-
-    Turns go by turn, then role and text. A turn costs its tokens and `overhead`. A window holds the system turn (a first
-    turn of that role), then of the turns before its first new one the longest run whose cost is at most `history`, then
-    new turns while all fit the budget, one at least: a turn beyond the budget has a window of its own, whole. n_repeated
-    counts the leading turns that stand in an earlier window. loss holds (start, size) in code points of formatted for
-    each new assistant turn's text; repeated answers are masked. `overhead` must be positive.
-    Null text or role: empty. Null conv_id: one conversation. Equal rows: kept each. No rows: no rows. Other columns are
-    ignored. A conversation is one row here, as its digest needs; conversations are spread by conv_id.
+    """conv_id, part, window, formatted, n_repeated, loss of conversations given as rows conv_id, turn, role, text.
+
+    Turns go by turn, then role and text. A turn costs its tokens and `overhead`; tokens is a function of the text or the
+    name of a column of rows that a tokenizer filled (null: 0). A window holds the system turn (a first turn of that role),
+    then of the turns before its first new one the longest run whose cost is at most `history`, then new turns while all fit
+    the budget, one at least: a turn beyond the budget has a window of its own, whole. n_repeated counts the leading turns
+    that stand in an earlier window. loss holds (start, size) in code points of formatted for each new assistant turn's text;
+    repeated answers are masked. `overhead` must be positive.
+    Null text or role: empty. Null turn: first. Null conv_id: each row is a conversation of its own, told apart by `part`,
+    which is null elsewhere; so no key holds all such rows. Equal rows: kept each. No rows: no rows. Other columns are
+    ignored. Prefix sums are window sums over a conversation's turns. A conversation is one row afterwards, as its digest
+    needs; conversations are spread by conv_id.
     """
     none = F.lit("")
-    turns = rows.select("conv_id", F.struct(F.col("turn").cast("long").alias("turn"), F.coalesce(F.col("role").cast("string"), none).alias("role"), F.coalesce(F.col("text").cast("string"), none).alias("text")).alias("t"))
-    conv = turns.groupBy("conv_id").agg(F.sort_array(F.collect_list("t")).alias("t"))
-    made = F.transform(
-        "t",
-        lambda t: F.struct(
-            (tokens(t["text"]) + overhead).cast("long").alias("cost"),
-            F.concat(F.lit(START), escape_role(t["role"]), F.lit("\n"), escape(t["text"]), F.lit(END)).alias("whole"),
-            (F.length(escape_role(t["role"])) + len(START) + 1).cast("long").alias("head"),
-            F.length(escape(t["text"])).cast("long").alias("size"),
-            (t["role"] == "assistant").alias("learn"),
-        ),
+    text = F.coalesce(F.col("text").cast("string"), none)
+    cost = tokens(text) if callable(tokens) else F.coalesce(F.col(tokens), F.lit(0))
+    part = F.when(F.col("conv_id").isNull(), F.monotonically_increasing_id())
+    turns = rows.select("conv_id", part.alias("part"), F.col("turn").cast("long").alias("turn"), F.coalesce(F.col("role").cast("string"), none).alias("role"), text.alias("text"), (cost + overhead).cast("long").alias("cost"))
+    whole = F.concat(F.lit(START), escape_role(F.col("role")), F.lit("\n"), escape(F.col("text")), F.lit(END))
+    turns = turns.select("conv_id", "part", "turn", "role", "text", "cost", whole.alias("whole"))
+    order = Window.partitionBy("conv_id", "part").orderBy("turn", "role", "text")
+    sums = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    turns = turns.select("*", (F.row_number().over(order) - 1).alias("i"), F.sum("cost").over(sums).alias("costs"), F.sum(F.length("whole")).over(sums).alias("sizes"))
+    turn = F.struct(
+        "i",
+        "costs",
+        "sizes",
+        "cost",
+        "whole",
+        (F.length(escape_role(F.col("role"))) + len(START) + 1).cast("long").alias("head"),
+        F.length(escape(F.col("text"))).cast("long").alias("size"),
+        (F.col("role") == "assistant").alias("learn"),
+        (F.col("role") == "system").alias("system"),
     )
-    conv = conv.select("conv_id", F.when(F.col("t")[0]["role"] == "system", 1).otherwise(0).alias("sys"), made.alias("m"))
-    conv = conv.select("*", _before(F.transform("m", lambda m: m["cost"])).alias("cost"), _before(F.transform("m", lambda m: F.length(m["whole"]).cast("long"))).alias("chars"))
+    conv = turns.groupBy("conv_id", "part").agg(F.sort_array(F.collect_list(turn)).alias("m"))
+    zero = F.array(F.lit(0).cast("long"))
+    conv = conv.select("*", F.when(F.col("m")[0]["system"], 1).otherwise(0).alias("sys"), F.concat(zero, F.col("m.costs")).alias("cost"), F.concat(zero, F.col("m.sizes")).alias("chars"))
     # for each turn the first turn of the history it would be shown after; a turn costs `overhead` at least, so few are looked at
     reach = history // overhead + 1
     first = F.transform(
@@ -93,6 +100,7 @@ def windows(rows: DataFrame, budget: int = 384, history: int = 96, overhead: int
     spans = F.transform(F.filter(fresh, lambda i: F.get("m", i)["learn"]), lambda i: F.struct((lead + F.get("chars", i) - F.get("chars", F.col("from")) + F.get("m", i)["head"]).alias("start"), F.get("m", i)["size"].alias("size")))
     return one.select(
         "conv_id",
+        "part",
         "window",
         F.array_join(texts, "").alias("formatted"),
         F.when(F.col("window") == 0, 0).otherwise(F.col("sys") + F.col("new") - F.col("from")).cast("int").alias("n_repeated"),
@@ -108,12 +116,12 @@ def read_back(formatted: Column) -> Column:
 
 
 def digests(windows_: DataFrame) -> DataFrame:
-    """Per conversation, from the windows alone: n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars."""
+    """Per conversation (each row without a conv_id is one), from the windows alone: n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars."""
     new = let(read_back(F.col("formatted")), lambda t: F.slice(t, F.col("n_repeated") + 1, F.size(t)))
     said = F.transform(new, lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
     learnt = F.transform("loss", lambda s: unescape(F.substring(F.col("formatted"), (s["start"] + 1).cast("int"), s["size"].cast("int"))))
-    rows = windows_.select("conv_id", F.struct("window", said.alias("said"), F.array_join(learnt, "").alias("learnt"), F.length("formatted").cast("long").alias("chars")).alias("w"))
-    conv = rows.groupBy("conv_id").agg(F.sort_array(F.collect_list("w")).alias("w"))
+    rows = windows_.select("conv_id", "part", F.struct("window", said.alias("said"), F.array_join(learnt, "").alias("learnt"), F.length("formatted").cast("long").alias("chars")).alias("w"))
+    conv = rows.groupBy("conv_id", "part").agg(F.sort_array(F.collect_list("w")).alias("w"))
     said = F.flatten(F.transform("w", lambda w: w["said"]))
     loss = F.array_join(F.transform("w", lambda w: w["learnt"]), "")
     return conv.select(

@@ -45,7 +45,10 @@ def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Six arrivals by ranges of doc_id, each appended as small shards; then compaction, and the documents as the manifest has them."""
+    """Six arrivals by ranges of doc_id, each appended as small shards; then compaction, and the documents as the manifest has them.
+
+    Null doc_id: in the first arrival. Repeated rows, null and empty texts: kept as they are. No rows: one empty arrival, no rows.
+    """
     docs = common.table(spark, sf_dir, "documents")
     store = ShardStore(spark, common.work_path(spark, "shards"))
     cuts = docs.agg(F.percentile_approx("doc_id", [k / 6 for k in range(1, 6)], 1000)).first()[0]
@@ -107,40 +110,40 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 #: Windows as chat.windows makes them, by recursion over the new turns.
 OP3_SQL = r"""
 WITH RECURSIVE src AS (
-  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
-  UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
-  UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'
+  SELECT coalesce('c' || conv_id, 'r' || row_number() OVER ()) AS k, conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT 'c-1', -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
+  UNION ALL SELECT 'c-1', -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'
 ), t AS (
-  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) - 1 AS i,
+  SELECT *, row_number() OVER (PARTITION BY k ORDER BY turn, role, text) - 1 AS i,
     len(regexp_extract_all(text, '[^\x20\x09-\x0D]{1,4}')) + 4 AS cost,
     12 + length(replace(regexp_replace(role, '<(\\*)\|', '<\\\1|', 'g'), chr(10), '<|n|>')) + 1
       + length(regexp_replace(text, '<(\\*)\|', '<\\\1|', 'g')) + 11 AS chars
   FROM src
 ), p AS (
-  SELECT *, sum(cost) OVER w - cost AS cb, sum(chars) OVER w - chars AS hb FROM t WINDOW w AS (PARTITION BY conv_id ORDER BY i)
+  SELECT *, sum(cost) OVER w - cost AS cb, sum(chars) OVER w - chars AS hb FROM t WINDOW w AS (PARTITION BY k ORDER BY i)
 ), c AS (
-  SELECT conv_id, max(i) + 1 AS n, max(CASE WHEN i = 0 AND role = 'system' THEN 1 ELSE 0 END) AS sys,
+  SELECT k, max(i) + 1 AS n, max(CASE WHEN i = 0 AND role = 'system' THEN 1 ELSE 0 END) AS sys,
     max(CASE WHEN i = 0 AND role = 'system' THEN cost ELSE 0 END) AS syscost, max(CASE WHEN i = 0 AND role = 'system' THEN chars ELSE 0 END) AS syschars
-  FROM p GROUP BY conv_id
+  FROM p GROUP BY k
 ), h AS (
-  SELECT a.conv_id, a.i, a.cost, a.cb, a.hb, c.sys, c.syscost, c.syschars,
+  SELECT a.k, a.i, a.cost, a.cb, a.hb, c.sys, c.syscost, c.syschars,
     a.cb - coalesce(min(b.cb), a.cb) AS oldcost, a.hb - coalesce(min(b.hb), a.hb) AS oldchars
-  FROM p a JOIN c USING (conv_id) LEFT JOIN p b ON b.conv_id = a.conv_id AND b.i < a.i AND b.i >= c.sys AND a.cb - b.cb <= 96
-  GROUP BY a.conv_id, a.i, a.cost, a.cb, a.hb, c.sys, c.syscost, c.syschars
+  FROM p a JOIN c USING (k) LEFT JOIN p b ON b.k = a.k AND b.i < a.i AND b.i >= c.sys AND a.cb - b.cb <= 96
+  GROUP BY a.k, a.i, a.cost, a.cb, a.hb, c.sys, c.syscost, c.syschars
 ), r AS (
-  SELECT conv_id, i, cb AS start, 0::HUGEINT AS old, 0::HUGEINT AS extra FROM h WHERE i = sys
+  SELECT k, i, cb AS start, 0::HUGEINT AS old, 0::HUGEINT AS extra FROM h WHERE i = sys
   UNION ALL
-  SELECT h.conv_id, h.i,
+  SELECT h.k, h.i,
     CASE WHEN h.cb + h.cost - r.start + r.old <= 384 - h.syscost THEN r.start ELSE h.cb END,
     CASE WHEN h.cb + h.cost - r.start + r.old <= 384 - h.syscost THEN r.old ELSE h.oldcost END,
     CASE WHEN h.cb + h.cost - r.start + r.old <= 384 - h.syscost THEN 0 ELSE h.syschars + h.oldchars END
-  FROM r JOIN h ON h.conv_id = r.conv_id AND h.i = r.i + 1
-), e AS (SELECT conv_id, sum(extra) AS extra FROM r GROUP BY conv_id)
-SELECT p.conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY i)) AS turns_sha256,
+  FROM r JOIN h ON h.k = r.k AND h.i = r.i + 1
+), e AS (SELECT k, sum(extra) AS extra FROM r GROUP BY k)
+SELECT any_value(p.conv_id) AS conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY i)) AS turns_sha256,
   sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END)::BIGINT AS loss_chars,
   sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY i), '')) AS loss_sha256,
   (sum(chars) + max(coalesce(extra, 0)))::BIGINT AS formatted_chars
-FROM p LEFT JOIN e ON p.conv_id IS NOT DISTINCT FROM e.conv_id GROUP BY p.conv_id
+FROM p LEFT JOIN e ON p.k = e.k GROUP BY p.k
 """
 
 

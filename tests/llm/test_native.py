@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import unicodedata
 
 import duckdb
 import pytest
@@ -19,9 +20,9 @@ def words(text):
     return re.findall(r"[^\x20\x09-\x0D]+", text)
 
 
-def model_windows(turns, budget, history):
+def model_windows(turns, budget, history, cost=None):
     """Windows by a plain loop: lists of (turn, new)."""
-    cost = [len(re.findall(r"[^\x20\x09-\x0D]{1,4}", t)) + 4 for _, t in turns]
+    cost = cost or [len(re.findall(r"[^\x20\x09-\x0D]{1,4}", t)) + 4 for _, t in turns]
     first = 1 if turns and turns[0][0] == "system" else 0
     room = budget - (cost[0] if first else 0)
     out, at = [], first
@@ -42,7 +43,6 @@ def test_windows(spark):
     rng = random.Random(1)
     parts = ["<|im_end|>", "<|im_start|>", "<\\|", "<|n|>", "\n", "ab cdefgh", " é日 ", "", "\\", "<", "|", "assistant"]
     convs = {c: [(rng.choice(["system", "user", "assistant", "a\nb<|im_end|>", ""]) if rng.random() < 0.5 else "assistant", "".join(rng.choices(parts, k=rng.randint(0, 12)))) for _ in range(rng.randint(1, 14))] for c in range(60)}
-    convs[None] = [("user", "x"), ("assistant", "y " * 400), ("assistant", "z")]
     rows = [(c, i, None if r == "" else r, None if t == "" else t, "extra") for c, ts in convs.items() for i, (r, t) in enumerate(ts)]
     rng.shuffle(rows)
     df = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string, m string")
@@ -68,6 +68,31 @@ def test_windows(spark):
     assert chat.windows(df.where("false")).count() == 0
 
 
+def test_rows_without_a_conversation_stand_alone(spark):
+    rows = [(None, 0, "user", "x"), (None, 1, "assistant", "y " * 400), (None, 1, "assistant", "z"), (None, 1, "assistant", "z"), (5, None, "user", None), (5, 1, None, "q")]
+    df = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string")
+    made = chat.windows(df)
+    assert made.where("conv_id is null").count() == 4 == made.where("conv_id is null").select("part").distinct().count()
+    got = [(r.conv_id, r.n_turns, r.turns_sha256) for r in chat.digests(common.materialize(made, "w")).collect()]
+    sha = lambda *turns: hashlib.sha256("".join(f"{r}\n{t}\n" for r, t in turns).encode()).hexdigest()
+    want = [(None, 1, sha((r, t))) for c, _, r, t in rows if c is None] + [(5, 2, sha(("user", ""), ("", "q")))]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_turn_tokens_of_a_tokenizer(spark):
+    from loomtext.llm.wordbpe import word_bpe
+
+    bpe = word_bpe(queries.tokenizer_file("word_bpe_49k.json"))
+    rng = random.Random(9)
+    convs = {c: [(rng.choice(["system", "user", "assistant"]), " ".join(rng.choices(["the", "extraordinary", "日本語", "x1y2"], k=rng.randint(0, 15)))) for _ in range(rng.randint(1, 12))] for c in range(20)}
+    cost = {c: bpe.encode([t for _, t in ts])[1].tolist() for c, ts in convs.items()}
+    rows = [(c, i, r, t, cost[c][i]) for c, ts in convs.items() for i, (r, t) in enumerate(ts)]
+    df = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string, n_tokens long")
+    got = {(r.conv_id, r.window): [t.text for t in r.turns] for r in chat.windows(df, 60, 20, tokens="n_tokens").select("*", chat.read_back(F.col("formatted")).alias("turns")).collect()}
+    want = {(c, k): [ts[i][1] for i, _ in w] for c, ts in convs.items() for k, w in enumerate(model_windows(ts, 60, 20, [n + 4 for n in cost[c]]))}
+    assert got == want
+
+
 def test_shard_store(spark):
     path = common.work_path(spark, "store")
     store = ShardStore(spark, path)
@@ -136,6 +161,39 @@ def test_held_out_accuracy(spark):
     assert sum(r.kept == (r.quality == 1) for r in got) > 0.95 * len(got)
 
 
+def features(text):
+    n, chars, symbols, dup, repeat = statistics(text)
+    w, lines = words(text), [x for x in text.split("\n") if words(x)]
+    own = [n, chars / max(n, 1), symbols / max(n, 1)]
+    own += [sum(unicodedata.category(c) == "Lu" for c in text) / max(chars, 1), sum(c in "!?" for c in text) / max(n, 1), sum(c in "0123456789" for c in text) / max(chars, 1)]
+    own += [text.count(".") / max(n, 1), dup / max(len(lines), 1), repeat / max(n, 1), len(set(w)) / max(n, 1)]
+    return dict(zip(rules.FEATURES, own, strict=True)), n < 20 or 100 * repeat > 30 * n
+
+
+def test_verdicts_are_those_of_a_plain_list(spark):
+    docs, labels = common.table(spark, "/root/testdata/sf0.01", "documents"), common.table(spark, "/root/testdata/sf0.01", "labels")
+    found = rules.fit(docs, labels)
+    text = {r.doc_id: r.text or "" for r in docs.select("doc_id", "text").collect()}
+    quality = {r.doc_id: r.quality for r in labels.collect() if r.quality is not None}
+    order = sorted(quality, key=lambda i: (i * 2654435761 % 4294967296, i))
+    assert found and found == rules.learn([(features(text[i])[0], quality[i] == 0) for i in order if i in text])
+    for r in queries.op9_quality_rules(spark, "/root/testdata/sf0.01").collect():
+        own, failed = features(text[r.doc_id])
+        assert (r.base_failed, r.kept) == (failed, not failed and not any(rule.holds(own) for rule in found))
+
+
+def test_rules_with_shared_ids_and_clashing_names(spark):
+    rows = [(i % 7, " ".join(f"w{i * j}" for j in range(30)), i) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, kept int").selectExpr("*", "1 as stats", "2 as _w", "3 as `a.b`", "4 as base_failed", "5 as _id")
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(7)] + [(None, 1, 0), (3, None, 0)], "doc_id long, quality int, toxic int")
+    with pytest.raises(ValueError):
+        rules.judge(docs, labels)
+    with pytest.raises(ValueError):
+        rules.with_statistics(docs)
+    kept = rules.keep(docs, labels)
+    assert kept.columns == docs.columns and kept.count() > 0 and rules.keep(docs.where("false"), labels).count() == 0
+
+
 def test_judge_edges(spark):
     docs = spark.createDataFrame([(None, "a b " * 30, 1), (1, None, 2), (1, "word%d " % 1 + " ".join(f"w{i}" for i in range(40)), 3)], "doc_id long, text string, quality int")
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
