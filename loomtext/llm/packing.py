@@ -154,7 +154,8 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0)
     A document is its ids and the end id; one longer than the capacity is cut into pieces of the capacity, the last may
     be shorter. Pieces are encoded once and written to the shared folder with a per-task rank among pieces of their
     length; no document is shuffled. The plan and the histogram have at most about `capacity` lengths, so both are
-    bounded and go to the driver and back; per-task counts are joined by (task, length). Null text: the end id alone.
+    bounded and go to the driver and back; per-task counts, which grow with the tasks, are joined by (task, length) in a
+    shuffle of the pieces' numbers, never broadcast. Null text: the end id alone.
     Null doc_id: packed like any other. Repeated rows are packed each. No rows: no rows. Other columns are ignored.
     """
     common.ship(docs.sparkSession)
@@ -165,5 +166,5 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0)
     runs = plan_packing(counts, capacity)
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = tasks.select("length", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
-    ranked = pieces.join(offsets, ["length", "part"]).select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("part_rank") + F.col("before")).alias("rank"))
+    ranked = pieces.join(offsets.hint("merge"), ["length", "part"]).select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("part_rank") + F.col("before")).alias("rank"))
     return ranked.mapInArrow(_place(runs), "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")

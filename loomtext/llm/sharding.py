@@ -68,7 +68,7 @@ class ShardStore:
         return [{"path": f"{folder}/{f.getPath().getName()}", "bytes": f.getLen()} for f in files if f.getPath().getName().startswith("part-")]
 
     def append(self, df: DataFrame, tries: int = 5) -> int:
-        """Write df's partitions as they are, a small shard each, and commit them. No rows: nothing is committed."""
+        """Write df's partitions as they are, a small shard each, and commit them. No rows: a version without new rows, which gives the store its schema."""
         folder = f"data/{uuid.uuid4().hex}"
         df.write.parquet(f"{self.path}/{folder}")
         schema = json.dumps(df.schema.jsonValue())
@@ -94,8 +94,11 @@ class ShardStore:
         """Merge runs of similar size until no tier holds `fanout` shards; with finish, then whatever is small. Returns the version.
 
         A run is read and rewritten by as many tasks as it fills target-sized files, without a shuffle. Each merge is a
-        commit that fails if a shard it read is gone from the newest version; shards appended meanwhile stay.
+        commit that fails if a shard it read is gone from the newest version; shards appended meanwhile stay. Rows are kept as
+        they are: nulls, repeated ones, and files without rows.
         """
+        if fanout < 2 or target < 1:
+            raise ValueError("fanout must be 2 at least and target positive")
         while True:
             runs = self.plan(target, fanout)
             if not runs and finish:
