@@ -171,7 +171,7 @@ def drop_near_duplicates(docs: DataFrame, percent: int = 80, margin: float = 0.0
     """
     row, key, tag = (f"_{n}_{uuid.uuid4().hex}" for n in ("row", "key", "tag"))
     gone = _judged(docs, percent, margin).where("not kept").select(F.col("doc_id").alias(key), F.col("tag").alias(tag)).distinct()
-    mine = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias(row))
+    mine = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(row))
     on = (F.col(f"{row}.doc_id").cast("long") == F.col(key)) & (F.xxhash64(F.col(f"{row}.text").cast("string")) == F.col(tag))
     return mine.join(gone, on, "left_anti").select(f"{row}.*")
 
