@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from loomtext.llm import common, linededup, minhash, packing, rules
 from loomtext.llm.queries import tokenizer_file
@@ -11,13 +10,12 @@ from loomtext.llm.queries import tokenizer_file
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that neither the base rule nor the learned decision list rejects."""
-    return rules.judge(docs, common.table(spark, sf_dir, "labels")).where("kept").select(*docs.columns)
+    return rules.keep(docs, common.table(spark, sf_dir, "labels"))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without lines that stand elsewhere before; those that lose every line with a word go."""
-    out = linededup.dedup_lines(docs).where("n_removed = 0 or n_left > 0")
-    return out.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    return linededup.drop_repeated_lines(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
