@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import common
-from .chunks import ChunkCache, ragged
+from .chunks import LONG, ChunkCache, ragged
 
 SPACE = "▁"
 NONE = np.int64(1 << 40)
@@ -79,7 +79,8 @@ class PieceBpe:
                     if j is not None and j < n and scores[i] > scores[j]:
                         self.single[place[scores[j]]] = True
         self.chunks = ChunkCache(self.merge)
-        self.runs = re.compile(f"{SPACE}+[^{SPACE}]*").findall
+        self.run = re.compile(f"{SPACE}+[^{SPACE}]*")
+        self.runs = self.run.findall
 
     def merge(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of words that each start with the space mark (flat), and their numbers; words is never empty of marks."""
@@ -132,16 +133,17 @@ class PieceBpe:
             symbol, owner = spread, np.repeat(owner, times)
         return symbol.astype(np.int32), np.bincount(owner, minlength=len(words))
 
-    def words(self, text: str | None) -> list[str]:
+    def words(self, text: str | None) -> Iterable[str]:
         if not text:
             return []
-        if text[0] != " " and "  " not in text and SPACE not in text:
+        if len(text) < LONG and text[0] != " " and "  " not in text and SPACE not in text:
             return [SPACE + w for w in text.split(" ")]
-        return self.runs(SPACE + text.replace(" ", SPACE))
+        marked = SPACE + text.replace(" ", SPACE)
+        return self.runs(marked) if len(marked) <= LONG else (m.group() for m in self.run.finditer(marked))
 
     def encode(self, texts: list) -> tuple[np.ndarray, np.ndarray]:
         """(flat ids, number of ids of each text), without begin and end ids."""
-        return self.chunks.encode([self.words(t) for t in texts])
+        return self.chunks.encode(self.words(t) for t in texts)
 
     @property
     def _surfaces(self):

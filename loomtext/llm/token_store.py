@@ -42,7 +42,7 @@ def _encoder(tokenizer: str, end_id: int | None):
     return encode
 
 
-def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int | None = 2, stripe_mb: int = 64, compression: str = "zstd") -> None:
+def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int | None = 2, stripe_mb: int = 16, compression: str = "zstd") -> None:
     """Encode doc_id, text and write ids to ORC at path, a file for each range of doc_id, rows in ascending (doc_id, text
     hash) order within and across files.
 

@@ -78,7 +78,7 @@ class UnigramCounter:
     def _count_many(self, words: list[str]):
         return np.fromiter(map(self.count_word, words), np.int32, len(words)), np.ones(len(words), np.int32)
 
-    def count(self, split_texts: list[list[str]]) -> np.ndarray:
+    def count(self, split_texts) -> np.ndarray:
         flat, counts = self.chunks.encode(split_texts)
         total = np.concatenate([[0], np.cumsum(flat, dtype=np.int64)])
         ends = np.cumsum(counts)
@@ -108,7 +108,7 @@ def count_tokens(docs: DataFrame, model: str) -> DataFrame:
         for whole in batches:
             for b in common.slices(whole, 1):
                 texts = [t or "" for t in b.column(1).to_pylist()]
-                n = counter.count([words(t) for t in texts])
+                n = counter.count(words(t) for t in texts)
                 chars = np.fromiter(map(len, texts), np.int64, len(texts))
                 size = np.fromiter((len(t.encode()) for t in texts), np.int64, len(texts))
                 yield pa.RecordBatch.from_arrays([b.column(0), pa.array(chars), pa.array(size), pa.array(n)], ["doc_id", "n_chars", "n_bytes", "n_tokens"])

@@ -7,7 +7,7 @@ from functools import lru_cache
 
 import numpy as np
 
-from .chunks import ChunkCache
+from .chunks import ChunkCache, byte_chunks
 
 
 def _byte_letters() -> list[str]:
@@ -35,7 +35,7 @@ class WordBpe:
         self.specials = [t["content"].encode() for t in json.load(open(path))["added_tokens"]]
         self.find = re.compile(rb"'(?:s|t|re|ve|m|ll|d)|[a-z]+|[0-9]|[^\sa-z0-9]+").findall
         self.letters = _byte_letters()
-        self.pieces = ChunkCache(self._model, 1_000_000)
+        self.pieces = ChunkCache(self._model, 24 << 20)
         self.chunks = ChunkCache(self._chunks)
 
     def _model(self, pieces: list[bytes]):
@@ -60,7 +60,7 @@ class WordBpe:
 
     def encode(self, texts: list) -> tuple[np.ndarray, np.ndarray]:
         """(flat ids, number of ids of each text); a null text is empty."""
-        return self.chunks.encode([(t or "").encode().split() for t in texts])
+        return self.chunks.encode(byte_chunks((t or "").encode()) for t in texts)
 
 
 @lru_cache(2)

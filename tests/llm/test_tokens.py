@@ -63,6 +63,40 @@ def test_cache_that_overflows():
         assert rows_of(*small.encode(split)) == [bpe.lib.encode(t or "") for t in texts(300, 5)]
 
 
+def test_caches_that_forget_and_long_texts(monkeypatch):
+    from loomtext.llm import chunks
+
+    monkeypatch.setattr(chunks, "BLOCK", 40)
+    monkeypatch.setattr(chunks, "LONG", 64)
+    monkeypatch.setattr(piecebpe, "LONG", 64)
+    all_ = texts(500, 7)
+    bpe, word = piece_bpe(tokenizer_file("piece_bpe_32k.model")), word_bpe(tokenizer_file("word_bpe_49k.json"))
+    for most in (3000, 20_000, 60_000):
+        small = piecebpe.ChunkCache(bpe.merge, most)
+        for _ in range(2):
+            assert rows_of(*small.encode(bpe.words(t) for t in all_)) == [bpe.lib.encode(t or "") for t in all_]
+            assert small.bytes <= most + 40 * 4000
+        small = piecebpe.ChunkCache(word._chunks, most)
+        assert rows_of(*small.encode(chunks.byte_chunks((t or "").encode()) for t in all_)) == [word_ids(t) for t in all_]
+
+
+def test_unigram_counts_are_those_of_sentencepiece():
+    import sentencepiece
+    from sentencepiece import sentencepiece_model_pb2
+
+    path = tokenizer_file("piece_bpe_32k.model")
+    model = sentencepiece_model_pb2.ModelProto()
+    model.ParseFromString(open(path, "rb").read())
+    model.trainer_spec.model_type = 1  # the same pieces and scores, read as a unigram model
+    for piece in model.pieces:  # the library adds 32-bit floats: whole numbers below 2^24 are exact there
+        piece.score = max(piece.score, -40_000.0)
+    library = sentencepiece.SentencePieceProcessor(model_proto=model.SerializeToString())
+    counter = unigram.UnigramCounter([(p.piece, p.score) for p in model.pieces if p.type == 1])
+    words = piece_bpe(path).words
+    all_ = [t for t in texts(3000, 21) if len(t or "") <= 200] + [p.piece[1:] for p in model.pieces if p.type == 1 and p.piece[0] == "▁"]
+    assert counter.count([words(t) for t in all_]).tolist() == [len(library.encode(t or "")) for t in all_]
+
+
 def test_unigram_counts_are_the_library():
     from tokenizers import Tokenizer, models
 
