@@ -16,9 +16,11 @@ _SHIPPED: set[str] = set()
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir. Only where that is unset (tests, local mode) a temporary one."""
+    """The folder all executors share: spark.checkpoint.dir. Where that is unset, a temporary one in local mode (tests), else an error: a cluster's machines don't share theirs."""
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         base = f"file://{os.path.join(tempfile.gettempdir(), 'loomtext-' + spark.sparkContext.applicationId)}"
     return base.rstrip("/")
 
@@ -96,32 +98,33 @@ def slices(batch, column: int, most_bytes: int = 1 << 20):
         start = stop
 
 
-#: Bits of a bitmap for each id, and the least and most of all: 16 MB at most go to all tasks.
-FILTER_EACH, FILTER_LEAST, FILTER_MOST = 16, 1 << 16, 1 << 27
+#: Places of a bitmap for each id, and the least and most of all. Four to a byte, so 16 MB at most go to all tasks.
+FILTER_EACH, FILTER_LEAST, FILTER_MOST = 16, 1 << 16, 1 << 26
 
 
 def flagged(on: Column, ids: DataFrame, column: str) -> Column:
     """Whether `on` (a long hash) may be among the hashes in the column of ids: true for all that are, and for a few others.
 
-    A bitmap of the low bits of the hashes, sized by their number, goes to all tasks; past 4 * FILTER_MOST bits it would
-    hold nearly every place, so then it is true throughout. Callers join with ids afterwards: this only spares them rows.
+    A bitmap of the low bits of the hashes, sized by their number, goes to all tasks; past 4 * FILTER_MOST places it would
+    hold nearly every one, so then it is true throughout. Callers join with ids afterwards: this only spares them rows.
+    It is a binary value: element access to an array from a subquery costs microseconds a row.
     """
     import numpy as np
-    import pyarrow as pa
 
-    bits, wanted = FILTER_LEAST, ids.count() * FILTER_EACH
-    while bits < wanted and bits < FILTER_MOST:
-        bits *= 2
+    places, wanted = FILTER_LEAST, ids.count() * FILTER_EACH
+    while places < wanted and places < FILTER_MOST:
+        places *= 2
     if wanted > 4 * FILTER_MOST:
         return F.lit(True)
-    at = F.col(column).bitwiseAND(F.lit(bits - 1))
-    words = ids.select(at.alias("at")).groupBy(F.shiftright("at", 6).cast("int").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, CAST(at & 63 AS int))")).alias("bits"))
-    bitmap = np.zeros(bits // 64, np.int64)
-    got = words.toArrow()
-    bitmap[got.column("word").to_numpy()] = got.column("bits").to_numpy()
-    held = ids.sparkSession.createDataFrame(pa.table({"bits": pa.array([bitmap], pa.list_(pa.int64()))})).scalar()
-    word = F.get(held, F.shiftright(on.bitwiseAND(F.lit(bits - 1)), 6).cast("int"))
-    return F.call_function("shiftright", word, on.bitwiseAND(F.lit(63)).cast("int")).bitwiseAND(F.lit(1).cast("long")) == 1
+    at = F.col(column).bitwiseAND(F.lit(places - 1))
+    got = ids.select(at.alias("at")).groupBy(F.shiftright("at", 6).cast("int").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, CAST(at & 63 AS int))")).alias("bits")).toArrow()
+    words = np.zeros(places // 64, "<u8")
+    words[got.column("word").to_numpy()] = got.column("bits").to_numpy().view(np.uint64)
+    raw = words.view(np.uint8)
+    held = ids.sparkSession.createDataFrame([(np.stack([raw & 15, raw >> 4], 1).tobytes(),)], "bits binary").scalar()
+    mine = on.bitwiseAND(F.lit(places - 1))
+    byte = F.ascii(F.substring(held, F.shiftright(mine, 2).cast("int") + 1, F.lit(1)).cast("string"))
+    return F.call_function("shiftright", byte, mine.bitwiseAND(F.lit(3)).cast("int")).bitwiseAND(F.lit(1)) == 1
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:

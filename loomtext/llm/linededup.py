@@ -77,9 +77,11 @@ def _keys(rows: DataFrame, words: bool, table: Column, more: list[str]) -> DataF
 _COUNT = "sum(IF(role = 0, 4294967297L, 1L)) AS c"
 
 
-def _live(keys: DataFrame) -> DataFrame:
-    """(key, n) of the keys that a segment and another row have."""
-    return common.materialize(keys.groupBy("key").agg(F.expr(_COUNT)).where("c >= 4294967298 and (c & 4294967295) > 1").select("key", F.expr("c & 4294967295").alias("n")), "livekeys")
+def _live(keys: DataFrame, apart: bool = False) -> DataFrame:
+    """(key, n) of the keys that a segment and another row have; if apart, a row of another component."""
+    both = [F.min("part").alias("lo"), F.max("part").alias("hi")] if apart else [F.lit(0).alias("lo"), F.lit(1).alias("hi")]
+    rows = keys.groupBy("key").agg(F.expr(_COUNT), *both).where("c >= 4294967298 and (c & 4294967295) > 1 and lo <> hi")
+    return common.materialize(rows.select("key", F.expr("c & 4294967295").alias("n")), "livekeys")
 
 
 def _pairs(rows: DataFrame) -> DataFrame:
@@ -90,8 +92,14 @@ def _pairs(rows: DataFrame) -> DataFrame:
     return group.select(F.explode_outer(F.flatten(F.transform(own, pair))).alias("p")).where("p is not null").select("p.a", "p.b")
 
 
-def _joins(seqs: DataFrame, words: bool, threshold: Threshold, group: int) -> DataFrame:
-    """(a, b) of ids, a < b, of the candidates among seqs (id, seq), whose ids are distinct; holds every pair within the threshold, or a chain of pairs that are."""
+def _links(seqs: DataFrame, symbols: DataFrame, words: bool, threshold: Threshold, group: int) -> DataFrame:
+    """(a, b) of ids, a < b, within the threshold, of seqs (id, seq), whose ids are distinct; symbols has (id, seq) as arrays.
+    Holds every such pair, or other pairs that lead from one to the other.
+
+    A group above `group` rows is first compared with its member that stands in most of them. Where its members are then one
+    component nothing is left to find; the others are split again, and parts of them fall away as soon as all their members
+    are of one component.
+    """
     n = F.expr(_size("seq", words))
     classes = threshold.classes()
     inside = [(k, n >= low if high is None else (n >= low) & (n < high)) for k, low, high in classes]
@@ -99,21 +107,35 @@ def _joins(seqs: DataFrame, words: bool, threshold: Threshold, group: int) -> Da
     salted = seqs.select("id", "seq", F.lit(0).cast("long").alias("salt"), F.lit(0).alias("role"))
     made = lambda: _keys(salted, words, first, [])
     live = _live(made())
-    near = made().where(common.flagged(F.col("key"), live, "key")).select("key", "id", "role", "d", "k")
+    # as the element of an array a key is computed once, apart from the filter; else the compiled method grows too large for the JVM's compiler
+    near = made().select(F.explode(F.array("key")).alias("key"), "id", "role", "d", "k").where(common.flagged(F.col("key"), live, "key"))
     near = common.materialize(near.join(live, "key"), "livelines")
-    found = [common.materialize(near.where(F.col("n") <= group).transform(_pairs).distinct(), "linepairs")]
-    hot = live.where(F.col("n") > group).select("key")
+    pairs = near.where(F.col("n") <= group).transform(_pairs)
+    large = near.where(F.col("n") > group).select("key", "id", "role", "d", "k")
+    if large.isEmpty():
+        return _near(common.materialize(pairs.distinct(), "linepairs"), symbols, threshold)
+
+    ordered = lambda x, y: (F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
+    weight = large.groupBy("id").agg(F.count("*").alias("weight"))
+    lead = large.where("role = 0").join(weight, "id").groupBy("key").agg(F.max(F.struct("weight", "id")).alias("l")).select("key", F.col("l.id").alias("lead"))
+    star = large.join(lead, "key").where("id <> lead").select(*ordered("id", "lead"))
+    pairs = common.materialize(pairs.union(star).distinct(), "linepairs")
+    links = _near(pairs, symbols, threshold)
+    place = common.connected_components(links).withColumnRenamed("node", "id")
+    place = common.materialize(large.select("key", "id").join(place, "id", "left").select("key", "id", F.xxhash64(F.coalesce("component", "id")).alias("part")), "hotparts")
+    hot = common.materialize(place.groupBy("key").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo <> hi").select("key"), "hotkeys")
     if hot.isEmpty():
-        return found[0]
+        return links
 
-    large = common.materialize(near.where(F.col("n") > group).select("id").distinct(), "hotids")
+    large = common.materialize(place.join(hot, "key", "left_semi").select("id", "part").distinct(), "hotids")
+    found: list[DataFrame] = []
     most = max(k for k, _, _ in classes)
     tables = F.array(*[_table(_parts(k, d) if d <= k else []) for k in range(most + 1) for d in range(most + 1)])
     mine = F.get(tables, F.col("k") * (most + 1) + F.col("d"))
     rest = "concat(slice(seq, 1, CAST(at AS int)), slice(seq, CAST(at + len AS int) + 1, greatest(size(seq), 1)))" if words else "concat(substring(seq, 1, CAST(at AS int)), substring(seq, CAST(at + len AS int) + 1))"
-    shrunk = lambda rows: rows.join(hot, "key", "left_semi").select("key", "id", "role", "d", "k", F.expr(rest).alias("seq"))
-    some = salted.where(common.flagged(F.col("id.id"), large.select("id.id"), "id")).join(large, "id", "left_semi")
-    state = shrunk(_keys(some, words, first, []))
+    shrunk = lambda rows: rows.join(hot, "key", "left_semi").select("key", "id", "role", "d", "k", F.expr(rest).alias("seq"), "part")
+    some = salted.where(common.flagged(F.col("id.id"), large.select("id.id"), "id")).join(large, "id")
+    state = shrunk(_keys(some, words, first, ["part"]))
     while True:
         state = common.materialize(state.distinct(), "hotstate")
         if state.isEmpty():
@@ -121,25 +143,24 @@ def _joins(seqs: DataFrame, words: bool, threshold: Threshold, group: int) -> Da
         size = F.expr(_size("seq", words))
         short = state.where(size - F.col("d") <= F.col("k"))
         own, other = short.where("d = 0"), short.where("d > 0")
-        low = own.where("role = 0").groupBy("key").agg(F.min("id").alias("a"))
-        found.append(common.materialize(own.join(low, "key").where("a <> id").select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b")).distinct(), "linepairs"))
+        low = own.where("role = 0").groupBy("key").agg(F.min("id").alias("o"))
+        sure = own.union(other.where(size <= F.col("k"))).join(low, "key").where("id <> o").select(*ordered("id", "o"))
         # what remains of a longer one and of a shorter is near only if they share a symbol or are short
-        symbols = (lambda s: s) if words else (lambda s: F.split(s, ""))
-        tokens = lambda df: df.select("key", "id", F.explode_outer(F.array_distinct(symbols(F.col("seq")))).alias("t")).where("t is not null")
-        y = tokens(own.where("role = 0")).withColumnRenamed("id", "o")
-        found.append(common.materialize(tokens(other).join(y, ["key", "t"]).where("id <> o").select(F.least("id", "o").alias("a"), F.greatest("id", "o").alias("b")).distinct(), "linepairs"))
-        few = other.where(size <= F.col("k")).join(low, "key").where("a <> id").select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b"))
-        found.append(common.materialize(few.distinct(), "linepairs"))
+        parts = (lambda s: s) if words else (lambda s: F.split(s, ""))
+        tokens = lambda df: df.select("key", "id", F.explode_outer(F.array_distinct(parts(F.col("seq")))).alias("t")).where("t is not null")
+        shared = tokens(other).join(tokens(own.where("role = 0")).withColumnRenamed("id", "o"), ["key", "t"]).where("id <> o").select(*ordered("id", "o"))
         again = state.where(size - F.col("d") > F.col("k")).withColumnRenamed("key", "salt")
-        rows = _keys(again.withColumn("e0", mine), words, F.col("e0"), [])
-        live = _live(rows)
-        found.append(common.materialize(rows.select("key", "id", "role", "d").join(live.where(F.col("n") <= group), "key").transform(_pairs).distinct(), "linepairs"))
+        rows = _keys(again.withColumn("e0", mine), words, F.col("e0"), ["part"])
+        live = _live(rows, apart=True)
+        few = rows.select("key", "id", "role", "d").join(live.where(F.col("n") <= group), "key").transform(_pairs)
+        found.append(common.materialize(sure.union(shared).union(few).distinct(), "linepairs"))
         hot = live.where(F.col("n") > group).select("key")
         state = shrunk(rows)
-    pairs = found[0]
+    more = found[0]
     for p in found[1:]:
-        pairs = pairs.union(p)
-    return pairs.distinct()
+        more = more.union(p)
+    more = common.materialize(more.distinct().join(pairs, ["a", "b"], "left_anti"), "linepairs")
+    return links.union(_near(more, symbols, threshold))
 
 
 def banded_distance(a: str, b: str, k: str, most: int) -> str:
@@ -147,7 +168,8 @@ def banded_distance(a: str, b: str, k: str, most: int) -> str:
 
     Equal ends are cut off; then a band of 2 k + 1 cells moves down the diagonal, a column of b a step, as the bits of the
     vertical differences (Myers, 1999; Hyyro, 2003). The number kept is that of the band's lowest cell, and of the last row once
-    the band reaches it; when it passes 3 k no cell of the band can lead to k, and steps do nothing.
+    the band reaches it; when it passes 3 k no cell of the band can lead to k, and steps do nothing. Where one symbol is
+    left on a side the distance is known without a walk.
     """
 
     def let(value: str, name: str, body: str) -> str:
@@ -169,7 +191,7 @@ def banded_distance(a: str, b: str, k: str, most: int) -> str:
     step = let(match, "pm", let("((((pm & s.vp) + s.vp) ^ s.vp) | pm | s.vn) & mask", "d", cell))
     start = f"named_struct('vp', mask & ~(shiftleft(1L, q) - 1L), 'vn', 0L, 's', least(size({pattern}), q))"
     walk = let("shiftleft(1L, 2 * q + 1) - 1L", "mask", f"aggregate(sequence(1, size({column})), {start}, (s, j) -> IF(s.s > 3 * q, s, {step}), s -> s.s)")
-    body = f"CASE WHEN size({pattern}) = 0 OR size({column}) = 0 THEN size({pattern}) + size({column}) WHEN q = 0 OR abs(size({pattern}) - size({column})) > q THEN q + 1 ELSE {walk} END"
+    body = f"CASE WHEN size({pattern}) = 0 OR size({column}) = 0 THEN size({pattern}) + size({column}) WHEN q = 0 OR abs(size({pattern}) - size({column})) > q THEN q + 1 WHEN size({pattern}) = 1 OR size({column}) = 1 THEN greatest(size({pattern}), size({column})) - CAST(array_contains({pattern}, get({column}, 0)) OR array_contains({column}, get({pattern}, 0)) AS int) ELSE {walk} END"
     return let(f"CAST({k} AS int)", "q", trimmed(a, b, "r1", trimmed("r1.x", "r1.y", "r2", body)))
 
 
@@ -180,19 +202,19 @@ def _near(pairs: DataFrame, seqs: DataFrame, threshold: Threshold) -> DataFrame:
     x, y = held.select(F.col("id").alias("a"), F.col("seq").alias("sa")), held.select(F.col("id").alias("b"), F.col("seq").alias("sb"))
     k = threshold.column(F.least(F.size("sa"), F.size("sb")))
     rows = pairs.join(x, "a").join(y, "b").withColumn("k", k).where(F.abs(F.size("sa") - F.size("sb")) <= F.col("k"))
-    return common.materialize(rows.where(F.expr(banded_distance("sa", "sb", "k", threshold.most)) <= F.col("k")).select("a", "b"), "linelinks")
+    return common.materialize(rows.where(F.expr(banded_distance("sa", "sb", "k", threshold.most)) <= F.col("k")).select("a", "b"), "nearlines")
 
 
 def sequence_links(seqs: DataFrame, words: bool, threshold: Threshold, group: int = GROUP) -> DataFrame:
     """(a, b) of ids of sequences within the threshold, a < b; seqs has id, a struct of two longs, and seq: an array of
     integers if words, else a string, whose symbols are its characters. Ids are distinct.
 
-    Between sequences that differ by k symbols at most once all shared segments are taken away, a chain is returned in
-    place of all pairs: they reach one another, no link is lost.
+    Of groups of many that are near one another, pairs with one member or a chain are returned in place of all pairs: they
+    reach one another, no link is lost.
     """
     with common.scratch(seqs.sparkSession) as keep:
-        pairs = _joins(seqs, words, threshold, group)
-        links = _near(pairs, seqs if words else seqs.select("id", F.transform(F.split("seq", ""), lambda c: F.hash(c)).alias("seq")), threshold)
+        symbols = seqs if words else seqs.select("id", F.transform(F.split("seq", ""), lambda c: F.hash(c)).alias("seq"))
+        links = common.materialize(_links(seqs, symbols, words, threshold, group), "linelinks")
         keep.append(links)
     return links
 
@@ -229,6 +251,19 @@ def dedup_lines(docs: DataFrame, k: int = 1, each_chars: int = 24, changed: int
     taken = {c.lower() for c in docs.columns} & {"n_lines", "n_removed", "n_left"}
     if taken:
         raise ValueError(f"docs already has the columns {sorted(taken)}")
+    rows, row = _without_repeats(docs, k, each_chars, changed, each_words)
+    return rows.select(*[F.col("new").alias(c) if c == "text" else F.col(f"{row}.`{c}`") for c in docs.columns], "n_lines", "n_removed", "n_left")
+
+
+def drop_repeated_lines(docs: DataFrame, k: int = 1, each_chars: int = 24, changed: int = 3, each_words: int = 10) -> DataFrame:
+    """docs, with its columns, after `dedup_lines`: documents that lose every line with a word go, and n_chars, where there is one, is that of the new text. A null text stays."""
+    rows, row = _without_repeats(docs, k, each_chars, changed, each_words)
+    own = {"text": F.col("new"), "n_chars": F.length("new").cast("long")}
+    return rows.where("n_removed = 0 or n_left > 0").select(*[own.get(c, F.col(f"{row}.`{c}`")).alias(c) for c in docs.columns])
+
+
+def _without_repeats(docs: DataFrame, k: int, each_chars: int, changed: int, each_words: int) -> tuple[DataFrame, str]:
+    """A struct of docs' columns, `new` (text) and the counts; the struct's name."""
     text = F.col("text").cast("string")
     base = docs.select(F.col("doc_id").cast("long").alias("doc"), F.xxhash64(text).alias("tag"), text.alias("text")).where("text is not null")
     with common.scratch(docs.sparkSession) as keep:
@@ -249,7 +284,7 @@ def dedup_lines(docs: DataFrame, k: int = 1, each_chars: int = 24, changed: int
         F.coalesce(F.size("lost"), F.lit(0)).cast("long").alias("n_removed"),
         F.when(none, 0).otherwise(worded).cast("long").alias("n_left"),
     ]
-    return rows.select(*[F.col("new").alias(c) if c == "text" else F.col(f"{held}.`{c}`") for c in docs.columns], *counts)
+    return rows.select(held, "new", *counts), held
 
 
 def _classes(base: DataFrame, k: int, each_chars: int, changed: int, each_words: int) -> tuple[DataFrame, DataFrame]:
