@@ -183,15 +183,20 @@ def banded_distance(a: str, b: str, k: str, most: int) -> str:
         return let(let(first, "p0", f"named_struct('x', {rest(x)}, 'y', {rest(y)})"), r, body)
 
     pattern, column = "r2.x", "r2.y"
-    match = " + ".join(f"IF({t} <= 2 * q AND j - q + {t - 1} >= 0 AND j - q + {t - 1} < size({pattern}), IF(get({pattern}, j - q + {t - 1}) = get({column}, j - 1), {1 << t}L, 0L), 0L)" for t in range(2 * most + 1))
-    up, down = "((~(d | s.vp) | s.vn) & mask)", "(d & s.vp)"
-    last = f"size({pattern}) - j + q"
-    score = f"s.s + IF(j + q <= size({pattern}), 1 - CAST(shiftright(d, 2 * q) & 1L AS int), CAST(shiftright({up}, {last}) & 1L AS int) - CAST(shiftright({down}, {last}) & 1L AS int))"
-    cell = f"named_struct('vp', ({down} | ~(shiftright(d, 1) | {up})) & mask, 'vn', {up} & shiftright(d, 1), 's', {score})"
-    step = let(match, "pm", let("((((pm & s.vp) + s.vp) ^ s.vp) | pm | s.vn) & mask", "d", cell))
-    start = f"named_struct('vp', mask & ~(shiftleft(1L, q) - 1L), 'vn', 0L, 's', least(size({pattern}), q))"
-    walk = let("shiftleft(1L, 2 * q + 1) - 1L", "mask", f"aggregate(sequence(1, size({column})), {start}, (s, j) -> IF(s.s > 3 * q, s, {step}), s -> s.s)")
-    body = f"CASE WHEN size({pattern}) = 0 OR size({column}) = 0 THEN size({pattern}) + size({column}) WHEN q = 0 OR abs(size({pattern}) - size({column})) > q THEN q + 1 WHEN size({pattern}) = 1 OR size({column}) = 1 THEN greatest(size({pattern}), size({column})) - CAST(array_contains({pattern}, get({column}, 0)) OR array_contains({column}, get({pattern}, 0)) AS int) ELSE {walk} END"
+
+    def walk(q: int) -> str:
+        """The walk with a band of q to each side; `get` is null outside the pattern."""
+        mask = (1 << (2 * q + 1)) - 1
+        match = " + ".join(f"IF(get({pattern}, s.j + {t - q}) = c, {1 << t}L, 0L)" for t in range(2 * q + 1))
+        up, down = f"((~(d | s.vp) | s.vn) & {mask}L)", "(d & s.vp)"
+        low = f"IF(s.j + {q} < s.n, 1 - CAST(shiftright(d, {2 * q}) & 1L AS int), CAST(shiftright({up}, s.n - s.j + {q - 1}) & 1L AS int) - CAST(shiftright({down}, s.n - s.j + {q - 1}) & 1L AS int))"
+        cell = f"named_struct('vp', ({down} | ~(shiftright(d, 1) | {up})) & {mask}L, 'vn', {up} & shiftright(d, 1), 's', s.s + {low}, 'j', s.j + 1, 'n', s.n)"
+        step = let(match, "pm", let(f"((((pm & s.vp) + s.vp) ^ s.vp) | pm | s.vn) & {mask}L", "d", cell))
+        start = f"named_struct('vp', {mask & ~((1 << q) - 1)}L, 'vn', 0L, 's', least(size({pattern}), {q}), 'j', 0, 'n', size({pattern}))"
+        return f"aggregate({column}, {start}, (s, c) -> IF(s.s > {3 * q}, s, {step}), s -> s.s)"
+
+    walks = "CASE q " + " ".join(f"WHEN {q} THEN {walk(q)}" for q in range(1, most + 1)) + " END"
+    body = f"CASE WHEN size({pattern}) = 0 OR size({column}) = 0 THEN size({pattern}) + size({column}) WHEN q = 0 OR abs(size({pattern}) - size({column})) > q THEN q + 1 WHEN size({pattern}) = 1 OR size({column}) = 1 THEN greatest(size({pattern}), size({column})) - CAST(array_contains({pattern}, get({column}, 0)) OR array_contains({column}, get({pattern}, 0)) AS int) ELSE {walks} END"
     return let(f"CAST({k} AS int)", "q", trimmed(a, b, "r1", trimmed("r1.x", "r1.y", "r2", body)))
 
 
