@@ -57,6 +57,14 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     return out
 
 
+def drop(df: DataFrame) -> None:
+    """Delete a table that `materialize` made."""
+    path = df.loomtext_path
+    p = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(p, True)
+    _MADE.remove(path)
+
+
 @contextmanager
 def scratch(spark: SparkSession):
     """Deletes the tables made inside when left, but for those put into the yielded list: what a returned plan still reads."""

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from . import chat, common, imatch, linededup, minhash, packing, piecebpe, rules, token_store, unigram
+from . import centroids, chat, common, imatch, linededup, minhash, packing, piecebpe, rules, simhash, token_store, unigram, whitening
 from .sharding import ShardStore
 
 
@@ -84,6 +84,18 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piecebpe.round_trip_digests(common.table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(common.table(spark, sf_dir, "embeddings"), components=16)
+
+
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(common.table(spark, sf_dir, "embeddings"), k=40, rounds=5)
+
+
+def op13_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(common.table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -102,6 +114,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_token_counts,
         op9_quality_rules,
         op10_sentencepiece,
+        op11_embedding_whitening,
+        op12_centroid_clustering,
+        op13_simhash_near_dedup,
         pipeline,
     )
     return {f.__name__: f for f in own}
