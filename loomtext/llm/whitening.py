@@ -132,17 +132,17 @@ def block_lanczos(multiply: Callable[[np.ndarray], np.ndarray], trace: Callable[
             break
         for _ in range(2):
             w = w - basis @ (basis.T @ w)
-        u, s, vt = np.linalg.svd(w, full_matrices=False)
+        u, s, _ = np.linalg.svd(w, full_matrices=False)
         scale = max(abs(values[0]), np.finfo(float).tiny)
         alive = min(int((s > 1e-13 * scale).sum()), left)
-        coupling = s[:alive, None] * vt[:alive]
+        q = u[:, :alive]
+        for _ in range(2):  # a small rest is mostly rounding, and then not orthogonal yet
+            q = np.linalg.qr(q - basis @ (basis.T @ q))[0]
+        coupling = q.T @ w
         broken |= alive < min(b, left)
         residual = np.linalg.norm(coupling @ at[m:, :wanted], axis=0).max(initial=0)
         if basis.shape[1] >= wanted and residual <= tolerance * scale and (not broken or trace() - np.trace(small) <= max(values[wanted - 1], 1e-13 * scale * d)):
             break
-        q = u[:, :alive]
-        for _ in range(2):  # a small rest is mostly rounding, and then not orthogonal yet
-            q = np.linalg.qr(q - basis @ (basis.T @ q))[0]
         if alive < min(b, left):
             q = np.concatenate([q, _fresh(np.concatenate([basis, q], axis=1), min(b, left) - alive, rng)], axis=1)
         grown = np.pad(small, ((0, q.shape[1]),) * 2)
