@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources import schema as S
+from ..sources.textfiles import write_text_files
 
 
 def export_rows(df: DataFrame) -> DataFrame:
@@ -24,45 +23,11 @@ def export_rows(df: DataFrame) -> DataFrame:
     return files.select("side", "page_id", F.concat("page_id", F.lit("_"), "side", F.lit(".txt")).alias("name"), F.concat(head, "text").alias("content"))
 
 
-def safe_name(name: str) -> str:
-    if "/" in name or "\\" in name or "\0" in name or ".." in name:
-        raise ValueError(f"unsafe file name: {name!r}")
-    return name
-
-
 def export_text(df: DataFrame, official_dir: str = "data/parsed_export", clone_dir: str | None = None) -> int:
-    """Write the files of `export_rows` into folders that all executors share; returns how many were written.
+    """Write the files of `export_rows` into folders of any file system that `sources.textfiles` opens; returns how many were written.
 
-    A file that is there already is left as it is, so a rerun writes nothing. Each file is written beside its place and
-    linked to it, so a lost task leaves no part of one and a second attempt changes nothing. Local and mounted folders
-    only, as for the tool it stands for; a page_id that would leave the folder is an error.
+    A file that is there already is left as it is, so a rerun writes nothing. Files appear when all tasks have ended well; a
+    lost task leaves no part of one. A page_id that would leave the folder is an error.
     """
-    folders = {"official": official_dir, "clone": clone_dir or official_dir}
-
-    def write(parts: Iterator) -> Iterator:
-        import os
-        import uuid
-
-        import pandas as pd
-
-        for folder in set(folders.values()):
-            os.makedirs(folder, exist_ok=True)
-        for part in parts:
-            made = 0
-            for side, name, content in zip(part["side"], part["name"], part["content"], strict=True):
-                target = os.path.join(folders[side], safe_name(name))
-                if os.path.exists(target):
-                    continue
-                waiting = os.path.join(folders[side], f".{uuid.uuid4().hex}")
-                with open(waiting, "w", encoding="utf-8", newline="") as f:
-                    f.write(content)
-                try:
-                    os.link(waiting, target)
-                    made += 1
-                except FileExistsError:
-                    pass
-                finally:
-                    os.unlink(waiting)
-            yield pd.DataFrame({"made": [made]})
-
-    return export_rows(df).mapInPandas(write, "made long").agg(F.coalesce(F.sum("made"), F.lit(0))).first()[0]
+    rows = export_rows(df).select(F.when(F.col("side") == "official", 0).otherwise(1).alias("folder"), "name", "content")
+    return write_text_files(rows, [official_dir, clone_dir or official_dir])

@@ -153,23 +153,23 @@ def _no_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _export_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What the files of two exports into one folder hold; the second finds all of them and writes none."""
+    """What the files of two exports into one folder, by a path of Hadoop's, hold; the second finds all of them and writes none."""
     folder = _shared_folder(spark) + "/export-" + uuid.uuid4().hex
     df = _read(spark, sf_dir, "supplier").select(F.expr("CAST(s_suppkey AS string)").alias("page_id"), F.col("s_name").alias("page_title"), F.expr("s_name || chr(10) || 'o'").alias("official_text_paragraphs"), F.expr("CASE WHEN s_suppkey % 3 = 0 THEN NULL ELSE 'c' END").alias("clone_text_paragraphs"))
     texts = ("official_text_paragraphs", "clone_text_paragraphs")
     written = [export_text(df.select("page_id", "page_title", *[F.concat(c, F.lit(again)).alias(c) for c in texts]), folder) for again in ("", " again")]
-    files = spark.read.text(f"file://{folder}", wholetext=True).select(F.element_at(F.split(F.input_file_name(), "/"), -1).alias("name"), F.col("value").alias("content"))
+    files = spark.read.text(folder, wholetext=True).select(F.element_at(F.split(F.input_file_name(), "/"), -1).alias("name"), F.col("value").alias("content"))
     return files.select("name", "content", F.lit(written[1]).cast("long").alias("written_again"))
 
 
 def _shared_folder(spark: SparkSession) -> str:
-    """A mounted folder that all executors see: spark.checkpoint.dir; a temporary one in local mode where that is unset."""
+    """A folder that all executors see: spark.checkpoint.dir; a temporary one in local mode where that is unset."""
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if base:
-        return base.removeprefix("file://").rstrip("/")
+        return base.rstrip("/")
     if spark.sparkContext.master.split("[")[0] != "local":
         raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-    return tempfile.mkdtemp(prefix="loomtext-")
+    return f"file:{tempfile.mkdtemp(prefix='loomtext-')}"
 
 
 def _skip_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
