@@ -33,8 +33,8 @@ def parse_wikitext(df: DataFrame, columns: dict[str, str], skip_lists: bool = Fa
     return parts.select(*[quoted(c) for c in df.columns], *[done[n].alias(to) for n, to in columns.items()])
 
 
-def parse_dual(df: DataFrame, skip_lists: bool = False, timeout: int = 30) -> DataFrame:
-    """The seven-column table of two versions of a page: both texts parsed, other columns as they are, extra columns dropped."""
+def parse_dual(df: DataFrame, skip_lists: bool = False, timeout: int = 30, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The seven-column table of two versions of a page: both texts parsed, other columns as they are, extra columns dropped but for those in `keep`, which come last."""
     S.check_dual(df.schema)
     parts, done = _parse_columns(df, ["official_text", "clone_text"], skip_lists, timeout)
     return parts.select(
@@ -45,6 +45,7 @@ def parse_dual(df: DataFrame, skip_lists: bool = False, timeout: int = 30) -> Da
         "clone_page_title",
         done["clone_text"].alias("clone_text_paragraphs"),
         "clone_timestamp",
+        *map(quoted, keep),
     )
 
 

@@ -6,7 +6,6 @@ markup is parsed, the equivalent SQL builds the expected text from the same colu
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 from functools import partial
@@ -20,7 +19,9 @@ from ..operators.export import export_rows, export_text
 from ..operators.lookup import lookup_article
 from ..operators.parse import clean, parse_dual, parse_single, parse_wikitext
 from ..streaming.incremental import pending_files
+from . import file_queries
 from .pipeline import parse_then_clean
+from .shared import read, shared_folder
 
 NL, NL2 = "chr(10)", "chr(10) || chr(10)"
 
@@ -83,12 +84,8 @@ _NUMBER = "'{{num|' || o_orderkey || '}} {{num|4,2}}'"
 _SECTIONS = f"'A' || {NL2} || 'Ссылки' || {NL2} || CASE WHEN p_size % 3 = 0 THEN p_name WHEN p_size % 3 = 1 THEN 'Категория:' || p_brand ELSE 'Литература' || {NL2} || '  ' END || {NL2} || 'См. также'"
 
 
-def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
 def _built(spark: SparkSession, sf_dir: str, table: str, key: str, text: str) -> DataFrame:
-    return _read(spark, sf_dir, table).select(F.col(key).alias("id"), F.expr(text).alias("source_text"))
+    return read(spark, sf_dir, table).select(F.col(key).alias("id"), F.expr(text).alias("source_text"))
 
 
 def _extract(spark: SparkSession, sf_dir: str, *, table: str, key: str, text: str, skip_lists: bool = False) -> DataFrame:
@@ -101,7 +98,7 @@ def _apply(spark: SparkSession, sf_dir: str, *, table: str, key: str, text: str,
 
 
 def _dual(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part, supplier = _read(spark, sf_dir, "part"), _read(spark, sf_dir, "supplier")
+    part, supplier = read(spark, sf_dir, "part"), read(spark, sf_dir, "supplier")
     return part.join(supplier, F.expr("p_partkey = s_suppkey"), "left").select(
         F.expr("CAST(p_partkey AS string)").alias("page_id"),
         F.col("p_name").alias("page_title"),
@@ -129,7 +126,7 @@ def _parse_dual(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _single_rows(spark: SparkSession, sf_dir: str, names: tuple[str, str, str]) -> DataFrame:
     page, title, text = names
-    return _read(spark, sf_dir, "part").select(
+    return read(spark, sf_dir, "part").select(
         F.expr("CAST(p_partkey AS string)").alias(page), F.col("p_name").alias(title), F.expr("'''''''' || p_name || ''''''' [[x|' || p_type || ']]' || chr(10) || '* ' || p_brand").alias(text), F.col("p_size").alias("timestamp")
     )
 
@@ -144,7 +141,7 @@ def _parse_ruwiki(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _detected(spark: SparkSession, sf_dir: str, names: tuple[str, ...]) -> DataFrame:
     """No text column is named: the first known name, else the first that contains "text", is found and parsed; the others stay."""
-    return parse_single(_read(spark, sf_dir, "orders").select("o_orderkey", *[F.expr(f"'[[{i}|' || o_orderpriority || ']]'").alias(n) for i, n in enumerate(names)]))
+    return parse_single(read(spark, sf_dir, "orders").select("o_orderkey", *[F.expr(f"'[[{i}|' || o_orderpriority || ']]'").alias(n) for i, n in enumerate(names)]))
 
 
 def _no_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -154,35 +151,25 @@ def _no_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _export_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the files of two exports into one folder, by a path of Hadoop's, hold; the second finds all of them and writes none."""
-    folder = _shared_folder(spark) + "/export-" + uuid.uuid4().hex
-    df = _read(spark, sf_dir, "supplier").select(F.expr("CAST(s_suppkey AS string)").alias("page_id"), F.col("s_name").alias("page_title"), F.expr("s_name || chr(10) || 'o'").alias("official_text_paragraphs"), F.expr("CASE WHEN s_suppkey % 3 = 0 THEN NULL ELSE 'c' END").alias("clone_text_paragraphs"))
+    folder = shared_folder(spark) + "/export-" + uuid.uuid4().hex
+    df = read(spark, sf_dir, "supplier").select(F.expr("CAST(s_suppkey AS string)").alias("page_id"), F.col("s_name").alias("page_title"), F.expr("s_name || chr(10) || 'o'").alias("official_text_paragraphs"), F.expr("CASE WHEN s_suppkey % 3 = 0 THEN NULL ELSE 'c' END").alias("clone_text_paragraphs"))
     texts = ("official_text_paragraphs", "clone_text_paragraphs")
     written = [export_text(df.select("page_id", "page_title", *[F.concat(c, F.lit(again)).alias(c) for c in texts]), folder) for again in ("", " again")]
     files = spark.read.text(folder, wholetext=True).select(F.element_at(F.split(F.input_file_name(), "/"), -1).alias("name"), F.col("value").alias("content"))
     return files.select("name", "content", F.lit(written[1]).cast("long").alias("written_again"))
 
 
-def _shared_folder(spark: SparkSession) -> str:
-    """A folder that all executors see: spark.checkpoint.dir; a temporary one in local mode where that is unset."""
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if base:
-        return base.rstrip("/")
-    if spark.sparkContext.master.split("[")[0] != "local":
-        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-    return f"file:{tempfile.mkdtemp(prefix='loomtext-')}"
-
-
 def _skip_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_single(_single_rows(spark, sf_dir, ("page_id", "page_title", "text")), skip_lists=True)
 
 
 def _clean_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = _read(spark, sf_dir, "nation").select("n_nationkey", F.expr("n_name || '{{x}}'").alias("a_parsed"), F.expr("n_name || '{x'").alias("b_paragraphs"), F.expr("n_name || '{x'").alias("c"))
+    df = read(spark, sf_dir, "nation").select("n_nationkey", F.expr("n_name || '{{x}}'").alias("a_parsed"), F.expr("n_name || '{x'").alias("b_paragraphs"), F.expr("n_name || '{x'").alias("c"))
     return clean(df)
 
 
 def _paragraph_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    turns = _read(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "text"))).alias("t"))
+    turns = read(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "text"))).alias("t"))
     text = F.array_join(F.transform("t", lambda t: F.concat(F.lit(" "), t["text"], F.lit("\t"))), "\n\n\n\n")
     parts = X.paragraphs(text)
     return turns.select("conv_id", F.size(parts).cast("long").alias("n"), X.join_paragraphs(parts).alias("text"))
@@ -190,7 +177,7 @@ def _paragraph_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _documents_plain(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Constant markup around `lang` through both phases; whole texts go through parse_document_texts."""
-    docs = _read(spark, sf_dir, "documents").select("doc_id", F.expr("'x [[y|' || lang || ']] z'").alias("body_text"))
+    docs = read(spark, sf_dir, "documents").select("doc_id", F.expr("'x [[y|' || lang || ']] z'").alias("body_text"))
     return clean(parse_single(docs, text_column="body_text"))
 
 
@@ -202,7 +189,7 @@ ARTICLE = (
 
 def document_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's whole text, in markup, through both phases."""
-    docs = _read(spark, sf_dir, "documents").select("doc_id", F.expr(ARTICLE).alias("body_text"))
+    docs = read(spark, sf_dir, "documents").select("doc_id", F.expr(ARTICLE).alias("body_text"))
     return parse_then_clean(docs, "single", "body_text")
 
 
@@ -215,11 +202,11 @@ def _timeouts(spark: SparkSession, sf_dir: str) -> DataFrame:
         return text
 
     run = extract_udf(timeout=1, work=never)
-    return _read(spark, sf_dir, "region").select("r_regionkey", X.clean_text(run(F.col("r_name"))).alias("text"))
+    return read(spark, sf_dir, "region").select("r_regionkey", X.clean_text(run(F.col("r_name"))).alias("text"))
 
 
 def _export_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = _read(spark, sf_dir, "part").select(
+    df = read(spark, sf_dir, "part").select(
         F.expr("CASE WHEN p_partkey % 10 = 0 THEN NULL ELSE CAST(p_partkey AS string) END").alias("page_id"),
         F.expr("CASE WHEN p_partkey % 4 = 0 THEN NULL ELSE p_name END").alias("page_title"),
         F.expr("CASE WHEN p_partkey % 3 = 0 THEN NULL ELSE p_type END").alias("official_text_paragraphs"),
@@ -230,11 +217,11 @@ def _export_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lookup_article(_read(spark, sf_dir, "documents"), 7, "doc_id", ("text", "lang"))
+    return lookup_article(read(spark, sf_dir, "documents"), 7, "doc_id", ("text", "lang"))
 
 
 def _pending(spark: SparkSession, sf_dir: str) -> DataFrame:
-    listed = _read(spark, sf_dir, "region").select(F.col("r_name").alias("name"))
+    listed = read(spark, sf_dir, "region").select(F.col("r_name").alias("name"))
     return pending_files(listed.where("name < 'B'"), listed)
 
 
@@ -263,7 +250,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         out[name] = partial(_apply, table=table, key=key, text=text, rule=X.clean_text)
     for name, (table, key, text, rule) in RULES.items():
         out[name] = partial(_apply, table=table, key=key, text=text, rule=rule)
-    return out | {
+    return out | file_queries.queries() | {
         "parse_dual": _parse_dual,
         "parse_single": _parse_single,
         "parse_ruwiki": _parse_ruwiki,
@@ -386,4 +373,4 @@ def oracle_sql() -> dict[str, str]:
     shown = lambda t: f"length(coalesce({t}, 'None')) AS {t}_length, substr(coalesce({t}, 'None'), 1, 5000) AS {t}_preview, length(coalesce({t}, 'None')) > 5000 AS {t}_truncated"
     out["lookup_article"] = f"SELECT doc_id, {shown('text')}, {shown('lang')} FROM documents WHERE doc_id = 7 LIMIT 1"
     out["resume_pending_files"] = "SELECT r_name AS name FROM region WHERE NOT r_name < 'B'"
-    return out
+    return out | file_queries.oracle_sql()
