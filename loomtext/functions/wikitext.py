@@ -55,14 +55,24 @@ def _entity(name: str) -> bool:
     return 0 < code < 0x110000 and not 0xD800 <= code < 0xE000
 
 
+class OutOfSteps(Exception):
+    """A text took more steps than it may: markup tokens, brackets of links and lines, so the same ones on every machine."""
+
+
 class _Document:
-    def __init__(self, text: str, skip_lists: bool):
+    def __init__(self, text: str, skip_lists: bool, steps: int | None = None):
         self.skip_lists = skip_lists
+        self.left = -1 if steps is None else steps
         marks = (chr(c) for c in range(0xF0000, 0xF0000 + len(text) + 3) if chr(c) not in text)
         self.drop, self.keep = next(marks), next(marks)
         self.kept: list[str] = []
         self._pointer = re.compile(f"{self.keep}([0-9]+){self.keep}")
 
+    def step(self) -> None:
+        if self.left == 0:
+            raise OutOfSteps
+        self.left -= 1
+
     def hold(self, text: str) -> str:
         if not text:
             return self.drop
@@ -86,6 +96,7 @@ class _Document:
             m = _TOKEN.search(text, at)
             if m is None:
                 break
+            self.step()
             out.append(text[at : m.start()])
             at, token = m.end(), m[0]
             if token == "<!--":
@@ -174,6 +185,7 @@ class _Document:
         out: list[str] = []
         at = 0
         for m in _BRACKETS.finditer(text):
+            self.step()
             out.append(text[at : m.start()])
             at = m.end()
             if m[0] == "[[":
@@ -222,6 +234,7 @@ class _Document:
         while i < len(lines):
             line = lines[i]
             i += 1
+            self.step()
             if not line.strip(" \t"):
                 if i < len(lines) or i == 1:  # a last empty line ends no paragraph
                     shown = "".join(now).strip(SPACE)
@@ -244,6 +257,7 @@ class _Document:
             if kind in "*#:;":
                 items = [line]
                 while i < len(lines) and lines[i][:1] and lines[i][0] in "*#:;":
+                    self.step()
                     items.append(lines[i])
                     i += 1
                 if not self.skip_lists:
@@ -253,6 +267,7 @@ class _Document:
             if kind == " ":
                 own = [line[1:]]
                 while i < len(lines) and lines[i][:1] == " " and lines[i].strip(" \t"):
+                    self.step()
                     own.append(lines[i][1:])
                     i += 1
                 now.append(inline("\n".join(own)).strip(SPACE))
@@ -299,12 +314,12 @@ class _Document:
         return "".join(out)
 
 
-def extract(text: str, skip_lists: bool = False) -> str:
-    """Text of a whole document's markup: paragraphs trimmed and parted by an empty line."""
+def extract(text: str, skip_lists: bool = False, steps: int | None = None) -> str:
+    """Text of a whole document's markup: paragraphs trimmed and parted by an empty line. OutOfSteps where `steps` are given and don't suffice; text without markup takes none."""
     if not _PLAIN.search(text):
         return "\n\n".join(p for p in (x.strip(SPACE) for x in _BLANK.split(text)) if p)
     m = _REDIRECT.match(text)
     if m:
         text = text[m.end() :]
-    doc = _Document(text, skip_lists)
+    doc = _Document(text, skip_lists, steps)
     return doc.blocks(doc.brackets(text))

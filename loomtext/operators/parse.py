@@ -2,41 +2,44 @@
 
 from __future__ import annotations
 
+import uuid
 import warnings
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import expressions as X
-from ..functions.udf import extract_udf
+from ..functions.udf import extract_udf, skipped
 from ..sources import schema as S
 
+
 def quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-def _parse_columns(df: DataFrame, names: list[str], skip_lists: bool, timeout: int) -> tuple[DataFrame, dict[str, Column]]:
+def _parse_columns(df: DataFrame, names: list[str], skip_lists: bool, timeout: int, steps: int | None) -> tuple[DataFrame, dict[str, Column]]:
     """df with paragraph arrays for the named columns, and the final text of each; the markup parser runs once for all of them."""
-    run = extract_udf(skip_lists, timeout)
-    at = {n: f"__{i}" for i, n in enumerate(names)}
-    raw = df.select("*", *[run(quoted(n)).alias(f"__raw{a}") for n, a in at.items()])
-    text = lambda a: X.collapse_newlines(X.remove_images(X.expand_templates(F.col(f"__raw{a}"))))
-    parts = raw.select("*", *[X.paragraphs(text(a)).alias(f"__parts{a}") for a in at.values()])
-    late = F.lit(f"[Article skipped: parsing timeout after {timeout} seconds]")
-    done = {n: F.when(F.col(f"__raw{a}") == late, late).otherwise(X.join_paragraphs(X.drop_empty_sections(F.col(f"__parts{a}")))) for n, a in at.items()}
+    run = extract_udf(skip_lists, timeout, steps=steps)
+    own = uuid.uuid4().hex  # no input column has such a name
+    at = {n: f"{own}_{i}" for i, n in enumerate(names)}
+    raw = df.select("*", *[run(quoted(n)).alias(f"raw_{a}") for n, a in at.items()])
+    text = lambda a: X.collapse_newlines(X.remove_images(X.expand_templates(F.col(f"raw_{a}"))))
+    parts = raw.select("*", *[X.paragraphs(text(a)).alias(f"parts_{a}") for a in at.values()])
+    late = F.lit(skipped(timeout))
+    done = {n: F.when(F.col(f"raw_{a}") == late, late).otherwise(X.join_paragraphs(X.drop_empty_sections(F.col(f"parts_{a}")))) for n, a in at.items()}
     return parts, done
 
 
-def parse_wikitext(df: DataFrame, columns: dict[str, str], skip_lists: bool = False, timeout: int = 30) -> DataFrame:
+def parse_wikitext(df: DataFrame, columns: dict[str, str], skip_lists: bool = False, timeout: int = 30, steps: int | None = None) -> DataFrame:
     """df with new string columns: columns maps a markup column to the name of its text."""
-    parts, done = _parse_columns(df, list(columns), skip_lists, timeout)
+    parts, done = _parse_columns(df, list(columns), skip_lists, timeout, steps)
     return parts.select(*[quoted(c) for c in df.columns], *[done[n].alias(to) for n, to in columns.items()])
 
 
-def parse_dual(df: DataFrame, skip_lists: bool = False, timeout: int = 30, keep: tuple[str, ...] = ()) -> DataFrame:
+def parse_dual(df: DataFrame, skip_lists: bool = False, timeout: int = 30, keep: tuple[str, ...] = (), steps: int | None = None) -> DataFrame:
     """The seven-column table of two versions of a page: both texts parsed, other columns as they are, extra columns dropped but for those in `keep`, which come last."""
     S.check_dual(df.schema)
-    parts, done = _parse_columns(df, ["official_text", "clone_text"], skip_lists, timeout)
+    parts, done = _parse_columns(df, ["official_text", "clone_text"], skip_lists, timeout, steps)
     return parts.select(
         "page_id",
         "page_title",
@@ -49,12 +52,12 @@ def parse_dual(df: DataFrame, skip_lists: bool = False, timeout: int = 30, keep:
     )
 
 
-def parse_single(df: DataFrame, text_column: str | None = None, skip_lists: bool = False, timeout: int = 30) -> DataFrame:
+def parse_single(df: DataFrame, text_column: str | None = None, skip_lists: bool = False, timeout: int = 30, steps: int | None = None) -> DataFrame:
     """All columns in order, the given or detected text column replaced by `<name>_parsed`."""
     name = S.resolve_text_column(df.schema, text_column)
     if f"{name}_parsed" in df.columns:
         raise ValueError(f"the input already has a column {name}_parsed")
-    parts, done = _parse_columns(df, [name], skip_lists, timeout)
+    parts, done = _parse_columns(df, [name], skip_lists, timeout, steps)
     return parts.select(*[done[name].alias(f"{name}_parsed") if c == name else quoted(c) for c in df.columns])
 
 

@@ -11,10 +11,11 @@ from __future__ import annotations
 import time
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..operators.metrics import observed, skipped_articles, totals
 from ..operators.parse import clean, parse_dual, parse_single
 from ..sources import schema as S
 from ..sources.footers import footers, group_name, listing
@@ -60,13 +61,21 @@ def pending(spark: SparkSession, input_dir: str, output_dir: str, glob: str, ret
     return joined.where(~F.coalesce(same & settled, F.lit(False))).select("path", "length", "modified", "name", "coded", "file", "output")
 
 
-def _transform(df: DataFrame, mode: str, text_column: str | None, skip_lists: bool, timeout: int) -> DataFrame:
-    parsed = parse_dual(df, skip_lists, timeout, keep=("file",)) if mode == "dual" else parse_single(df, text_column, skip_lists, timeout)
+def skipped_in(spark: SparkSession, output_dir: str) -> DataFrame:
+    """file, page_id, title, column of the articles that were skipped, from the results as they are."""
+    found = spark.createDataFrame([], "file string, page_id string, title string, column string")
+    for df in results(spark, output_dir).values():
+        found = found.unionByName(skipped_articles(df, more=("file",)))
+    return found
+
+
+def _transform(df: DataFrame, mode: str, text_column: str | None, skip_lists: bool, timeout: int, steps: int | None) -> DataFrame:
+    parsed = parse_dual(df, skip_lists, timeout, ("file",), steps) if mode == "dual" else parse_single(df, text_column, skip_lists, timeout, steps)
     return clean(parsed)
 
 
-def _group(spark: SparkSession, batch: list, folder: str, transform) -> dict[str, tuple[str, str | None, int]]:
-    """Process files with the same columns; (state, error, rows) by their keys."""
+def _group(spark: SparkSession, batch: list, folder: str, transform, seen: list[dict]) -> dict[str, tuple[str, str | None, int]]:
+    """Process files with the same columns; (state, error, rows) by their keys. Adds what was observed to `seen`."""
     try:
         df = spark.read.option("ignoreCorruptFiles", "true").parquet(*[r["path"] for r in batch])
         if "file" in (c.lower() for c in df.columns):
@@ -74,7 +83,9 @@ def _group(spark: SparkSession, batch: list, folder: str, transform) -> dict[str
         out = transform(df.withColumn("file", file_key(F.col("_metadata.file_name"))))
     except ValueError as e:
         return {r["file"]: (BAD, str(e), 0) for r in batch}
-    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("file").parquet(folder)
+    articles = Observation()
+    observed(out, articles).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("file").parquet(folder)
+    seen.append(articles.get)
     written = spark.read.schema(out.schema).parquet(folder).where(F.col("file").isin([r["file"] for r in batch])).groupBy("file").count()
     got = {r[0]: r[1] for r in written.collect()}
     lost = lambda r: got.get(r["file"], 0) != r["n_rows"]
@@ -86,8 +97,9 @@ def _delete(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
-def run_files(spark: SparkSession, input_dir: str, output_dir: str, mode: str = "single", text_column: str | None = None, skip_lists: bool = False, timeout: int = 30, glob: str | None = None, max_files: int = 1000, retry_bad: bool = False) -> dict:
-    """Parse and clean the files of input_dir that need it, each by its own columns; returns counts and seconds.
+def run_files(spark: SparkSession, input_dir: str, output_dir: str, mode: str = "single", text_column: str | None = None, skip_lists: bool = False, timeout: int = 30, glob: str | None = None, max_files: int = 1000, retry_bad: bool = False, steps: int | None = None) -> dict:
+    """Parse and clean the files of input_dir that need it, each by its own columns; returns counts, of files, rows and texts
+    that were parsed, null or skipped, and seconds.
 
     Results are in output_dir/parsed/<columns>/file=<name>, one folder for each input. `max_files` files at a time are processed
     and entered into the ledger, so a run that is stopped goes on from there; what it did without an entry is done again and
@@ -98,7 +110,7 @@ def run_files(spark: SparkSession, input_dir: str, output_dir: str, mode: str =
     glob = glob or ("20251001_*" if mode == "dual" else "*.parquet")
     listed, began, run = len(list_files(spark, input_dir, glob)), time.time(), uuid.uuid4().hex
     todo = footers(pending(spark, input_dir, output_dir, glob, retry_bad), input_dir).withColumn("columns_key", group_name(F.col("columns")))
-    counts = {DONE: 0, BAD: 0, "rows": 0}
+    counts, seen = {DONE: 0, BAD: 0, "rows": 0}, []
     rows = sorted(todo.collect(), key=lambda r: r["path"])
     for i in range(0, len(rows), max_files):
         batch, entries = rows[i : i + max_files], []
@@ -107,7 +119,7 @@ def run_files(spark: SparkSession, input_dir: str, output_dir: str, mode: str =
             groups.setdefault(r["columns_key"], []).append(r)
         for key, own in sorted(groups.items(), key=lambda g: g[0] or ""):
             folder = f"{output_dir}/parsed/{key}"
-            said = {r["file"]: (BAD, r["error"], 0) for r in own} if key is None else _group(spark, own, folder, lambda df: _transform(df, mode, text_column, skip_lists, timeout))
+            said = {r["file"]: (BAD, r["error"], 0) for r in own} if key is None else _group(spark, own, folder, lambda df: _transform(df, mode, text_column, skip_lists, timeout, steps), seen)
             full = hadoop_path(spark, folder)
             full = full[1].makeQualified(full[0]).toString()
             for r in own:
@@ -120,4 +132,4 @@ def run_files(spark: SparkSession, input_dir: str, output_dir: str, mode: str =
                 counts["rows"] += n
         entry = spark.createDataFrame(entries, LEDGER.partition(", at ")[0]).withColumns({"at": F.current_timestamp(), "run": F.lit(run)})
         entry.coalesce(1).write.mode("append").parquet(f"{output_dir}/_ledger")
-    return {"files_listed": listed, "files_done": counts[DONE], "files_bad": counts[BAD], "rows": counts["rows"], "total_seconds": time.time() - began}
+    return totals(seen) | {"files_listed": listed, "files_done": counts[DONE], "files_bad": counts[BAD], "rows": counts["rows"], "total_seconds": time.time() - began}

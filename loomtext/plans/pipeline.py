@@ -7,6 +7,7 @@ import time
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.export import export_text
+from ..operators.metrics import observed, totals
 from ..operators.parse import clean, parse_dual, parse_single
 from ..sources.tables import list_files, read_parquet
 from ..streaming.incremental import run_incremental
@@ -39,18 +40,19 @@ def clean_file(spark: SparkSession, input_path: str, output_path: str, skip_empt
     return spark.read.parquet(output_path).count()
 
 
-def run(spark: SparkSession, input_dir: str, output_dir: str, mode: str = "dual", timeout: int = 30, keep_dirty: bool = False, text_column: str | None = None, skip_lists: bool = False, glob: str | None = None) -> dict:
+def run(spark: SparkSession, input_dir: str, output_dir: str, mode: str = "dual", timeout: int = 30, keep_dirty: bool = False, text_column: str | None = None, skip_lists: bool = False, glob: str | None = None, steps: int | None = None) -> dict:
     """Process the files of input_dir that no earlier run did; a second run with nothing new writes nothing.
 
     Results are in output_dir/parsed, with keep_dirty what phase one gave in output_dir/dirty, which phase two then
-    reads. Failures end the run. Returns counts and seconds.
+    reads. Failures end the run. Returns counts, of files, rows and texts that were parsed, null or skipped, and seconds.
     """
     if mode not in ("dual", "single"):
         raise ValueError("mode must be dual or single")
     glob = glob or (DUAL_GLOB if mode == "dual" else "*.parquet")
     files = len(list_files(spark, input_dir, glob))
     began = time.time()
-    parse = (lambda df: parse_dual(df, skip_lists, timeout)) if mode == "dual" else (lambda df: parse_single(df, text_column, skip_lists, timeout))
+    dual, single = (lambda df: parse_dual(df, skip_lists, timeout, steps=steps)), (lambda df: parse_single(df, text_column, skip_lists, timeout, steps))
+    parse = lambda df: observed(dual(df) if mode == "dual" else single(df), "articles")
     state, out = f"{output_dir}/_state", f"{output_dir}/parsed"
     if keep_dirty:
         one = run_incremental(spark, input_dir, f"{output_dir}/dirty", f"{state}/parse", parse, glob)
@@ -60,7 +62,7 @@ def run(spark: SparkSession, input_dir: str, output_dir: str, mode: str = "dual"
     else:
         one = run_incremental(spark, input_dir, out, f"{state}/both", lambda df: clean(parse(df)), glob)
         phases, rows = {"seconds": one["seconds"]}, one["rows"]
-    return phases | {"files_listed": files, "rows": rows, "total_seconds": time.time() - began, "output": out}
+    return phases | totals([one["observed"]]) | {"files_listed": files, "rows": rows, "total_seconds": time.time() - began, "output": out}
 
 
 def count_outputs(spark: SparkSession, folder: str) -> int:
