@@ -40,9 +40,39 @@ _PLAIN = re.compile(r"[\[\]{}<&=\r]|''|__|(?:\A|\n)[ \t*#:;-]")
 _BLANK = re.compile(r"\n(?:[ \t]*\n)+")
 
 
-def _quotes(match: re.Match) -> str:
-    n = len(match[0])
-    return "'" if n == 4 else "'" * max(0, n - 5)
+def _quotes(text: str, drop: str) -> str:
+    """Text without its runs of apostrophes that turn italic or bold on and off; each line is balanced by itself.
+
+    Two turn italic, three bold, five both; four are an apostrophe and three, more than five are apostrophes and five. Where
+    a line has an odd number of italic and of bold turns, one bold turn was an apostrophe and an italic one: the first that
+    follows a word of one letter, else the first that follows a longer word, else the first that follows a blank.
+    """
+    if "''" not in text:
+        return text
+    return "\n".join(_line_quotes(line, drop) if "''" in line else line for line in text.split("\n"))
+
+
+def _line_quotes(line: str, drop: str) -> str:
+    texts, runs, at = [], [], 0
+    for m in _QUOTES.finditer(line):
+        n = len(m[0])
+        run = 3 if n == 4 else min(n, 5)
+        texts.append(line[at : m.start()] + "'" * (n - run))
+        runs.append(run)
+        at = m.end()
+    rest = line[at:]
+    both = runs.count(5)
+    if (runs.count(2) + both) % 2 and (runs.count(3) + both) % 2:
+        found: dict[str, int] = {}
+        for i, run in enumerate(runs):
+            if run == 3:
+                last = texts[i].replace(drop, "")[-2:]
+                kind = "blank" if last.endswith(" ") else "letter" if len(last) == 2 and last[0] == " " else "word"
+                found.setdefault(kind, i)
+        i = found.get("letter", found.get("word", found.get("blank")))
+        if i is not None:
+            texts[i] += "'"
+    return "".join(texts) + rest
 
 
 def _entity(name: str) -> bool:
@@ -218,7 +248,7 @@ class _Document:
 
     def paragraphs(self, text: str) -> str:
         """Finished text of what stands inside a line: outer links, quotes, blank lines."""
-        parts = [self.release(_QUOTES.sub(_quotes, _OUTER.sub(self.outer, p))).strip(SPACE) for p in _BLANK.split(text)]
+        parts = [self.release(_quotes(_OUTER.sub(self.outer, p), self.drop)).strip(SPACE) for p in _BLANK.split(text)]
         return "\n\n".join(p for p in parts if p)
 
     # lines
@@ -230,7 +260,7 @@ class _Document:
         now: list[str] = []  # the open paragraph
         lines, i = text.split("\n"), 0
         after_text = False
-        inline = lambda s: self.release(_QUOTES.sub(_quotes, s))
+        inline = lambda s: self.release(_quotes(s, self.drop))
         while i < len(lines):
             line = lines[i]
             i += 1

@@ -19,18 +19,26 @@ from ..operators.export import export_rows, export_text
 from ..operators.lookup import lookup_article
 from ..operators.parse import clean, parse_dual, parse_single, parse_wikitext
 from ..streaming.incremental import pending_files
-from . import file_queries
+from . import file_queries, run_queries
 from .pipeline import parse_then_clean
 from .shared import read, shared_folder
 
 NL, NL2 = "chr(10)", "chr(10) || chr(10)"
 
+
+def _run(n: int) -> str:
+    """A run of n apostrophes."""
+    return f"repeat(chr(39), {n})"
+
+
 #: name: (table, key, markup, expected text) for the markup parser.
 EXTRACT = {
     "extract_text": ("part", "p_partkey", "p_name || ' ' || p_type", "p_name || ' ' || p_type"),
     "extract_bold": ("part", "p_partkey", "'a ''''''' || p_name || ''''''' b'", "'a ' || p_name || ' b'"),
     "extract_italic": ("part", "p_partkey", "'a ''''' || p_name || ''''' b'", "'a ' || p_name || ' b'"),
     "extract_bold_italic": ("part", "p_partkey", "'a ''''''''''' || p_name || ''''''''''' b'", "'a ' || p_name || ' b'"),
+    "extract_quotes": ("part", "p_partkey", f"'a ' || {_run(4)} || p_name || {_run(4)} || ' b ' || {_run(6)} || p_type || {_run(8)} || ' c'", f"'a ' || {_run(1)} || p_name || {_run(1)} || ' b ' || {_run(1)} || p_type || {_run(3)} || ' c'"),
+    "extract_quotes_balanced": ("part", "p_partkey", f"{_run(2)} || p_name || {_run(3)} || ' d' || {NL2} || 'x l' || {_run(3)} || p_type || {_run(2)} || ' e' || {NL2} || {_run(2)} || 'x ' || {_run(3)} || p_brand", f"p_name || {_run(1)} || ' d' || {NL2} || 'x l' || {_run(1)} || p_type || ' e' || {NL2} || 'x ' || {_run(1)} || p_brand"),
     "extract_link": ("part", "p_partkey", "'see [[' || p_brand || 'x|' || p_name || ']] and x[[A| b ]]y [[' || p_type || ']]'", "'see ' || p_name || ' and xby ' || p_type"),
     "extract_file_link": ("part", "p_partkey", "'t[[Файл:' || p_partkey || '.jpg]]u ' || p_name", "'tu ' || p_name"),
     "extract_ext_link": ("part", "p_partkey", "'[http://e.org/' || p_partkey || ' ' || p_name || '] [http://e.org http://e.org]z'", "p_name || ' z'"),
@@ -176,8 +184,8 @@ def _paragraph_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _documents_plain(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Constant markup around `lang` through both phases; whole texts go through parse_document_texts."""
-    docs = read(spark, sf_dir, "documents").select("doc_id", F.expr("'x [[y|' || lang || ']] z'").alias("body_text"))
+    """Every document's whole text, unparsed inside a tag, through all rules of both phases; parse_document_texts parses them."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", F.expr("'<nowiki>' || text || '</nowiki>'").alias("body_text"))
     return clean(parse_single(docs, text_column="body_text"))
 
 
@@ -250,7 +258,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         out[name] = partial(_apply, table=table, key=key, text=text, rule=X.clean_text)
     for name, (table, key, text, rule) in RULES.items():
         out[name] = partial(_apply, table=table, key=key, text=text, rule=rule)
-    return out | file_queries.queries() | {
+    return out | file_queries.queries() | run_queries.queries() | {
         "parse_dual": _parse_dual,
         "parse_single": _parse_single,
         "parse_ruwiki": _parse_ruwiki,
@@ -363,7 +371,8 @@ def oracle_sql() -> dict[str, str]:
     out["parse_detected_contains"] = f"SELECT o_orderkey, {raw.format(0, 'body')}, o_orderpriority AS Body_Text_parsed, {raw.format(2, 'mytext')} FROM orders"
     out["parse_no_rows"] = out["parse_single"] + " WHERE false"
     out["paragraph_split"] = "SELECT conv_id, sum(n)::BIGINT AS n, string_agg(text, chr(10) || chr(10) ORDER BY turn) AS text FROM (SELECT conv_id, turn, len(ps) AS n, array_to_string(ps, chr(10) || chr(10)) AS text FROM (SELECT conv_id, turn, list_filter(list_transform(string_split(text, chr(10) || chr(10)), lambda s: " + _sql_trim("s") + "), lambda s: s <> '') AS ps FROM conversations) WHERE len(ps) > 0) GROUP BY conv_id"
-    out["parse_documents"] = "SELECT doc_id, 'x ' || lang || ' z' AS body_text_parsed FROM documents"
+    steps = _sql_steps("text", "documents", "doc_id", [_sql_trim, *_IMAGES, *_COLLAPSE, _sql_sections, *_CLEAN])
+    out["parse_documents"] = f"SELECT id AS doc_id, text AS body_text_parsed FROM ({steps})"
     out["timeout_placeholder"] = f"SELECT r_regionkey, CASE WHEN r_name LIKE 'E%' OR r_name LIKE 'A%' THEN {_q(skipped(1))} ELSE r_name END AS text FROM region"
     side = "SELECT page_id || '_{0}.txt' AS name, 'Page ID: ' || page_id || chr(10) || 'Title: ' || coalesce(title, 'untitled') || chr(10) || repeat('=', 60) || chr(10) || chr(10) || text AS content FROM (SELECT CAST(p_partkey AS VARCHAR) AS page_id, {1} AS title, {2} AS text FROM part WHERE p_partkey % 10 <> 0)"
     name = "CASE WHEN p_partkey % 4 = 0 THEN NULL ELSE p_name END"
@@ -373,4 +382,4 @@ def oracle_sql() -> dict[str, str]:
     shown = lambda t: f"length(coalesce({t}, 'None')) AS {t}_length, substr(coalesce({t}, 'None'), 1, 5000) AS {t}_preview, length(coalesce({t}, 'None')) > 5000 AS {t}_truncated"
     out["lookup_article"] = f"SELECT doc_id, {shown('text')}, {shown('lang')} FROM documents WHERE doc_id = 7 LIMIT 1"
     out["resume_pending_files"] = "SELECT r_name AS name FROM region WHERE NOT r_name < 'B'"
-    return out | file_queries.oracle_sql()
+    return out | file_queries.oracle_sql() | run_queries.oracle_sql()

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..operators.lookup import indexed
 from ..operators.metrics import observed, skipped_articles, totals
 from ..operators.parse import clean, parse_dual, parse_single
 from ..sources import schema as S
@@ -84,7 +85,9 @@ def _group(spark: SparkSession, batch: list, folder: str, transform, seen: list[
     except ValueError as e:
         return {r["file"]: (BAD, str(e), 0) for r in batch}
     articles = Observation()
-    observed(out, articles).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("file").parquet(folder)
+    writer = observed(out, articles).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("file")
+    page = S.detect_id_column(out.schema)
+    (indexed(writer, page) if page else writer).parquet(folder)
     seen.append(articles.get)
     written = spark.read.schema(out.schema).parquet(folder).where(F.col("file").isin([r["file"] for r in batch])).groupBy("file").count()
     got = {r[0]: r[1] for r in written.collect()}

@@ -7,6 +7,7 @@ import time
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.export import export_text
+from ..operators.lookup import indexed
 from ..operators.metrics import observed, totals
 from ..operators.parse import clean, parse_dual, parse_single
 from ..sources.tables import list_files, read_parquet
@@ -21,12 +22,12 @@ def parse_then_clean(df: DataFrame, mode: str = "dual", text_column: str | None
     return clean(parsed)
 
 
-def parse_file(spark: SparkSession, input_path: str = "data/sample_wikitext.parquet", output_path: str = "data/output.parquet", skip_lists: bool = False, timeout: int = 30, skip_empty: bool = False) -> int:
-    """Phase one over one file or folder of the dual table; returns the rows written."""
+def parse_file(spark: SparkSession, input_path: str = "data/sample_wikitext.parquet", output_path: str = "data/output.parquet", skip_lists: bool = False, timeout: int = 30, skip_empty: bool = False, steps: int | None = None) -> int:
+    """Phase one over one file or folder of the dual table, with Bloom filters for page_id; returns the rows written."""
     df = read_parquet(spark, input_path)
     if skip_empty and df.isEmpty():
         return 0
-    parse_dual(df, skip_lists, timeout).write.mode("overwrite").parquet(output_path)
+    indexed(parse_dual(df, skip_lists, timeout, steps=steps).write.mode("overwrite"), "page_id").parquet(output_path)
     return spark.read.parquet(output_path).count()
 
 

@@ -6,6 +6,7 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 
+from loomtext import cli
 from loomtext.plans.files import ledger, pending, quarantine, results, run_files
 from loomtext.sources.footers import footers, listing
 
@@ -99,3 +100,17 @@ def test_footers(spark, folders):
     (source / "empty.parquet").write_bytes(b"")
     got = {r["name"]: (r["n_rows"], r["columns"], r["error"] is None) for r in footers(listing(spark, str(source)), str(source)).collect()}
     assert got == {"a.parquet": (2, "page_id\tstring\ntext\tstring", True), "c.parquet": (1, "page_id\tstring\ntext\tstring", True), "b é.parquet": (1, "pageid\tint64\ncontent\tstring\nextra\tdouble", True), "x.parquet": (None, None, False)}
+
+
+def test_cli(spark, folders, tmp_path, capsys):
+    source, out = folders
+    (source / "bad.parquet").write_bytes(b"x")
+    run = ["run", "--mode", "single", "-i", str(source), "-o", out, "--by-file", "--steps", "50"]
+    assert cli.main(run, spark) == 0 and '"files_bad": 1' in capsys.readouterr().out
+    assert cli.main([*run, "--retry-bad"], spark) == 0 and '"files_bad": 1' in capsys.readouterr().out
+    assert cli.main([*run, "--keep-dirty"], spark) == 1
+    assert cli.main(["quarantine", "-i", out], spark) == 0 and "bad.parquet" in capsys.readouterr().out
+    assert cli.main(["skipped", "-i", out], spark) == 0
+    (folder,) = [f for f, df in results(spark, out).items() if "text_parsed" in df.columns]
+    assert cli.main(["export-single", "-i", f"{out}/parsed/{folder}", str(tmp_path / "e")], spark) == 0
+    assert sorted(os.listdir(tmp_path / "e")) == ["1_text_parsed.txt", "3_text_parsed.txt"]
