@@ -4,14 +4,20 @@ Symbols of many words lie in flat numpy arrays. A round looks every adjacent pai
 by a segmented minimum, merges all leftmost non-overlapping pairs of that rank at once and compacts the arrays; words
 without a pair that merges leave. Pairs are looked up by the piece they form, as the library does, so symbols that are
 no piece alone can still merge.
+
+A word of rounds grows with its merges, so a text without blanks would take the square of its length. Words above WORD
+characters are cut where no piece holds the two characters beside the cut, as no merge crosses such a place; what is still
+longer is merged along a linked list with a heap of its pairs, in the same order of ranks and places.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+from array import array
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -22,6 +28,8 @@ from .chunks import LONG, ChunkCache, ragged
 
 SPACE = "▁"
 NONE = np.int64(1 << 40)
+#: Characters of the longest word that is merged by rounds.
+WORD = 256
 
 
 class PieceBpe:
@@ -82,8 +90,100 @@ class PieceBpe:
         self.run = re.compile(f"{SPACE}+[^{SPACE}]*")
         self.runs = self.run.findall
 
+    @cached_property
+    def _inside(self) -> np.ndarray:
+        """Sorted pairs of characters that stand side by side in a piece."""
+        names = [self.lib.id_to_piece(i) for i in np.unique(self.made).tolist()]
+        return np.unique(np.array([ord(a) << 21 | ord(b) for s in names for a, b in zip(s, s[1:], strict=False)], np.int64))
+
+    def _pieces_of(self, word: str) -> list[str]:
+        """A long word cut where no merge can cross."""
+        at = np.frombuffer(word.encode("utf-32-le"), np.uint32).astype(np.int64)
+        pair = at[:-1] << 21 | at[1:]
+        place = np.minimum(np.searchsorted(self._inside, pair), len(self._inside) - 1)
+        cuts = [0, *(np.flatnonzero(self._inside[place] != pair) + 1).tolist(), len(word)]
+        return [word[i:j] for i, j in zip(cuts, cuts[1:], strict=False)]
+
+    @cached_property
+    def _merges(self) -> dict[int, int]:
+        return dict(zip(self.keys.tolist(), self.made.tolist(), strict=True))
+
+    def _by_heap(self, word: str) -> tuple[np.ndarray, np.ndarray]:
+        """(symbols, places of their first characters) of one word: always the best pair, of equals the leftmost."""
+        n, size, merges, rank = len(word), self.size, self._merges, self.rank
+        symbol = array("q", self.code[np.frombuffer(word.encode("utf-32-le"), np.uint32)].astype(np.int64).tobytes())
+        after, before = array("q", range(1, n + 1)), array("q", range(-1, n - 1))
+        made = array("q", bytes(8 * n))  # what the pair that begins here forms, plus one; 0 for none
+        ranks = rank.tolist()
+
+        def form(i: int) -> int:
+            """Note what the pair at i forms; its place in the heap, or -1."""
+            j = after[i]
+            m = merges.get(symbol[i] * size + symbol[j]) if j < n and symbol[i] >= 0 and symbol[j] >= 0 else None
+            made[i] = 0 if m is None else m + 1
+            return -1 if m is None else ranks[m] << 40 | i
+
+        heap = [h for h in map(form, range(n - 1)) if h >= 0]
+        heapify(heap)
+        while heap:
+            h = heappop(heap)
+            i = h & (1 << 40) - 1
+            m = made[i] - 1
+            if m < 0 or ranks[m] != h >> 40:  # the pair has changed since
+                continue
+            j = after[i]
+            symbol[i], symbol[j], made[j] = m, -2, 0
+            after[i] = k = after[j]
+            if k < n:
+                before[k] = i
+            for x in (before[i], i):
+                if x >= 0 and (h := form(x)) >= 0:
+                    heappush(heap, h)
+        all_ = np.frombuffer(symbol, np.int64)
+        place = np.flatnonzero(all_ != -2)
+        return all_[place].astype(np.int32), place
+
     def merge(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of words that each start with the space mark (flat), and their numbers; words is never empty of marks."""
+        if max(map(len, words)) <= WORD:
+            return self._rounds(words)
+        parts = [self._pieces_of(w) if len(w) > WORD else [w] for w in words]
+        flat = [p for own in parts for p in own]
+        short = [p for p in flat if len(p) <= WORD]
+        ids, counts = self._rounds(short) if short else (np.zeros(0, np.int32), np.zeros(0, np.int64))
+        ends = np.cumsum(counts)
+        out, sizes, k = [], [], 0
+        for own in parts:
+            size = 0
+            for p in own:
+                if len(p) <= WORD:
+                    piece = ids[ends[k] - counts[k] : ends[k]]
+                    k += 1
+                else:
+                    symbol, place = self._by_heap(p)
+                    text = np.frombuffer(p.encode("utf-32-le"), np.uint32)
+                    piece, _ = self._with_bytes(text, place, symbol, np.zeros(len(symbol), np.int64))
+                out.append(piece)
+                size += len(piece)
+            sizes.append(size)
+        return np.concatenate(out).astype(np.int32), np.array(sizes, np.int64)
+
+    def _with_bytes(self, text: np.ndarray, place: np.ndarray, symbol: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Symbols and their owners, those that are no piece replaced by their bytes."""
+        lost = np.flatnonzero((symbol < 0) | (symbol >= len(self.surface)))
+        if len(lost):
+            raw = [chr(c).encode() for c in text[place[lost]].tolist()]
+            times = np.ones(len(symbol), np.int64)
+            times[lost] = [len(r) for r in raw]
+            ends = np.cumsum(times)
+            spread = np.repeat(symbol, times)
+            where = np.repeat((ends - times)[lost], times[lost]) + np.concatenate([np.arange(len(r)) for r in raw])
+            spread[where] = self.byte[np.frombuffer(b"".join(raw), np.uint8)]
+            symbol, owner = spread, np.repeat(owner, times)
+        return symbol, owner
+
+    def _rounds(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words (flat), and their numbers, by merge rounds."""
         text = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
         counts = np.fromiter(map(len, words), np.int64, len(words))
         place = np.arange(len(text))  # of each symbol's first character
@@ -121,16 +221,7 @@ class PieceBpe:
         order = np.argsort(place, kind="stable")
         place, symbol = place[order], symbol[order]
         owner = np.repeat(np.arange(len(words)), counts)[place]
-        lost = np.flatnonzero((symbol < 0) | (symbol >= len(self.surface)))
-        if len(lost):  # symbols that are no piece become their bytes
-            raw = [chr(c).encode() for c in text[place[lost]].tolist()]
-            times = np.ones(len(symbol), np.int64)
-            times[lost] = [len(r) for r in raw]
-            ends = np.cumsum(times)
-            spread = np.repeat(symbol, times)
-            where = np.repeat((ends - times)[lost], times[lost]) + np.concatenate([np.arange(len(r)) for r in raw])
-            spread[where] = self.byte[np.frombuffer(b"".join(raw), np.uint8)]
-            symbol, owner = spread, np.repeat(owner, times)
+        symbol, owner = self._with_bytes(text, place, symbol, owner)
         return symbol.astype(np.int32), np.bincount(owner, minlength=len(words))
 
     def words(self, text: str | None) -> Iterable[str]:

@@ -60,7 +60,9 @@ class ShardStore:
             context.rename(waiting, place, options)
         except Exception as e:
             self.fs.delete(waiting, False)
-            raise Conflict(f"version {version} of {self.path} was committed by another writer") from e
+            if self.fs.exists(place):
+                raise Conflict(f"version {version} of {self.path} was committed by another writer") from e
+            raise
         return version
 
     def _written(self, folder: str) -> list[dict]:
@@ -109,20 +111,21 @@ class ShardStore:
             for run in runs:
                 self._merge(run, target)
 
-    def _merge(self, run: list[dict], target: int) -> int:
+    def _merge(self, run: list[dict], target: int, tries: int = 20) -> int:
         paths = {s["path"] for s in run}
         schema = self.manifest()["schema"]
         rows = self.spark.read.schema(StructType.fromJson(json.loads(schema))).parquet(*(f"{self.path}/{p}" for p in sorted(paths)))
         folder = f"data/{uuid.uuid4().hex}"
         rows.coalesce(max(1, math.ceil(sum(s["bytes"] for s in run) / target))).write.parquet(f"{self.path}/{folder}")
-        while True:
+        for left in reversed(range(tries)):
             base = self.manifest()
             if not paths <= {s["path"] for s in base["shards"]}:
                 raise Conflict("a shard that was merged is gone")
             try:
                 return self._commit(base, [s for s in base["shards"] if s["path"] not in paths] + self._written(folder), schema)
             except Conflict:
-                continue
+                if not left:
+                    raise
 
     def vacuum(self) -> int:
         """Delete shards that the newest version doesn't list; for when no older version is read and no writer is at work."""

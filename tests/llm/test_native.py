@@ -129,6 +129,43 @@ def statistics(text):
     return len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in text), len(lines) - len(set(lines)), len(covered)
 
 
+def test_shard_store_says_what_failed(spark, monkeypatch):
+    """A rename that fails without another version in its place is no conflict; conflicts are tried a bounded number of times."""
+    store = ShardStore(spark, common.work_path(spark, "store"))
+    for k in range(4):
+        store.append(spark.range(k, k + 1).withColumn("t", F.lit("x")))
+
+    class Full:
+        def rename(self, *_):
+            raise OSError("the disk is full")
+
+    class Broken:
+        def __getattr__(self, name):
+            return Broken() if name != "getFileContext" else lambda *_: Full()
+
+    real, before = store.jvm, store.manifest()
+    monkeypatch.setattr(store, "jvm", type("Jvm", (), {"org": Broken(), "__getattr__": lambda _, n: getattr(real, n)})())
+    with pytest.raises((OSError, AttributeError, TypeError)):
+        store.append(spark.range(1).withColumn("t", F.lit("x")))
+    with pytest.raises((OSError, AttributeError, TypeError)):
+        store.compact(target=1 << 20, fanout=2)
+    monkeypatch.undo()
+    assert store.manifest() == before
+    tries = []
+
+    def conflict(*_):
+        tries.append(1)
+        raise Conflict("always")
+
+    monkeypatch.setattr(store, "_commit", conflict)
+    with pytest.raises(Conflict):
+        store.compact(target=1 << 20, fanout=2)
+    assert len(tries) == 20
+    monkeypatch.undo()
+    store.compact(target=1 << 20, fanout=2)
+    assert sorted(r["id"] for r in store.read().collect()) == [0, 1, 2, 3]
+
+
 def test_statistics(spark):
     rng = random.Random(3)
     parts = ["a", "b", "é", "#*", "|", " ", "\n", "\x0b", "\x1c", " ", "x y z 1 2 3 4 5 6 ", "\n\n", "A.", "日", "\r"]

@@ -1,7 +1,9 @@
 """Tokenizer-based operators against the libraries, and packing."""
 
+import base64
 import hashlib
 import random
+import time
 import zlib
 from collections import Counter
 
@@ -214,3 +216,35 @@ def test_count_tokens(spark):
     rows = [(1, None), (None, "the thing"), (2, ""), (2, "日本 é")]
     got = {(r.doc_id, r.n_chars, r.n_bytes, r.n_tokens > 0) for r in unigram.count_tokens(frame(spark, rows), tokenizer_file("piece_bpe_32k.model")).collect()}
     assert got == {(1, 0, 0, False), (None, 9, 9, True), (2, 0, 0, False), (2, 4, 9, True)}
+
+
+@pytest.mark.parametrize("kind", ["base64", "letter", "cjk", "joined", "mixed", "signs"])
+def test_long_words_equal_the_library(kind):
+    """Texts without blanks, in time that grows about as their length: the ids of the library."""
+    rng = random.Random(7)
+    words = ["the", "over", "strasse", "été", "слово", "ing", "un"]
+    text = {
+        "base64": base64.b64encode(rng.randbytes(750_000)).decode(),
+        "letter": "a" * 1_000_000,
+        "cjk": "".join(chr(rng.randrange(0x4E00, 0x9FA5)) for _ in range(200_000)),
+        "joined": "".join(rng.choices(words, k=100_000)),
+        "mixed": "".join(rng.choices("abcXYZ09é中\U0001f600", k=200_000)),
+        "signs": "=" * 100_000 + " x" + "-" * 100_000,
+    }[kind]
+    bpe = piecebpe.PieceBpe(tokenizer_file("piece_bpe_32k.model"))
+    began = time.time()
+    flat, counts = bpe.encode([text, "a b", text[:300]])
+    took = time.time() - began
+    ends = np.cumsum(counts)
+    assert flat[: ends[0]].tolist() == bpe.lib.encode(text) and flat[ends[0] : ends[1]].tolist() == bpe.lib.encode("a b") and flat[ends[1] :].tolist() == bpe.lib.encode(text[:300])
+    assert took < 60
+
+
+@pytest.mark.parametrize("limit", [1, 2, 5, 1000])
+def test_heap_and_rounds_agree(limit, monkeypatch):
+    monkeypatch.setattr(piecebpe, "WORD", limit)
+    bpe = piecebpe.PieceBpe(tokenizer_file("piece_bpe_32k.model"))
+    rng = random.Random(limit)
+    texts = ["".join(rng.choices("aabbcdeéß中 \n\U0001f600the", k=rng.randrange(0, 60))) for _ in range(400)] + ["", " ", "aaaa" * 20]
+    flat, counts = bpe.encode(texts)
+    assert [p.tolist() for p in np.split(flat, np.cumsum(counts)[:-1])] == [bpe.lib.encode(t) for t in texts]
