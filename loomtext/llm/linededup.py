@@ -3,9 +3,10 @@
 The threshold grows with the line: one changed character for each 24 characters, one at most, or one changed word for each
 ten words, three at most. Candidates come from a segment-partition join: two sequences within k edits share, unchanged, one
 of k + 1 segments of the shorter at nearly its place. Each gives hashes of its segments and of the few parts, by length and
-place, that could match a segment of a shorter one. Groups of at most GROUP rows are paired; a larger group is split again
-by the same rule on what remains of its sequences without the shared segment, so no group is paired as a whole and nothing
-is lost. Candidates are verified by a banded bit-parallel edit distance. Everything is built-in Spark expressions.
+place, that could match a segment of a shorter one. Groups of at most GROUP rows are paired. What a larger group shares
+says little (boilerplate, a form), so its lines are told apart by their rarest symbols instead (see `_rare`): no group is
+paired as a whole and nothing is lost. Candidates are verified by a banded bit-parallel edit distance. Everything is built-in Spark
+expressions.
 
 The join runs on distinct lines. A changed character changes two words at most, so the join over characters takes only
 lines too short for the join over words to allow that.
@@ -13,6 +14,8 @@ lines too short for the join over words to allow that.
 
 from __future__ import annotations
 
+import functools
+import itertools
 import uuid
 from dataclasses import dataclass
 
@@ -63,24 +66,22 @@ def _cut(of: str, words: bool) -> str:
     return f"slice({of}, CAST(at AS int) + 1, CAST(len AS int))" if words else f"substring({of}, CAST(at AS int) + 1, CAST(len AS int))"
 
 
-def _keys(rows: DataFrame, words: bool, table: Column, more: list[str]) -> DataFrame:
-    """(key, id, role, d, k, at, len, more...) of rows with id, seq, salt, role: role 0 is a segment of the row's own sequence, 1 a part that may match a segment of one that is d shorter."""
+def _keys(rows: DataFrame, words: bool, table: Column) -> DataFrame:
+    """(key, id, role, d, k) of rows with id, seq: role 0 is a segment of the row's own sequence, 1 a part that may match a segment of one that is d shorter."""
     sized = rows.withColumn("n", F.expr(_size("seq", words)))
-    each = sized.select("id", "seq", "n", "salt", "role", *more, F.explode_outer(table).alias("e")).where("e is not null")
-    each = each.select("id", "seq", "n", "salt", "role", *more, "e.*").where("n - d > k")
+    each = sized.select("id", "seq", "n", F.explode_outer(table).alias("e")).where("e is not null").select("id", "seq", "n", "e.*").where("n - d > k")
     placed = each.withColumn("at", F.expr("(n - d) * i div (k + 1) + off")).withColumn("len", F.expr("(n - d) * (i + 1) div (k + 1) - (n - d) * i div (k + 1)")).where("at >= 0 and at + len <= n")
-    key = F.expr(f"xxhash64(salt, k, n - d, i, {_cut('seq', words)})")
-    return placed.select(key.alias("key"), "id", F.expr("IF(d = 0 AND off = 0, role, 1)").alias("role"), "d", "k", "at", "len", "seq", *more)
+    key = F.expr(f"xxhash64(k, n - d, i, {_cut('seq', words)})")
+    return placed.select(key.alias("key"), "id", F.expr("IF(d = 0 AND off = 0, 0, 1)").alias("role"), "d", "k")
 
 
 #: One long counts a key's rows: segments above the low 32 bits, all rows in them.
 _COUNT = "sum(IF(role = 0, 4294967297L, 1L)) AS c"
 
 
-def _live(keys: DataFrame, apart: bool = False) -> DataFrame:
-    """(key, n) of the keys that a segment and another row have; if apart, a row of another component."""
-    both = [F.min("part").alias("lo"), F.max("part").alias("hi")] if apart else [F.lit(0).alias("lo"), F.lit(1).alias("hi")]
-    rows = keys.groupBy("key").agg(F.expr(_COUNT), *both).where("c >= 4294967298 and (c & 4294967295) > 1 and lo <> hi")
+def _live(keys: DataFrame) -> DataFrame:
+    """(key, n) of the keys that a segment and another row have."""
+    rows = keys.groupBy("key").agg(F.expr(_COUNT)).where("c >= 4294967298 and (c & 4294967295) > 1")
     return common.materialize(rows.select("key", F.expr("c & 4294967295").alias("n")), "livekeys")
 
 
@@ -97,15 +98,13 @@ def _links(seqs: DataFrame, symbols: DataFrame, words: bool, threshold: Threshol
     Holds every such pair, or other pairs that lead from one to the other.
 
     A group above `group` rows is first compared with its member that stands in most of them. Where its members are then one
-    component nothing is left to find; the others are split again, and parts of them fall away as soon as all their members
-    are of one component.
+    component nothing is left to find; lines of the others meet again by their rarest symbols.
     """
     n = F.expr(_size("seq", words))
     classes = threshold.classes()
     inside = [(k, n >= low if high is None else (n >= low) & (n < high)) for k, low, high in classes]
     first = F.concat(*[F.when(fits, _table([p for d in range(k + 1) for p in _parts(k, d)])).otherwise(_table([])) for k, fits in inside])
-    salted = seqs.select("id", "seq", F.lit(0).cast("long").alias("salt"), F.lit(0).alias("role"))
-    made = lambda: _keys(salted, words, first, [])
+    made = lambda: _keys(seqs.select("id", "seq"), words, first)
     live = _live(made())
     # as the element of an array a key is computed once, apart from the filter; else the compiled method grows too large for the JVM's compiler
     near = made().select(F.explode(F.array("key")).alias("key"), "id", "role", "d", "k").where(common.flagged(F.col("key"), live, "key"))
@@ -128,39 +127,50 @@ def _links(seqs: DataFrame, symbols: DataFrame, words: bool, threshold: Threshol
         return links
 
     large = common.materialize(place.join(hot, "key", "left_semi").select("id", "part").distinct(), "hotids")
+    more = _rare(symbols.join(large, "id").select("id", "part", "seq"), threshold, group)
+    return links.union(_near(common.materialize(more.join(pairs, ["a", "b"], "left_anti"), "linepairs"), symbols, threshold))
+
+
+#: Numbers of rare symbols that a key takes, one after the other, for lines in groups that are still large.
+TOGETHER = (1, 2, 3, 4, 6)
+
+
+def _rare(lines: DataFrame, threshold: Threshold, group: int) -> DataFrame:
+    """(a, b) of lines (id, part, seq) of different parts that may be within the threshold, found by their rarest symbols.
+
+    Sequences within k edits have all but k symbols in common, each counted as often as it stands there. In any order of
+    symbols that is the same for all lines, the first k + c of each then share c at least. Rarest first, these are what sets
+    lines with much in common apart. A line has a key for each c of its first k + c symbols; groups of up to `group`
+    are paired, and the lines of larger ones go on with the next c, so a line has at most the sum of these binomials in
+    keys (153 for three edits), whatever the groups. What is large to the end is joined on the key and on c shared symbols.
+    """
+    most, classes = threshold.most, threshold.classes()
+    steps = TOGETHER if threshold.each is not None and threshold.each > TOGETHER[-1] else (1,)  # a line has `each` symbols an edit, so it has enough of them
+    each = lines.select("id", "part", F.size("seq").alias("n"), F.explode("seq").alias("s")).groupBy("id", "part", "n", "s").agg(F.count("*").alias("m"))
+    each = common.materialize(each.select("id", "part", "n", "s", F.explode(F.sequence(F.lit(1), F.col("m").cast("int"))).alias("j")), "linetokens")
+    often = each.groupBy("s", "j").agg(F.count("*").alias("f"))
+    first = F.slice(F.sort_array(F.collect_list(F.struct("f", F.xxhash64("s", "j").alias("t")))), 1, most + steps[-1])
+    state = common.materialize(each.join(often, ["s", "j"]).groupBy("id", "part", "n").agg(first.getField("t").alias("rare")), "rarelines")
     found: list[DataFrame] = []
-    most = max(k for k, _, _ in classes)
-    tables = F.array(*[_table(_parts(k, d) if d <= k else []) for k in range(most + 1) for d in range(most + 1)])
-    mine = F.get(tables, F.col("k") * (most + 1) + F.col("d"))
-    rest = "concat(slice(seq, 1, CAST(at AS int)), slice(seq, CAST(at + len AS int) + 1, greatest(size(seq), 1)))" if words else "concat(substring(seq, 1, CAST(at AS int)), substring(seq, CAST(at + len AS int) + 1))"
-    shrunk = lambda rows: rows.join(hot, "key", "left_semi").select("key", "id", "role", "d", "k", F.expr(rest).alias("seq"), "part")
-    some = salted.where(common.flagged(F.col("id.id"), large.select("id.id"), "id")).join(large, "id")
-    state = shrunk(_keys(some, words, first, ["part"]))
-    while True:
-        state = common.materialize(state.distinct(), "hotstate")
-        if state.isEmpty():
+    for c in steps:
+        of = lambda k, c=c: F.array(*[F.xxhash64(F.lit(k), F.lit(c), *[F.get("rare", F.lit(i)) for i in at]) for at in itertools.combinations(range(k + c), c)])
+        inside = [(k, F.col("n") >= low if high is None else (F.col("n") >= low) & (F.col("n") < high)) for k, low, high in classes]
+        keys = functools.reduce(lambda x, y: x.union(y), [state.where(fits).select("id", "part", "n", "rare", F.lit(k).alias("k"), F.explode(of(k)).alias("key")) for k, fits in inside])
+        live = keys.groupBy("key").agg(F.count("*").alias("size"), F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo <> hi").select("key", "size")
+        live = common.materialize(live, "rarekeys")
+        members = common.materialize(keys.where(common.flagged(F.col("key"), live, "key")).join(live, "key"), "raremembers")
+        few = members.where(F.col("size") <= group).groupBy("key").agg(F.collect_set(F.struct("id", "part")).alias("g"))
+        paired = F.flatten(F.transform("g", lambda x: F.transform(F.filter("g", lambda y: (x["id"] < y["id"]) & (x["part"] != y["part"])), lambda y: F.struct(x["id"].alias("a"), y["id"].alias("b")))))
+        found.append(common.materialize(few.select(F.explode(paired).alias("p")).select("p.a", "p.b").distinct(), "linepairs"))
+        many = members.where(F.col("size") > group)
+        if many.isEmpty():
             break
-        size = F.expr(_size("seq", words))
-        short = state.where(size - F.col("d") <= F.col("k"))
-        own, other = short.where("d = 0"), short.where("d > 0")
-        low = own.where("role = 0").groupBy("key").agg(F.min("id").alias("o"))
-        sure = own.union(other.where(size <= F.col("k"))).join(low, "key").where("id <> o").select(*ordered("id", "o"))
-        # what remains of a longer one and of a shorter is near only if they share a symbol or are short
-        parts = (lambda s: s) if words else (lambda s: F.split(s, ""))
-        tokens = lambda df: df.select("key", "id", F.explode_outer(F.array_distinct(parts(F.col("seq")))).alias("t")).where("t is not null")
-        shared = tokens(other).join(tokens(own.where("role = 0")).withColumnRenamed("id", "o"), ["key", "t"]).where("id <> o").select(*ordered("id", "o"))
-        again = state.where(size - F.col("d") > F.col("k")).withColumnRenamed("key", "salt")
-        rows = _keys(again.withColumn("e0", mine), words, F.col("e0"), ["part"])
-        live = _live(rows, apart=True)
-        few = rows.select("key", "id", "role", "d").join(live.where(F.col("n") <= group), "key").transform(_pairs)
-        found.append(common.materialize(sure.union(shared).union(few).distinct(), "linepairs"))
-        hot = live.where(F.col("n") > group).select("key")
-        state = shrunk(rows)
-    more = found[0]
-    for p in found[1:]:
-        more = more.union(p)
-    more = common.materialize(more.distinct().join(pairs, ["a", "b"], "left_anti"), "linepairs")
-    return links.union(_near(more, symbols, threshold))
+        if c == steps[-1]:
+            x, y = many.alias("x"), many.alias("y")
+            near = (F.abs(F.col("x.n") - F.col("y.n")) <= F.col("x.k")) & (F.size(F.array_intersect(F.slice("x.rare", 1, F.col("x.k") + c), F.slice("y.rare", 1, F.col("x.k") + c))) >= c)
+            found.append(x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.id") < F.col("y.id")) & (F.col("x.part") != F.col("y.part")) & near).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")))
+        state = many.select("id", "part", "n", "rare").distinct()
+    return functools.reduce(lambda x, y: x.union(y), found).distinct()
 
 
 def banded_distance(a: str, b: str, k: str, most: int) -> str:

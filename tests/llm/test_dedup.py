@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -243,6 +244,43 @@ def test_word_links(spark):
     assert len(want) > 50 and got == want
 
 
+@pytest.mark.parametrize("n", [300, 10_000])
+def test_boilerplate_does_not_multiply(spark, n):
+    """Lines of four own words before 116 that all share: none is near another but for some that we make so."""
+    rng = random.Random(n)
+    tail = " ".join(f"t{i}" for i in range(116))
+    lines = [" ".join(f"{c}{i}" for c in "abcd") + " " + tail for i in range(n)]
+    near = {}
+    for i in range(0, n, 50):
+        w = lines[i].split(" ")
+        for at in rng.sample(range(4), rng.randrange(1, 4)):
+            w[at] = f"x{i}_{at}"
+        near[i] = len(lines)
+        lines.append(" ".join(w))
+    began = time.time()
+    df = spark.createDataFrame(list(enumerate(lines)), "id long, line string").repartition(4)
+    got = {(r["a"], r["b"]) for r in linededup.word_links(df).collect()}
+    assert got == set(near.items())
+    assert time.time() - began < 120
+
+
+@pytest.mark.parametrize("group", [1, 3, 20])
+def test_lines_of_few_words(spark, group):
+    """Lines from a small vocabulary, so that the rarest words too are shared by many: components as by brute force."""
+    rng = random.Random(group)
+    words = [f"v{i}" for i in range(7)]
+    lines = sorted({" ".join(rng.choices(words, k=rng.choice([10, 11, 20, 21]))) for _ in range(70)} | {" ".join(["v1"] * 9 + rng.choices(words, k=2)) for _ in range(50)} | {" ".join(rng.choices(words, k=5) + ["z"] * 16) for _ in range(60)})
+    near = set()
+    for j in range(len(lines)):
+        for i in range(j):
+            a, b = lines[i].split(" "), lines[j].split(" ")
+            if edit(a, b) <= min(3, min(len(a), len(b)) // 10):
+                near.add((i, j))
+    df = spark.createDataFrame(list(enumerate(lines)), "id long, line string")
+    got = {(r["a"], r["b"]) for r in linededup.word_links(df, group=group).collect()}
+    assert got <= near | {(b, a) for a, b in near} and roots(range(len(lines)), got) == roots(range(len(lines)), near)
+
+
 def test_changed_words_make_a_line_near(spark):
     line = "some words of a line that stands in both of these texts with one name, London, in it"
     got = {r.doc_id: r.n_removed for r in linededup.dedup_lines(frame(spark, [(1, line), (2, line.replace("London", "Reykjavik")), (3, line.replace("these texts", "other places"))])).collect()}
