@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import math
 import uuid
 from collections.abc import Iterator
@@ -111,36 +112,93 @@ def plausible(x: str, y: str, percent: int, margin: float) -> Column:
     return (F.least(m, n) * 100 >= F.greatest(m, n) * percent) & (estimate(F.col(f"{x}.low"), F.col(f"{y}.low")) >= least)
 
 
+def _sets(batches: Iterator) -> Iterator:
+    import pyarrow as pa
+
+    for whole in batches:
+        for b in common.slices(whole, 1, 1 << 20):
+            sets = shingle_sets(b.column(1))
+            ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(sets).view(np.int64)))], ["rep", "set"])
+
+
+def _pair_of(rep) -> tuple[np.ndarray, np.ndarray]:
+    """The two halves of a column of class names."""
+    rep = rep.combine_chunks() if hasattr(rep, "combine_chunks") else rep
+    return rep.field("set_a").to_numpy(zero_copy_only=False), rep.field("set_b").to_numpy(zero_copy_only=False)
+
+
 def _confirm(percent: int):
-    def confirm(batches: Iterator) -> Iterator:
+    """Of a block's pairs (block, a, b) and the sets (block, rep, set) of the classes in it: the pairs that reach the threshold."""
+
+    def confirm(pairs, sets):
         import pyarrow as pa
 
-        for whole in batches:
-            for b in common.slices(whole, 2, 1 << 20):
-                left, right = shingle_sets(b.column(2)), shingle_sets(b.column(3))
-                keep = []
-                for x, y in zip(left, right, strict=True):
-                    both = len(np.intersect1d(x, y, assume_unique=True)) if min(len(x), len(y)) * 100 >= percent * max(len(x), len(y)) else 0
-                    keep.append(both > 0 and 100 * both >= percent * (len(x) + len(y) - both))
-                keep = pa.array(keep, pa.bool_())
-                yield pa.RecordBatch.from_arrays([b.column(0).filter(keep), b.column(1).filter(keep)], ["a", "b"])
+        own = {r: i for i, r in enumerate(zip(*(x.tolist() for x in _pair_of(sets.column("rep"))), strict=True))}
+        held = sets.column("set").combine_chunks()
+        at, flat = held.offsets.to_numpy(), held.values.to_numpy(zero_copy_only=False)
+        keep = []
+        for a, b in zip(zip(*(x.tolist() for x in _pair_of(pairs.column("a"))), strict=True), zip(*(x.tolist() for x in _pair_of(pairs.column("b"))), strict=True), strict=True):
+            i, j = own[a], own[b]
+            x, y = flat[at[i] : at[i + 1]], flat[at[j] : at[j + 1]]
+            both = 0
+            if min(len(x), len(y)) * 100 >= percent * max(len(x), len(y)):
+                both = len(np.intersect1d(x, y, assume_unique=True))
+            keep.append(both > 0 and 100 * both >= percent * (len(x) + len(y) - both))
+        return pairs.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return confirm
 
 
 NODE = "struct<set_a: long, set_b: long>"
+#: Members of a bucket or star that are compared at a time: what bounds a task's groups.
+BLOCK = 128
 
 
 def _links(pairs: DataFrame, docs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) of classes whose full sets reach the threshold."""
-    nodes = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct()
-    nodes = common.materialize(nodes.join(classes.select("rep", "doc_id", "tag"), "rep"), "nodes")
+    """The pairs (block, a, b) of classes whose full sets reach the threshold, as (a, b). A class's set is computed once, and goes once to each block that needs it."""
+    held = common.materialize(pairs.select("block", F.explode(F.array("a", "b")).alias("rep")).distinct(), "blocks")
+    nodes = common.materialize(held.select("rep").distinct().join(classes.select("rep", "doc_id", "tag"), "rep"), "nodes")
     texts = docs.where(common.flagged(F.col("tag"), nodes, "tag")).join(nodes, ["doc_id", "tag"]).select("rep", "text").dropDuplicates(["rep"])
-    texts = common.materialize(texts, "texts")
-    left = texts.select(F.col("rep").alias("a"), F.col("text").alias("ta"))
-    right = texts.select(F.col("rep").alias("b"), F.col("text").alias("tb"))
-    rows = pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb")
-    return common.materialize(rows.mapInArrow(_confirm(percent), f"a {NODE}, b {NODE}").distinct(), "links")
+    sets = common.materialize(texts.mapInArrow(_sets, f"rep {NODE}, set array<long>"), "sets")
+    near = pairs.groupBy("block").cogroup(held.join(sets, "rep").groupBy("block")).applyInArrow(_confirm(percent), f"a {NODE}, b {NODE}")
+    return common.materialize(near.distinct(), "links")
+
+
+def _plausible_pairs(percent: int, margin: float):
+    """Of the members of a block, or of two blocks, of a bucket: the pairs of different components that may reach the threshold, as `plausible` has it, each in the least of the buckets it shares alone."""
+
+    def pairs(table):
+        import pyarrow as pa
+
+        sub = table.column("sub").to_numpy()
+        low = np.stack([x.values.to_numpy() for x in table.column("low").combine_chunks()]).view(np.uint64)
+        bands = np.stack([x.values.to_numpy() for x in table.column("bands").combine_chunks()])
+        n, part = table.column("n_shingles").to_numpy(), [table.column("component").combine_chunks().field(c).to_numpy() for c in ("set_a", "set_b")]
+        key, i, j = (table.column(c)[0].as_py() for c in ("key", "i", "j"))
+        one, two = (np.flatnonzero(sub == i), np.flatnonzero(sub == j))
+        xs, ys = [], []
+        for x in one:
+            y = two[two > x] if i == j else two
+            y = y[(part[0][y] != part[0][x]) | (part[1][y] != part[1][x])]
+            least, most = np.minimum(n[y], n[x]), np.maximum(n[y], n[x])
+            y = y[least * 100 >= most * percent]
+            if not len(y):
+                continue
+            differ = low[y] ^ low[x]
+            differ = functools.reduce(np.bitwise_or, [differ[:, k * LONGS : (k + 1) * LONGS] for k in range(BITS)])
+            chance = 2.0**-BITS
+            like = (1 - np.bitwise_count(differ).sum(axis=1, dtype=np.int64) / HASHES - chance) / (1 - chance)
+            y = y[like >= percent / 100 - np.sqrt(margin * margin + SMALL / np.minimum(n[y], n[x]))]
+            shared = bands[y] == bands[x]
+            y = y[np.where(shared, bands[y], np.iinfo(np.int64).max).min(axis=1, initial=np.iinfo(np.int64).max) == key]
+            xs.append(np.full(len(y), x))
+            ys.append(y)
+        xs, ys = (np.concatenate([*v, np.zeros(0, np.int64)]).astype(np.int64) for v in (xs, ys))
+        rep = table.column("rep").combine_chunks()
+        return pa.table({"block": np.full(len(xs), table.column("block")[0].as_py(), np.int64), "a": rep.take(pa.array(xs)), "b": rep.take(pa.array(ys))})
+
+    return pairs
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85, margin: float = 0.07) -> DataFrame:
@@ -153,9 +211,11 @@ def near_duplicates(docs: DataFrame, percent: int = 85, margin: float = 0.07) ->
     3. Star: every member of a band's bucket is compared with one only, the member with most neighbours over all its buckets; the low bits discard pairs
        estimated under the threshold less `margin`, widened for small sets (over five standard deviations at any size),
        full sets confirm the rest.
-    4. Where a bucket still holds several components, members outside its largest one are compared with all members of
-       other components: a group of copies of any size, once joined, costs nothing here. The estimate is part of the
-       join's condition, so only plausible pairs leave it.
+    4. Where a bucket still holds several components, its members are compared in blocks of BLOCK: those of two blocks meet in a task,
+       but for two blocks of the largest component, and it compares members of different components by their packed bits and emits plausible pairs alone. A
+       group of copies of any size, once joined, costs nothing here.
+    Plausible pairs are confirmed in the same blocks: a class's set is computed once and goes to a block once, not to every
+    pair; texts go nowhere.
     No cap on buckets or partners. Nothing but counts and a bitmap of bounded size goes to the driver.
     Null text or no words: an empty set, linked with nothing. Null doc_id: never linked, component_id and kept null.
     Rows that share a doc_id but not a text are linked apart, each by its own set; `kept` is then of the row, not of the
@@ -211,29 +271,30 @@ def _components(docs: DataFrame, percent: int, margin: float) -> tuple[DataFrame
     heads = members.join(weight, "rep").groupBy("key").agg(F.max(F.struct("weight", "rep")).alias("h")).select("key", F.col("h.rep").alias("leader"))
     members = common.materialize(members.join(heads, "key").select("key", "rep", "leader"), "starred")
     low = classes.select("rep", F.struct("n_shingles", "low").alias("s"))
-    star = members.where("rep <> leader").select(F.least("leader", "rep").alias("a"), F.greatest("leader", "rep").alias("b")).distinct()
+    star = members.where("rep <> leader").select("leader", F.least("leader", "rep").alias("a"), F.greatest("leader", "rep").alias("b")).dropDuplicates(["a", "b"])
     x, y = low.select(F.col("rep").alias("a"), F.col("s").alias("x")), low.select(F.col("rep").alias("b"), F.col("s").alias("y"))
-    star = star.join(x, "a").join(y, "b").where(plausible("x", "y", percent, margin)).select("a", "b").distinct()
+    star = star.join(x, "a").join(y, "b").where(plausible("x", "y", percent, margin)).select("leader", "a", "b")
     star = common.materialize(star, "star")
-    links = _links(star, docs, classes, percent)
+    share = F.pmod(F.xxhash64("a", "b"), F.ceil(F.col("n") / BLOCK))
+    blocks = star.join(star.groupBy("leader").agg(F.count("*").alias("n")), "leader").select(F.xxhash64("leader", share).alias("block"), "a", "b")
+    links = _links(common.materialize(blocks, "starblocks"), docs, classes, percent)
     found = common.connected_components(links)
 
     # buckets that still hold several components
     placed = members.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("key", "rep", F.coalesce("component", "rep").alias("component"))
     placed = common.materialize(placed, "placed")
     sizes = placed.groupBy("key", "component").agg(F.count("*").alias("n"))
-    mixed = sizes.groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("most"), F.count("*").alias("parts")).where("parts > 1").select("key", "most")
-    rest = common.materialize(placed.join(mixed, "key").join(classes.select("rep", "n_shingles", "low", "bands"), "rep"), "mixed")
-    p, q = rest.where("component <> most").alias("p"), rest.alias("q")
-    pairs = p.join(
-        q,
-        (F.col("p.key") == F.col("q.key"))
-        & (F.col("p.component") != F.col("q.component"))
-        & ((F.col("q.component") == F.col("q.most")) | (F.col("p.rep") < F.col("q.rep")))
-        & plausible("p", "q", percent, margin)
-        & (F.array_min(F.array_intersect("p.bands", "q.bands")) == F.col("p.key")),  # each pair leaves one bucket only
-    ).select(F.least("p.rep", "q.rep").alias("a"), F.greatest("p.rep", "q.rep").alias("b"))
-    pairs = common.materialize(pairs.distinct().join(star, ["a", "b"], "left_anti"), "pairs")
+    most = sizes.groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("most"), F.max("n").alias("inside"), F.sum("n").alias("n"), F.count("*").alias("parts")).where("parts > 1")
+    # members outside the largest component meet all blocks; those inside meet only blocks of members outside
+    mixed = most.select("key", "most", F.ceil((F.col("n") - F.col("inside")) / BLOCK).cast("int").alias("outer"), F.ceil(F.col("inside") / BLOCK).cast("int").alias("inner"))
+    rest = placed.join(mixed, "key").join(classes.select("rep", "n_shingles", "low", "bands"), "rep")
+    place, out = F.xxhash64("rep", "key"), F.col("component") != F.col("most")
+    rest = rest.withColumn("sub", F.when(out, F.pmod(place, F.col("outer"))).otherwise(F.col("outer") + F.pmod(place, F.col("inner"))).cast("int"))
+    rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0), F.when(out, F.col("outer") + F.col("inner")).otherwise(F.col("outer")) - 1)))
+    rest = rest.withColumns({"i": F.least("sub", "other"), "j": F.greatest("sub", "other")}).withColumn("block", F.xxhash64("key", "i", "j")).drop("most", "outer", "inner", "other")
+    pairs = rest.groupBy("key", "i", "j").applyInArrow(_plausible_pairs(percent, margin), f"block long, a {NODE}, b {NODE}")
+    pairs = pairs.select("block", F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    pairs = common.materialize(pairs.join(star, ["a", "b"], "left_anti").select("block", "a", "b"), "pairs")
     if not pairs.isEmpty():
         links = links.union(_links(pairs, docs, classes, percent))
         found = common.connected_components(links)

@@ -133,6 +133,50 @@ def test_near_duplicates_with_shared_ids_against_brute_force(spark):
     assert sorted(map(tuple, minhash.near_duplicates(frame(spark, rows), 85).collect())) == want
 
 
+@pytest.mark.parametrize("block", [1, 3, minhash.BLOCK])
+def test_blocks_against_brute_force(spark, block, monkeypatch):
+    """Groups of texts around the threshold, beside a large component: compared in blocks of any size, no link is lost."""
+    monkeypatch.setattr(minhash, "BLOCK", block)
+    rng = random.Random(block)
+    rows, words = [], [f"w{i}" for i in range(3000)]
+    for base in range(2):
+        text = rng.choices(words, k=120)
+        for k in range(45):
+            t = list(text)
+            for at in rng.sample(range(120), rng.choice([0, 1, 1, 2, 2, 3])):
+                t[at] = rng.choice(words)
+            rows.append((base * 100 + k, " ".join(t)))
+    sets = [shingles(t) for _, t in rows]
+    links = [(i, j) for j in range(len(rows)) for i in range(j) if 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j])]
+    of = roots(range(len(rows)), links)
+    least = {r: min(rows[i][0] for i in range(len(rows)) if of[i] == r) for r in set(of.values())}
+    got = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(frame(spark, rows)).collect()}
+    assert got == {rows[i][0]: least[of[i]] for i in range(len(rows))}
+
+
+def test_group_just_under_the_threshold(spark):
+    """1,200 texts of which most two are about 0.78 alike, some more: nearly all pairs are candidates, none is shipped as texts."""
+    rng = random.Random(3)
+    base = [f"b{i}" for i in range(400)]
+    rows = []
+    for i in range(1200):
+        t = list(base)
+        for at in range(5):
+            t[80 * at + rng.randrange(60)] = f"x{i}_{at}"
+        rows.append((i, " ".join(t)))
+        if i % 100 == 0:
+            t[399] = f"y{i}"
+            rows.append((5000 + i, " ".join(t)))
+    began = time.time()
+    got = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(frame(spark, rows)).collect()}
+    assert time.time() - began < 240
+    sets = [shingles(t) for _, t in rows]
+    links = [(i, j) for j in range(len(rows)) for i in range(j) if 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j])]
+    of = roots(range(len(rows)), links)
+    least = {r: min(rows[i][0] for i in range(len(rows)) if of[i] == r) for r in set(of.values())}
+    assert 12 <= len(links) and got == {rows[i][0]: least[of[i]] for i in range(len(rows))}
+
+
 def test_word_hashes_in_parts(monkeypatch):
     from loomtext.llm import wordhash
 
