@@ -112,16 +112,6 @@ def plausible(x: str, y: str, percent: int, margin: float) -> Column:
     return (F.least(m, n) * 100 >= F.greatest(m, n) * percent) & (estimate(F.col(f"{x}.low"), F.col(f"{y}.low")) >= least)
 
 
-def _sets(batches: Iterator) -> Iterator:
-    import pyarrow as pa
-
-    for whole in batches:
-        for b in common.slices(whole, 1, 1 << 20):
-            sets = shingle_sets(b.column(1))
-            ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(sets).view(np.int64)))], ["rep", "set"])
-
-
 def _pair_of(rep) -> tuple[np.ndarray, np.ndarray]:
     """The two halves of a column of class names."""
     rep = rep.combine_chunks() if hasattr(rep, "combine_chunks") else rep
@@ -129,19 +119,15 @@ def _pair_of(rep) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _confirm(percent: int):
-    """Of a block's pairs (block, a, b) and the sets (block, rep, set) of the classes in it: the pairs that reach the threshold."""
+    """Of a block's pairs (block, a, b) and the texts (block, rep, text) of the classes in it: the pairs that reach the threshold."""
 
-    def confirm(pairs, sets):
+    def confirm(pairs, texts):
         import pyarrow as pa
 
-        own = {r: i for i, r in enumerate(zip(*(x.tolist() for x in _pair_of(sets.column("rep"))), strict=True))}
-        held = sets.column("set").combine_chunks()
-        at, flat = held.offsets.to_numpy(), held.values.to_numpy(zero_copy_only=False)
+        own = dict(zip(zip(*(x.tolist() for x in _pair_of(texts.column("rep"))), strict=True), shingle_sets(texts.column("text")), strict=True))
         keep = []
         for a, b in zip(zip(*(x.tolist() for x in _pair_of(pairs.column("a"))), strict=True), zip(*(x.tolist() for x in _pair_of(pairs.column("b"))), strict=True), strict=True):
-            i, j = own[a], own[b]
-            x, y = flat[at[i] : at[i + 1]], flat[at[j] : at[j + 1]]
-            both = 0
+            x, y, both = own[a], own[b], 0
             if min(len(x), len(y)) * 100 >= percent * max(len(x), len(y)):
                 both = len(np.intersect1d(x, y, assume_unique=True))
             keep.append(both > 0 and 100 * both >= percent * (len(x) + len(y) - both))
@@ -156,12 +142,12 @@ BLOCK = 128
 
 
 def _links(pairs: DataFrame, docs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """The pairs (block, a, b) of classes whose full sets reach the threshold, as (a, b). A class's set is computed once, and goes once to each block that needs it."""
+    """The pairs (block, a, b) of classes whose full sets reach the threshold, as (a, b). A class's text goes once to each block that needs it, and gives its set there once."""
     held = common.materialize(pairs.select("block", F.explode(F.array("a", "b")).alias("rep")).distinct(), "blocks")
     nodes = common.materialize(held.select("rep").distinct().join(classes.select("rep", "doc_id", "tag"), "rep"), "nodes")
     texts = docs.where(common.flagged(F.col("tag"), nodes, "tag")).join(nodes, ["doc_id", "tag"]).select("rep", "text").dropDuplicates(["rep"])
-    sets = common.materialize(texts.mapInArrow(_sets, f"rep {NODE}, set array<long>"), "sets")
-    near = pairs.groupBy("block").cogroup(held.join(sets, "rep").groupBy("block")).applyInArrow(_confirm(percent), f"a {NODE}, b {NODE}")
+    texts = common.materialize(texts, "texts")
+    near = pairs.groupBy("block").cogroup(held.join(texts, "rep").groupBy("block")).applyInArrow(_confirm(percent), f"a {NODE}, b {NODE}")
     return common.materialize(near.distinct(), "links")
 
 
@@ -214,8 +200,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85, margin: float = 0.07) ->
     4. Where a bucket still holds several components, its members are compared in blocks of BLOCK: those of two blocks meet in a task,
        but for two blocks of the largest component, and it compares members of different components by their packed bits and emits plausible pairs alone. A
        group of copies of any size, once joined, costs nothing here.
-    Plausible pairs are confirmed in the same blocks: a class's set is computed once and goes to a block once, not to every
-    pair; texts go nowhere.
+    Plausible pairs are confirmed in the same blocks: a class's text goes to a block once and its set is computed there once,
+    whatever the number of its pairs. (Sets of hashes would spare computing, but don't compress: 4.81 x input on disk.)
     No cap on buckets or partners. Nothing but counts and a bitmap of bounded size goes to the driver.
     Null text or no words: an empty set, linked with nothing. Null doc_id: never linked, component_id and kept null.
     Rows that share a doc_id but not a text are linked apart, each by its own set; `kept` is then of the row, not of the
