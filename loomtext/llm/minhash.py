@@ -152,16 +152,15 @@ def _links(pairs: DataFrame, docs: DataFrame, classes: DataFrame, percent: int)
 
 
 def _plausible_pairs(percent: int, margin: float):
-    """Of the members of a block, or of two blocks, of a bucket: the pairs of different components that may reach the threshold, as `plausible` has it, each in the least of the buckets it shares alone."""
+    """Of the members of a block, or of two blocks, of a bucket: the pairs of different components that may reach the threshold, as `plausible` has it."""
 
     def pairs(table):
         import pyarrow as pa
 
         sub = table.column("sub").to_numpy()
         low = np.stack([x.values.to_numpy() for x in table.column("low").combine_chunks()]).view(np.uint64)
-        bands = np.stack([x.values.to_numpy() for x in table.column("bands").combine_chunks()])
         n, part = table.column("n_shingles").to_numpy(), [table.column("component").combine_chunks().field(c).to_numpy() for c in ("set_a", "set_b")]
-        key, i, j = (table.column(c)[0].as_py() for c in ("key", "i", "j"))
+        i, j = (table.column(c)[0].as_py() for c in ("i", "j"))
         one, two = (np.flatnonzero(sub == i), np.flatnonzero(sub == j))
         xs, ys = [], []
         for x in one:
@@ -176,8 +175,6 @@ def _plausible_pairs(percent: int, margin: float):
             chance = 2.0**-BITS
             like = (1 - np.bitwise_count(differ).sum(axis=1, dtype=np.int64) / HASHES - chance) / (1 - chance)
             y = y[like >= percent / 100 - np.sqrt(margin * margin + SMALL / np.minimum(n[y], n[x]))]
-            shared = bands[y] == bands[x]
-            y = y[np.where(shared, bands[y], np.iinfo(np.int64).max).min(axis=1, initial=np.iinfo(np.int64).max) == key]
             xs.append(np.full(len(y), x))
             ys.append(y)
         xs, ys = (np.concatenate([*v, np.zeros(0, np.int64)]).astype(np.int64) for v in (xs, ys))
@@ -253,10 +250,10 @@ def _components(docs: DataFrame, percent: int, margin: float) -> tuple[DataFrame
     shared = common.materialize(rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "buckets")
     members = common.materialize(rows.join(shared, "key"), "members")
     # the member with the most neighbours over all its buckets is likeliest to be near all others
-    weight = members.groupBy("rep").agg(F.sum("n").alias("weight"))
+    weight = common.materialize(members.groupBy("rep").agg(F.sum("n").alias("weight")), "weights")
     heads = members.join(weight, "rep").groupBy("key").agg(F.max(F.struct("weight", "rep")).alias("h")).select("key", F.col("h.rep").alias("leader"))
     members = common.materialize(members.join(heads, "key").select("key", "rep", "leader"), "starred")
-    low = classes.select("rep", F.struct("n_shingles", "low").alias("s"))
+    low = classes.where(common.flagged(F.col("rep.set_a"), weight.select("rep.set_a"), "set_a")).select("rep", F.struct("n_shingles", "low").alias("s"))
     star = members.where("rep <> leader").select("leader", F.least("leader", "rep").alias("a"), F.greatest("leader", "rep").alias("b")).dropDuplicates(["a", "b"])
     x, y = low.select(F.col("rep").alias("a"), F.col("s").alias("x")), low.select(F.col("rep").alias("b"), F.col("s").alias("y"))
     star = star.join(x, "a").join(y, "b").where(plausible("x", "y", percent, margin)).select("leader", "a", "b")
@@ -273,14 +270,18 @@ def _components(docs: DataFrame, percent: int, margin: float) -> tuple[DataFrame
     most = sizes.groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("most"), F.max("n").alias("inside"), F.sum("n").alias("n"), F.count("*").alias("parts")).where("parts > 1")
     # members outside the largest component meet all blocks; those inside meet only blocks of members outside
     mixed = most.select("key", "most", F.ceil((F.col("n") - F.col("inside")) / BLOCK).cast("int").alias("outer"), F.ceil(F.col("inside") / BLOCK).cast("int").alias("inner"))
-    rest = placed.join(mixed, "key").join(classes.select("rep", "n_shingles", "low", "bands"), "rep")
+    rest = common.materialize(placed.join(mixed, "key"), "mixed")
+    compared = classes.where(common.flagged(F.col("rep.set_a"), rest.select("rep.set_a"), "set_a")).select("rep", "n_shingles", "low")
+    rest = rest.join(compared, "rep")
     place, out = F.xxhash64("rep", "key"), F.col("component") != F.col("most")
     rest = rest.withColumn("sub", F.when(out, F.pmod(place, F.col("outer"))).otherwise(F.col("outer") + F.pmod(place, F.col("inner"))).cast("int"))
     rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0), F.when(out, F.col("outer") + F.col("inner")).otherwise(F.col("outer")) - 1)))
     rest = rest.withColumns({"i": F.least("sub", "other"), "j": F.greatest("sub", "other")}).withColumn("block", F.xxhash64("key", "i", "j")).drop("most", "outer", "inner", "other")
     pairs = rest.groupBy("key", "i", "j").applyInArrow(_plausible_pairs(percent, margin), f"block long, a {NODE}, b {NODE}")
     pairs = pairs.select("block", F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    pairs = common.materialize(pairs.join(star, ["a", "b"], "left_anti").select("block", "a", "b"), "pairs")
+    # a pair that shares several buckets stays in one block
+    pairs = pairs.groupBy("a", "b").agg(F.min("block").alias("block")).join(star, ["a", "b"], "left_anti").select("block", "a", "b")
+    pairs = common.materialize(pairs, "pairs")
     if not pairs.isEmpty():
         links = links.union(_links(pairs, docs, classes, percent))
         found = common.connected_components(links)
