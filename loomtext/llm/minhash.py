@@ -248,7 +248,7 @@ def _components(docs: DataFrame, percent: int, margin: float) -> tuple[DataFrame
     classes = common.materialize(one.select(F.struct("set_a", "set_b").alias("rep"), "n_shingles", "s.*"), "classes")
     rows = classes.select(F.explode("bands").alias("key"), "rep")
     shared = common.materialize(rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "buckets")
-    members = common.materialize(rows.join(shared, "key"), "members")
+    members = common.materialize(rows.where(common.flagged(F.col("key"), shared, "key")).join(shared, "key"), "members")
     # the member with the most neighbours over all its buckets is likeliest to be near all others
     weight = common.materialize(members.groupBy("rep").agg(F.sum("n").alias("weight")), "weights")
     heads = members.join(weight, "rep").groupBy("key").agg(F.max(F.struct("weight", "rep")).alias("h")).select("key", F.col("h.rep").alias("leader"))
