@@ -101,14 +101,21 @@ def _links(seqs: DataFrame, symbols: DataFrame, words: bool, threshold: Threshol
     component nothing is left to find; lines of the others meet again by their rarest symbols.
     """
     n = F.expr(_size("seq", words))
-    classes = threshold.classes()
-    inside = [(k, n >= low if high is None else (n >= low) & (n < high)) for k, low, high in classes]
-    first = F.concat(*[F.when(fits, _table([p for d in range(k + 1) for p in _parts(k, d)])).otherwise(_table([])) for k, fits in inside])
-    made = lambda: _keys(seqs.select("id", "seq"), words, first)
-    live = _live(made())
+    inside = [(k, n >= low if high is None else (n >= low) & (n < high)) for k, low, high in threshold.classes()]
+
+    def keys(wanted) -> DataFrame:
+        """The keys of the parts that are wanted."""
+        table = F.concat(*[F.when(fits, _table([p for d in range(k + 1) for p in _parts(k, d) if wanted(p)])).otherwise(_table([])) for k, fits in inside])
+        return _keys(seqs.select("id", "seq"), words, table)
+
+    segment = lambda p: p[1] == 0 and p[3] == 0
+    # one key in six or so is a segment; the others count only where a segment has the same, so few of them are ever written
+    own = common.materialize(keys(segment), "linesegments")
     # as the element of an array a key is computed once, apart from the filter; else the compiled method grows too large for the JVM's compiler
-    near = made().select(F.explode(F.array("key")).alias("key"), "id", "role", "d", "k").where(common.flagged(F.col("key"), live, "key"))
-    near = common.materialize(near.join(live, "key"), "livelines")
+    other = keys(lambda p: not segment(p)).select(F.explode(F.array("key")).alias("key"), "id", "role", "d", "k")
+    every = own.union(common.materialize(other.where(common.flagged(F.col("key"), own, "key")), "lineparts"))
+    live = _live(every)
+    near = common.materialize(every.where(common.flagged(F.col("key"), live, "key")).join(live, "key"), "livelines")
     pairs = near.where(F.col("n") <= group).transform(_pairs)
     large = near.where(F.col("n") > group).select("key", "id", "role", "d", "k")
     if large.isEmpty():
@@ -173,13 +180,15 @@ def _rare(lines: DataFrame, threshold: Threshold, group: int) -> DataFrame:
     return functools.reduce(lambda x, y: x.union(y), found).distinct()
 
 
-def banded_distance(a: str, b: str, k: str, most: int) -> str:
-    """SQL of the edit distance of array columns a and b where it is k <= most at most, else a number above k.
+def banded_distance(a: str, b: str, k: str, most: int, exact: bool = True) -> str:
+    """SQL of the edit distance of array columns a and b where it is k <= most at most, else a number above k; if not
+    exact, a number of edits of at most k that suffice, where the distance is k at most.
 
     Equal ends are cut off; then a band of 2 k + 1 cells moves down the diagonal, a column of b a step, as the bits of the
     vertical differences (Myers, 1999; Hyyro, 2003). The number kept is that of the band's lowest cell, and of the last row once
     the band reaches it; when it passes 3 k no cell of the band can lead to k, and steps do nothing. Where one symbol is
-    left on a side the distance is known without a walk.
+    left on a side the distance is known without a walk. So it is where sides of equal size differ at two places at most,
+    as a removed and an added symbol that do better leave three.
     """
 
     def let(value: str, name: str, body: str) -> str:
@@ -206,7 +215,10 @@ def banded_distance(a: str, b: str, k: str, most: int) -> str:
         return f"aggregate({column}, {start}, (s, c) -> IF(s.s > {3 * q}, s, {step}), s -> s.s)"
 
     walks = "CASE q " + " ".join(f"WHEN {q} THEN {walk(q)}" for q in range(1, most + 1)) + " END"
-    body = f"CASE WHEN size({pattern}) = 0 OR size({column}) = 0 THEN size({pattern}) + size({column}) WHEN q = 0 OR abs(size({pattern}) - size({column})) > q THEN q + 1 WHEN size({pattern}) = 1 OR size({column}) = 1 THEN greatest(size({pattern}), size({column})) - CAST(array_contains({pattern}, get({column}, 0)) OR array_contains({column}, get({pattern}, 0)) AS int) ELSE {walks} END"
+    changed = f"IF(size({pattern}) = size({column}), size(filter(zip_with({pattern}, {column}, (x0, y0) -> x0 <=> y0), e0 -> NOT e0)), q + 1)"
+    few = f"least(q, {2 if exact else most})"
+    walked = let(changed, "h", f"CASE WHEN h <= {few} THEN h ELSE {walks} END")
+    body = f"CASE WHEN size({pattern}) = 0 OR size({column}) = 0 THEN size({pattern}) + size({column}) WHEN q = 0 OR abs(size({pattern}) - size({column})) > q THEN q + 1 WHEN size({pattern}) = 1 OR size({column}) = 1 THEN greatest(size({pattern}), size({column})) - CAST(array_contains({pattern}, get({column}, 0)) OR array_contains({column}, get({pattern}, 0)) AS int) ELSE {walked} END"
     return let(f"CAST({k} AS int)", "q", trimmed(a, b, "r1", trimmed("r1.x", "r1.y", "r2", body)))
 
 
@@ -217,7 +229,7 @@ def _near(pairs: DataFrame, seqs: DataFrame, threshold: Threshold) -> DataFrame:
     x, y = held.select(F.col("id").alias("a"), F.col("seq").alias("sa")), held.select(F.col("id").alias("b"), F.col("seq").alias("sb"))
     k = threshold.column(F.least(F.size("sa"), F.size("sb")))
     rows = pairs.join(x, "a").join(y, "b").withColumn("k", k).where(F.abs(F.size("sa") - F.size("sb")) <= F.col("k"))
-    return common.materialize(rows.where(F.expr(banded_distance("sa", "sb", "k", threshold.most)) <= F.col("k")).select("a", "b"), "nearlines")
+    return common.materialize(rows.where(F.expr(banded_distance("sa", "sb", "k", threshold.most, exact=False)) <= F.col("k")).select("a", "b"), "nearlines")
 
 
 def sequence_links(seqs: DataFrame, words: bool, threshold: Threshold, group: int = GROUP) -> DataFrame:

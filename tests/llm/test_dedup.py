@@ -243,9 +243,10 @@ def test_banded_distance(spark, k):
             rows.append(([ord(c) for c in a], [ord(c) for c in b], edit(a, b)))
             other = rng.choices("abc", k=max(0, n + rng.randint(-k, k)))
             rows.append(([ord(c) for c in a], [ord(c) for c in other], edit(a, other)))
-    df = spark.createDataFrame(rows, "a array<int>, b array<int>, d int").selectExpr("d", f"{linededup.banded_distance('a', 'b', str(k), 3)} as got", f"{linededup.banded_distance('b', 'a', str(k), k)} as back")
+    df = spark.createDataFrame(rows, "a array<int>, b array<int>, d int").selectExpr("d", f"{linededup.banded_distance('a', 'b', str(k), 3)} as got", f"{linededup.banded_distance('b', 'a', str(k), k)} as back", f"{linededup.banded_distance('a', 'b', str(k), k, exact=False)} as enough")
     for r in df.collect():
         assert (r.got, r.back) == (r.d, r.d) if r.d <= k else min(r.got, r.back) > k
+        assert r.d <= r.enough <= k if r.d <= k else r.enough > k
 
 
 @pytest.mark.parametrize("k", [1, 2, 3])
