@@ -106,7 +106,7 @@ def slices(batch, column: int, most_bytes: int = 1 << 20):
         start = stop
 
 
-#: Places of a bitmap for each id, and the least and most of all. Four to a byte, so 16 MB at most go to all tasks.
+#: Places of a bitmap for each id, and the least and most of all. Seven to a byte, so 10 MB at most go to all tasks.
 FILTER_EACH, FILTER_LEAST, FILTER_MOST = 16, 1 << 16, 1 << 26
 
 
@@ -115,9 +115,11 @@ def flagged(on: Column, ids: DataFrame, column: str) -> Column:
 
     A bitmap of the low bits of the hashes, sized by their number, goes to all tasks; past 4 * FILTER_MOST places it would
     hold nearly every one, so then it is true throughout. Callers join with ids afterwards: this only spares them rows.
-    It is a binary value: element access to an array from a subquery costs microseconds a row.
+    It is a binary value: element access to an array from a subquery costs microseconds a row. It comes as a local relation,
+    which takes no job; seven places to a byte keep all bytes ASCII, as those are what SQL can turn into a number.
     """
     import numpy as np
+    import pyarrow as pa
 
     places, wanted = FILTER_LEAST, ids.count() * FILTER_EACH
     while places < wanted and places < FILTER_MOST:
@@ -126,13 +128,22 @@ def flagged(on: Column, ids: DataFrame, column: str) -> Column:
         return F.lit(True)
     at = F.col(column).bitwiseAND(F.lit(places - 1))
     got = ids.select(at.alias("at")).groupBy(F.shiftright("at", 6).cast("int").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, CAST(at & 63 AS int))")).alias("bits")).toArrow()
-    words = np.zeros(places // 64, "<u8")
+    words = np.zeros(places // 64 + 7, "<u8")
     words[got.column("word").to_numpy()] = got.column("bits").to_numpy().view(np.uint64)
-    raw = words.view(np.uint8)
-    held = ids.sparkSession.createDataFrame([(np.stack([raw & 15, raw >> 4], 1).tobytes(),)], "bits binary").scalar()
+    held = ids.sparkSession.createDataFrame(pa.table({"bits": pa.array([_sevens(words.view(np.uint8))], pa.binary())})).scalar()
     mine = on.bitwiseAND(F.lit(places - 1))
-    byte = F.ascii(F.substring(held, F.shiftright(mine, 2).cast("int") + 1, F.lit(1)).cast("string"))
-    return F.call_function("shiftright", byte, mine.bitwiseAND(F.lit(3)).cast("int")).bitwiseAND(F.lit(1)) == 1
+    byte = F.call_function("div", mine, F.lit(7))
+    held = F.ascii(F.substring(held, byte.cast("int") + 1, F.lit(1)).cast("string"))
+    return F.call_function("shiftright", held, (mine - byte * 7).cast("int")).bitwiseAND(F.lit(1)) == 1
+
+
+def _sevens(raw) -> bytes:
+    """The bits of an array of bytes, lowest first, seven to a byte; what is left after groups of seven bytes is cut off. By blocks, as bits take a byte each meanwhile."""
+    import numpy as np
+
+    step, weights = 7 << 13, np.left_shift(1, np.arange(7)).astype(np.uint8)
+    raw = raw[: len(raw) // 7 * 7]
+    return b"".join((np.unpackbits(raw[i : i + step], bitorder="little").reshape(-1, 7) * weights).sum(axis=1, dtype=np.uint8).tobytes() for i in range(0, len(raw), step))
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -140,8 +151,8 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
 
     Alternating large-star and small-star steps (Kiveris et al., 2014): each is a grouped minimum, combined before the
     shuffle, joined back to the edges, so a node with very many edges is never gathered into one task. Each round is
-    written to the shared folder. The number of rounds grows with the logarithm of the longest path. Nulls and
-    self-loops are dropped.
+    written to the shared folder. The number of rounds grows with the logarithm of the longest path; they end once the edges
+    are stars, as a further round would leave these as they are. Nulls and self-loops are dropped.
     """
     with scratch(edges.sparkSession) as keep:
         e = _stars(edges, a, b)
@@ -155,8 +166,7 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
 def _stars(edges: DataFrame, a: str, b: str) -> DataFrame:
     e = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct()
     e = materialize(e, "cc")
-    state = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-    while state[0]:
+    while not _are_stars(e):
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.join(low, "u").where("v > u and v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -164,9 +174,13 @@ def _stars(edges: DataFrame, a: str, b: str) -> DataFrame:
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         joined = large.join(low, "u")
         small = joined.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v"))).distinct()
-        e = materialize(small, "cc")
-        new = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if new == state:
-            break
-        state = new
+        last, e = e, materialize(small, "cc")
+        drop(last)
     return e
+
+
+def _are_stars(e: DataFrame) -> bool:
+    """Whether each node of the distinct edges u > v has one edge down and none up, or none down: v is then the least node of its component."""
+    down = e.select(F.col("u").alias("node"), F.lit(1).alias("down"), F.lit(0).alias("up"))
+    ends = down.union(e.select("v", F.lit(0), F.lit(1))).groupBy("node").agg(F.sum("down").alias("down"), F.max("up").alias("up"))
+    return ends.where("down > 1 or down = 1 and up = 1").agg(F.count("*")).first()[0] == 0

@@ -113,9 +113,12 @@ def _links(seqs: DataFrame, symbols: DataFrame, words: bool, threshold: Threshol
     own = common.materialize(keys(segment), "linesegments")
     # as the element of an array a key is computed once, apart from the filter; else the compiled method grows too large for the JVM's compiler
     other = keys(lambda p: not segment(p)).select(F.explode(F.array("key")).alias("key"), "id", "role", "d", "k")
-    every = own.union(common.materialize(other.where(common.flagged(F.col("key"), own, "key")), "lineparts"))
+    parts = common.materialize(other.where(common.flagged(F.col("key"), own, "key")), "lineparts")
+    every = own.union(parts)
     live = _live(every)
     near = common.materialize(every.where(common.flagged(F.col("key"), live, "key")).join(live, "key"), "livelines")
+    for done in (own, parts, live):
+        common.drop(done)
     pairs = near.where(F.col("n") <= group).transform(_pairs)
     large = near.where(F.col("n") > group).select("key", "id", "role", "d", "k")
     if large.isEmpty():
@@ -229,7 +232,10 @@ def _near(pairs: DataFrame, seqs: DataFrame, threshold: Threshold) -> DataFrame:
     x, y = held.select(F.col("id").alias("a"), F.col("seq").alias("sa")), held.select(F.col("id").alias("b"), F.col("seq").alias("sb"))
     k = threshold.column(F.least(F.size("sa"), F.size("sb")))
     rows = pairs.join(x, "a").join(y, "b").withColumn("k", k).where(F.abs(F.size("sa") - F.size("sb")) <= F.col("k"))
-    return common.materialize(rows.where(F.expr(banded_distance("sa", "sb", "k", threshold.most, exact=False)) <= F.col("k")).select("a", "b"), "nearlines")
+    near = common.materialize(rows.where(F.expr(banded_distance("sa", "sb", "k", threshold.most, exact=False)) <= F.col("k")).select("a", "b"), "nearlines")
+    for done in (ids, held):
+        common.drop(done)
+    return near
 
 
 def sequence_links(seqs: DataFrame, words: bool, threshold: Threshold, group: int = GROUP) -> DataFrame:
@@ -279,53 +285,67 @@ def dedup_lines(docs: DataFrame, k: int = 1, each_chars: int = 24, changed: int
     if taken:
         raise ValueError(f"docs already has the columns {sorted(taken)}")
     rows, row = _without_repeats(docs, k, each_chars, changed, each_words)
-    return rows.select(*[F.col("new").alias(c) if c == "text" else F.col(f"{row}.`{c}`") for c in docs.columns], "n_lines", "n_removed", "n_left")
+    counts = [_lines_of(F.col("text0")).alias("n_lines"), F.coalesce(F.size("lost"), F.lit(0)).cast("long").alias("n_removed"), _worded(F.col("new")).alias("n_left")]
+    return rows.select(*[F.col("new").alias(c) if c == "text" else F.col(f"{row}.`{c}`") for c in docs.columns], *counts)
 
 
 def drop_repeated_lines(docs: DataFrame, k: int = 1, each_chars: int = 24, changed: int = 3, each_words: int = 10) -> DataFrame:
     """docs, with its columns, after `dedup_lines`: documents that lose every line with a word go, and n_chars, where there is one, is that of the new text. A null text stays."""
     rows, row = _without_repeats(docs, k, each_chars, changed, each_words)
     own = {"text": F.col("new"), "n_chars": F.length("new").cast("long")}
-    return rows.where("n_removed = 0 or n_left > 0").select(*[own.get(c, F.col(f"{row}.`{c}`")).alias(c) for c in docs.columns])
+    return rows.where(F.col("lost").isNull() | (_worded(F.col("new")) > 0)).select(*[own.get(c, F.col(f"{row}.`{c}`")).alias(c) for c in docs.columns])
+
+
+def _lines_of(text: Column) -> Column:
+    """The number of lines of a text; 0 for null."""
+    return F.coalesce(_count_of("\n", text) + 1, F.lit(0)).cast("long")
+
+
+def _worded(text: Column) -> Column:
+    """The number of lines with a word of a text; 0 for null."""
+    return F.when(text.isNull(), 0).otherwise(F.size(F.filter(F.split(text, "\n"), lambda x: x.rlike(WORD)))).cast("long")
+
+
+def _count_of(letter: str, text: Column) -> Column:
+    """How often an ASCII letter stands in a text, by its bytes: lengths in characters would be counted each time."""
+    return F.octet_length(text) - F.octet_length(F.replace(text, F.lit(letter), F.lit("")))
 
 
 def _without_repeats(docs: DataFrame, k: int, each_chars: int, changed: int, each_words: int) -> tuple[DataFrame, str]:
-    """A struct of docs' columns, `new` (text) and the counts; the struct's name."""
+    """A struct of docs' columns, `text0` (text), `lost` (places of removed lines, null where there are none) and `new` (text); the struct's name."""
     text = F.col("text").cast("string")
     base = docs.select(F.col("doc_id").cast("long").alias("doc"), F.xxhash64(text).alias("tag"), text.alias("text")).where("text is not null")
     with common.scratch(docs.sparkSession) as keep:
         known, lines = _classes(base, k, each_chars, changed, each_words)
-        keep += [known, lines]
-    lost = lines.select("id", "place").join(known, "id").where("place <> keep").select("place.*")
-    lost = lost.groupBy("doc", "tag").agg(F.collect_set("pos").alias("lost"))
+        lost = lines.select("id", "place").join(known, "id").where("place <> keep").select("place.*")
+        lost = common.materialize(lost.groupBy("doc", "tag").agg(F.collect_set("pos").alias("lost")), "lostlines")
+        keep.append(lost)
     held = f"row_{uuid.uuid4().hex}"
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(held), F.col("doc_id").cast("long").alias("doc0"), F.xxhash64(text).alias("tag0"), text.alias("text0"))
-    rows = rows.join(lost, F.col("doc0").eqNullSafe(F.col("doc")) & (F.col("tag0") == F.col("tag")), "left").withColumn("parts", F.split("text0", "\n"))
+    # texts that lose nothing need no shuffle
+    touched = common.flagged(F.col("tag0"), lost, "tag")
+    found = rows.where(touched).join(lost, F.col("doc0").eqNullSafe(F.col("doc")) & (F.col("tag0") == F.col("tag")), "left").withColumn("parts", F.split("text0", "\n"))
     left = F.array_except(F.sequence(F.lit(0), F.size("parts") - 1), F.col("lost"))
-    kept = F.array_join(F.transform(left, lambda i: F.get("parts", i)), "\n")
-    rows = rows.withColumn("new", F.when(F.col("lost").isNull(), F.col("text0")).otherwise(kept))
-    worded = F.size(F.filter(F.split("new", "\n"), lambda x: x.rlike(WORD)))
-    none = F.col("new").isNull()
-    counts = [
-        F.when(none, 0).otherwise(F.size("parts")).cast("long").alias("n_lines"),
-        F.coalesce(F.size("lost"), F.lit(0)).cast("long").alias("n_removed"),
-        F.when(none, 0).otherwise(worded).cast("long").alias("n_left"),
-    ]
-    return rows.select(held, "new", *counts), held
+    new = F.when(F.col("lost").isNull(), F.col("text0")).otherwise(F.array_join(F.transform(left, lambda i: F.get("parts", i)), "\n"))
+    # as the element of an array it is computed once
+    found = found.select(held, "text0", "lost", F.explode(F.array(new)).alias("new"))
+    whole = rows.where(~touched).select(held, "text0", F.lit(None).cast("array<int>").alias("lost"), F.col("text0").alias("new"))
+    return found.union(whole), held
 
 
 def _classes(base: DataFrame, k: int, each_chars: int, changed: int, each_words: int) -> tuple[DataFrame, DataFrame]:
     """(id, keep) of the lines that lose occurrences, and every line's occurrence with its id and place."""
     each = base.select("doc", "tag", F.posexplode_outer(F.split("text", "\n")).alias("pos", "line")).where(F.col("line").rlike(WORD))
     identity = F.struct(F.xxhash64("line").alias("id"), F.xxhash64(F.lit(20240611), "line").alias("id2")).alias("id")
-    split = each.select(identity, F.struct("doc", "tag", "pos").alias("place"), "line", F.split("line", " ").alias("words"))
+    # counted, as a split in each condition would be made anew
+    size = _count_of(" ", F.col("line")) + 1
     # a changed character is two changed words at most, so the join over words finds it where it allows 2 k of them
-    short = F.lit(True) if changed < 2 * k else F.size("words") < 2 * k * each_words + k
-    lines = split.select(
-        "id",
-        "place",
+    short = F.lit(True) if changed < 2 * k else size < 2 * k * each_words + k
+    lines = each.select(
+        identity,
+        F.struct("doc", "tag", "pos").alias("place"),
         F.when((F.length("line") >= each_chars) & short, F.col("line")).alias("chars"),
-        F.when(F.size("words") >= each_words, _word_codes(F.col("words"))).alias("codes"),
+        F.when(size >= each_words, _word_codes(F.split("line", " "))).alias("codes"),
     )
     lines = common.materialize(lines, "lines")
     firsts = common.materialize(lines.groupBy("id").agg(F.min("place").alias("first"), F.count("*").alias("n")), "firstlines")

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from loomtext.llm import chat, common, queries, rules
+from loomtext.llm import chat, common, linededup, queries, rules
 from loomtext.llm.sharding import Conflict, ShardStore
 
 DATA = "/root/testdata/sf0.001"
@@ -264,3 +264,25 @@ def test_pipeline(spark):
     full = corpus_pipeline.run(spark, DATA)
     key = ["doc_id", "piece", "ids_crc32", "length"]
     assert full.select(*key).exceptAll(out.select(*key)).isEmpty() and full.count() == out.count()
+
+
+def test_components_end_once_edges_are_stars(spark, monkeypatch):
+    """Edges that are stars take no round, a path of four nodes one or two; the bitmap comes without a job of its own and loses no id."""
+    made = []
+    own = common.materialize
+    monkeypatch.setattr(common, "materialize", lambda df, tag: made.append(tag) or own(df, tag))
+    assert dict(common.connected_components(spark.createDataFrame([(1, 2), (3, 1), (5, 9)], "a long, b long")).collect()) == {1: 1, 2: 1, 3: 1, 5: 5, 9: 5}
+    assert made == ["cc"]
+    assert set(dict(common.connected_components(spark.createDataFrame([(4, 3), (2, 3), (1, 2)], "a long, b long")).collect()).values()) == {1}
+    assert len(made) <= 4
+    ids = own(spark.range(5000).selectExpr("xxhash64(id) AS h"), "ids")
+    kept = spark.range(10000).where(common.flagged(F.xxhash64("id"), ids, "h"))
+    assert kept.where("id < 5000").count() == 5000 and kept.count() < 6000
+
+
+def test_texts_that_lose_no_line_are_not_shuffled(spark):
+    """The text column stands below an exchange only where the text may lose a line."""
+    rows = [(1, "one line here\nanother one"), (2, "one line here\nmore"), (3, None), (4, "alone")]
+    out = linededup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r["doc_id"]: (r["text"], r["n_lines"], r["n_removed"], r["n_left"]) for r in out.collect()} == {1: (rows[0][1], 2, 0, 2), 2: ("more", 2, 1, 1), 3: (None, 0, 0, 0), 4: ("alone", 1, 0, 1)}
+    assert "Union" in out._jdf.queryExecution().optimizedPlan().toString()
