@@ -151,37 +151,79 @@ def _links(pairs: DataFrame, docs: DataFrame, classes: DataFrame, percent: int)
     return common.materialize(near.distinct(), "links")
 
 
-def _plausible_pairs(percent: int, margin: float):
-    """Of the members of a block, or of two blocks, of a bucket: the pairs of different components that may reach the threshold, as `plausible` has it."""
+def _plausible(table, percent: int, margin: float) -> Iterator[tuple[int, np.ndarray]]:
+    """Of the members of a block, or of two blocks, of a bucket: each member with those of other components that it may reach the threshold with, as `plausible` has it, by rows.
 
-    def pairs(table):
+    A pair that shares several buckets counts in that of its first band in common alone: `heads` has the low 32 bits of each band's key.
+    """
+    sub, band = table.column("sub").to_numpy(), table.column("band")[0].as_py()
+    rows = lambda c: np.stack([x.values.to_numpy() for x in table.column(c).combine_chunks()])
+    low, heads = rows("low").view(np.uint64), rows("heads")[:, :band]
+    n, part = table.column("n_shingles").to_numpy(), [table.column("component").combine_chunks().field(c).to_numpy() for c in ("set_a", "set_b")]
+    i, j = (table.column(c)[0].as_py() for c in ("i", "j"))
+    one, two = (np.flatnonzero(sub == i), np.flatnonzero(sub == j))
+    for x in one:
+        y = two[two > x] if i == j else two
+        y = y[(part[0][y] != part[0][x]) | (part[1][y] != part[1][x])]
+        y = y[np.minimum(n[y], n[x]) * 100 >= np.maximum(n[y], n[x]) * percent]
+        y = y[~(heads[y] == heads[x]).any(axis=1)]
+        if not len(y):
+            continue
+        differ = low[y] ^ low[x]
+        differ = functools.reduce(np.bitwise_or, [differ[:, k * LONGS : (k + 1) * LONGS] for k in range(BITS)])
+        chance = 2.0**-BITS
+        like = (1 - np.bitwise_count(differ).sum(axis=1, dtype=np.int64) / HASHES - chance) / (1 - chance)
+        y = y[like >= percent / 100 - np.sqrt(margin * margin + SMALL / np.minimum(n[y], n[x]))]
+        if len(y):
+            yield x, y
+
+
+def _wanted_members(percent: int, margin: float):
+    """The rows (key, i, j, rep) of a block's members that are in a plausible pair: those whose texts are needed."""
+
+    def wanted(table):
+        held = np.zeros(table.num_rows, bool)
+        for x, y in _plausible(table, percent, margin):
+            held[x] = True
+            held[y] = True
+        return table.filter(held).select(["key", "i", "j", "rep"])
+
+    return wanted
+
+
+def _confirmed_in_block(percent: int, margin: float):
+    """Links (a, b) of a block's members, with their texts, that reach the threshold: of those that are already linked through others of the block none, so fewer than members."""
+
+    def confirm(table):
         import pyarrow as pa
 
-        sub = table.column("sub").to_numpy()
-        low = np.stack([x.values.to_numpy() for x in table.column("low").combine_chunks()]).view(np.uint64)
-        n, part = table.column("n_shingles").to_numpy(), [table.column("component").combine_chunks().field(c).to_numpy() for c in ("set_a", "set_b")]
-        i, j = (table.column(c)[0].as_py() for c in ("i", "j"))
-        one, two = (np.flatnonzero(sub == i), np.flatnonzero(sub == j))
+        sets = shingle_sets(table.column("text").combine_chunks())
+        part = table.column("component").combine_chunks()
+        first: dict = {}
+        # members of one component are one from the start
+        root = [first.setdefault(p, k) for k, p in enumerate(zip(*(part.field(c).to_pylist() for c in ("set_a", "set_b")), strict=True))]
+
+        def find(x: int) -> int:
+            while root[x] != x:
+                root[x] = root[root[x]]
+                x = root[x]
+            return x
+
         xs, ys = [], []
-        for x in one:
-            y = two[two > x] if i == j else two
-            y = y[(part[0][y] != part[0][x]) | (part[1][y] != part[1][x])]
-            least, most = np.minimum(n[y], n[x]), np.maximum(n[y], n[x])
-            y = y[least * 100 >= most * percent]
-            if not len(y):
-                continue
-            differ = low[y] ^ low[x]
-            differ = functools.reduce(np.bitwise_or, [differ[:, k * LONGS : (k + 1) * LONGS] for k in range(BITS)])
-            chance = 2.0**-BITS
-            like = (1 - np.bitwise_count(differ).sum(axis=1, dtype=np.int64) / HASHES - chance) / (1 - chance)
-            y = y[like >= percent / 100 - np.sqrt(margin * margin + SMALL / np.minimum(n[y], n[x]))]
-            xs.append(np.full(len(y), x))
-            ys.append(y)
-        xs, ys = (np.concatenate([*v, np.zeros(0, np.int64)]).astype(np.int64) for v in (xs, ys))
+        for x, others in _plausible(table, percent, margin):
+            for y in others.tolist():
+                p, q = find(int(x)), find(y)
+                if p == q:
+                    continue
+                both = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
+                if both and 100 * both >= percent * (len(sets[x]) + len(sets[y]) - both):
+                    root[p] = q
+                    xs.append(int(x))
+                    ys.append(y)
         rep = table.column("rep").combine_chunks()
-        return pa.table({"block": np.full(len(xs), table.column("block")[0].as_py(), np.int64), "a": rep.take(pa.array(xs)), "b": rep.take(pa.array(ys))})
+        return pa.table({"a": rep.take(pa.array(xs, pa.int64())), "b": rep.take(pa.array(ys, pa.int64()))})
 
-    return pairs
+    return confirm
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85, margin: float = 0.07) -> DataFrame:
@@ -195,10 +237,10 @@ def near_duplicates(docs: DataFrame, percent: int = 85, margin: float = 0.07) ->
        estimated under the threshold less `margin`, widened for small sets (over five standard deviations at any size),
        full sets confirm the rest.
     4. Where a bucket still holds several components, its members are compared in blocks of BLOCK: those of two blocks meet in a task,
-       but for two blocks of the largest component, and it compares members of different components by their packed bits and emits plausible pairs alone. A
-       group of copies of any size, once joined, costs nothing here.
-    Plausible pairs are confirmed in the same blocks: a class's text goes to a block once and its set is computed there once,
-    whatever the number of its pairs. (Sets of hashes would spare computing, but don't compress: 4.81 x input on disk.)
+       but for two blocks of the largest component, and it compares members of different components by their packed bits, each pair in the bucket of its
+       first common band alone. A group of copies of any size, once joined, costs nothing here.
+    Plausible pairs are never written: a first pass names the members that have one, a second gets these with their texts, finds the pairs again
+    and confirms those not yet linked within the block, so it gives fewer links than members. (Sets of hashes would spare computing, but don't compress: 4.81 x input on disk.)
     No cap on buckets or partners. Nothing but counts and a bitmap of bounded size goes to the driver.
     Null text or no words: an empty set, linked with nothing. Null doc_id: never linked, component_id and kept null.
     Rows that share a doc_id but not a text are linked apart, each by its own set; `kept` is then of the row, not of the
@@ -271,18 +313,21 @@ def _components(docs: DataFrame, percent: int, margin: float) -> tuple[DataFrame
     # members outside the largest component meet all blocks; those inside meet only blocks of members outside
     mixed = most.select("key", "most", F.ceil((F.col("n") - F.col("inside")) / BLOCK).cast("int").alias("outer"), F.ceil(F.col("inside") / BLOCK).cast("int").alias("inner"))
     rest = common.materialize(placed.join(mixed, "key"), "mixed")
-    compared = classes.where(common.flagged(F.col("rep.set_a"), rest.select("rep.set_a"), "set_a")).select("rep", "n_shingles", "low")
-    rest = rest.join(compared, "rep")
+    heads = F.transform("bands", lambda x: F.shiftright(F.shiftleft(x, 32), 32).cast("int"))
+    compared = classes.where(common.flagged(F.col("rep.set_a"), rest.select("rep.set_a"), "set_a")).select("rep", "n_shingles", "low", "bands", heads.alias("heads"))
+    rest = rest.join(compared, "rep").withColumn("band", (F.array_position("bands", F.col("key")) - 1).cast("int")).drop("bands")
     place, out = F.xxhash64("rep", "key"), F.col("component") != F.col("most")
     rest = rest.withColumn("sub", F.when(out, F.pmod(place, F.col("outer"))).otherwise(F.col("outer") + F.pmod(place, F.col("inner"))).cast("int"))
     rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0), F.when(out, F.col("outer") + F.col("inner")).otherwise(F.col("outer")) - 1)))
-    rest = rest.withColumns({"i": F.least("sub", "other"), "j": F.greatest("sub", "other")}).withColumn("block", F.xxhash64("key", "i", "j")).drop("most", "outer", "inner", "other")
-    pairs = rest.groupBy("key", "i", "j").applyInArrow(_plausible_pairs(percent, margin), f"block long, a {NODE}, b {NODE}")
-    pairs = pairs.select("block", F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    # a pair that shares several buckets stays in one block
-    pairs = pairs.groupBy("a", "b").agg(F.min("block").alias("block")).join(star, ["a", "b"], "left_anti").select("block", "a", "b")
-    pairs = common.materialize(pairs, "pairs")
-    if not pairs.isEmpty():
-        links = links.union(_links(pairs, docs, classes, percent))
+    rest = rest.withColumns({"i": F.least("sub", "other"), "j": F.greatest("sub", "other")}).drop("most", "outer", "inner", "other")
+    # texts go only to blocks where a plausible pair needs them; pairs are found there again and never written
+    wanted = common.materialize(rest.groupBy("key", "i", "j").applyInArrow(_wanted_members(percent, margin), f"key long, i int, j int, rep {NODE}"), "wanted")
+    if not wanted.isEmpty():
+        nodes = common.materialize(wanted.select("rep").distinct().join(classes.select("rep", "doc_id", "tag"), "rep"), "nodes")
+        texts = docs.where(common.flagged(F.col("tag"), nodes, "tag")).join(nodes, ["doc_id", "tag"]).select("rep", "text").dropDuplicates(["rep"])
+        texts = common.materialize(texts, "texts")
+        held = rest.join(wanted, ["key", "i", "j", "rep"], "left_semi").join(texts, "rep")
+        more = held.groupBy("key", "i", "j").applyInArrow(_confirmed_in_block(percent, margin), f"a {NODE}, b {NODE}")
+        links = links.union(common.materialize(more.distinct(), "links"))
         found = common.connected_components(links)
     return sketch, classes, found

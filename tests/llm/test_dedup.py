@@ -504,3 +504,25 @@ def test_fingerprints_against_brute_force(spark, partitions):
     if partitions > 1:
         bounds, hot = imatch._cuts(df.selectExpr("coalesce(doc_id, -9223372036854775807 - 1) as at", "xxhash64(coalesce(text, '')) as tie"), 6)
         assert len(bounds) > 3 and any(b[1] > -(1 << 63) for b in bounds)
+
+
+def test_a_block_of_near_copies_gives_fewer_links_than_members():
+    """Of 60 texts that are all near one another a block gives links that join them, not all pairs, and none where an earlier band is shared."""
+    import numpy as np
+    import pyarrow as pa
+
+    texts = [" ".join(f"w{i}" if i != 7 * t % 200 else f"x{t}" for i in range(200)) for t in range(60)]
+    n = len(texts)
+    made = next(minhash._sketches(iter([pa.RecordBatch.from_arrays([pa.array(range(n)), pa.array(texts), pa.array(range(n))], ["doc_id", "text", "tag"])]), 40))
+    rep = pa.StructArray.from_arrays([pa.array(range(n)), pa.array(range(n))], ["set_a", "set_b"])
+    zeros, heads = pa.array(np.zeros(n, np.int32)), pa.array([[t, 5] for t in range(n)], pa.list_(pa.int32()))
+    table = pa.table({"key": pa.array(np.zeros(n, np.int64)), "i": zeros, "j": zeros, "sub": zeros, "rep": rep, "component": rep, "n_shingles": made.column("n_shingles"), "low": made.column("low"), "heads": heads, "band": pa.array(np.ones(n, np.int32)), "text": pa.array(texts)})
+    assert minhash._wanted_members(85, 0.07)(table.drop_columns("text")).num_rows == n
+    links = minhash._confirmed_in_block(85, 0.07)(table)
+    root = list(range(n))
+    for a, b in zip(links.column("a").to_pylist(), links.column("b").to_pylist(), strict=True):
+        x, y = root[a["set_a"]], root[b["set_a"]]
+        root = [y if r == x else r for r in root]
+    assert links.num_rows == n - 1 and len(set(root)) == 1
+    later = table.set_column(table.column_names.index("band"), "band", pa.array(np.full(n, 2, np.int32)))
+    assert minhash._confirmed_in_block(85, 0.07)(later).num_rows == 0
