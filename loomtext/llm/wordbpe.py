@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import json
 from functools import lru_cache
 
@@ -32,7 +33,8 @@ class WordBpe:
 
         self.whole = Tokenizer.from_file(path)
         self.model = self.whole.model
-        self.specials = [t["content"].encode() for t in json.load(open(path))["added_tokens"]]
+        specials = [t["content"].encode() for t in json.load(open(path))["added_tokens"]]
+        self.special = re.compile(b"|".join(map(re.escape, specials)) or rb"(?!)").search
         self.find = re.compile(rb"'(?:s|t|re|ve|m|ll|d)|[a-z]+|[0-9]|[^\sa-z0-9]+").findall
         self.letters = _byte_letters()
         self.pieces = ChunkCache(self._model, 24 << 20)
@@ -45,18 +47,25 @@ class WordBpe:
         return np.fromiter((i for r in rows for i in r), np.int32, int(lengths.sum())), lengths
 
     def _chunks(self, chunks: list[bytes]):
-        plain = [i for i, c in enumerate(chunks) if c.isascii() and not any(s in c for s in self.specials if b"<|" in c)]
+        special = self.special
+        plain = [i for i, c in enumerate(chunks) if c.isascii() and not (b"<|" in c and special(c))]
         flat, counts = self.pieces.encode([self.find(chunks[i].lower()) for i in plain])
         if len(plain) == len(chunks):
             return flat, counts
-        rows: list = [None] * len(chunks)
-        ends = np.cumsum(counts)
-        for i, a, b in zip(plain, (ends - counts).tolist(), ends.tolist(), strict=True):
-            rows[i] = flat[a:b]
-        other = [i for i, r in enumerate(rows) if r is None]
-        for i, e in zip(other, self.whole.encode_batch_fast([chunks[i].decode() for i in other], add_special_tokens=False), strict=True):
-            rows[i] = np.asarray(e.ids, np.int32)
-        return np.concatenate(rows), np.fromiter(map(len, rows), np.int64, len(rows))
+        held = np.zeros(len(chunks), bool)
+        held[plain] = True
+        other = np.flatnonzero(~held)
+        rows = [e.ids for e in self.whole.encode_batch_fast([chunks[i].decode() for i in other.tolist()], add_special_tokens=False)]
+        flat = np.concatenate([flat, np.fromiter(itertools.chain.from_iterable(rows), np.int32)])
+        # both kinds lie in flat one after the other; each chunk's values are picked from there in the order of chunks
+        lengths = np.zeros(len(chunks), np.int64)
+        lengths[plain] = counts
+        lengths[other] = np.fromiter(map(len, rows), np.int64, len(rows))
+        order = np.concatenate([np.asarray(plain, np.int64), other])
+        starts = np.zeros(len(chunks), np.int64)
+        starts[order] = np.cumsum(lengths[order]) - lengths[order]
+        ends = np.cumsum(lengths)
+        return flat[np.repeat(starts - (ends - lengths), lengths) + np.arange(len(flat))], lengths
 
     def encode(self, texts: list) -> tuple[np.ndarray, np.ndarray]:
         """(flat ids, number of ids of each text); a null text is empty."""

@@ -248,3 +248,14 @@ def test_heap_and_rounds_agree(limit, monkeypatch):
     texts = ["".join(rng.choices("aabbcdeéß中 \n\U0001f600the", k=rng.randrange(0, 60))) for _ in range(400)] + ["", " ", "aaaa" * 20]
     flat, counts = bpe.encode(texts)
     assert [p.tolist() for p in np.split(flat, np.cumsum(counts)[:-1])] == [bpe.lib.encode(t) for t in texts]
+
+
+def test_mixed_chunks_are_gathered_once():
+    """ASCII chunks, others and those with a special token, in any order, with ids as one array and lengths as another."""
+    from loomtext.llm.wordbpe import WordBpe
+
+    bpe = WordBpe(tokenizer_file("word_bpe_49k.json"))
+    chunks = ["Hello", "\u00e9", "a<|endoftext|>b", "it's", "<|x|>", "\u65e5\u672c", "\u200b", "12ab"]
+    flat, lengths = bpe._chunks([c.encode() for c in chunks])
+    own = [bpe.whole.encode(c, add_special_tokens=False).ids for c in chunks]
+    assert flat.tolist() == [i for ids in own for i in ids] and lengths.tolist() == [len(ids) for ids in own]
