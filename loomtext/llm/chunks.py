@@ -95,14 +95,37 @@ class ChunkCache:
             at[missing] = np.fromiter(map(self.index.__getitem__, map(chunks.__getitem__, missing.tolist())), np.int64, len(missing))
         return at
 
-    def _values(self, chunks: list, sizes: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    def _each(self, chunks: list) -> tuple[np.ndarray, np.ndarray]:
+        """(flat values, number of values of each chunk)."""
         at = self.lookup(chunks)
         lengths = self.lengths[at].astype(np.int64)
-        ends = np.cumsum(lengths)
-        total = int(ends[-1]) if len(ends) else 0
-        pick = np.repeat(self.starts[at] - (ends - lengths), lengths) + np.arange(total)
-        bounds = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])]
-        return self.flat[pick], np.diff(bounds)
+        return gathered(self.flat, self.starts[at], lengths), lengths
+
+    def _values(self, chunks: list, sizes: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        flat, lengths = self._each(chunks)
+        return flat, summed(lengths, np.asarray(sizes, np.int64))
+
+    def values(self, chunks: list) -> np.ndarray:
+        """The values of all chunks, one after the other."""
+        return np.concatenate([np.zeros(0, np.int32), *[self._each(chunks[i : i + BLOCK])[0] for i in range(0, len(chunks), BLOCK)]])
+
+    def encode_array(self, texts) -> tuple[np.ndarray, np.ndarray]:
+        """As encode, of an Arrow array of texts, a null one empty, where chunks are what ASCII white space separates, as
+        bytes. Arrow cuts the texts and numbers their chunks, so each distinct one is looked up once an array."""
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        if texts.nbytes > 8 * LONG:
+            return self.encode(byte_chunks((t or "").encode()) for t in texts.to_pylist())
+        cut = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+        numbered = cut.flatten().dictionary_encode()
+        distinct = numbered.dictionary.view(pa.binary()).to_numpy(zero_copy_only=False).tolist()
+        parts = [self._each(distinct[i : i + BLOCK]) for i in range(0, len(distinct), BLOCK)]
+        flat = np.concatenate([np.zeros(0, np.int32), *[p[0] for p in parts]])
+        lengths = np.concatenate([np.zeros(0, np.int64), *[p[1] for p in parts]])
+        at = numbered.indices.to_numpy()
+        each = lengths[at]
+        return gathered(flat, (np.cumsum(lengths) - lengths)[at], each), summed(each, pc.list_value_length(cut).to_numpy())
 
     def encode(self, split_texts: Iterable[Iterable]) -> tuple[np.ndarray, np.ndarray]:
         """(flat values, number of values of each text) for texts given as chunks; lazy ones are never held whole."""
@@ -127,6 +150,18 @@ class ChunkCache:
         return np.concatenate(flat), counts
 
 
+def gathered(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The runs of flat that begin at starts, one after the other."""
+    ends = np.cumsum(lengths)
+    return flat[np.repeat(starts - (ends - lengths), lengths) + np.arange(int(ends[-1]) if len(ends) else 0)]
+
+
+def summed(lengths: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The sums of runs of lengths, sizes of them each."""
+    bounds = np.concatenate([[0], np.cumsum(lengths)])[np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])]
+    return np.diff(bounds)
+
+
 def ragged(flat: np.ndarray, counts: np.ndarray, before: int | None, after: int | None) -> tuple[np.ndarray, np.ndarray]:
     """The same rows with a value put before and after each."""
     extra = (before is not None) + (after is not None)

@@ -98,8 +98,8 @@ def _cut(tokenizer: str, capacity: int, end_id: int):
         bpe, part = word_bpe(tokenizer), TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, np.int64)
         for whole in batches:
-            for b in common.slices(whole, 1):
-                flat, counts = ragged(*bpe.encode(b.column(1).to_pylist()), None, end_id)
+            for b in common.slices(whole, 1, 4 << 20):
+                flat, counts = ragged(*bpe.encode(b.column(1)), None, end_id)
                 flat = flat.astype("<u4")
                 n = -(-counts // capacity)
                 row = np.repeat(np.arange(len(counts)), n)

@@ -24,8 +24,8 @@ def _encoder(tokenizer: str, end_id: int | None):
 
         bpe, part, done = word_bpe(tokenizer), TaskContext.get().partitionId(), 0
         for whole in batches:
-            for b in common.slices(whole, 1):
-                flat, counts = ragged(*bpe.encode(b.column(1).to_pylist()), None, end_id)
+            for b in common.slices(whole, 1, 4 << 20):
+                flat, counts = ragged(*bpe.encode(b.column(1)), None, end_id)
                 ends = np.cumsum(counts)
                 yield pa.RecordBatch.from_arrays(
                     [

@@ -47,6 +47,31 @@ def test_word_bpe_is_the_library():
     assert rows_of(*bpe.encode(all_)) == [word_ids(t) for t in all_]
 
 
+def test_word_bpe_of_arrow_arrays_is_the_library(monkeypatch):
+    import pyarrow as pa
+
+    from loomtext.llm import chunks
+
+    bpe = word_bpe(tokenizer_file("word_bpe_49k.json"))
+    all_ = texts(1500, 31) + [f"a{chr(i)}B {chr(i)}\u0301 x{chr(i)}" for i in range(0x300)] + [f"{chr(i)}{chr(j)}" for i in range(0xA0, 0x100) for j in range(0xC0, 0x100)]
+    whole, want = pa.array(all_), [word_ids(t) for t in all_]
+    assert rows_of(*bpe.encode(whole)) == want
+    assert rows_of(*bpe.encode(whole.slice(700, 900))) == want[700:1600]
+    assert rows_of(*bpe.encode(pa.array([None, ""]))) == [[], []] and rows_of(*bpe.encode(pa.array([], pa.string()))) == []
+    monkeypatch.setattr(chunks, "BLOCK", 40)
+    small = chunks.ChunkCache(bpe._chunks, 3000)
+    assert rows_of(*small.encode_array(whole)) == want
+    monkeypatch.setattr(chunks, "LONG", 1)
+    assert rows_of(*small.encode_array(whole)) == want
+
+
+def test_letters_of_latin_1_need_no_library_tokenizer(monkeypatch):
+    bpe, all_ = type(word_bpe(tokenizer_file("word_bpe_49k.json")))(tokenizer_file("word_bpe_49k.json")), ["Émile's garçon, ÀÖØÞß ÿ", "über'LL 12 ñ|ñ"]
+    want = [word_ids(t) for t in all_]
+    monkeypatch.setattr(bpe, "whole", None)
+    assert rows_of(*bpe.encode(all_)) == want
+
+
 def test_piece_bpe_is_the_library():
     bpe = piece_bpe(tokenizer_file("piece_bpe_32k.model"))
     all_ = texts()
