@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -65,9 +66,16 @@ def drop(df: DataFrame) -> None:
     _MADE.remove(path)
 
 
+def tidy(spark: SparkSession) -> None:
+    """Let the driver collect its garbage. Spark removes shuffle files and the broadcast copies of bitmaps and task code only
+    once the driver has; a driver of many small steps otherwise grows its heap as far as it may first."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 @contextmanager
 def scratch(spark: SparkSession):
-    """Deletes the tables made inside when left, but for those put into the yielded list: what a returned plan still reads."""
+    """Deletes the tables made inside when left, but for those put into the yielded list: what a returned plan still reads. What their making left in memory and in shuffle files goes too."""
     first, keep = len(_MADE), []
     try:
         yield keep
@@ -78,6 +86,7 @@ def scratch(spark: SparkSession):
                 p = spark._jvm.org.apache.hadoop.fs.Path(path)
                 p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
         _MADE[first:] = [p for p in _MADE[first:] if p in kept]
+        tidy(spark)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

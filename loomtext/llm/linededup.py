@@ -119,6 +119,8 @@ def _links(seqs: DataFrame, symbols: DataFrame, words: bool, threshold: Threshol
     near = common.materialize(every.where(common.flagged(F.col("key"), live, "key")).join(live, "key"), "livelines")
     for done in (own, parts, live):
         common.drop(done)
+    del own, other, parts, every, live  # their plans hold bitmaps
+    common.tidy(seqs.sparkSession)
     pairs = near.where(F.col("n") <= group).transform(_pairs)
     large = near.where(F.col("n") > group).select("key", "id", "role", "d", "k")
     if large.isEmpty():
@@ -235,6 +237,8 @@ def _near(pairs: DataFrame, seqs: DataFrame, threshold: Threshold) -> DataFrame:
     near = common.materialize(rows.where(F.expr(banded_distance("sa", "sb", "k", threshold.most, exact=False)) <= F.col("k")).select("a", "b"), "nearlines")
     for done in (ids, held):
         common.drop(done)
+    del ids, held, x, y, rows
+    common.tidy(seqs.sparkSession)
     return near
 
 
@@ -317,7 +321,8 @@ def _without_repeats(docs: DataFrame, k: int, each_chars: int, changed: int, eac
     base = docs.select(F.col("doc_id").cast("long").alias("doc"), F.xxhash64(text).alias("tag"), text.alias("text")).where("text is not null")
     with common.scratch(docs.sparkSession) as keep:
         known, lines = _classes(base, k, each_chars, changed, each_words)
-        lost = lines.select("id", "place").join(known, "id").where("place <> keep").select("place.*")
+        # lines that stand once and are near no other need no shuffle
+        lost = lines.select("id", "place").where(common.flagged(F.col("id.id"), known.select("id.id"), "id")).join(known, "id").where("place <> keep").select("place.*")
         lost = common.materialize(lost.groupBy("doc", "tag").agg(F.collect_set("pos").alias("lost")), "lostlines")
         keep.append(lost)
     held = f"row_{uuid.uuid4().hex}"
@@ -359,11 +364,12 @@ def _classes(base: DataFrame, k: int, each_chars: int, changed: int, each_words:
         if threshold.most:
             own = sequence_links(distinct.where(F.col(column).isNotNull()).select("id", F.col(column).alias("seq")), words, threshold)
             links = own if links is None else links.union(own)
-    known = firsts.select("id", "n", "first", F.col("first").alias("keep"))
+    known = firsts.where("n > 1").select("id", F.col("first").alias("keep"))
     if links is not None:
         classes = common.connected_components(links).withColumnRenamed("node", "id")
-        near = firsts.join(classes, "id")
+        some = common.materialize(firsts.where((F.col("n") > 1) | common.flagged(F.col("id.id"), classes.select("id.id"), "id")), "classlines")
+        near = some.join(classes, "id")
         lead = near.groupBy("component").agg(F.min("first").alias("lead"))
         near = near.join(lead, "component").select("id", "lead")
-        known = firsts.join(near, "id", "left").select("id", "n", "first", F.coalesce("lead", "first").alias("keep"))
-    return common.materialize(known.where("n > 1 or keep <> first").select("id", "keep"), "lineclasses"), lines
+        known = some.join(near, "id", "left").withColumn("keep", F.coalesce("lead", "first")).where("n > 1 or keep <> first").select("id", "keep")
+    return common.materialize(known, "lineclasses"), lines

@@ -8,8 +8,9 @@ import time
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
-from loomtext.llm import imatch, linededup, minhash
+from loomtext.llm import common, imatch, linededup, minhash
 from loomtext.llm.wordhash import word_hashes
 
 SCHEMA = "doc_id long, text string, lang string, key string, a long, rep long"
@@ -526,3 +527,26 @@ def test_a_block_of_near_copies_gives_fewer_links_than_members():
     assert links.num_rows == n - 1 and len(set(root)) == 1
     later = table.set_column(table.column_names.index("band"), "band", pa.array(np.full(n, 2, np.int32)))
     assert minhash._confirmed_in_block(85, 0.07)(later).num_rows == 0
+
+
+def test_scratch_lets_the_driver_forget(spark):
+    whole = lambda: sum(b.getCollectionCount() for b in spark._jvm.java.lang.management.ManagementFactory.getGarbageCollectorMXBeans() if "Young" not in b.getName() and "Concurrent" not in b.getName())
+    before = whole()
+    with common.scratch(spark):
+        pass
+    assert whole() > before
+
+
+def test_lines_that_stand_once_and_are_near_none_are_not_shuffled(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"alone {i * 7919} {i * 104729} {i}\nthe common line of them all\n") for i in range(50)], "doc_id long, text string")
+    made = {}
+    make = common.materialize
+
+    def noted(df, tag):
+        made[tag] = make(df, tag)
+        return made[tag]
+
+    monkeypatch.setattr(common, "materialize", noted)
+    with common.scratch(spark):
+        known, _ = linededup._classes(docs.select(F.col("doc_id").alias("doc"), F.xxhash64("text").alias("tag"), "text"), 1, 24, 3, 10)
+        assert made["classlines"].count() < 5 and known.count() == 1
