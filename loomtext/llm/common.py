@@ -46,10 +46,16 @@ def ship(spark: SparkSession) -> None:
 
 _MADE: list[str] = []
 
+#: Share of the driver's heap from which the next table starts with a collection, before the heap grows for what nothing holds any more.
+HEAP_PART = 0.3
+
 
 def materialize(df: DataFrame, tag: str) -> DataFrame:
     """Write df to the shared folder and read it again: its lineage ends there, so lost executors cost no recomputation."""
     spark = df.sparkSession
+    heap = spark._jvm.Runtime.getRuntime()
+    if heap.totalMemory() - heap.freeMemory() > HEAP_PART * heap.maxMemory():
+        tidy(spark)
     path = work_path(spark, tag)
     _MADE.append(path)
     df.write.parquet(path)
@@ -119,8 +125,8 @@ def slices(batch, column: int, most_bytes: int = 1 << 20):
 FILTER_EACH, FILTER_LEAST, FILTER_MOST = 16, 1 << 16, 1 << 26
 
 
-def flagged(on: Column, ids: DataFrame, column: str) -> Column:
-    """Whether `on` (a long hash) may be among the hashes in the column of ids: true for all that are, and for a few others.
+def flagged(on: Column, ids: DataFrame, column: str, n: int | None = None) -> Column:
+    """Whether `on` (a long hash) may be among the hashes in the column of ids, which has n rows: true for all that are, and for a few others.
 
     A bitmap of the low bits of the hashes, sized by their number, goes to all tasks; past 4 * FILTER_MOST places it would
     hold nearly every one, so then it is true throughout. Callers join with ids afterwards: this only spares them rows.
@@ -130,7 +136,7 @@ def flagged(on: Column, ids: DataFrame, column: str) -> Column:
     import numpy as np
     import pyarrow as pa
 
-    places, wanted = FILTER_LEAST, ids.count() * FILTER_EACH
+    places, wanted = FILTER_LEAST, (ids.count() if n is None else n) * FILTER_EACH
     while places < wanted and places < FILTER_MOST:
         places *= 2
     if wanted > 4 * FILTER_MOST:
@@ -179,7 +185,6 @@ def _stars(edges: DataFrame, a: str, b: str) -> DataFrame:
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.join(low, "u").where("v > u and v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         joined = large.join(low, "u")
         small = joined.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v"))).distinct()

@@ -550,3 +550,14 @@ def test_lines_that_stand_once_and_are_near_none_are_not_shuffled(spark, monkeyp
     with common.scratch(spark):
         known, _ = linededup._classes(docs.select(F.col("doc_id").alias("doc"), F.xxhash64("text").alias("tag"), "text"), 1, 24, 3, 10)
         assert made["classlines"].count() < 5 and known.count() == 1
+
+
+def test_a_table_starts_with_a_collection_once_the_heap_fills(spark, monkeypatch):
+    tidied = []
+    monkeypatch.setattr(common, "tidy", lambda spark: tidied.append(1))
+    for part, times in ((1, 0), (0, 1)):
+        monkeypatch.setattr(common, "HEAP_PART", part, raising=False)
+        with common.scratch(spark):
+            common.materialize(spark.range(3), "few")
+            assert len(tidied) == times
+        tidied.clear()
