@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from . import common
 
 GROUP = 64
-WORD = "[^\\x20\\x09-\\x0D]"
+BLANKS = " \t\n\v\f\r"
 ID = "struct<id: bigint, id2: bigint>"
 
 
@@ -93,9 +93,9 @@ def _pairs(rows: DataFrame) -> DataFrame:
     return group.select(F.explode_outer(F.flatten(F.transform(own, pair))).alias("p")).where("p is not null").select("p.a", "p.b")
 
 
-def _links(seqs: DataFrame, symbols: DataFrame, words: bool, threshold: Threshold, group: int) -> DataFrame:
+def _links(seqs: DataFrame, symbols: DataFrame, words: bool, threshold: Threshold, group: int, reach: bool) -> DataFrame:
     """(a, b) of ids, a < b, within the threshold, of seqs (id, seq), whose ids are distinct; symbols has (id, seq) as arrays.
-    Holds every such pair, or other pairs that lead from one to the other.
+    Holds every such pair, or other pairs that lead from one to the other; with reach, those to the least id of a component.
 
     A group above `group` rows is first compared with its member that stands in most of them. Where its members are then one
     component nothing is left to find; lines of the others meet again by their rarest symbols.
@@ -132,19 +132,22 @@ def _links(seqs: DataFrame, symbols: DataFrame, words: bool, threshold: Threshol
     star = large.join(lead, "key").where("id <> lead").select(*ordered("id", "lead"))
     pairs = common.materialize(pairs.union(star).distinct(), "linepairs")
     links = _near(pairs, symbols, threshold)
-    place = common.connected_components(links).withColumnRenamed("node", "id")
-    place = common.materialize(large.select("key", "id").join(place, "id", "left").select("key", "id", F.xxhash64(F.coalesce("component", "id")).alias("part")), "hotparts")
-    hot = common.materialize(place.groupBy("key").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo <> hi").select("key"), "hotkeys")
+    stars = common.connected_components(links)
+    place = large.select("key", "id").join(stars.withColumnRenamed("node", "id"), "id", "left").select("key", "id", F.xxhash64(F.coalesce("component", "id")).alias("part"))
+    place = common.materialize(place, "hotparts")
+    hot = place.groupBy("key").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo <> hi").select("key")
+    hot = common.materialize(place.join(hot, "key", "left_semi").select("id", "part").distinct(), "hotids")
+    if reach:
+        links = stars.where("node <> component").select(F.col("component").alias("a"), F.col("node").alias("b"))
     if hot.isEmpty():
         return links
 
-    large = common.materialize(place.join(hot, "key", "left_semi").select("id", "part").distinct(), "hotids")
-    more = _rare(symbols.join(large, "id").select("id", "part", "seq"), threshold, group)
+    more = _rare(symbols.join(hot, "id").select("id", "part", "seq"), threshold, group)
     return links.union(_near(common.materialize(more.join(pairs, ["a", "b"], "left_anti"), "linepairs"), symbols, threshold))
 
 
 #: Numbers of rare symbols that a key takes, one after the other, for lines in groups that are still large.
-TOGETHER = (1, 2, 3, 4, 6)
+TOGETHER = (1, 3, 6)
 
 
 def _rare(lines: DataFrame, threshold: Threshold, group: int) -> DataFrame:
@@ -154,7 +157,7 @@ def _rare(lines: DataFrame, threshold: Threshold, group: int) -> DataFrame:
     symbols that is the same for all lines, the first k + c of each then share c at least. Rarest first, these are what sets
     lines with much in common apart. A line has a key for each c of its first k + c symbols; groups of up to `group`
     are paired, and the lines of larger ones go on with the next c, so a line has at most the sum of these binomials in
-    keys (153 for three edits), whatever the groups. What is large to the end is joined on the key and on c shared symbols.
+    keys (108 for three edits), whatever the groups. What is large to the end is joined on the key and on c shared symbols.
     """
     most, classes = threshold.most, threshold.classes()
     steps = TOGETHER if threshold.each is not None and threshold.each > TOGETHER[-1] else (1,)  # a line has `each` symbols an edit, so it has enough of them
@@ -169,11 +172,10 @@ def _rare(lines: DataFrame, threshold: Threshold, group: int) -> DataFrame:
         inside = [(k, F.col("n") >= low if high is None else (F.col("n") >= low) & (F.col("n") < high)) for k, low, high in classes]
         keys = functools.reduce(lambda x, y: x.union(y), [state.where(fits).select("id", "part", "n", "rare", F.lit(k).alias("k"), F.explode(of(k)).alias("key")) for k, fits in inside])
         live = keys.groupBy("key").agg(F.count("*").alias("size"), F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo <> hi").select("key", "size")
-        live = common.materialize(live, "rarekeys")
-        members = common.materialize(keys.where(common.flagged(F.col("key"), live, "key")).join(live, "key"), "raremembers")
+        members = common.materialize(keys.join(live, "key"), "raremembers")
         few = members.where(F.col("size") <= group).groupBy("key").agg(F.collect_set(F.struct("id", "part")).alias("g"))
         paired = F.flatten(F.transform("g", lambda x: F.transform(F.filter("g", lambda y: (x["id"] < y["id"]) & (x["part"] != y["part"])), lambda y: F.struct(x["id"].alias("a"), y["id"].alias("b")))))
-        found.append(common.materialize(few.select(F.explode(paired).alias("p")).select("p.a", "p.b").distinct(), "linepairs"))
+        found.append(few.select(F.explode(paired).alias("p")).select("p.a", "p.b"))
         many = members.where(F.col("size") > group)
         if many.isEmpty():
             break
@@ -229,29 +231,33 @@ def banded_distance(a: str, b: str, k: str, most: int, exact: bool = True) -> st
 
 def _near(pairs: DataFrame, seqs: DataFrame, threshold: Threshold) -> DataFrame:
     """The pairs (a, b) whose arrays of symbols are within the threshold of the shorter."""
-    ids = common.materialize(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "lineids")
-    held = common.materialize(seqs.where(common.flagged(F.col("id.id"), ids.select("id.id"), "id")).join(ids, "id", "left_semi"), "linetexts")
+    ends, n = pairs.select(F.explode(F.array("a.id", "b.id")).alias("id")), 2 * pairs.count()
+    held = seqs.where(common.flagged(F.col("id.id"), ends, "id", n))
+    # the few that a bitmap with room lets through besides find no pair; one that is filling up lets many through
+    if n * common.FILTER_EACH > common.FILTER_MOST:
+        held = held.join(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "id", "left_semi")
+    held = common.materialize(held, "linetexts")
     x, y = held.select(F.col("id").alias("a"), F.col("seq").alias("sa")), held.select(F.col("id").alias("b"), F.col("seq").alias("sb"))
     k = threshold.column(F.least(F.size("sa"), F.size("sb")))
     rows = pairs.join(x, "a").join(y, "b").withColumn("k", k).where(F.abs(F.size("sa") - F.size("sb")) <= F.col("k"))
     near = common.materialize(rows.where(F.expr(banded_distance("sa", "sb", "k", threshold.most, exact=False)) <= F.col("k")).select("a", "b"), "nearlines")
-    for done in (ids, held):
-        common.drop(done)
-    del ids, held, x, y, rows
+    common.drop(held)
+    del ends, held, x, y, rows
     common.tidy(seqs.sparkSession)
     return near
 
 
-def sequence_links(seqs: DataFrame, words: bool, threshold: Threshold, group: int = GROUP) -> DataFrame:
+def sequence_links(seqs: DataFrame, words: bool, threshold: Threshold, group: int = GROUP, reach: bool = False) -> DataFrame:
     """(a, b) of ids of sequences within the threshold, a < b; seqs has id, a struct of two longs, and seq: an array of
     integers if words, else a string, whose symbols are its characters. Ids are distinct.
 
     Of groups of many that are near one another, pairs with one member or a chain are returned in place of all pairs: they
-    reach one another, no link is lost.
+    reach one another, no link is lost. With reach, links found first may come as stars, not all of whose pairs are within
+    the threshold: they lead as far and leave fewer rounds to connected components.
     """
     with common.scratch(seqs.sparkSession) as keep:
         symbols = seqs if words else seqs.select("id", F.transform(F.split("seq", ""), lambda c: F.hash(c)).alias("seq"))
-        links = common.materialize(_links(seqs, symbols, words, threshold, group), "linelinks")
+        links = common.materialize(_links(seqs, symbols, words, threshold, group, reach), "linelinks")
         keep.append(links)
     return links
 
@@ -297,7 +303,12 @@ def drop_repeated_lines(docs: DataFrame, k: int = 1, each_chars: int = 24, chang
     """docs, with its columns, after `dedup_lines`: documents that lose every line with a word go, and n_chars, where there is one, is that of the new text. A null text stays."""
     rows, row = _without_repeats(docs, k, each_chars, changed, each_words)
     own = {"text": F.col("new"), "n_chars": F.length("new").cast("long")}
-    return rows.where(F.col("lost").isNull() | (_worded(F.col("new")) > 0)).select(*[own.get(c, F.col(f"{row}.`{c}`")).alias(c) for c in docs.columns])
+    return rows.where(F.col("lost").isNull() | _has_word(F.col("new"))).select(*[own.get(c, F.col(f"{row}.`{c}`")).alias(c) for c in docs.columns])
+
+
+def _has_word(text: Column) -> Column:
+    """Whether a text holds more than blanks. Ends at the first that is none; a pattern would have the whole text decoded first."""
+    return F.ltrim(text, F.lit(BLANKS)) != ""
 
 
 def _lines_of(text: Column) -> Column:
@@ -307,7 +318,7 @@ def _lines_of(text: Column) -> Column:
 
 def _worded(text: Column) -> Column:
     """The number of lines with a word of a text; 0 for null."""
-    return F.when(text.isNull(), 0).otherwise(F.size(F.filter(F.split(text, "\n"), lambda x: x.rlike(WORD)))).cast("long")
+    return F.when(text.isNull(), 0).otherwise(F.size(F.filter(F.split(text, "\n"), _has_word))).cast("long")
 
 
 def _count_of(letter: str, text: Column) -> Column:
@@ -340,7 +351,7 @@ def _without_repeats(docs: DataFrame, k: int, each_chars: int, changed: int, eac
 
 def _classes(base: DataFrame, k: int, each_chars: int, changed: int, each_words: int) -> tuple[DataFrame, DataFrame]:
     """(id, keep) of the lines that lose occurrences, and every line's occurrence with its id and place."""
-    each = base.select("doc", "tag", F.posexplode_outer(F.split("text", "\n")).alias("pos", "line")).where(F.col("line").rlike(WORD))
+    each = base.select("doc", "tag", F.posexplode_outer(F.split("text", "\n")).alias("pos", "line")).where(_has_word(F.col("line")))
     identity = F.struct(F.xxhash64("line").alias("id"), F.xxhash64(F.lit(20240611), "line").alias("id2")).alias("id")
     # counted, as a split in each condition would be made anew
     size = _count_of(" ", F.col("line")) + 1
@@ -362,14 +373,14 @@ def _classes(base: DataFrame, k: int, each_chars: int, changed: int, each_words:
     links = None
     for column, words, threshold in (("chars", False, Threshold(k, each_chars)), ("codes", True, Threshold(changed, each_words))):
         if threshold.most:
-            own = sequence_links(distinct.where(F.col(column).isNotNull()).select("id", F.col(column).alias("seq")), words, threshold)
+            own = sequence_links(distinct.where(F.col(column).isNotNull()).select("id", F.col(column).alias("seq")), words, threshold, reach=True)
             links = own if links is None else links.union(own)
     known = firsts.where("n > 1").select("id", F.col("first").alias("keep"))
     if links is not None:
         classes = common.connected_components(links).withColumnRenamed("node", "id")
         some = common.materialize(firsts.where((F.col("n") > 1) | common.flagged(F.col("id.id"), classes.select("id.id"), "id")), "classlines")
-        near = some.join(classes, "id")
-        lead = near.groupBy("component").agg(F.min("first").alias("lead"))
-        near = near.join(lead, "component").select("id", "lead")
-        known = some.join(near, "id", "left").withColumn("keep", F.coalesce("lead", "first")).where("n > 1 or keep <> first").select("id", "keep")
+        # a line that is near none is a class of its own, so that no null is a key
+        some = some.join(classes, "id", "left").select("id", "first", "n", F.coalesce("component", "id").alias("class"))
+        lead = some.groupBy("class").agg(F.min("first").alias("keep"))
+        known = some.join(lead, "class").where("n > 1 or keep <> first").select("id", "keep")
     return common.materialize(known, "lineclasses"), lines

@@ -561,3 +561,18 @@ def test_a_table_starts_with_a_collection_once_the_heap_fills(spark, monkeypatch
             common.materialize(spark.range(3), "few")
             assert len(tidied) == times
         tidied.clear()
+
+
+def test_lines_of_a_large_group_take_few_steps(spark, monkeypatch):
+    """Tables written for links of 100 lines that share 116 words, none near another: each is a job or more, whatever the rows. They were 22."""
+    made = []
+    own = common.materialize
+    monkeypatch.setattr(common, "materialize", lambda df, tag: made.append(tag) or own(df, tag))
+    lines = spark.createDataFrame([(i, " ".join([f"a{i}", f"b{i}", f"c{i}", f"d{i}", *[f"w{j}" for j in range(116)]])) for i in range(100)], "id long, line string")
+    assert linededup.word_links(lines).isEmpty()
+    assert len(made) <= 17, made
+
+
+def test_lines_of_blanks_have_no_word(spark):
+    rows = [(1, "\t\x0b \n\x0c\r\n\u00a0\n\u2003x\n\x1c")]
+    assert spark.createDataFrame(rows, "id long, text string").select(linededup._worded(F.col("text")).alias("n"), linededup._has_word(F.lit(" \t\n\x0b\x0c\r")).alias("no")).first()[:] == (3, False)
