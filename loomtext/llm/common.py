@@ -49,6 +49,9 @@ _MADE: list[str] = []
 #: Share of the driver's heap from which the next table starts with a collection, before the heap grows for what nothing holds any more.
 HEAP_PART = 0.3
 
+#: Tables of hashes, written as they are: a dictionary of what hardly repeats only takes time.
+PLAIN = {"lines", "linesegments", "lineparts"}
+
 
 def materialize(df: DataFrame, tag: str) -> DataFrame:
     """Write df to the shared folder and read it again: its lineage ends there, so lost executors cost no recomputation."""
@@ -58,7 +61,7 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
         tidy(spark)
     path = work_path(spark, tag)
     _MADE.append(path)
-    df.write.parquet(path)
+    df.write.option("parquet.enable.dictionary", tag not in PLAIN).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.loomtext_path = path
     return out

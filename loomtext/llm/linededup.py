@@ -168,9 +168,7 @@ def _rare(lines: DataFrame, threshold: Threshold, group: int) -> DataFrame:
     state = common.materialize(each.join(often, ["s", "j"]).groupBy("id", "part", "n").agg(first.getField("t").alias("rare")), "rarelines")
     found: list[DataFrame] = []
     for c in steps:
-        of = lambda k, c=c: F.array(*[F.xxhash64(F.lit(k), F.lit(c), *[F.get("rare", F.lit(i)) for i in at]) for at in itertools.combinations(range(k + c), c)])
-        inside = [(k, F.col("n") >= low if high is None else (F.col("n") >= low) & (F.col("n") < high)) for k, low, high in classes]
-        keys = functools.reduce(lambda x, y: x.union(y), [state.where(fits).select("id", "part", "n", "rare", F.lit(k).alias("k"), F.explode(of(k)).alias("key")) for k, fits in inside])
+        keys = _rare_keys(state, c, classes)
         live = keys.groupBy("key").agg(F.count("*").alias("size"), F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo <> hi").select("key", "size")
         members = common.materialize(keys.join(live, "key"), "raremembers")
         few = members.where(F.col("size") <= group).groupBy("key").agg(F.collect_set(F.struct("id", "part")).alias("g"))
@@ -187,6 +185,21 @@ def _rare(lines: DataFrame, threshold: Threshold, group: int) -> DataFrame:
     return functools.reduce(lambda x, y: x.union(y), found).distinct()
 
 
+def _rare_keys(state: DataFrame, c: int, classes: list[tuple[int, int, int | None]]) -> DataFrame:
+    """(id, part, n, rare, k, key) of rows (id, part, n, rare): a key for each c of the first k + c symbols, in each class that n is in.
+
+    The places to take come from a table, four bits each and k above them: as expressions of their own, 84 at most, they
+    would fill the driver with plans and code.
+    """
+    packed = lambda k: [sum(i << 4 * j for j, i in enumerate((*at, k))) for at in itertools.combinations(range(k + c), c)]
+    inside = [(k, F.col("n") >= low if high is None else (F.col("n") >= low) & (F.col("n") < high)) for k, low, high in classes]
+    table = F.concat(*[F.when(fits, F.lit(packed(k))).otherwise(F.array().cast("array<int>")) for k, fits in inside])
+    each = state.select("id", "part", "n", "rare", F.explode_outer(table).alias("at")).where("at is not null")
+    digit = lambda j: F.shiftright("at", 4 * j).bitwiseAND(F.lit(15))
+    key = F.xxhash64(digit(c), F.lit(c), *[F.get("rare", digit(j)) for j in range(c)])
+    return each.select("id", "part", "n", "rare", digit(c).alias("k"), key.alias("key"))
+
+
 def banded_distance(a: str, b: str, k: str, most: int, exact: bool = True) -> str:
     """SQL of the edit distance of array columns a and b where it is k <= most at most, else a number above k; if not
     exact, a number of edits of at most k that suffice, where the distance is k at most.
@@ -240,6 +253,8 @@ def _near(pairs: DataFrame, seqs: DataFrame, threshold: Threshold) -> DataFrame:
     x, y = held.select(F.col("id").alias("a"), F.col("seq").alias("sa")), held.select(F.col("id").alias("b"), F.col("seq").alias("sb"))
     k = threshold.column(F.least(F.size("sa"), F.size("sb")))
     rows = pairs.join(x, "a").join(y, "b").withColumn("k", k).where(F.abs(F.size("sa") - F.size("sb")) <= F.col("k"))
+    # an edit takes one symbol away at most; this spares most pairs the walk, which isn't compiled
+    rows = rows.where((F.size(F.array_except("sa", "sb")) <= F.col("k")) & (F.size(F.array_except("sb", "sa")) <= F.col("k")))
     near = common.materialize(rows.where(F.expr(banded_distance("sa", "sb", "k", threshold.most, exact=False)) <= F.col("k")).select("a", "b"), "nearlines")
     common.drop(held)
     del ends, held, x, y, rows
@@ -295,7 +310,10 @@ def dedup_lines(docs: DataFrame, k: int = 1, each_chars: int = 24, changed: int
     if taken:
         raise ValueError(f"docs already has the columns {sorted(taken)}")
     rows, row = _without_repeats(docs, k, each_chars, changed, each_words)
-    counts = [_lines_of(F.col("text0")).alias("n_lines"), F.coalesce(F.size("lost"), F.lit(0)).cast("long").alias("n_removed"), _worded(F.col("new")).alias("n_left")]
+    # as the element of an array it is computed once; what is removed has a word
+    rows = rows.select(row, "text0", "lost", "new", F.explode(F.array(F.split("text0", "\n"))).alias("all0"))
+    n_lines, n_removed = (F.when(F.col(c).isNull(), 0).otherwise(F.size(of)).cast("long") for c, of in (("text0", "all0"), ("lost", "lost")))
+    counts = [n_lines.alias("n_lines"), n_removed.alias("n_removed"), (_worded(F.col("text0"), F.col("all0")) - n_removed).alias("n_left")]
     return rows.select(*[F.col("new").alias(c) if c == "text" else F.col(f"{row}.`{c}`") for c in docs.columns], *counts)
 
 
@@ -311,19 +329,9 @@ def _has_word(text: Column) -> Column:
     return F.ltrim(text, F.lit(BLANKS)) != ""
 
 
-def _lines_of(text: Column) -> Column:
-    """The number of lines of a text; 0 for null."""
-    return F.coalesce(_count_of("\n", text) + 1, F.lit(0)).cast("long")
-
-
-def _worded(text: Column) -> Column:
-    """The number of lines with a word of a text; 0 for null."""
-    return F.when(text.isNull(), 0).otherwise(F.size(F.filter(F.split(text, "\n"), _has_word))).cast("long")
-
-
-def _count_of(letter: str, text: Column) -> Column:
-    """How often an ASCII letter stands in a text, by its bytes: lengths in characters would be counted each time."""
-    return F.octet_length(text) - F.octet_length(F.replace(text, F.lit(letter), F.lit("")))
+def _worded(text: Column, lines: Column | None = None) -> Column:
+    """The number of lines with a word of a text; 0 for null. lines: the text's, where they are at hand."""
+    return F.when(text.isNull(), 0).otherwise(F.size(F.filter(F.split(text, "\n") if lines is None else lines, _has_word))).cast("long")
 
 
 def _without_repeats(docs: DataFrame, k: int, each_chars: int, changed: int, each_words: int) -> tuple[DataFrame, str]:
@@ -353,20 +361,21 @@ def _classes(base: DataFrame, k: int, each_chars: int, changed: int, each_words:
     """(id, keep) of the lines that lose occurrences, and every line's occurrence with its id and place."""
     each = base.select("doc", "tag", F.posexplode_outer(F.split("text", "\n")).alias("pos", "line")).where(_has_word(F.col("line")))
     identity = F.struct(F.xxhash64("line").alias("id"), F.xxhash64(F.lit(20240611), "line").alias("id2")).alias("id")
-    # counted, as a split in each condition would be made anew
-    size = _count_of(" ", F.col("line")) + 1
+    # as the element of an array it is computed once
+    each = each.select("doc", "tag", "pos", "line", F.explode(F.array(_word_codes(F.split("line", " ")))).alias("words"))
+    size = F.size("words")
     # a changed character is two changed words at most, so the join over words finds it where it allows 2 k of them
     short = F.lit(True) if changed < 2 * k else size < 2 * k * each_words + k
     lines = each.select(
         identity,
         F.struct("doc", "tag", "pos").alias("place"),
-        F.when((F.length("line") >= each_chars) & short, F.col("line")).alias("chars"),
-        F.when(size >= each_words, _word_codes(F.split("line", " "))).alias("codes"),
+        F.when(short & (F.length("line") >= each_chars), F.col("line")).alias("chars"),
+        F.when(size >= each_words, F.col("words")).alias("codes"),
     )
     lines = common.materialize(lines, "lines")
-    firsts = common.materialize(lines.groupBy("id").agg(F.min("place").alias("first"), F.count("*").alias("n")), "firstlines")
-    # lines that stand once need no shuffle to be distinct
-    many = common.flagged(F.col("id.id"), firsts.where("n > 1").select("id.id"), "id")
+    twice = common.materialize(lines.groupBy("id").agg(F.count("*").alias("n")).where("n > 1").select("id.id"), "twicelines")
+    # lines that stand once need no shuffle to be distinct, and no first place
+    many = common.flagged(F.col("id.id"), twice, "id")
     wanted = lines.where("chars is not null or codes is not null").select("id", "chars", "codes")
     repeated = common.materialize(wanted.where(many).dropDuplicates(["id"]), "repeatedlines")
     distinct = wanted.where(~many).union(repeated)
@@ -375,10 +384,12 @@ def _classes(base: DataFrame, k: int, each_chars: int, changed: int, each_words:
         if threshold.most:
             own = sequence_links(distinct.where(F.col(column).isNotNull()).select("id", F.col(column).alias("seq")), words, threshold, reach=True)
             links = own if links is None else links.union(own)
-    known = firsts.where("n > 1").select("id", F.col("first").alias("keep"))
-    if links is not None:
+    first = lambda of: lines.where(of).groupBy("id").agg(F.min("place").alias("first"), F.count("*").alias("n"))
+    if links is None:
+        known = first(many).where("n > 1").select("id", F.col("first").alias("keep"))
+    else:
         classes = common.connected_components(links).withColumnRenamed("node", "id")
-        some = common.materialize(firsts.where((F.col("n") > 1) | common.flagged(F.col("id.id"), classes.select("id.id"), "id")), "classlines")
+        some = common.materialize(first(many | common.flagged(F.col("id.id"), classes.select("id.id"), "id")), "classlines")
         # a line that is near none is a class of its own, so that no null is a key
         some = some.join(classes, "id", "left").select("id", "first", "n", F.coalesce("component", "id").alias("class"))
         lead = some.groupBy("class").agg(F.min("first").alias("keep"))

@@ -1,6 +1,7 @@
 """Near-duplicates, line dedup and fingerprints against brute force."""
 
 import hashlib
+import itertools
 import random
 import re
 import time
@@ -576,3 +577,55 @@ def test_lines_of_a_large_group_take_few_steps(spark, monkeypatch):
 def test_lines_of_blanks_have_no_word(spark):
     rows = [(1, "\t\x0b \n\x0c\r\n\u00a0\n\u2003x\n\x1c")]
     assert spark.createDataFrame(rows, "id long, text string").select(linededup._worded(F.col("text")).alias("n"), linededup._has_word(F.lit(" \t\n\x0b\x0c\r")).alias("no")).first()[:] == (3, False)
+
+
+def test_pairs_with_foreign_words_are_not_walked(spark, monkeypatch):
+    """Lines that share a segment but have more than k words of their own are told apart without the distance, which isn't compiled."""
+    monkeypatch.setattr(linededup, "banded_distance", lambda *args, **kw: "CAST(raise_error(concat('walked ', size(sa))) AS int)")
+    lines = spark.createDataFrame([(i, " ".join([*[f"w{j}" for j in range(10)], *[f"x{i}y{j}" for j in range(30)]])) for i in range(20)], "id long, line string")
+    assert linededup.word_links(lines).isEmpty()
+
+
+def test_keys_of_rare_words_make_small_code(spark, monkeypatch):
+    """Keys come from a table, not from an expression each (84 at most): the code of the first step was 123,408 characters, then 62,613."""
+    code = []
+    own = common.materialize
+
+    def noted(df, tag):
+        if tag == "raremembers":
+            stages = df._jdf.queryExecution().debug().codegenToSeq()
+            code.append(sum(len(stages.apply(i)._2()) for i in range(stages.size())))
+        return own(df, tag)
+
+    monkeypatch.setattr(common, "materialize", noted)
+    lines = spark.createDataFrame([(i, " ".join([f"a{i}", f"b{i}", f"c{i}", f"d{i}", *[f"w{j}" for j in range(116)]])) for i in range(100)], "id long, line string")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        assert linededup.word_links(lines).isEmpty()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert code and max(code) < 90_000
+
+
+def test_keys_of_rare_words_against_plain(spark):
+    rare = [100 + i for i in range(9)]
+    got = linededup._rare_keys(spark.createDataFrame([(1, 1, 45, rare), (2, 2, 31, rare), (3, 3, 15, rare[:2])], "id long, part long, n int, rare array<bigint>"), 3, linededup.Threshold(3, 10).classes()).collect()
+    wanted = [(i, k, at) for i, k in ((1, 3), (2, 2), (2, 3), (3, 1)) for at in itertools.combinations(range(k + 3), 3)]
+    frame = spark.createDataFrame([(i, k, [rare[j] for j in at if i < 3 or j < 2]) for i, k, at in wanted], "id long, k int, s array<bigint>")
+    assert sorted((r.id, r.k, r.key) for r in got) == sorted(tuple(r) for r in frame.select("id", "k", F.xxhash64("k", F.lit(3), "s")).collect())
+
+
+def test_only_lines_that_stand_twice_or_are_near_others_get_a_first_place(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"alone {i * 7919} {i * 104729} {i}\nthe common line of them all\n") for i in range(50)], "doc_id long, text string")
+    sizes = {}
+    own = common.materialize
+
+    def noted(df, tag):
+        out = own(df, tag)
+        if "first" in df.columns or "place" in df.columns:
+            sizes[tag] = out.count()
+        return out
+
+    monkeypatch.setattr(common, "materialize", noted)
+    assert linededup.dedup_lines(docs).agg(F.sum("n_removed")).first()[0] == 49
+    assert sizes.pop("lines") == 100 and max(sizes.values()) < 5
