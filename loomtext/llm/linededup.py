@@ -178,9 +178,7 @@ def _rare(lines: DataFrame, threshold: Threshold, group: int) -> DataFrame:
         if many.isEmpty():
             break
         if c == steps[-1]:
-            x, y = many.alias("x"), many.alias("y")
-            near = (F.abs(F.col("x.n") - F.col("y.n")) <= F.col("x.k")) & (F.size(F.array_intersect(F.slice("x.rare", 1, F.col("x.k") + c), F.slice("y.rare", 1, F.col("x.k") + c))) >= c)
-            found.append(x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.id") < F.col("y.id")) & (F.col("x.part") != F.col("y.part")) & near).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")))
+            found.append(_rare_pairs(many, c))
         state = many.select("id", "part", "n", "rare").distinct()
     return functools.reduce(lambda x, y: x.union(y), found).distinct()
 
@@ -200,6 +198,15 @@ def _rare_keys(state: DataFrame, c: int, classes: list[tuple[int, int, int | Non
     return each.select("id", "part", "n", "rare", digit(c).alias("k"), key.alias("key"))
 
 
+def _rare_pairs(many: DataFrame, c: int) -> DataFrame:
+    """(a, b) of rows of `_rare_keys` of different parts that share a key and c symbols. Lines with more in common share many keys,
+    so only the key of the first c that they share gives the pair; where that key has a small group, the pair was found there."""
+    x, y = many.alias("x"), many.alias("y")
+    both = F.array_intersect(F.slice("x.rare", 1, F.col("x.k") + c), F.slice("y.rare", 1, F.col("x.k") + c))
+    near = (F.abs(F.col("x.n") - F.col("y.n")) <= F.col("x.k")) & (F.size(both) >= c) & (F.col("x.key") == F.xxhash64("x.k", F.lit(c), F.slice(both, 1, c)))
+    return x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.id") < F.col("y.id")) & (F.col("x.part") != F.col("y.part")) & near).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
+
+
 def banded_distance(a: str, b: str, k: str, most: int, exact: bool = True) -> str:
     """SQL of the edit distance of array columns a and b where it is k <= most at most, else a number above k; if not
     exact, a number of edits of at most k that suffice, where the distance is k at most.

@@ -629,3 +629,11 @@ def test_only_lines_that_stand_twice_or_are_near_others_get_a_first_place(spark,
     monkeypatch.setattr(common, "materialize", noted)
     assert linededup.dedup_lines(docs).agg(F.sum("n_removed")).first()[0] == 49
     assert sizes.pop("lines") == 100 and max(sizes.values()) < 5
+
+
+def test_lines_that_share_many_rare_words_are_paired_once(spark):
+    """Two lines with nine rare words in common share 84 keys of six; one of them gives the pair. Two with seven share seven, two with five none."""
+    rare = {1: range(9), 2: range(9), 3: [*range(7), 20, 21], 4: [*range(5), 30, 31, 32, 33]}
+    state = spark.createDataFrame([(i, i, 45, [100 + j for j in of]) for i, of in rare.items()], "id long, part long, n int, rare array<bigint>")
+    got = linededup._rare_pairs(linededup._rare_keys(state, 6, linededup.Threshold(3, 10).classes()), 6).collect()
+    assert sorted((r.a, r.b) for r in got) == [(1, 2), (1, 3), (2, 3)]
